@@ -53,7 +53,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     runs = runs.select("_id", "_digest", "_start", "_salt", "_sha", "_is_hot", "_first", F.count("*").over(group).alias("_size"), F.first("_id").over(group.orderBy("_at")).alias("_keep"))
     # Winners of the salts of hot texts: fewer than hot_share texts with as many rows each as they have salts.
     winners = runs.where(F.col("_is_hot") & F.col("_first")).groupBy("_digest", "_sha").agg((F.min("_keep") if keep == "smallest" else F.max("_keep")).alias("_all_keep"), F.sum("_size").alias("_all_size"), F.min(F.when(F.col("_keep").isNull(), F.col("_salt"))).alias("_null_salt"))
-    out = runs.join(winners, ["_digest", "_sha"], "left")
+    out = runs.join(F.broadcast(winners), ["_digest", "_sha"], "left")
     keep_id = F.when(F.col("_is_hot"), F.col("_all_keep")).otherwise(F.col("_keep"))
     in_best_salt = ~F.col("_is_hot") | F.when(F.col("_all_keep").isNotNull(), F.col("_keep").eqNullSafe(F.col("_all_keep"))).otherwise(F.col("_salt").eqNullSafe(F.col("_null_salt")))
     return out.select(F.col("_id").alias(id_col), keep_id.alias("keep_id"), F.when(F.col("_is_hot"), F.col("_all_size")).otherwise(F.col("_size")).alias("group_size"), (F.col("_first") & in_best_salt).alias("kept"), F.col("_sha").alias("text_sha256"))
