@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from converge.llm import common, exact, minhash, mixing
+from converge.llm import common, exact, minhash, mixing, packing
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,10 +17,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(common.documents(spark, sf_dir), keep="largest")
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(common.documents(spark, sf_dir))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.documents(spark, sf_dir)).drop("epochs")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op10_mixing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op9_best_fit_packing, op10_mixing)}
 
 ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.SQL, "op10_mixing": mixing.SQL}
