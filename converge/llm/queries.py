@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from converge.llm import common, exact, minhash, mixing, packing
+from converge.llm import common, exact, langid, minhash, mixing, packing
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(common.documents(spark, sf_dir), keep="largest")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    model = langid.fit(docs.where(~common.held_out("doc_id")))
+    return langid.identify(docs, model).select("doc_id", common.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.documents(spark, sf_dir))
 
@@ -25,6 +31,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.documents(spark, sf_dir)).drop("epochs")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op9_best_fit_packing, op10_mixing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op8_language_id, op9_best_fit_packing, op10_mixing)}
 
 ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.SQL, "op10_mixing": mixing.SQL}
