@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from converge.llm import common, exact, langid, minhash, mixing, packing
+from converge.llm import common, exact, langid, minhash, mixing, packing, toxicity
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,13 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(common.documents(spark, sf_dir), keep="largest")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    machine = toxicity.fit(docs, labels.where(~common.held_out("doc_id")))
+    return toxicity.score(docs, machine).select("doc_id", common.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     model = langid.fit(docs.where(~common.held_out("doc_id")))
@@ -31,6 +38,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.documents(spark, sf_dir)).drop("epochs")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op8_language_id, op9_best_fit_packing, op10_mixing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op6_toxicity, op8_language_id, op9_best_fit_packing, op10_mixing)}
 
 ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.SQL, "op10_mixing": mixing.SQL}
