@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from converge.llm import common, exact, langid, minhash, mixing, packing, toxicity, winnow
+from converge.llm import common, exact, langid, lm, minhash, mixing, packing, toxicity, winnow
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.compare_with_next(common.documents(spark, sf_dir))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    return lm.score(docs, *lm.fit(docs))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -42,6 +47,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.documents(spark, sf_dir)).drop("epochs")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op3_fingerprints, op6_toxicity, op8_language_id, op9_best_fit_packing, op10_mixing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op3_fingerprints, op5_lm_scoring, op6_toxicity, op8_language_id, op9_best_fit_packing, op10_mixing)}
 
 ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.SQL, "op10_mixing": mixing.SQL}
