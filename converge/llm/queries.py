@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from converge.llm import common, exact, langid, lm, minhash, mixing, packing, toxicity, winnow
+from converge.llm import common, exact, langid, lm, minhash, mixing, packing, substring, suffix, toxicity, winnow
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.compare_with_next(common.documents(spark, sf_dir))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeated_spans(common.documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     return lm.score(docs, *lm.fit(docs))
@@ -33,6 +38,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, machine).select("doc_id", common.held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_spans(common.documents(spark, sf_dir)).drop("spans")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     model = langid.fit(docs.where(~common.held_out("doc_id")))
@@ -47,6 +56,6 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.documents(spark, sf_dir)).drop("epochs")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op3_fingerprints, op5_lm_scoring, op6_toxicity, op8_language_id, op9_best_fit_packing, op10_mixing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op3_fingerprints, op4_suffix_dedup, op5_lm_scoring, op6_toxicity, op7_substring_dedup, op8_language_id, op9_best_fit_packing, op10_mixing)}
 
 ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.SQL, "op10_mixing": mixing.SQL}
