@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,14 +36,24 @@ def held_out(doc_id: str | Column) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the cluster names in spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where it names none, as in tests."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows of df, written once as Parquet in the shared folder and read again."""
+    path = f"{shared_folder(df.sparkSession)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
-    A folder of our own is set only where the cluster names none, as in tests on one machine.
-    """
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

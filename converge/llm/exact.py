@@ -29,34 +29,41 @@ def _hot(keyed: DataFrame, share: int) -> DataFrame:
     return counts.where(F.col("_copies") > HOT_LEAST).join(F.broadcast(total), F.col("_copies") > least).select("_digest", F.ceil(F.col("_copies") / SALT_ROWS).cast("long").alias("_salts"))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", normalise: Column | None = None, hot_share: int = HOT_SHARE) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest", normalise: Column | None = None, hot_share: int = HOT_SHARE, carry: Column | None = None) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     normalise: the text that is compared, by default the text as it is. keep: "smallest" or "largest" identifier of equal
     texts stays. A null text counts as empty. A null id loses to any other; a group whose ids are all null keeps one row,
     with a null keep_id. Of rows with the same id and text one is kept, so each group keeps exactly one row. An empty
-    table gives an empty result; other columns of the input are ignored.
+    table gives an empty result; other columns of the input are ignored. carry: a column that goes along as _carry.
     """
     text = F.coalesce(normalise if normalise is not None else F.col(text_col), F.lit("")).cast("string")
     order = F.col("_id").asc_nulls_last() if keep == "smallest" else F.col("_id").desc_nulls_last()
-    keyed = docs.select(F.col(id_col).alias("_id"), text.alias("_text")).withColumn("_digest", F.xxhash64("_text"))
+    more = [] if carry is None else ["_carry"]
+    keyed = docs.select(F.col(id_col).alias("_id"), text.alias("_text"), *([] if carry is None else [carry.alias("_carry")])).withColumn("_digest", F.xxhash64("_text"))
     hot = _hot(keyed.select("_digest"), hot_share)
     rows = keyed.join(F.broadcast(hot), "_digest", "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("_id", F.lit(17)), F.col("_salts")), F.lit(0)))
     rows = rows.withColumn("_start", F.substring("_text", 1, 16))
     dealt = rows.repartitionByRange(common.partitions(docs.sparkSession), "_start", "_digest", "_salt")
     near = Window.partitionBy("_start", "_digest", "_salt").orderBy("_text", order)
     first = F.coalesce(~F.col("_text").eqNullSafe(F.lag("_text").over(near)), F.lit(True))
-    runs = dealt.select("_id", "_digest", "_start", "_salt", (F.col("_salts").isNotNull()).alias("_is_hot"), first.alias("_first"), F.row_number().over(near).alias("_at"), F.sha2(F.encode("_text", "UTF-8"), 256).alias("_sha"))
+    runs = dealt.select(*more, "_id", "_digest", "_start", "_salt", (F.col("_salts").isNotNull()).alias("_is_hot"), first.alias("_first"), F.row_number().over(near).alias("_at"), F.sha2(F.encode("_text", "UTF-8"), 256).alias("_sha"))
     so_far = Window.partitionBy("_start", "_digest", "_salt").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     runs = runs.withColumn("_run", F.max(F.when(F.col("_first"), F.col("_at"))).over(so_far))
     group = Window.partitionBy("_start", "_digest", "_salt", "_run")
-    runs = runs.select("_id", "_digest", "_start", "_salt", "_sha", "_is_hot", "_first", F.count("*").over(group).alias("_size"), F.first("_id").over(group.orderBy("_at")).alias("_keep"))
+    runs = runs.select(*more, "_id", "_digest", "_start", "_salt", "_sha", "_is_hot", "_first", F.count("*").over(group).alias("_size"), F.first("_id").over(group.orderBy("_at")).alias("_keep"))
     # Winners of the salts of hot texts: fewer than hot_share texts with as many rows each as they have salts.
     winners = runs.where(F.col("_is_hot") & F.col("_first")).groupBy("_digest", "_sha").agg((F.min("_keep") if keep == "smallest" else F.max("_keep")).alias("_all_keep"), F.sum("_size").alias("_all_size"), F.min(F.when(F.col("_keep").isNull(), F.col("_salt"))).alias("_null_salt"))
     out = runs.join(F.broadcast(winners), ["_digest", "_sha"], "left")
     keep_id = F.when(F.col("_is_hot"), F.col("_all_keep")).otherwise(F.col("_keep"))
     in_best_salt = ~F.col("_is_hot") | F.when(F.col("_all_keep").isNotNull(), F.col("_keep").eqNullSafe(F.col("_all_keep"))).otherwise(F.col("_salt").eqNullSafe(F.col("_null_salt")))
-    return out.select(F.col("_id").alias(id_col), keep_id.alias("keep_id"), F.when(F.col("_is_hot"), F.col("_all_size")).otherwise(F.col("_size")).alias("group_size"), (F.col("_first") & in_best_salt).alias("kept"), F.col("_sha").alias("text_sha256"))
+    return out.select(F.col("_id").alias(id_col), keep_id.alias("keep_id"), F.when(F.col("_is_hot"), F.col("_all_size")).otherwise(F.col("_size")).alias("group_size"), (F.col("_first") & in_best_salt).alias("kept"), F.col("_sha").alias("text_sha256"), *more)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs that exact_dedup keeps, with all their columns."""
+    marked = exact_dedup(docs, id_col, text_col, carry=F.struct(*[F.col(f"`{c}`") for c in docs.columns]), **options)
+    return marked.where("kept").select(*[F.col("_carry").getField(c).alias(c) for c in docs.columns])
 
 
 SQL = """

@@ -11,10 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from converge.llm import common
+
 #: Weights of the sources in the order of their names, repeating.
 CYCLE = (3, 1, 2)
-#: Bins of the keys of one source.
-BINS = 256
+SALT = "mix-1|"
+#: Least number of bins of the keys of one source, and rows of a bin, about, in a table of one source.
+BINS, BIN_ROWS = 256, 65_536
+#: Sources that may be broadcast, one row each.
+BROADCAST_SOURCES = 100_000
 
 
 def size_of(text: Column) -> Column:
@@ -59,7 +64,7 @@ def source_targets(sized: DataFrame, share: float = 1.5, most: float = 2.0, cycl
     return s.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5, most: int = 2, cycle: tuple[int, ...] = CYCLE, salt: str = "mix-1|", weight: Column | None = None, bins: int = BINS) -> DataFrame:
+def _selected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", share: float = 1.5, most: int = 2, cycle: tuple[int, ...] = CYCLE, salt: str = SALT, weight: Column | None = None, bins: int | None = None) -> DataFrame:
     """One row per input row: doc_id, source, size, source_size, target, taken, epochs.
 
     taken is size times epochs. Every document is taken floor(target / source_size) times; what is left of the target goes
@@ -68,10 +73,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     with equal ids have equal keys and are told apart by their size only; of equal rows that cross the target together all
     go the same way. An empty table gives an empty result; other columns are ignored.
     """
+    bins = bins or max(BINS, docs.count() // BIN_ROWS)
     text = F.col(text_col)
     sized = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), size_of(text).alias("size"), (weight if weight is not None else quality_of(text)).alias("_weight"))
-    key = 1.0 - F.exp(F.log(uniform(F.col("_id"), salt)) / F.col("_weight"))  # in (0, 1), in the order of the exponential keys
-    keyed = sized.withColumn("_key", key).withColumn("_bin", F.least(F.lit(bins - 1), F.floor(F.col("_key") * bins)).cast("int")).drop("_weight")
+    keyed = sized.withColumn("_key", _key(F.col("_id"), F.col("_weight"), salt)).withColumn("_bin", F.least(F.lit(bins - 1), F.floor(F.col("_key") * bins)).cast("int")).drop("_weight")
     targets = source_targets(keyed.select("source", "size"), share, most, cycle)
     by_bin = keyed.groupBy("source", "_bin").agg(F.sum("size").alias("_bin_size"))
     earlier = Window.partitionBy("source").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -84,7 +89,36 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = rows.withColumn("_whole", whole).withColumn("_left", F.col("target") - F.col("_whole") * F.col("source_size")).withColumn("_upto", upto)
     more = (F.col("_upto") - F.col("size") / 2.0 < F.col("_left")) & (F.col("_whole") < most) & (F.col("size") > 0)
     rows = rows.withColumn("epochs", F.col("_whole") + more.cast("long"))
-    return rows.select(F.col("_id").alias(id_col), "source", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"), "epochs")
+    return rows.select(F.col("_id").alias(id_col), "source", "size", "source_size", "target", (F.col("size") * F.col("epochs")).alias("taken"), "epochs", "_whole", "_key")
+
+
+def _key(doc_id: Column, weight: Column, salt: str) -> Column:
+    """In (0, 1), in the order of exponential keys over the weights."""
+    return 1.0 - F.exp(F.log(uniform(doc_id, salt)) / weight)
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """One row per input row: doc_id, source, size, source_size, target, taken, epochs. See _selected."""
+    return _selected(docs, id_col, text_col, source_col, **options).drop("_whole", "_key")
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", salt: str = SALT, weight: Column | None = None, **options) -> DataFrame:
+    """The rows of docs, with all their columns, each as often as the mix takes it.
+
+    The selection of a source is all rows up to the last in the order of keys, ids and sizes, so the texts stay where they
+    are and only one row per source is joined to them.
+    """
+    rank = F.struct(F.col("_key").alias("k"), F.col("_id").alias("i"), F.col("size").alias("s"))
+    chosen = _selected(docs, id_col, text_col, source_col, salt=salt, weight=weight, **options).withColumnRenamed(id_col, "_id")
+    cuts = common.checkpoint(chosen.groupBy(F.col("source").alias("_source")).agg(F.max("_whole").alias("_whole"), F.max(F.when(F.col("epochs") > F.col("_whole"), rank)).alias("_cut")))
+    if cuts.count() <= BROADCAST_SOURCES:
+        cuts = F.broadcast(cuts)
+    text, doc_id = F.col(text_col), F.col(id_col)
+    size = size_of(text)
+    own = F.struct(_key(doc_id, weight if weight is not None else quality_of(text), salt).alias("k"), doc_id.alias("i"), size.alias("s"))
+    joined = docs.withColumn("_own", own).join(cuts, F.col(source_col).eqNullSafe(F.col("_source")))
+    times = F.col("_whole") + (F.coalesce(F.col("_own") <= F.col("_cut"), F.lit(False)) & (F.col("_own.s") > 0)).cast("long")
+    return joined.withColumn("_time", F.explode(F.sequence(F.lit(0), times.cast("int")))).where("_time > 0").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 _WEIGHT_SQL = r"""greatest(0.05::DOUBLE, coalesce(pow(length(translate(text, '0123456789|#$%&*!<>{}[]=+_^~\/@', ''))::DOUBLE / nullif(length(text), 0), 2), 0.05::DOUBLE))"""
