@@ -271,7 +271,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = min(1.0, rows / max(1, known.count()))
     known = known.where(F.pmod(F.xxhash64("_id", F.lit(6)), F.lit(1 << 20)) < share * (1 << 20))
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    train = common.checkpoint(texts.join(known, "_id").select("_toxic", "_text", F.xxhash64("_text").alias("_h")).dropDuplicates(["_h", "_toxic"]).select("_toxic", "_text"))
+    # About `rows` ids at most, so the texts stay where they are but for the sample.
+    train = common.checkpoint(texts.join(F.broadcast(known), "_id").select("_toxic", "_text", F.xxhash64("_text").alias("_h")).dropDuplicates(["_h", "_toxic"]).select("_toxic", "_text"))
     n_of = {r["_toxic"]: r["n"] for r in train.groupBy("_toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = n_of.get(1, 0), n_of.get(0, 0)
     if not n_toxic or not n_clean:
