@@ -172,7 +172,7 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     cuts = source.agg(F.max("_id").alias("top"), F.percentile_approx("_id", [i / n for i in range(1, n)] or [0.5], 100 * n).alias("cuts"), F.max(F.col("_id").isNull()).alias("nulls")).first()
     heads = sorted({cuts["top"], *(cuts["cuts"] or [])} - {None}, reverse=True)
     nulls = [len(heads)] if cuts["nulls"] else []
-    last = len(heads) - 1 + len(nulls)
+    last = max(0, len(heads) - 1 + len(nulls))
     # Range i has the ids from heads[i] down to above heads[i + 1]; null ids have a range of their own, after the others.
     bounds = F.array(*[F.lit(h) for h in heads]).cast("array<bigint>")
     found = F.aggregate(F.sequence(F.lit(0), F.lit(len(heads).bit_length())), F.struct(F.lit(0).alias("lo"), F.lit(len(heads)).alias("hi")), _halved(bounds), lambda x: x["lo"] - 1)
