@@ -30,7 +30,7 @@ def size_of(text: Column) -> Column:
 def quality_of(text: Column) -> Column:
     """Weight from 0.05 to 1: the share of a text's characters that are not ASCII digits or marks, squared."""
     plain = F.length(F.translate(text, "0123456789|#$%&*!<>{}[]=+_^~\\/@", ""))
-    share = plain / F.length(text)
+    share = F.try_divide(plain, F.length(text))
     return F.greatest(F.lit(0.05), F.coalesce(share * share, F.lit(0.05)))
 
 
