@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from converge.llm import common
@@ -22,12 +22,18 @@ from converge.llm.common import U64
 #: Bits of a key that a part sorts by; the bits above choose the part.
 LOW = 40
 _MASK = U64((1 << LOW) - 1)
-#: Homes and parts for each shuffle partition, so that they even out over tasks.
-EACH = 2
+#: Homes for each shuffle partition, so that they even out over tasks; and shuffle partitions for each part. A home sends a
+#: row to each part, so their product is the number of rows, of the order of blocks that any shuffle has.
+HOMES_EACH, EACH_PART = 2, 2
 #: Stands for a null id, which counts as larger than any other.
 NO_ID = np.iinfo(np.int64).max
 STEP = 8 << 20
 
+
+def parts(spark: SparkSession) -> int:
+    return max(1, common.partitions(spark) // EACH_PART)
+
+
 _HOMES = "home int, ids array<long>, lengths binary, blob binary"
 _ENTRIES = "part int, home int, n long, keys binary, extra binary, least binary, flags binary"
 _ANSWERS = "home int, round int, part int, bits binary"
@@ -232,16 +238,17 @@ def run(docs: DataFrame, rounds: list[tuple[Sender, bool, Callable[[Seen], np.nd
 
     One plan holds all rounds, so that the exchange of the texts is made once and reused.
     """
-    n = EACH * common.partitions(docs.sparkSession)
+    n, partitions = parts(docs.sparkSession), common.partitions(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    homes = source.mapInArrow(_dealer(n), _HOMES).repartition(n // EACH, "home")
+    homes = source.mapInArrow(_dealer(HOMES_EACH * partitions), _HOMES).repartition(partitions, "home")
     answers: DataFrame | None = None
     for k, (sender, with_least, judge) in enumerate(rounds):
         if answers is None:
             entries = homes.groupBy("home").applyInArrow(_first(sender, n, with_least), _ENTRIES)
         else:
             entries = homes.groupBy("home").cogroup(answers.groupBy("home")).applyInArrow(_later(sender, n, with_least), _ENTRIES)
-        said = entries.groupBy("part").applyInArrow(_answerer(k, judge), _ANSWERS)
+        # Dealt to homes here, so that later rounds reuse the exchange and no part answers twice.
+        said = entries.groupBy("part").applyInArrow(_answerer(k, judge), _ANSWERS).repartition(partitions, "home")
         answers = said if answers is None else answers.union(said)
 
     def last(table: pa.Table, said: pa.Table) -> pa.Table:

@@ -102,6 +102,6 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     documents with equal ids are not earlier than each other. An empty table gives an empty result; other columns are
     ignored.
     """
-    r, n = _Rounds(window), repeats.EACH * common.partitions(docs.sparkSession)
+    r, n = _Rounds(window), repeats.parts(docs.sparkSession)
     found = repeats.run(docs, [(r.probes, False, repeats.shared_and_marked), (r.windows, True, repeats.earlier)], lambda texts, said: r.finish(texts, n, said), "_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string", id_col, text_col)
     return found.withColumnRenamed("_id", id_col)

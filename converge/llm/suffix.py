@@ -144,7 +144,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id. Windows are compared by 64 bits of a hash. A null text is empty. A null id is larger than any other; documents with
     equal ids are not earlier than each other. An empty table gives an empty result; other columns are ignored.
     """
-    p, n = _Passes(threshold, gram), repeats.EACH * common.partitions(docs.sparkSession)
+    p, n = _Passes(threshold, gram), repeats.parts(docs.sparkSession)
     rounds = [(p.first, False, repeats.shared), (p.second, True, repeats.earlier), (p.third, True, repeats.earlier)]
     found = repeats.run(docs, rounds, lambda texts, said: p.finish(texts, n, said), "_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string", id_col, text_col)
     return found.withColumnRenamed("_id", id_col)
