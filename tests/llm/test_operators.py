@@ -286,3 +286,23 @@ def test_mixing(spark, docs, rows):
     assert sorted((r.doc_id, r.taken) for r in again) == sorted((r.doc_id, r.taken) for r in got)
     copies = {r.doc_id: r["count"] for r in mixing.mixed(docs).groupBy("doc_id").count().collect()}
     assert copies == {r.doc_id: r.epochs for r in got if r.epochs}
+
+
+def test_what_stays_apart_is_compared_in_blocks(spark):
+    """Chains of edits, whose ends are alike to their neighbours only, with blocks that are smaller than the chains."""
+    r = random.Random(9)
+    rows = []
+    for chain in range(3):
+        w = [f"c{chain}w{i}" for i in range(60)]
+        for step in range(30):
+            rows.append((chain * 100 + step, " ".join(w)))
+            w = [*w[2:], f"c{chain}n{step}a", f"c{chain}n{step}b"]
+    r.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = plain.components(rows)
+    size, minhash.BLOCK = minhash.BLOCK, 8
+    try:
+        got = {x.doc_id: x.component_id for x in minhash.near_duplicates(docs).collect()}
+    finally:
+        minhash.BLOCK = size
+    assert got == {i: c for i, (_, c) in wanted.items()}
