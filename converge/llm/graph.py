@@ -38,32 +38,31 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
+def _starred(edges: DataFrame) -> DataFrame:
+    """A large-star and a small-star step: every node's larger neighbours, then all its smaller ones, go to the least of them."""
+    both = edges.union(edges.select("b", "a")).toDF("u", "v")
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    lower = large.groupBy("a").agg(F.min("b").alias("m"))
+    small = large.join(lower, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
+    return small.where("a <> b").distinct()
+
+
+def _settled(edges: DataFrame) -> bool:
+    """True if every node points to one other, and none of these points on."""
+    ends = edges.select(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 or (up > 0 and down > 0)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """Links (a, b) to one row (id, component) for each node of a component, component being its smallest id.
 
-    Union-find inside partitions first leaves a forest. Then components hook onto their smallest neighbour and the links
-    between what remains are kept, until none is left: at least half of the components that still have links go each time.
-    Nodes that are their component's smallest id may be missing. Null ends and loops are ignored; no links, no rows.
+    Union-find inside partitions first leaves a forest in each. Then stars are formed over all partitions, with union-find
+    inside partitions between, until each node points to its component's smallest id. Nodes that are their component's
+    smallest id are missing. Null ends and loops are ignored; no links, no rows.
     """
-    live = common.checkpoint(links.select("a", "b").where("a <> b").mapInArrow(_forest, "a long, b long"))
-    named: DataFrame | None = None
-    while not live.isEmpty():
-        both = live.union(live.select("b", "a")).toDF("a", "b")
-        up = common.checkpoint(both.groupBy("a").agg(F.min("b").alias("b")).where("b < a"))
-        while True:  # pointers to pointers, until each one points to a root
-            roots = up.select(F.col("a").alias("b"), F.col("b").alias("c"))
-            jumped = common.checkpoint(up.join(roots, "b", "left").select("a", F.coalesce("c", "b").alias("b"), F.col("c").isNotNull().alias("moved")))
-            up = jumped.select("a", "b")
-            if jumped.where("moved").isEmpty():
-                break
-        if named is None:
-            named = up.toDF("id", "component")
-        else:
-            step = up.toDF("component", "next")
-            moved = named.join(step, "component", "left").select("id", F.coalesce("next", "component").alias("component"))
-            fresh = up.toDF("id", "component").join(named.select("id"), "id", "left_anti")
-            named = common.checkpoint(moved.union(fresh))
-        a, b = up.toDF("a", "na"), up.toDF("b", "nb")
-        live = live.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("na", "a").alias("a"), F.coalesce("nb", "b").alias("b")).where("a <> b")
-        live = common.checkpoint(live.mapInArrow(_forest, "a long, b long"))
-    return named if named is not None else live.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    edges = common.checkpoint(links.select("a", "b").where("a <> b").mapInArrow(_forest, "a long, b long"))
+    while not _settled(edges):
+        edges = common.checkpoint(_starred(edges).mapInArrow(_forest, "a long, b long"))
+    return edges.toDF("id", "component")

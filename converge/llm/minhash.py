@@ -3,7 +3,7 @@
 Equal shingle sets are brought together first, so a text with many copies is one representative. Documents that share a
 band meet in a bucket; a bucket never emits all its pairs: each member is paired with one pivot of the bucket. Links that
 are confirmed on the full sets are grouped, and only buckets whose members are not yet in one group go on: there every
-member outside of the bucket's largest group is paired with another pivot, and last with every member of another group.
+member outside of the bucket's largest group is paired with a pivot in it, and last with every member of another group.
 So each candidate pair is either confirmed or refuted on full sets, or joined already.
 """
 
@@ -188,21 +188,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = buckets.join(_pivot(buckets, 1), "key").where("id <> p").select(*_ordered("id", "p"))
     star = common.checkpoint(links.likely(star))
     best = star.groupBy("b").agg(F.max_by("a", F.struct("agreement", "a")).alias("a")).select("a", "b").union(star.groupBy("a").agg(F.max_by("b", F.struct("agreement", "b")).alias("b")).select("a", "b")).distinct()
-    found = common.checkpoint(links.confirmed(common.checkpoint(best)))
+    found = same.union(common.checkpoint(links.confirmed(common.checkpoint(best))))
     groups = graph.components(found)
-    for salt in (2, 3):
-        open_ = _open_buckets(buckets, groups)
-        pairs = open_.where("g <> top").join(_pivot(open_, salt, F.expr("g = top")), "key").select(*_ordered("id", "p"))
-        pairs = common.checkpoint(links.likely(pairs).select("a", "b"))
-        found = found.union(common.checkpoint(links.confirmed(pairs)))
-        groups = graph.components(found)
     open_ = common.checkpoint(_open_buckets(buckets, groups))
-    if not open_.isEmpty():
-        outside = open_.where("g <> top").select("key", F.col("id").alias("x"), F.col("g").alias("gx"))
-        pairs = outside.join(open_.select("key", "id", "g"), "key").where("gx <> g").select(*_ordered("x", "id"))
+    for last in (False, True):
+        if open_.isEmpty():
+            break
+        outside = open_.where("g <> top")
+        if last:  # every member outside of the largest group with every member of other groups
+            pairs = outside.select("key", F.col("id").alias("x"), F.col("g").alias("gx")).join(open_.select("key", "id", "g"), "key").where("gx <> g").select(*_ordered("x", "id"))
+        else:  # every member outside of the largest group with a pivot in it
+            pairs = outside.join(_pivot(open_, 2, F.expr("g = top")), "key").select(*_ordered("id", "p"))
         pairs = common.checkpoint(links.likely(pairs).select("a", "b"))
         found = found.union(common.checkpoint(links.confirmed(pairs)))
-    groups = graph.components(found.union(same))
+        groups = graph.components(found)
+        if not last:
+            open_ = common.checkpoint(_open_buckets(buckets, groups))
     out = signed.select("_id", "n").join(groups.toDF("_id", "component"), "_id", "left")
     component = F.coalesce("component", "_id")
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("_id"), F.lit(True)).alias("kept"))
