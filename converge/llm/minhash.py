@@ -1,10 +1,12 @@
 """Near-duplicate groups by SuperMinHash signatures, banding, verification on full shingle sets and union-find.
 
 Equal shingle sets are brought together first, so a text with many copies is one representative. Documents that share a
-band meet in a bucket; a bucket never emits all its pairs: each member is paired with one pivot of the bucket. Links that
-are confirmed on the full sets are grouped, and only buckets whose members are not yet in one group go on: there every
-member outside of the bucket's largest group is paired with a pivot in it, and last with every member of another group.
-So each candidate pair is either confirmed or refuted on full sets, or joined already.
+band meet in a bucket; a bucket never emits all its pairs: each member is paired with the bucket's pivot, the member that
+meets most others in all its buckets, as the original of many edited copies does. Links that are confirmed on the full
+sets are grouped, and only buckets whose members are not yet in one group go on: there every member outside of the
+bucket's largest group is paired with a pivot in it, and what still stays apart is compared in blocks, inside tasks, with
+all that it shares a band with; only links that hold on full sets leave them. So each candidate pair is confirmed, refuted
+or joined already.
 """
 
 from __future__ import annotations
@@ -23,6 +25,10 @@ from converge.llm.common import U64
 BANDS, ROWS = 24, 3
 #: Candidates whose signatures agree on a smaller share are not verified; at a similarity of 0.75, five standard deviations.
 LEAST_AGREEMENT = 0.49
+#: Bytes of text that are signed at a time: every shingle that is not settled at once has a permutation of its own.
+SIGN_BYTES = 1 << 19
+#: Documents of a block in which those that stay apart are compared.
+BLOCK = 256
 #: Ids of documents to verify that may be broadcast (8 bytes each); beyond it they are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -78,7 +84,7 @@ def _signer(bands: int, rows: int, width: int):
     m = bands * rows
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, data, off in common.pieces(batches, "_text"):
+        for piece, data, off in common.pieces(batches, "_text", SIGN_BYTES):
             sets = common.shingle_sets(data, off, width)
             signature = super_minhash(sets, m)
             keys = band_keys(signature, rows).view(np.int64)
@@ -105,14 +111,16 @@ def _verifier(percent: int, width: int):
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, min(256, batch.num_rows - k))
-                known: dict[int, np.ndarray] = {}
+                known: dict[tuple[int, bytes], np.ndarray] = {}
 
                 def sets(ids: str, texts: str, part=part, known=known) -> list[np.ndarray]:
-                    for i, t in zip(part.column(ids).to_pylist(), part.column(texts), strict=True):
-                        if i not in known:
-                            data = np.frombuffer(t.as_buffer(), np.uint8)
-                            known[i] = common.shingle_sets(data, np.array([0, len(data)]), width)[0]
-                    return [known[i] for i in part.column(ids).to_pylist()]
+                    found = []
+                    for key in zip(part.column(ids).to_pylist(), part.column(texts).to_pylist(), strict=True):
+                        if key not in known:
+                            data = np.frombuffer(key[1], np.uint8)
+                            known[key] = common.shingle_sets(data, np.array([0, len(data)]), width)[0]
+                        found.append(known[key])
+                    return found
 
                 linked = []
                 for x, y in zip(sets("a", "ta"), sets("b", "tb"), strict=True):
@@ -145,6 +153,11 @@ class _Links:
         return as_bytes.mapInArrow(_verifier(self.percent, self.width), "a long, b long")
 
 
+def _hub(members: DataFrame) -> DataFrame:
+    """The member of each bucket that meets most others, over all buckets."""
+    return members.groupBy("key").agg(F.max(F.struct("degree", F.xxhash64("id", F.lit(1)), "id")).getField("id").alias("p"))
+
+
 def _pivot(members: DataFrame, salt: int, where: Column | None = None) -> DataFrame:
     """One member of each bucket, drawn by a hash of member and bucket."""
     drawn = F.struct(F.xxhash64("id", "key", F.lit(salt)), "id")
@@ -163,6 +176,65 @@ def _open_buckets(buckets: DataFrame, groups: DataFrame) -> DataFrame:
     return named.join(mixed.select("key", "top"), "key")
 
 
+def _blocks(percent: int, width: int):
+    def compare(table: pa.Table) -> pa.Table:
+        """Links between the rows that look (role 0) and all rows of another block, of different groups, on full sets."""
+        role = table["role"].to_numpy()
+        ids, groups, n = (table[c].to_numpy() for c in ("id", "g", "n"))
+        keys = np.array(table["keys"].to_pylist(), dtype=np.int64)
+        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(len(ids), -1)
+        texts = table["_text"].to_pylist()
+        looking, others = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
+        sets: dict[int, np.ndarray] = {}
+
+        def set_of(row: int) -> np.ndarray:
+            if row not in sets:
+                data = np.frombuffer(texts[row].encode(), np.uint8)
+                sets[row] = common.shingle_sets(data, np.array([0, len(data)]), width)[0]
+            return sets[row]
+
+        a, b = [], []
+        for x in looking.tolist():
+            small, large = np.minimum(n[x], n[others]), np.maximum(n[x], n[others])
+            near = others[(groups[others] != groups[x]) & (100 * small >= percent * large)]
+            near = near[(keys[near] == keys[x]).any(axis=1)]
+            near = near[(sig[near] == sig[x]).mean(axis=1) >= LEAST_AGREEMENT]
+            if not len(near):
+                continue
+            mine, theirs = set_of(x), [set_of(y) for y in near.tolist()]
+            owner = np.repeat(np.arange(len(near)), [len(t) for t in theirs])
+            every = np.concatenate(theirs)
+            at = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
+            common_size = np.bincount(owner[mine[at] == every], minlength=len(near))
+            union = len(mine) + np.array([len(t) for t in theirs]) - common_size
+            for y in near[100 * common_size >= percent * union].tolist():
+                a.append(min(ids[x], ids[y]))
+                b.append(max(ids[x], ids[y]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return compare
+
+
+def _rest(open_: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links of what stays apart in buckets that several groups share.
+
+    Documents that meet in such buckets, directly or through others, form a cluster; each document is in one, whatever the
+    number of its buckets. A cluster is cut into blocks of about BLOCK documents, and those outside of the largest group of
+    one of their buckets are compared with all documents of all its blocks, a pair of blocks in a task.
+    """
+    met = open_.join(open_.groupBy("key").agg(F.min("id").alias("first")), "key").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    cluster = graph.components(met).toDF("id", "cluster")
+    nodes = open_.groupBy("id", "g").agg(F.max((F.col("g") != F.col("top")).cast("int")).alias("outside")).join(cluster, "id", "left").withColumn("cluster", F.coalesce("cluster", "id"))
+    nodes = common.checkpoint(nodes)
+    sizes = nodes.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = nodes.join(sizes, "cluster").join(reps, "id").join(texts.select(F.col("_id").alias("id"), "_text"), "id").withColumn("block", F.pmod(F.xxhash64("id", F.lit(9)), F.col("blocks")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    data = ["cluster", "id", "g", "n", "sig", "keys", "_text"]
+    looking = own.where("outside = 1").withColumn("j", F.explode(every)).select(*data, F.col("block").alias("i"), "j", F.lit(0).alias("role"))
+    others = own.withColumn("i", F.explode(every)).select(*data, "i", F.col("block").alias("j"), F.lit(1).alias("role"))
+    return looking.union(others).groupBy("cluster", "i", "j").applyInArrow(_blocks(percent, width), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
@@ -178,32 +250,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = known.join(classes.select("id", "n", "d1", "d2").withColumnRenamed("id", "_id"), ["_id", "n", "d1", "d2"], "left_semi").dropDuplicates(["_id", "n", "d1", "d2"])
     reps = reps.select(F.col("_id").alias("id"), "n", "sig", "keys")
     entries = reps.select("id", F.explode("keys").alias("key"))
-    shared = entries.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select("key")
-    buckets = common.checkpoint(entries.join(shared, "key", "left_semi"))
-    links = _Links(source, reps.select("id", "n", "sig").dropDuplicates(["id"]), percent, width)
+    shared = entries.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
+    meeting = common.checkpoint(entries.join(shared, "key"))
+    degrees = meeting.groupBy("id").agg(F.sum("k").alias("degree"))
+    buckets = common.checkpoint(meeting.select("key", "id").join(degrees, "id"))
+    links = _Links(source, reps.select("id", "n", "sig"), percent, width)
 
     # Rows with one id but several texts join their sets' groups.
     same = known.join(classes.where("copies > 1"), ["n", "d1", "d2"]).where("_id <> id").select(F.col("id").alias("a"), F.col("_id").alias("b"))
     # First, each member with the pivots of its buckets; of these the one whose signature agrees best.
-    star = buckets.join(_pivot(buckets, 1), "key").where("id <> p").select(*_ordered("id", "p"))
+    star = buckets.join(_hub(buckets), "key").where("id <> p").select(*_ordered("id", "p"))
     star = common.checkpoint(links.likely(star))
     best = star.groupBy("b").agg(F.max_by("a", F.struct("agreement", "a")).alias("a")).select("a", "b").union(star.groupBy("a").agg(F.max_by("b", F.struct("agreement", "b")).alias("b")).select("a", "b")).distinct()
     found = same.union(common.checkpoint(links.confirmed(common.checkpoint(best))))
     groups = graph.components(found)
     open_ = common.checkpoint(_open_buckets(buckets, groups))
-    for last in (False, True):
-        if open_.isEmpty():
-            break
-        outside = open_.where("g <> top")
-        if last:  # every member outside of the largest group with every member of other groups
-            pairs = outside.select("key", F.col("id").alias("x"), F.col("g").alias("gx")).join(open_.select("key", "id", "g"), "key").where("gx <> g").select(*_ordered("x", "id"))
-        else:  # every member outside of the largest group with a pivot in it
-            pairs = outside.join(_pivot(open_, 2, F.expr("g = top")), "key").select(*_ordered("id", "p"))
+    if not open_.isEmpty():
+        # Every member outside of the largest group of its bucket, with a pivot in that group.
+        pairs = open_.where("g <> top").join(_pivot(open_, 2, F.expr("g = top")), "key").select(*_ordered("id", "p"))
         pairs = common.checkpoint(links.likely(pairs).select("a", "b"))
         found = found.union(common.checkpoint(links.confirmed(pairs)))
         groups = graph.components(found)
-        if not last:
-            open_ = common.checkpoint(_open_buckets(buckets, groups))
+        open_ = common.checkpoint(_open_buckets(buckets, groups))
+    if not open_.isEmpty():
+        groups = graph.components(found.union(_rest(open_, reps, source, percent, width)))
     out = signed.select("_id", "n").join(groups.toDF("_id", "component"), "_id", "left")
     component = F.coalesce("component", "_id")
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("_id"), F.lit(True)).alias("kept"))
