@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from converge.llm import common
 
 
+#: Links that one task merges, about; their nodes fit in tens of megabytes.
+LINKS = 200_000
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Union-find over the links of one partition, flushed as links to the roots when it holds a million nodes."""
     parent: dict[int, int] = {}
@@ -55,6 +59,13 @@ def _settled(edges: DataFrame) -> bool:
     return nodes.where("up > 1 or (up > 0 and down > 0)").isEmpty()
 
 
+def _merged(links: DataFrame) -> DataFrame:
+    """Links as a forest in each partition, of about LINKS links: small graphs are settled at once."""
+    stored = common.checkpoint(links)
+    few = -(-stored.count() // LINKS)
+    return common.checkpoint(stored.coalesce(max(1, few)).mapInArrow(_forest, "a long, b long"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """Links (a, b) to one row (id, component) for each node of a component, component being its smallest id.
 
@@ -62,7 +73,7 @@ def components(links: DataFrame) -> DataFrame:
     inside partitions between, until each node points to its component's smallest id. Nodes that are their component's
     smallest id are missing. Null ends and loops are ignored; no links, no rows.
     """
-    edges = common.checkpoint(links.select("a", "b").where("a <> b").mapInArrow(_forest, "a long, b long"))
+    edges = _merged(links.select("a", "b").where("a <> b"))
     while not _settled(edges):
-        edges = common.checkpoint(_starred(edges).mapInArrow(_forest, "a long, b long"))
+        edges = _merged(_starred(edges))
     return edges.toDF("id", "component")

@@ -28,7 +28,7 @@ LEAST_AGREEMENT = 0.49
 #: Bytes of text that are signed at a time: every shingle that is not settled at once has a permutation of its own.
 SIGN_BYTES = 1 << 19
 #: Documents of a block in which those that stay apart are compared.
-BLOCK = 256
+BLOCK = 1024
 #: Ids of documents to verify that may be broadcast (8 bytes each); beyond it they are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -222,7 +222,7 @@ def _rest(open_: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, wid
     number of its buckets. A cluster is cut into blocks of about BLOCK documents, and those outside of the largest group of
     one of their buckets are compared with all documents of all its blocks, a pair of blocks in a task.
     """
-    met = open_.join(open_.groupBy("key").agg(F.min("id").alias("first")), "key").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    met = open_.join(open_.groupBy("key").agg(F.min("id").alias("first")), "key").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     cluster = graph.components(met).toDF("id", "cluster")
     nodes = open_.groupBy("id", "g").agg(F.max((F.col("g") != F.col("top")).cast("int")).alias("outside")).join(cluster, "id", "left").withColumn("cluster", F.coalesce("cluster", "id"))
     nodes = common.checkpoint(nodes)
