@@ -248,6 +248,20 @@ def test_packing(docs, rows):
     assert len(by_sequence) <= 1.05 * sum(map(len, ids.values())) / 256 + 2
 
 
+def test_packing_reads_added_tokens_as_the_tokenizer_file_does(spark):
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n y", "<|endoftext", "  <|endoftext|>  don't", "plain"]
+    got = {p.doc_id: p for p in packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    for i, t in enumerate(texts):
+        ids = [*tokenizer.encode(t, add_special_tokens=False).ids, packing.END_ID]
+        assert (got[i].length, got[i].ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_genetic_packing_is_valid_and_no_worse_than_best_fit():
     r = random.Random(1)
     sizes = [r.randrange(300, 900) for _ in range(200)]
