@@ -1,18 +1,25 @@
 """Scoring of documents by masked pseudo-likelihood.
 
 Every word is predicted from the words on both sides of it; the logarithms of these conditional probabilities, summed,
-score a document. A word is its class and which word of the class it is. The class is predicted by a small network over a
-window on both sides, trained in numpy with one word in MASKED as target; the word within its class has the probability
-that counts over the whole corpus give it. Words are counted by hash buckets, so tables have a fixed size at any scale.
-Each partition trains on all its documents from the same start, and the networks are averaged by the words they saw.
+score a document. A word is its class and which word of the class it is. Frequent words are a class each, and there are
+the more of them the larger the corpus is; the other words are classed by their shape. The class is predicted by a small
+network over a window on both sides, trained in numpy: a binary tree over the classes, so that a word costs as many steps
+as its place in the tree is deep. Over all rounds every word is a target once. The word within its class has the
+probability that its count in the whole corpus gives it. Counts are exact (for 64-bit hashes of words) and stay in a
+distributed table that is joined to the words of the documents. Each partition trains on all its documents from the same
+start, and weights are averaged by the words seen where they were changed.
 """
 
 from __future__ import annotations
 
+import functools
+import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,59 +27,158 @@ from converge.llm import common
 from converge.llm.common import U64
 
 BUCKET_BITS = 18
-#: Classes of the most frequent buckets, one each, and of all others; the last class pads the ends of documents.
+#: Classes of the most frequent words, one each, at least; of all others, by shape; and one that pads the ends of documents.
 FREQUENT, OTHERS = 128, 63
 CLASSES = FREQUENT + OTHERS + 1
 PAD = CLASSES - 1
+#: Frequent words for each square root of the number of words in the corpus.
+GROWTH = 4
 #: Words on each side, and widths of the network.
 SIDE, EMBEDDING, HIDDEN = 3, 16, 24
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 MASKED = 8
 ROUNDS, BATCH, RATE = 2, 2048, 0.01
+#: Nodes of the tree that are reckoned for all words at once.
+TOP = 255
+#: Distinct words that counting holds at once, and rows of weights that are averaged together.
+HELD, CHUNK = 1 << 20, 512
+#: Sums of logarithms are taken in steps of 2**-FRACTION, so that they do not depend on their order.
+FRACTION = 32
 
 
-def buckets(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of each word, lower-cased, and the index of each document's first word."""
+def modelled(total: int) -> int:
+    """Words with a class of their own in a corpus of so many words."""
+    return max(FREQUENT, GROWTH * math.isqrt(total))
+
+
+def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and shape of each word, lower-cased, and the index of each document's first word.
+
+    The shape is which of digits, letters beyond ASCII and other marks it holds, how long it is, and how it ends.
+    """
     data = common.lower_ascii(data)
     starts, ends, first = common.word_spans(data, off)
-    return (common.word_hashes(data, starts, ends) >> U64(64 - BUCKET_BITS)).astype(np.int64), first
+    has = np.zeros(len(starts), dtype=np.int64)
+    for bit, kind in enumerate(_KINDS):
+        seen = np.zeros(len(data) + 1, dtype=np.int32)
+        np.cumsum(kind[data], out=seen[1:])
+        has |= (seen[ends] > seen[starts]).astype(np.int64) << bit
+    long = np.searchsorted(_LENGTHS, ends - starts)
+    shape = (has * (len(_LENGTHS) + 1) + long) * 256 + (data[ends - 1] if len(ends) else 0)
+    return common.word_hashes(data, starts, ends).view(np.int64), shape % OTHERS, first
+
+
+_BYTES = np.arange(256)
+_DIGIT = (_BYTES >= 48) & (_BYTES < 58)
+_KINDS = (_DIGIT, _BYTES >= 128, ~_DIGIT & (_BYTES < 128) & ~((_BYTES >= 97) & (_BYTES < 123)))
+_LENGTHS = np.array([2, 4, 6, 8, 12])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    n = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
+    def summed() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        word, shape, n = (np.concatenate(c) for c in zip(*held, strict=True))
+        word, first, back = np.unique(word, return_index=True, return_inverse=True)
+        return word, shape[first], np.bincount(back, n, len(word)).astype(np.int64)
+
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    size = 0
     for _, data, off in common.pieces(batches, "_text"):
-        n += np.bincount(buckets(data, off)[0], minlength=len(n))
-    at = np.flatnonzero(n)
-    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["bucket", "n"])
+        word, shape, _ = words(data, off)
+        word, first, n = np.unique(word, return_index=True, return_counts=True)
+        held.append((word, shape[first], n))
+        size += len(word)
+        if size > HELD:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in summed()], names=["word", "shape", "n"])
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in summed()], names=["word", "shape", "n"])
 
 
 class Vocabulary:
-    """Class of each bucket and the logarithm of its share of the class, from corpus counts."""
-
-    def __init__(self, counts: np.ndarray) -> None:
-        order = np.argsort(-counts, kind="stable")[:FREQUENT]
-        self.classes = (FREQUENT + np.arange(len(counts)) % OTHERS).astype(np.int64)
-        self.classes[order] = np.arange(FREQUENT)
-        seen = counts + 1.0
-        self.share = np.log(seen / np.bincount(self.classes, seen, CLASSES)[self.classes]).astype(np.float32)
+    """Frequent words, most frequent first, and the weight of all others by shape.
 
+    Counts alone are those of a whole table of words with the numbers 0, 1, ..., whose classes and logarithms of their
+    share of the class are then at hand as well. A share is that of the count plus one, with one word never seen beside.
+    """
 
-def start_weights(seed: int = 1) -> dict[str, np.ndarray]:
+    def __init__(self, counts: np.ndarray, frequent: np.ndarray | None = None, rest: np.ndarray | None = None) -> None:
+        if frequent is None:
+            frequent = np.argsort(-counts, kind="stable")[: modelled(int(counts.sum()))]
+            shape = np.arange(len(counts)) % OTHERS
+            other = np.ones(len(counts), dtype=bool)
+            other[frequent] = False
+            rest = np.bincount(shape[other], counts[other] + 1.0, OTHERS)
+            self._set(frequent, rest)
+            self.classes = self.class_of(np.arange(len(counts)), shape)
+            self.share = np.where(other, np.log(counts + 1.0), 0) + self.log_rest(self.classes)
+        else:
+            self._set(frequent, rest)
+
+    def _set(self, frequent: np.ndarray, rest: np.ndarray) -> None:
+        self.order = np.argsort(frequent, kind="stable")
+        self.sorted = frequent[self.order]
+        self.frequent, self.size = len(frequent), len(frequent) + OTHERS + 1
+        self.rest = -np.log(rest + 1.0)
+
+    def class_of(self, word: np.ndarray, shape: np.ndarray) -> np.ndarray:
+        if not self.frequent:
+            return shape
+        at = np.minimum(np.searchsorted(self.sorted, word), self.frequent - 1)
+        return np.where(self.sorted[at] == word, self.order[at], self.frequent + shape)
+
+    def log_rest(self, classes: np.ndarray) -> np.ndarray:
+        """What the logarithm of a word's count plus one is added to: its class's, and 0 for a frequent word."""
+        return np.where(classes < self.frequent, 0.0, self.rest[np.maximum(classes - self.frequent, 0)])
+
+
+@functools.lru_cache(maxsize=2)
+def tree(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A Huffman tree over the classes for frequencies that fall as their ranks do: inner nodes from the root down and
+    turns (1 or -1) of all classes one after the other, and where each class's begin."""
+    own = size - OTHERS - 1
+    heap = [((1 / (k + 8) if k < own else 1 / 64 if k < size - 1 else 1e-9), k) for k in range(size)]
+    heapq.heapify(heap)
+    parent, turn = np.zeros(2 * size - 1, np.int64), np.ones(2 * size - 1, np.float32)
+    for node in range(size, 2 * size - 1):
+        (a, left), (b, right) = heapq.heappop(heap), heapq.heappop(heap)
+        parent[left] = parent[right] = node
+        turn[right] = -1
+        heapq.heappush(heap, (a + b, node))
+    at, which = np.arange(size), np.arange(size)
+    nodes, turns, owners = [], [], []
+    while len(at):
+        nodes.append(parent[at] - size)
+        turns.append(turn[at])
+        owners.append(which)
+        at, which = parent[at], which[parent[at] < 2 * size - 2]
+        at = at[at < 2 * size - 2]
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(nodes)[order], np.concatenate(turns)[order], np.searchsorted(owner[order], np.arange(size + 1))
+
+
+def paths(size: int, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes and turns of all targets one after the other, and where each target's begin."""
+    nodes, turns, begin = tree(size)
+    n = begin[target + 1] - begin[target]
+    start = np.concatenate([[0], np.cumsum(n)])
+    at = np.arange(start[-1]) + np.repeat(begin[target] - start[:-1], n)
+    return nodes[at], turns[at], start
+
+
+def start_weights(seed: int = 1, size: int = CLASSES) -> dict[str, np.ndarray]:
+    """Of so many classes: embeddings e, the hidden layer w and b, and the tree's nodes v, whose last column is a constant."""
     r = np.random.RandomState(seed)
-    return {
-        "e": r.normal(0, 0.3, (CLASSES, EMBEDDING)).astype(np.float32),
-        "w": r.normal(0, 0.2, (len(OFFSETS), EMBEDDING, HIDDEN)).astype(np.float32),
-        "b": np.zeros(HIDDEN, np.float32),
-        "v": r.normal(0, 0.2, (HIDDEN, CLASSES)).astype(np.float32),
-        "c": np.zeros(CLASSES, np.float32),
-    }
+    v = r.normal(0, 0.05, (size - 1, HIDDEN + 1)).astype(np.float32)
+    v[:, -1] = 0
+    return {"e": r.normal(0, 0.3, (size, EMBEDDING)).astype(np.float32), "w": r.normal(0, 0.2, (len(OFFSETS) * EMBEDDING, HIDDEN)).astype(np.float32), "b": np.zeros((1, HIDDEN), np.float32), "v": v}
 
 
-def contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """A row for each offset: the class of the word at that distance, PAD beyond the document's ends."""
+def contexts(classes: np.ndarray, first: np.ndarray, pad: int = PAD) -> np.ndarray:
+    """A row for each offset: the class of the word at that distance, pad beyond the document's ends."""
     n = len(classes)
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    out = np.full((len(OFFSETS), n), PAD, dtype=np.int64)
+    out = np.full((len(OFFSETS), n), pad, dtype=np.int64)
     at = np.arange(n)
     for k, o in enumerate(OFFSETS):
         there = at + o
@@ -81,127 +187,198 @@ def contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _hidden(p: dict[str, np.ndarray], context: np.ndarray) -> np.ndarray:
-    h = p["b"] + sum((p["e"] @ p["w"][k])[context[k]] for k in range(len(OFFSETS)))
-    return np.tanh(h, out=h)
+def _inputs(p: dict[str, np.ndarray], context: np.ndarray) -> np.ndarray:
+    return p["e"][context.T].reshape(context.shape[1], -1)
+
+
+def _hidden(p: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """The hidden layer, and the constant 1 beside it."""
+    h = np.ones((len(x), HIDDEN + 1), dtype=np.float32)
+    np.tanh(x @ p["w"] + p["b"], out=h[:, :-1])
+    return h
+
+
+class _Path:
+    """The nodes of all targets' paths with their logits. The last TOP nodes, nearest the root, are reckoned for every row
+    of h by one product; those below only where a path has them."""
 
+    def __init__(self, p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray) -> None:
+        nodes, self.turns, self.start = paths(len(p["e"]), target)
+        row = np.repeat(np.arange(len(h)), np.diff(self.start))
+        self.v, self.h, self.low = p["v"], h, max(0, len(p["v"]) - TOP)
+        top = nodes >= self.low
+        self.top, self.below = np.flatnonzero(top), np.flatnonzero(~top)
+        self.cell = row[self.top] * (len(self.v) - self.low) + nodes[self.top] - self.low
+        self.nodes, self.rows = nodes[self.below], row[self.below]
+        self.logits = np.empty(len(nodes), np.float32)
+        self.logits[self.top] = (h @ self.v[self.low :].T).ravel()[self.cell]
+        self.logits[self.below] = np.einsum("ij,ij->i", self.v[self.nodes], h[self.rows])
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+    def back(self, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+        """From gradients of the logits those of h, of the top nodes, and of the nodes below that are met."""
+        dense = np.zeros((len(self.h), len(self.v) - self.low), np.float32)
+        dense.ravel()[self.cell] = d[self.top]
+        dh = dense @ self.v[self.low :]
+        below = d[self.below, None]
+        dh += _by_number(self.rows, self.v[self.nodes] * below, len(self.h))
+        return dh, dense.T @ self.h, _summed(self.nodes, self.h[self.rows] * below)
 
 
 def class_log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray, step: int = 4096) -> np.ndarray:
     out = np.empty(len(target), dtype=np.float64)
-    tables = [p["e"] @ p["w"][k] for k in range(len(OFFSETS))]
     for i in range(0, len(target), step):
-        h = p["b"] + sum(t[context[k, i : i + step]] for k, t in enumerate(tables))
-        logits = np.tanh(h) @ p["v"] + p["c"]
-        most = logits.max(axis=1)
-        wanted = logits[np.arange(len(logits)), target[i : i + step]]
-        np.exp(logits - most[:, None], out=logits)
-        out[i : i + step] = wanted - most - np.log(logits.sum(axis=1))
+        path = _Path(p, _hidden(p, _inputs(p, context[:, i : i + step])), target[i : i + step])
+        z = path.logits * path.turns
+        out[i : i + step] = np.add.reduceat(np.minimum(z, 0) - np.log1p(np.exp(-np.abs(z))), path.start[:-1], dtype=np.float64)
     return out
 
 
+def _by_number(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """The sums of the rows with the numbers 0 to n - 1."""
+    width = rows.shape[1]
+    cells = (at[:, None] * width + np.arange(width)).ravel()
+    return np.bincount(cells, rows.ravel(), n * width).reshape(n, width).astype(rows.dtype)
+
+
+def _summed(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers, and the sums of their rows."""
+    found, back = np.unique(at, return_inverse=True)
+    return found, _by_number(back, rows, len(found))
+
+
 class _Trainer:
-    """Adam on cross-entropy of masked words."""
+    """Adam on the cross-entropy of targets; rows of e, and of v below the top, that a step does not meet stay as they are."""
 
     def __init__(self, p: dict[str, np.ndarray]) -> None:
         self.p = {k: v.copy() for k, v in p.items()}
         self.m = {k: np.zeros_like(v) for k, v in p.items()}
         self.s = {k: np.zeros_like(v) for k, v in p.items()}
-        self.steps = 0
+        self.steps = {k: np.zeros((len(v), 1), np.float32) for k, v in p.items()}
 
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
         p, n = self.p, len(target)
-        h = _hidden(p, context)
-        d = np.exp(log_softmax(h @ p["v"] + p["c"]))
-        d[np.arange(n), target] -= 1
-        d /= n
-        g = {"v": h.T @ d, "c": d.sum(axis=0)}
-        dh = (d @ p["v"].T) * (1 - h * h)
-        g["b"] = dh.sum(axis=0)
-        g["e"], g["w"] = np.zeros_like(p["e"]), np.empty_like(p["w"])
-        for k in range(len(OFFSETS)):
-            by_class = np.zeros((CLASSES, HIDDEN), np.float32)
-            one = np.zeros((n, CLASSES), np.float32)
-            one[np.arange(n), context[k]] = 1
-            np.matmul(one.T, dh, out=by_class)
-            g["w"][k] = p["e"].T @ by_class
-            g["e"] += by_class @ p["w"][k].T
-        self.steps += 1
-        for name, grad in g.items():
-            self.m[name] += 0.1 * (grad - self.m[name])
-            self.s[name] += 0.01 * (grad * grad - self.s[name])
-            m, s = self.m[name] / (1 - 0.9**self.steps), self.s[name] / (1 - 0.99**self.steps)
-            p[name] -= RATE * m / (np.sqrt(s) + 1e-8)
-
-
-def _train(vocabulary: Vocabulary, start: dict[str, np.ndarray], turn: int):
+        x = _inputs(p, context)
+        h = _hidden(p, x)
+        path = _Path(p, h, target)
+        d = -path.turns / (1 + np.exp(np.clip(path.logits * path.turns, -30, 30))) / np.float32(n)
+        dh, top, below = path.back(d)
+        dh = dh[:, :-1] * (1 - h[:, :-1] ** 2)
+        every = slice(None)
+        self._move("e", *_summed(context.T.ravel(), (dh @ p["w"].T).reshape(-1, EMBEDDING)))
+        self._move("v", slice(path.low, None), top)
+        self._move("v", *below)
+        self._move("w", every, x.T @ dh)
+        self._move("b", every, dh.sum(axis=0, keepdims=True))
+
+    def _move(self, name: str, at: np.ndarray | slice, grad: np.ndarray) -> None:
+        steps = self.steps[name][at] + 1
+        m, s = self.m[name][at], self.s[name][at]
+        m += np.float32(0.1) * (grad - m)
+        s += np.float32(0.01) * (grad * grad - s)
+        self.steps[name][at], self.m[name][at], self.s[name][at] = steps, m, s
+        self.p[name][at] -= np.float32(RATE) * (m / (1 - np.float32(0.9) ** steps)) / (np.sqrt(s / (1 - np.float32(0.99) ** steps)) + np.float32(1e-8))
+
+
+def _train(vocabulary: Vocabulary, start: dict[str, np.ndarray], turn: int, rounds: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer, seen = _Trainer(start), 0
         for _, data, off in common.pieces(batches, "_text"):
-            found, first = buckets(data, off)
-            classes = vocabulary.classes[found]
-            context = contexts(classes, first)
-            masked = np.flatnonzero((np.arange(len(classes)) + turn * 3) % MASKED == 0)
-            for i in range(0, len(masked), BATCH):
-                at = masked[i : i + BATCH]
-                trainer.step(context[:, at], classes[at])
-            seen += len(masked)
-        if seen:
-            flat = np.concatenate([trainer.p[k].ravel() for k in sorted(start)]).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), float(seen)))], names=["at", "value", "weight"])
+            word, shape, first = words(data, off)
+            classes = vocabulary.class_of(word, shape)
+            context = contexts(classes, first, vocabulary.size - 1)
+            place = np.arange(len(classes)) - np.repeat(first[:-1], np.diff(first))
+            # The residues are dealt to the rounds, so each word of a document is a target in one of them.
+            for residue in range(turn % MASKED, MASKED, min(rounds, MASKED)):
+                masked = np.flatnonzero(place % MASKED == residue)
+                for i in range(0, len(masked), BATCH):
+                    at = masked[i : i + BATCH]
+                    trainer.step(context[:, at], classes[at])
+                seen += len(masked)
+        for k, name in enumerate(sorted(start) if seen else []):
+            moved = np.flatnonzero(trainer.steps[name][:, 0])
+            for i in range(0, len(moved), CHUNK * 16):
+                at = moved[i : i + CHUNK * 16]
+                values = pa.FixedSizeListArray.from_arrays(pa.array(trainer.p[name][at].ravel()), start[name].shape[1]).cast(pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k)), pa.array(at // CHUNK), pa.array(at), values, pa.array(np.full(len(at), float(seen)))], names=["name", "chunk", "at", "value", "weight"])
 
     return train
 
 
-def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[Vocabulary, dict[str, np.ndarray]]:
+_WEIGHTS = "name long, chunk long, at long, value array<float>, weight double"
+
+
+def _averaged(rows: pa.Table) -> pa.Table:
+    at, weight = rows["at"].to_numpy(), rows["weight"].to_numpy()
+    value = rows["value"].combine_chunks().flatten().to_numpy().reshape(len(at), -1)
+    found, total = _summed(at, value * weight[:, None])
+    mean = (total / _summed(at, weight[:, None])[1]).astype(np.float32)
+    values = pa.FixedSizeListArray.from_arrays(pa.array(mean.ravel()), mean.shape[1]).cast(pa.list_(pa.float32()))
+    return pa.table([pa.array(np.full(len(found), rows["name"][0].as_py())), pa.array(found), values], names=["name", "at", "value"])
+
+
+def count(texts: DataFrame) -> tuple[DataFrame, Vocabulary]:
+    """The exact count of every word as a table (word, shape, n), and the vocabulary; the driver gets the frequent words only."""
+    counts = common.written(texts.mapInArrow(_count, "word long, shape long, n long").groupBy("word").agg(F.min("shape").alias("shape"), F.sum("n").alias("n")))
+    often = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect()
+    wanted, least, have = modelled(sum(r["n"] * r["words"] for r in often)), 1, 0
+    for r in often:
+        least, have = r["n"], have + r["words"]
+        if have >= wanted:
+            break
+    frequent = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(wanted).toPandas()
+    rest = np.zeros(OTHERS)
+    for r in counts.groupBy("shape").agg(F.sum(F.col("n") + 1).alias("n")).collect():
+        rest[r["shape"]] = r["n"]
+    rest -= np.bincount(frequent["shape"].to_numpy(dtype=np.int64), frequent["n"].to_numpy(dtype=np.int64) + 1, OTHERS)
+    return counts, Vocabulary(frequent["n"].to_numpy(dtype=np.int64), frequent["word"].to_numpy(dtype=np.int64), rest)
+
+
+def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[Vocabulary, dict[str, np.ndarray], DataFrame]:
     """Count all words of the corpus, then train on all its documents: the averaged network of each round starts the next.
 
-    The driver gets one row per bucket and one per weight, whatever the size of the corpus.
+    The driver gets the frequent words and their weights, which grow as the square root of the corpus.
     """
     texts = docs.select(F.col(text_col).alias("_text"))
-    counts = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
-    for r in texts.mapInArrow(_count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts[r["bucket"]] = r["n"]
-    vocabulary, p = Vocabulary(counts), start_weights()
+    counts, vocabulary = count(texts)
+    p = start_weights(size=vocabulary.size)
     for turn in range(rounds):
-        sums = texts.mapInArrow(_train(vocabulary, p, turn), "at long, value double, weight double").groupBy("at").agg(F.sum("value").alias("value"), F.sum("weight").alias("weight")).toPandas().sort_values("at")
-        if len(sums):
-            flat, at = (sums["value"] / sums["weight"]).to_numpy(dtype=np.float32), 0
-            for k in sorted(p):
-                p[k], at = flat[at : at + p[k].size].reshape(p[k].shape), at + p[k].size
-    return vocabulary, p
-
-
-def word_scores(vocabulary: Vocabulary, p: dict[str, np.ndarray], found: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Logarithm of each word's probability given the words on both sides."""
-    classes = vocabulary.classes[found]
-    return class_log_probabilities(p, contexts(classes, first), classes) + vocabulary.share[found]
+        sums = texts.mapInArrow(_train(vocabulary, p, turn, rounds), _WEIGHTS).groupBy("name", "chunk").applyInArrow(_averaged, "name long, at long, value array<float>").toArrow()
+        for k, name in enumerate(sorted(p)):
+            of = sums.filter(pc.equal(sums["name"], k))
+            if len(of):
+                p[name] = p[name].copy()
+                p[name][of["at"].to_numpy()] = of["value"].combine_chunks().flatten().to_numpy().reshape(len(of), -1)
+    return vocabulary, p, counts
 
 
 def _scorer(vocabulary: Vocabulary, p: dict[str, np.ndarray]):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, data, off in common.pieces(batches, "_text"):
-            found, first = buckets(data, off)
+            word, shape, first = words(data, off)
+            classes = vocabulary.class_of(word, shape)
             n = np.diff(first)
             doc = np.repeat(np.arange(len(n)), n)
-            total = np.bincount(doc, word_scores(vocabulary, p, found, first), len(n)) if len(found) else np.zeros(len(n))
-            mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([piece.column("_id"), pa.array(n.astype(np.int64)), pa.array(total), mean], names=["_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
+            scores = class_log_probabilities(p, contexts(classes, first, vocabulary.size - 1), classes) + vocabulary.log_rest(classes)
+            total = np.bincount(doc, scores, len(n)) if len(word) else np.zeros(len(n))
+            other = classes >= vocabulary.frequent
+            begin = np.concatenate([[0], np.cumsum(np.bincount(doc[other], minlength=len(n)))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([piece.column("_id"), pa.array(n.astype(np.int64)), pa.array(total), pa.ListArray.from_arrays(pa.array(begin), pa.array(word[other]))], names=["_id", "n_tokens", "known", "others"])
 
     return score
 
 
-def score(docs: DataFrame, vocabulary: Vocabulary, p: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, vocabulary: Vocabulary, p: dict[str, np.ndarray], counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_tokens, log_likelihood (the sum over all words), mean_log_likelihood, perplexity.
 
     A null text or one without words has no tokens, a sum of 0 and a null mean. Rows are scored on their own, so repeated
-    rows and ids give repeated results. An empty table gives an empty result; other columns are ignored.
+    rows and ids give repeated results. An empty table gives an empty result; other columns are ignored. Words that are
+    not frequent are joined with their counts; one that the corpus does not hold counts as 0.
     """
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    scored = source.mapInArrow(_scorer(vocabulary, p), "_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
-    return scored.select(F.col("_id").alias(id_col), "n_tokens", "log_likelihood", "mean_log_likelihood", F.exp(-F.col("mean_log_likelihood")).alias("perplexity"))
+    scored = common.written(source.mapInArrow(_scorer(vocabulary, p), "_id long, n_tokens long, known double, others array<long>").withColumn("_row", F.monotonically_increasing_id()))
+    others = scored.select("_row", F.explode("others").alias("word")).join(counts.select("word", "n"), "word", "left")
+    share = F.round(F.log(F.coalesce("n", F.lit(0)) + 1) * (1 << FRACTION)).cast("long")
+    shares = others.groupBy("_row").agg(F.sum(share).alias("share"))
+    whole = scored.select("_row", "_id", "n_tokens", "known").join(shares, "_row", "left")
+    whole = whole.withColumn("log_likelihood", F.col("known") + F.coalesce("share", F.lit(0)) / (1 << FRACTION)).withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
+    return whole.select(F.col("_id").alias(id_col), "n_tokens", "log_likelihood", "mean_log_likelihood", F.exp(-F.col("mean_log_likelihood")).alias("perplexity"))

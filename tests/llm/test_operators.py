@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,6 +162,55 @@ def test_language_model_is_normalised():
     assert np.allclose(np.bincount(v.classes, np.exp(v.share), lm.CLASSES)[: lm.PAD], 1, atol=1e-2)
 
 
+def test_language_model_knows_the_exact_count_of_every_word(spark):
+    """Rare words do not share counts, however many there are, and more words are modelled as the corpus grows."""
+    texts = [(i, " ".join(f"r{i}x{j}" for j in range(2000))) for i in range(150)] + [(1000 + i, "twice thrice" if i < 2 else "thrice") for i in range(3)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    counts, vocabulary = lm.count(docs.select(F.col("text").alias("_text")))
+    assert counts.count() == 150 * 2000 + 2 > 1 << lm.BUCKET_BITS
+    assert {r.n: r["count"] for r in counts.groupBy("n").count().collect()} == {1: 150 * 2000, 2: 1, 3: 1}
+    assert vocabulary.frequent == lm.modelled(150 * 2000 + 5) == 4 * 547
+    assert lm.modelled(4 * 10**10) == 2 * lm.modelled(10**10) > lm.FREQUENT
+
+
+def test_language_model_adds_the_share_of_joined_words(spark):
+    texts = [(i, " ".join(f"w{(i * 7 + j * j) % 997}" for j in range(60))) for i in range(60)]
+    texts.append((60, "w5 unseen words w990 w5"))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    vocabulary, p, counts = lm.fit(docs.where("doc_id < 60"))
+    n = {r.word: r.n for r in counts.collect()}
+    got = {r.doc_id: r for r in lm.score(docs, vocabulary, p, counts).collect()}
+    seen = {c: 0.0 for c in range(lm.OTHERS)}
+    for i, t in texts:
+        raw = np.frombuffer(t.encode(), np.uint8)
+        word, shape, first = lm.words(raw, np.array([0, len(raw)]))
+        classes = vocabulary.class_of(word, shape)
+        wanted = lm.class_log_probabilities(p, lm.contexts(classes, first, vocabulary.size - 1), classes).sum()
+        for w, c in zip(word.tolist(), classes.tolist(), strict=True):
+            if c >= vocabulary.frequent:
+                wanted += np.log(n.get(w, 0) + 1) + vocabulary.rest[c - vocabulary.frequent]
+        assert got[i].n_tokens == len(word) and got[i].log_likelihood == pytest.approx(wanted, rel=1e-5)
+    frequent = set(vocabulary.sorted.tolist())
+    for r in counts.collect():
+        seen[r.shape] += (r.n + 1) * (r.word not in frequent)
+    assert np.allclose(np.exp(-vocabulary.rest), np.array(list(seen.values())) + 1)
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_every_word_is_a_target_once(rounds):
+    texts = ["a b c d e f g h i j k", "l", "", "m n o p q r s t u v w x y z"]
+    batch = pa.RecordBatch.from_pydict({"_text": texts})
+    vocabulary = lm.Vocabulary(np.zeros(0), np.zeros(0, np.int64), np.ones(lm.OTHERS))
+    seen, step = [], lm._Trainer.step
+    lm._Trainer.step = lambda self, context, target: seen.append(len(target))
+    try:
+        for turn in range(rounds):
+            list(lm._train(vocabulary, lm.start_weights(size=vocabulary.size), turn, rounds)(iter([batch])))
+    finally:
+        lm._Trainer.step = step
+    assert sum(seen) == 26
+
+
 def test_language_identification(spark):
     r = random.Random(8)
     syllables = {"aa": ["ka", "to", "mi", "re"], "bb": ["sch", "ung", "keit", "ein"], "cc": ["ción", "ado", "los", "que"]}
