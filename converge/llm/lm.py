@@ -6,8 +6,13 @@ the more of them the larger the corpus is; the other words are classed by their
 network over a window on both sides, trained in numpy: a binary tree over the classes, so that a word costs as many steps
 as its place in the tree is deep. Over all rounds every word is a target once. The word within its class has the
 probability that its count in the whole corpus gives it. Counts are exact (for 64-bit hashes of words) and stay in a
-distributed table that is joined to the words of the documents. Each partition trains on all its documents from the same
-start, and weights are averaged by the words seen where they were changed.
+distributed table that is joined to the words of the documents.
+
+The network starts as the model of plain counts: the constants of the tree's nodes are the odds of the counts below them.
+Documents are dealt to shards by a hash of id and text and are read in its order, so the network does not depend on how
+the input is split into files. Each shard trains on all its documents from the same start, and weights are averaged by the
+words seen where they were changed. A shard has as many words as pay for the weights that it sends, so that there are as
+many shards as modelled words for each of them, of the order of the square root of the corpus.
 """
 
 from __future__ import annotations
@@ -42,6 +47,8 @@ ROUNDS, BATCH, RATE = 2, 2048, 0.01
 TOP = 255
 #: Distinct words that counting holds at once, and rows of weights that are averaged together.
 HELD, CHUNK = 1 << 20, 512
+#: Words of a shard for each class, at least.
+SHARD_WORDS = 100
 #: Sums of logarithms are taken in steps of 2**-FRACTION, so that they do not depend on their order.
 FRACTION = 32
 
@@ -108,13 +115,14 @@ class Vocabulary:
             other = np.ones(len(counts), dtype=bool)
             other[frequent] = False
             rest = np.bincount(shape[other], counts[other] + 1.0, OTHERS)
-            self._set(frequent, rest)
+            self._set(counts[frequent], frequent, rest)
             self.classes = self.class_of(np.arange(len(counts)), shape)
             self.share = np.where(other, np.log(counts + 1.0), 0) + self.log_rest(self.classes)
         else:
-            self._set(frequent, rest)
+            self._set(counts, frequent, rest)
 
-    def _set(self, frequent: np.ndarray, rest: np.ndarray) -> None:
+    def _set(self, counts: np.ndarray, frequent: np.ndarray, rest: np.ndarray) -> None:
+        self.class_counts = np.concatenate([counts, rest, [0.0]])
         self.order = np.argsort(frequent, kind="stable")
         self.sorted = frequent[self.order]
         self.frequent, self.size = len(frequent), len(frequent) + OTHERS + 1
@@ -166,11 +174,20 @@ def paths(size: int, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return nodes[at], turns[at], start
 
 
-def start_weights(seed: int = 1, size: int = CLASSES) -> dict[str, np.ndarray]:
-    """Of so many classes: embeddings e, the hidden layer w and b, and the tree's nodes v, whose last column is a constant."""
+def start_weights(seed: int = 1, size: int = CLASSES, counts: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """Of so many classes: embeddings e, the hidden layer w and b, and the tree's nodes v, whose last column is a constant.
+
+    With counts of the classes, the tree gives each class its share of them, whatever stands around it.
+    """
     r = np.random.RandomState(seed)
     v = r.normal(0, 0.05, (size - 1, HIDDEN + 1)).astype(np.float32)
     v[:, -1] = 0
+    if counts is not None:
+        nodes, turns, begin = tree(size)
+        below = np.repeat(counts, np.diff(begin))
+        left, right = (np.bincount(nodes, np.where(turns == t, below, 0.0), size - 1) for t in (1, -1))
+        v[:] = 0
+        v[:, -1] = np.log(left + 0.5) - np.log(right + 0.5)
     return {"e": r.normal(0, 0.3, (size, EMBEDDING)).astype(np.float32), "w": r.normal(0, 0.2, (len(OFFSETS) * EMBEDDING, HIDDEN)).astype(np.float32), "b": np.zeros((1, HIDDEN), np.float32), "v": v}
 
 
@@ -279,13 +296,54 @@ class _Trainer:
         self.p[name][at] -= np.float32(RATE) * (m / (1 - np.float32(0.9) ** steps)) / (np.sqrt(s / (1 - np.float32(0.99) ** steps)) + np.float32(1e-8))
 
 
-def _train(vocabulary: Vocabulary, start: dict[str, np.ndarray], turn: int, rounds: int):
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, seen = _Trainer(start), 0
-        for _, data, off in common.pieces(batches, "_text"):
+def _coded(vocabulary: Vocabulary):
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The classes of each document's words, four bytes each."""
+        for piece, data, off in common.pieces(batches, "_text"):
             word, shape, first = words(data, off)
-            classes = vocabulary.class_of(word, shape)
-            context = contexts(classes, first, vocabulary.size - 1)
+            classes = vocabulary.class_of(word, shape).astype("<i4")
+            yield pa.RecordBatch.from_arrays([piece.column("_h"), pa.array([classes[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())], names=["_h", "classes"])
+
+    return code
+
+
+def _documents(batches: Iterator[pa.RecordBatch], step: int = common.STEP_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Shards with classes of some of their documents, one after the other, and where each document begins. Rows come
+    ordered by shard; a step ends with the shard or with so many bytes, wherever batches end."""
+    shard, held, size = None, [], 0
+
+    def given() -> tuple[int, np.ndarray, np.ndarray]:
+        return shard, np.frombuffer(b"".join(held), "<i4").astype(np.int64), np.cumsum([0] + [len(h) // 4 for h in held])
+
+    for batch in batches:
+        for k, classes in zip(batch.column("shard").to_pylist(), batch.column("classes").to_pylist(), strict=True):
+            if held and (k != shard or size > step):
+                yield given()
+                held, size = [], 0
+            shard = k
+            held.append(classes)
+            size += len(classes)
+    if held:
+        yield given()
+
+
+def _train(size: int, start: dict[str, np.ndarray], turn: int, rounds: int):
+    def moved(trainer: _Trainer, shard: int, seen: int) -> Iterator[pa.RecordBatch]:
+        for k, name in enumerate(sorted(start) if seen else []):
+            rows = np.flatnonzero(trainer.steps[name][:, 0])
+            for i in range(0, len(rows), CHUNK * 16):
+                at = rows[i : i + CHUNK * 16]
+                values = pa.FixedSizeListArray.from_arrays(pa.array(trainer.p[name][at].ravel()), start[name].shape[1]).cast(pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k)), pa.array(at // CHUNK), pa.array(at), values, pa.array(np.full(len(at), float(seen))), pa.array(np.full(len(at), shard))], names=["name", "chunk", "at", "value", "weight", "shard"])
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, trainer, seen = None, None, 0
+        for k, classes, first in _documents(batches):
+            if k != shard:
+                if trainer is not None:
+                    yield from moved(trainer, shard, seen)
+                shard, trainer, seen = k, _Trainer(start), 0
+            context = contexts(classes, first, size - 1)
             place = np.arange(len(classes)) - np.repeat(first[:-1], np.diff(first))
             # The residues are dealt to the rounds, so each word of a document is a target in one of them.
             for residue in range(turn % MASKED, MASKED, min(rounds, MASKED)):
@@ -294,20 +352,18 @@ def _train(vocabulary: Vocabulary, start: dict[str, np.ndarray], turn: int, roun
                     at = masked[i : i + BATCH]
                     trainer.step(context[:, at], classes[at])
                 seen += len(masked)
-        for k, name in enumerate(sorted(start) if seen else []):
-            moved = np.flatnonzero(trainer.steps[name][:, 0])
-            for i in range(0, len(moved), CHUNK * 16):
-                at = moved[i : i + CHUNK * 16]
-                values = pa.FixedSizeListArray.from_arrays(pa.array(trainer.p[name][at].ravel()), start[name].shape[1]).cast(pa.list_(pa.float32()))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k)), pa.array(at // CHUNK), pa.array(at), values, pa.array(np.full(len(at), float(seen)))], names=["name", "chunk", "at", "value", "weight"])
+        if trainer is not None:
+            yield from moved(trainer, shard, seen)
 
     return train
 
 
-_WEIGHTS = "name long, chunk long, at long, value array<float>, weight double"
+_WEIGHTS = "name long, chunk long, at long, value array<float>, weight double, shard long"
 
 
 def _averaged(rows: pa.Table) -> pa.Table:
+    # In the order of shards, so that sums do not depend on the order in which rows arrive.
+    rows = rows.sort_by([("shard", "ascending"), ("at", "ascending")])
     at, weight = rows["at"].to_numpy(), rows["weight"].to_numpy()
     value = rows["value"].combine_chunks().flatten().to_numpy().reshape(len(at), -1)
     found, total = _summed(at, value * weight[:, None])
@@ -330,19 +386,26 @@ def count(texts: DataFrame) -> tuple[DataFrame, Vocabulary]:
     for r in counts.groupBy("shape").agg(F.sum(F.col("n") + 1).alias("n")).collect():
         rest[r["shape"]] = r["n"]
     rest -= np.bincount(frequent["shape"].to_numpy(dtype=np.int64), frequent["n"].to_numpy(dtype=np.int64) + 1, OTHERS)
-    return counts, Vocabulary(frequent["n"].to_numpy(dtype=np.int64), frequent["word"].to_numpy(dtype=np.int64), rest)
+    vocabulary = Vocabulary(frequent["n"].to_numpy(dtype=np.int64), frequent["word"].to_numpy(dtype=np.int64), rest)
+    vocabulary.total = sum(r["n"] * r["words"] for r in often)
+    return counts, vocabulary
 
 
-def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> tuple[Vocabulary, dict[str, np.ndarray], DataFrame]:
+def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, id_col: str = "doc_id", shard_words: int = SHARD_WORDS) -> tuple[Vocabulary, dict[str, np.ndarray], DataFrame]:
     """Count all words of the corpus, then train on all its documents: the averaged network of each round starts the next.
 
-    The driver gets the frequent words and their weights, which grow as the square root of the corpus.
+    Documents travel once, as classes. The driver gets the frequent words and their weights, which grow as the square root
+    of the corpus. Rows with equal ids and texts fall to the same shard; without the column id_col, equal texts do.
     """
-    texts = docs.select(F.col(text_col).alias("_text"))
-    counts, vocabulary = count(texts)
-    p = start_weights(size=vocabulary.size)
+    identity = [F.col(id_col)] if id_col in docs.columns else []
+    texts = docs.select(F.col(text_col).alias("_text"), F.xxhash64(*identity, F.col(text_col)).alias("_h"))
+    counts, vocabulary = count(texts.select("_text"))
+    p = start_weights(size=vocabulary.size, counts=vocabulary.class_counts)
+    shards = -(-vocabulary.total // (shard_words * vocabulary.size)) or 1
+    coded = texts.mapInArrow(_coded(vocabulary), "_h long, classes binary").withColumn("shard", F.pmod("_h", F.lit(shards)))
+    dealt = common.checkpoint(coded.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "_h"))
     for turn in range(rounds):
-        sums = texts.mapInArrow(_train(vocabulary, p, turn, rounds), _WEIGHTS).groupBy("name", "chunk").applyInArrow(_averaged, "name long, at long, value array<float>").toArrow()
+        sums = dealt.mapInArrow(_train(vocabulary.size, p, turn, rounds), _WEIGHTS).groupBy("name", "chunk").applyInArrow(_averaged, "name long, at long, value array<float>").toArrow()
         for k, name in enumerate(sorted(p)):
             of = sums.filter(pc.equal(sums["name"], k))
             if len(of):

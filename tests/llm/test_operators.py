@@ -199,18 +199,70 @@ def test_language_model_adds_the_share_of_joined_words(spark):
 @pytest.mark.parametrize("rounds", [1, 2, 3])
 def test_every_word_is_a_target_once(rounds):
     texts = ["a b c d e f g h i j k", "l", "", "m n o p q r s t u v w x y z"]
-    batch = pa.RecordBatch.from_pydict({"_text": texts})
     vocabulary = lm.Vocabulary(np.zeros(0), np.zeros(0, np.int64), np.ones(lm.OTHERS))
+    coded = list(lm._coded(vocabulary)(iter([pa.RecordBatch.from_pydict({"_text": texts, "_h": [1, 2, 3, 4]})])))
+    batches = [b.append_column("shard", pa.array([i % 2 for i in range(b.num_rows)], pa.int64())).sort_by("shard") for b in coded]
     seen, step = [], lm._Trainer.step
     lm._Trainer.step = lambda self, context, target: seen.append(len(target))
     try:
         for turn in range(rounds):
-            list(lm._train(vocabulary, lm.start_weights(size=vocabulary.size), turn, rounds)(iter([batch])))
+            list(lm._train(vocabulary.size, lm.start_weights(size=vocabulary.size), turn, rounds)(iter(batches)))
     finally:
         lm._Trainer.step = step
     assert sum(seen) == 26
 
 
+def test_the_network_starts_as_plain_counts():
+    r = np.random.RandomState(3)
+    counts = r.randint(1, 1000, lm.CLASSES).astype(float)
+    p, context = lm.start_weights(counts=counts), r.randint(0, lm.CLASSES, (len(lm.OFFSETS), lm.CLASSES))
+    assert np.allclose(lm.class_log_probabilities(p, context, np.arange(lm.CLASSES)), np.log(counts / counts.sum()), atol=0.05)
+
+
+def test_log_likelihood_against_a_plain_forward_pass():
+    """Each word's probability from the tree, a node at a time, for contexts that reach over both ends of a document."""
+    r = np.random.RandomState(5)
+    classes, first = r.randint(0, lm.CLASSES - 1, 11), np.array([0, 4, 4, 11])
+    p = {k: v + r.normal(0, 0.2, v.shape).astype(np.float32) for k, v in lm.start_weights().items()}
+    got = lm.class_log_probabilities(p, lm.contexts(classes, first), classes)
+    nodes, turns, begin = lm.tree(lm.CLASSES)
+    for d in range(3):
+        for i in range(first[d], first[d + 1]):
+            around = [classes[i + o] if first[d] <= i + o < first[d + 1] else lm.PAD for o in (-3, -2, -1, 1, 2, 3)]
+            h = np.tanh(np.concatenate([p["e"][c] for c in around]) @ p["w"] + p["b"][0])
+            path = range(begin[classes[i]], begin[classes[i] + 1])
+            wanted = sum(-np.log1p(np.exp(-turns[k] * (p["v"][nodes[k], :-1] @ h + p["v"][nodes[k], -1]))) for k in path)
+            assert got[i] == pytest.approx(wanted, abs=1e-3)
+
+
+def test_language_model_is_better_than_counts_and_does_not_depend_on_files(spark):
+    r = random.Random(12)
+    after = {f"v{i}": [f"v{(i * 7 + j) % 90}" for j in range(3)] for i in range(90)}
+    texts = []
+    for i in range(1500):
+        w = [f"v{r.randrange(90)}"]
+        while len(w) < 60:
+            w.append(r.choice(after[w[-1]]) if r.random() < 0.9 else f"rare{r.randrange(3000)}" if r.random() < 0.5 else f"v{r.randrange(90)}")
+            if w[-1] not in after:
+                w.append(f"v{r.randrange(90)}")
+        texts.append((i, " ".join(w)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    train, test = docs.where("doc_id % 5 <> 0"), docs.where("doc_id % 5 = 0")
+    model = lm.fit(train.repartition(2), shard_words=60)
+    again = lm.fit(train.repartition(7), shard_words=60)
+    got = {x.doc_id: x for x in lm.score(test, *model).collect()}
+    other = {x.doc_id: x.log_likelihood for x in lm.score(test.repartition(5), *again).collect()}
+    assert all(x.log_likelihood == pytest.approx(other[i], rel=1e-6) for i, x in got.items())
+    count = {}
+    for i, t in texts:
+        for x in t.split() if i % 5 else ():
+            count[x] = count.get(x, 0) + 1
+    all_words = sum(count.values()) + len(count) + 1
+    held = [x for i, t in texts if i % 5 == 0 for x in t.split()]
+    by_counts = sum(np.log((count.get(x, 0) + 1) / all_words) for x in held) / len(held)
+    assert sum(x.log_likelihood for x in got.values()) / len(held) > by_counts + 0.3
+
+
 def test_language_identification(spark):
     r = random.Random(8)
     syllables = {"aa": ["ka", "to", "mi", "re"], "bb": ["sch", "ung", "keit", "ein"], "cc": ["ción", "ado", "los", "que"]}
