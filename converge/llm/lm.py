@@ -3,8 +3,8 @@
 Every word is predicted from the words on both sides of it; the logarithms of these conditional probabilities, summed,
 score a document. A word is its class and which word of the class it is. Frequent words are a class each, and there are
 the more of them the larger the corpus is; the other words are classed by their shape. The class is predicted by a small
-network over a window on both sides, trained in numpy: a binary tree over the classes, so that a word costs as many steps
-as its place in the tree is deep. Over all rounds every word is a target once. The word within its class has the
+network over a window on both sides, trained in numpy: a Huffman tree over the classes whose heaviest TOP subtrees, most
+of them single words, are chosen by a softmax and from which on every turn is a choice of two. Over all rounds every word is a target once. The word within its class has the
 probability that its count in the whole corpus gives it. Counts are exact (for 64-bit hashes of words) and stay in a
 distributed table that is joined to the words of the documents.
 
@@ -39,12 +39,12 @@ PAD = CLASSES - 1
 #: Frequent words for each square root of the number of words in the corpus.
 GROWTH = 4
 #: Words on each side, and widths of the network.
-SIDE, EMBEDDING, HIDDEN = 3, 16, 24
+SIDE, EMBEDDING, HIDDEN = 2, 12, 16
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 MASKED = 8
-ROUNDS, BATCH, RATE = 2, 2048, 0.01
-#: Nodes of the tree that are reckoned for all words at once.
-TOP = 255
+ROUNDS, BATCH, RATE = 2, 4096, 0.15
+#: Subtrees that the softmax at the top chooses from.
+TOP = 96
 #: Distinct words that counting holds at once, and rows of weights that are averaged together.
 HELD, CHUNK = 1 << 20, 512
 #: Words of a shard for each class, at least.
@@ -140,9 +140,12 @@ class Vocabulary:
 
 
 @functools.lru_cache(maxsize=2)
-def tree(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A Huffman tree over the classes for frequencies that fall as their ranks do: inner nodes from the root down and
-    turns (1 or -1) of all classes one after the other, and where each class's begin."""
+def tree(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A Huffman tree over the classes for frequencies that fall as their ranks do, cut into its TOP heaviest subtrees.
+
+    Inner nodes below the cut and turns (1 or -1) of all classes one after the other, where each class's begin, and the
+    subtree of each class. With no more than TOP classes each is a subtree of its own.
+    """
     own = size - OTHERS - 1
     heap = [((1 / (k + 8) if k < own else 1 / 64 if k < size - 1 else 1e-9), k) for k in range(size)]
     heapq.heapify(heap)
@@ -152,43 +155,41 @@ def tree(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         parent[left] = parent[right] = node
         turn[right] = -1
         heapq.heappush(heap, (a + b, node))
-    at, which = np.arange(size), np.arange(size)
+    # The last TOP - 1 nodes are the heaviest and make the top; a walk up ends where its next node is one of them.
+    top = max(size, 2 * size - TOP)
+    at, which, subtree = np.arange(size), np.arange(size), np.arange(size)
     nodes, turns, owners = [], [], []
     while len(at):
+        inside = parent[at] < top
+        subtree[which[~inside]] = at[~inside]
+        at, which = at[inside], which[inside]
         nodes.append(parent[at] - size)
         turns.append(turn[at])
         owners.append(which)
-        at, which = parent[at], which[parent[at] < 2 * size - 2]
-        at = at[at < 2 * size - 2]
+        at = parent[at]
     owner = np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
-    return np.concatenate(nodes)[order], np.concatenate(turns)[order], np.searchsorted(owner[order], np.arange(size + 1))
-
-
-def paths(size: int, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Nodes and turns of all targets one after the other, and where each target's begin."""
-    nodes, turns, begin = tree(size)
-    n = begin[target + 1] - begin[target]
-    start = np.concatenate([[0], np.cumsum(n)])
-    at = np.arange(start[-1]) + np.repeat(begin[target] - start[:-1], n)
-    return nodes[at], turns[at], start
+    return np.concatenate(nodes)[order].astype(np.int32), np.concatenate(turns)[order], np.searchsorted(owner[order], np.arange(size + 1)), np.unique(subtree, return_inverse=True)[1]
 
 
 def start_weights(seed: int = 1, size: int = CLASSES, counts: np.ndarray | None = None) -> dict[str, np.ndarray]:
-    """Of so many classes: embeddings e, the hidden layer w and b, and the tree's nodes v, whose last column is a constant.
+    """Of so many classes: embeddings e, the hidden layer w and b, and outputs whose last column is a constant: t of the
+    subtrees and v of the nodes below.
 
     With counts of the classes, the tree gives each class its share of them, whatever stands around it.
     """
     r = np.random.RandomState(seed)
-    v = r.normal(0, 0.05, (size - 1, HIDDEN + 1)).astype(np.float32)
-    v[:, -1] = 0
+    nodes, turns, begin, subtree = tree(size)
+    tops = int(subtree.max()) + 1
+    t, v = (r.normal(0, 0.05, (n, HIDDEN + 1)).astype(np.float32) for n in (tops, size - tops))
+    t[:, -1], v[:, -1] = 0, 0
     if counts is not None:
-        nodes, turns, begin = tree(size)
         below = np.repeat(counts, np.diff(begin))
-        left, right = (np.bincount(nodes, np.where(turns == t, below, 0.0), size - 1) for t in (1, -1))
-        v[:] = 0
+        left, right = (np.bincount(nodes, np.where(turns == side, below, 0.0), size - tops) for side in (1, -1))
+        t[:], v[:] = 0, 0
+        t[:, -1] = np.log(np.bincount(subtree, counts, tops) + 0.5)
         v[:, -1] = np.log(left + 0.5) - np.log(right + 0.5)
-    return {"e": r.normal(0, 0.3, (size, EMBEDDING)).astype(np.float32), "w": r.normal(0, 0.2, (len(OFFSETS) * EMBEDDING, HIDDEN)).astype(np.float32), "b": np.zeros((1, HIDDEN), np.float32), "v": v}
+    return {"e": r.normal(0, 0.3, (size, EMBEDDING)).astype(np.float32), "w": r.normal(0, 0.2, (len(OFFSETS) * EMBEDDING, HIDDEN)).astype(np.float32), "b": np.zeros((1, HIDDEN), np.float32), "t": t, "v": v}
 
 
 def contexts(classes: np.ndarray, first: np.ndarray, pad: int = PAD) -> np.ndarray:
@@ -216,93 +217,96 @@ def _hidden(p: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
 
 
 class _Path:
-    """The nodes of all targets' paths with their logits. The last TOP nodes, nearest the root, are reckoned for every row
-    of h by one product; those below only where a path has them."""
+    """The subtrees of all targets, and the nodes of their paths below with rows of h, turns and logits."""
 
     def __init__(self, p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray) -> None:
-        nodes, self.turns, self.start = paths(len(p["e"]), target)
-        row = np.repeat(np.arange(len(h)), np.diff(self.start))
-        self.v, self.h, self.low = p["v"], h, max(0, len(p["v"]) - TOP)
-        top = nodes >= self.low
-        self.top, self.below = np.flatnonzero(top), np.flatnonzero(~top)
-        self.cell = row[self.top] * (len(self.v) - self.low) + nodes[self.top] - self.low
-        self.nodes, self.rows = nodes[self.below], row[self.below]
-        self.logits = np.empty(len(nodes), np.float32)
-        self.logits[self.top] = (h @ self.v[self.low :].T).ravel()[self.cell]
-        self.logits[self.below] = np.einsum("ij,ij->i", self.v[self.nodes], h[self.rows])
-
-    def back(self, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
-        """From gradients of the logits those of h, of the top nodes, and of the nodes below that are met."""
-        dense = np.zeros((len(self.h), len(self.v) - self.low), np.float32)
-        dense.ravel()[self.cell] = d[self.top]
-        dh = dense @ self.v[self.low :]
-        below = d[self.below, None]
-        dh += _by_number(self.rows, self.v[self.nodes] * below, len(self.h))
-        return dh, dense.T @ self.h, _summed(self.nodes, self.h[self.rows] * below)
+        nodes, turns, begin, subtree = tree(len(p["e"]))
+        self.subtree = subtree[target]
+        n = begin[target + 1] - begin[target]
+        self.deep = np.flatnonzero(n)
+        n = n[self.deep]
+        self.start = np.cumsum(n) - n
+        at = np.repeat((begin[target[self.deep]] - self.start).astype(np.int32), n) + np.arange(n.sum(), dtype=np.int32)
+        self.nodes, self.turns, self.rows = nodes[at], turns[at], np.repeat(self.deep, n)
+        self.v = p["v"][self.nodes]
+        self.z = np.einsum("ij,ij->i", self.v, h[self.rows]) * self.turns
+
+    def log_below(self) -> np.ndarray:
+        return np.add.reduceat(np.minimum(self.z, 0) - np.log1p(np.exp(-np.abs(self.z))), self.start, dtype=np.float64) if len(self.deep) else np.zeros(0)
+
+
+def _shares(p: dict[str, np.ndarray], h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unnormalised shares of the subtrees for each row of h, the largest 1, and their logarithms."""
+    logits = h @ p["t"].T
+    logits -= logits.max(axis=1, keepdims=True)
+    return np.exp(logits), logits
 
 
 def class_log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray, step: int = 4096) -> np.ndarray:
     out = np.empty(len(target), dtype=np.float64)
     for i in range(0, len(target), step):
-        path = _Path(p, _hidden(p, _inputs(p, context[:, i : i + step])), target[i : i + step])
-        z = path.logits * path.turns
-        out[i : i + step] = np.add.reduceat(np.minimum(z, 0) - np.log1p(np.exp(-np.abs(z))), path.start[:-1], dtype=np.float64)
+        h = _hidden(p, _inputs(p, context[:, i : i + step]))
+        path = _Path(p, h, target[i : i + step])
+        shares, logits = _shares(p, h)
+        out[i : i + step] = logits[np.arange(len(h)), path.subtree] - np.log(shares.sum(axis=1))
+        out[i + path.deep] += path.log_below()
     return out
 
 
-def _by_number(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """The sums of the rows with the numbers 0 to n - 1."""
-    width = rows.shape[1]
-    cells = (at[:, None] * width + np.arange(width)).ravel()
-    return np.bincount(cells, rows.ravel(), n * width).reshape(n, width).astype(rows.dtype)
-
-
-def _summed(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct numbers, and the sums of their rows."""
+def _summed(at: np.ndarray, rows: np.ndarray, weight: np.ndarray, which: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers, and for each the sum of its rows (of rows[which]) times their weights, a column at a time."""
     found, back = np.unique(at, return_inverse=True)
-    return found, _by_number(back, rows, len(found))
+    out = np.empty((len(found), rows.shape[1]), rows.dtype)
+    for k, column in enumerate(np.ascontiguousarray(rows.T)):
+        out[:, k] = np.bincount(back, (column if which is None else column.take(which)) * weight, len(found))
+    return found, out
 
 
 class _Trainer:
-    """Adam on the cross-entropy of targets; rows of e, and of v below the top, that a step does not meet stay as they are."""
+    """Adagrad on the cross-entropy of targets; rows of e and v that a step does not meet stay as they are."""
 
     def __init__(self, p: dict[str, np.ndarray]) -> None:
         self.p = {k: v.copy() for k, v in p.items()}
-        self.m = {k: np.zeros_like(v) for k, v in p.items()}
         self.s = {k: np.zeros_like(v) for k, v in p.items()}
-        self.steps = {k: np.zeros((len(v), 1), np.float32) for k, v in p.items()}
+
+    def moved(self, name: str) -> np.ndarray:
+        return np.flatnonzero(self.s[name].any(axis=1))
 
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
         p, n = self.p, len(target)
         x = _inputs(p, context)
         h = _hidden(p, x)
         path = _Path(p, h, target)
-        d = -path.turns / (1 + np.exp(np.clip(path.logits * path.turns, -30, 30))) / np.float32(n)
-        dh, top, below = path.back(d)
+        d, _ = _shares(p, h)
+        d /= d.sum(axis=1, keepdims=True)
+        d[np.arange(n), path.subtree] -= 1
+        d /= n
+        dh = d @ p["t"]
+        below = -path.turns / (1 + np.exp(np.minimum(path.z, 30))) / np.float32(n)
+        if len(path.deep):
+            dh[path.deep] += np.add.reduceat(path.v * below[:, None], path.start)
+            self._move("v", *_summed(path.nodes, h, below, path.rows))
         dh = dh[:, :-1] * (1 - h[:, :-1] ** 2)
         every = slice(None)
-        self._move("e", *_summed(context.T.ravel(), (dh @ p["w"].T).reshape(-1, EMBEDDING)))
-        self._move("v", slice(path.low, None), top)
-        self._move("v", *below)
+        self._move("e", *_summed(context.T.ravel(), (dh @ p["w"].T).reshape(-1, EMBEDDING), np.float32(1)))
+        self._move("t", every, d.T @ h)
         self._move("w", every, x.T @ dh)
         self._move("b", every, dh.sum(axis=0, keepdims=True))
 
     def _move(self, name: str, at: np.ndarray | slice, grad: np.ndarray) -> None:
-        steps = self.steps[name][at] + 1
-        m, s = self.m[name][at], self.s[name][at]
-        m += np.float32(0.1) * (grad - m)
-        s += np.float32(0.01) * (grad * grad - s)
-        self.steps[name][at], self.m[name][at], self.s[name][at] = steps, m, s
-        self.p[name][at] -= np.float32(RATE) * (m / (1 - np.float32(0.9) ** steps)) / (np.sqrt(s / (1 - np.float32(0.99) ** steps)) + np.float32(1e-8))
+        s = self.s[name][at] + grad * grad
+        self.s[name][at] = s
+        self.p[name][at] -= np.float32(RATE) * grad / (np.sqrt(s) + np.float32(1e-9))
 
 
 def _coded(vocabulary: Vocabulary):
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The classes of each document's words, four bytes each."""
+        """The classes of each document's words, four bytes each, compressed."""
         for piece, data, off in common.pieces(batches, "_text"):
             word, shape, first = words(data, off)
             classes = vocabulary.class_of(word, shape).astype("<i4")
-            yield pa.RecordBatch.from_arrays([piece.column("_h"), pa.array([classes[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())], names=["_h", "classes"])
+            packed = [pa.compress(classes[a:b].tobytes(), codec="zstd", asbytes=True) for a, b in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([piece.column("_h"), pa.array(np.diff(first)), pa.array(packed, pa.binary())], names=["_h", "n", "classes"])
 
     return code
 
@@ -316,7 +320,10 @@ def _documents(batches: Iterator[pa.RecordBatch], step: int = common.STEP_BYTES)
         return shard, np.frombuffer(b"".join(held), "<i4").astype(np.int64), np.cumsum([0] + [len(h) // 4 for h in held])
 
     for batch in batches:
-        for k, classes in zip(batch.column("shard").to_pylist(), batch.column("classes").to_pylist(), strict=True):
+        for k, n, packed in zip(batch.column("shard").to_pylist(), batch.column("n").to_pylist(), batch.column("classes").to_pylist(), strict=True):
+            if not n:
+                continue
+            classes = pa.decompress(packed, 4 * n, codec="zstd", asbytes=True)
             if held and (k != shard or size > step):
                 yield given()
                 held, size = [], 0
@@ -330,7 +337,7 @@ def _documents(batches: Iterator[pa.RecordBatch], step: int = common.STEP_BYTES)
 def _train(size: int, start: dict[str, np.ndarray], turn: int, rounds: int):
     def moved(trainer: _Trainer, shard: int, seen: int) -> Iterator[pa.RecordBatch]:
         for k, name in enumerate(sorted(start) if seen else []):
-            rows = np.flatnonzero(trainer.steps[name][:, 0])
+            rows = trainer.moved(name)
             for i in range(0, len(rows), CHUNK * 16):
                 at = rows[i : i + CHUNK * 16]
                 values = pa.FixedSizeListArray.from_arrays(pa.array(trainer.p[name][at].ravel()), start[name].shape[1]).cast(pa.list_(pa.float32()))
@@ -366,8 +373,8 @@ def _averaged(rows: pa.Table) -> pa.Table:
     rows = rows.sort_by([("shard", "ascending"), ("at", "ascending")])
     at, weight = rows["at"].to_numpy(), rows["weight"].to_numpy()
     value = rows["value"].combine_chunks().flatten().to_numpy().reshape(len(at), -1)
-    found, total = _summed(at, value * weight[:, None])
-    mean = (total / _summed(at, weight[:, None])[1]).astype(np.float32)
+    found, total = _summed(at, value.astype(np.float64), weight)
+    mean = (total / _summed(at, np.ones((len(at), 1)), weight)[1]).astype(np.float32)
     values = pa.FixedSizeListArray.from_arrays(pa.array(mean.ravel()), mean.shape[1]).cast(pa.list_(pa.float32()))
     return pa.table([pa.array(np.full(len(found), rows["name"][0].as_py())), pa.array(found), values], names=["name", "at", "value"])
 
@@ -402,7 +409,7 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, id_col: s
     counts, vocabulary = count(texts.select("_text"))
     p = start_weights(size=vocabulary.size, counts=vocabulary.class_counts)
     shards = -(-vocabulary.total // (shard_words * vocabulary.size)) or 1
-    coded = texts.mapInArrow(_coded(vocabulary), "_h long, classes binary").withColumn("shard", F.pmod("_h", F.lit(shards)))
+    coded = texts.mapInArrow(_coded(vocabulary), "_h long, n long, classes binary").withColumn("shard", F.pmod("_h", F.lit(shards)))
     dealt = common.checkpoint(coded.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "_h"))
     for turn in range(rounds):
         sums = dealt.mapInArrow(_train(vocabulary.size, p, turn, rounds), _WEIGHTS).groupBy("name", "chunk").applyInArrow(_averaged, "name long, at long, value array<float>").toArrow()

@@ -153,10 +153,11 @@ def test_language_model(spark):
     assert (c.n_tokens, c.log_likelihood, c.mean_log_likelihood) == (0, 0.0, None)
 
 
-def test_language_model_is_normalised():
+@pytest.mark.parametrize("size", [lm.CLASSES, 700])
+def test_language_model_is_normalised(size):
     r = np.random.RandomState(0)
-    p, context = lm.start_weights(), r.randint(0, lm.CLASSES, (len(lm.OFFSETS), 3))
-    total = sum(np.exp(lm.class_log_probabilities(p, context, np.full(3, c))) for c in range(lm.CLASSES))
+    p, context = lm.start_weights(size=size), r.randint(0, size, (len(lm.OFFSETS), 3))
+    total = sum(np.exp(lm.class_log_probabilities(p, context, np.full(3, c))) for c in range(size))
     assert np.allclose(total, 1, atol=1e-4)
     v = lm.Vocabulary(r.randint(0, 50, 1 << lm.BUCKET_BITS))
     assert np.allclose(np.bincount(v.classes, np.exp(v.share), lm.CLASSES)[: lm.PAD], 1, atol=1e-2)
@@ -214,24 +215,26 @@ def test_every_word_is_a_target_once(rounds):
 
 def test_the_network_starts_as_plain_counts():
     r = np.random.RandomState(3)
-    counts = r.randint(1, 1000, lm.CLASSES).astype(float)
-    p, context = lm.start_weights(counts=counts), r.randint(0, lm.CLASSES, (len(lm.OFFSETS), lm.CLASSES))
-    assert np.allclose(lm.class_log_probabilities(p, context, np.arange(lm.CLASSES)), np.log(counts / counts.sum()), atol=0.05)
+    size = 1000
+    counts = r.randint(100, 1000, size).astype(float)
+    p, context = lm.start_weights(size=size, counts=counts), r.randint(0, size, (len(lm.OFFSETS), size))
+    assert np.allclose(lm.class_log_probabilities(p, context, np.arange(size)), np.log(counts / counts.sum()), atol=0.05)
 
 
 def test_log_likelihood_against_a_plain_forward_pass():
     """Each word's probability from the tree, a node at a time, for contexts that reach over both ends of a document."""
     r = np.random.RandomState(5)
-    classes, first = r.randint(0, lm.CLASSES - 1, 11), np.array([0, 4, 4, 11])
-    p = {k: v + r.normal(0, 0.2, v.shape).astype(np.float32) for k, v in lm.start_weights().items()}
-    got = lm.class_log_probabilities(p, lm.contexts(classes, first), classes)
-    nodes, turns, begin = lm.tree(lm.CLASSES)
+    size, sides = 1000, range(-lm.SIDE, lm.SIDE + 1)
+    classes, first = r.randint(0, size - 1, 11), np.array([0, 4, 4, 11])
+    p = {k: v + r.normal(0, 0.2, v.shape).astype(np.float32) for k, v in lm.start_weights(size=size).items()}
+    got = lm.class_log_probabilities(p, lm.contexts(classes, first, size - 1), classes)
+    nodes, turns, begin, subtree = lm.tree(size)
     for d in range(3):
         for i in range(first[d], first[d + 1]):
-            around = [classes[i + o] if first[d] <= i + o < first[d + 1] else lm.PAD for o in (-3, -2, -1, 1, 2, 3)]
-            h = np.tanh(np.concatenate([p["e"][c] for c in around]) @ p["w"] + p["b"][0])
-            path = range(begin[classes[i]], begin[classes[i] + 1])
-            wanted = sum(-np.log1p(np.exp(-turns[k] * (p["v"][nodes[k], :-1] @ h + p["v"][nodes[k], -1]))) for k in path)
+            around = [classes[i + o] if first[d] <= i + o < first[d + 1] else size - 1 for o in sides if o]
+            h = np.append(np.tanh(np.concatenate([p["e"][c] for c in around]) @ p["w"] + p["b"][0]), 1)
+            wanted = p["t"][subtree[classes[i]]] @ h - np.log(np.exp(p["t"] @ h).sum())
+            wanted += sum(-np.log1p(np.exp(-turns[k] * (p["v"][nodes[k]] @ h))) for k in range(begin[classes[i]], begin[classes[i] + 1]))
             assert got[i] == pytest.approx(wanted, abs=1e-3)
 
 
