@@ -37,13 +37,27 @@ def held_out(doc_id: str | Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where it names none, as in tests."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where it names none, a local session, whose executors are
+    the driver, gets a folder of its own; a cluster is refused, since its executors would not see that folder."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return context.getCheckpointDir()
 
 
+def carried(docs: DataFrame, **own: Column) -> DataFrame:
+    """docs as one column of structs, _row, beside columns of our own, so that no name can clash with another."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *[c.alias(k) for k, c in own.items()])
+
+
+def restored(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns that carried() put into _row."""
+    return rows.select(*[F.col("_row").getField(c).alias(c) for c in columns])
+
+
 def written(df: DataFrame) -> DataFrame:
     """The rows of df, written once as Parquet in the shared folder and read again."""
     path = f"{shared_folder(df.sparkSession)}/written-{uuid.uuid4().hex}"

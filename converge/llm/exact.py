@@ -35,11 +35,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     normalise: the text that is compared, by default the text as it is. keep: "smallest" or "largest" identifier of equal
     texts stays. A null text counts as empty. A null id loses to any other; a group whose ids are all null keeps one row,
     with a null keep_id. Of rows with the same id and text one is kept, so each group keeps exactly one row. An empty
-    table gives an empty result; other columns of the input are ignored. carry: a column that goes along as _carry.
+    table gives an empty result; other columns of the input are ignored. carry: a column that goes along as _carry, and the
+    compared text with it as _text.
     """
     text = F.coalesce(normalise if normalise is not None else F.col(text_col), F.lit("")).cast("string")
     order = F.col("_id").asc_nulls_last() if keep == "smallest" else F.col("_id").desc_nulls_last()
-    more = [] if carry is None else ["_carry"]
+    more = [] if carry is None else ["_carry", "_text"]
     keyed = docs.select(F.col(id_col).alias("_id"), text.alias("_text"), *([] if carry is None else [carry.alias("_carry")])).withColumn("_digest", F.xxhash64("_text"))
     hot = _hot(keyed.select("_digest"), hot_share)
     rows = keyed.join(F.broadcast(hot), "_digest", "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64("_id", F.lit(17)), F.col("_salts")), F.lit(0)))
@@ -61,9 +62,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs that exact_dedup keeps, with all their columns."""
-    marked = exact_dedup(docs, id_col, text_col, carry=F.struct(*[F.col(f"`{c}`") for c in docs.columns]), **options)
-    return marked.where("kept").select(*[F.col("_carry").getField(c).alias(c) for c in docs.columns])
+    """The rows of docs that exact_dedup keeps, with all their columns, whatever their names.
+
+    A text travels once: unless it is normalised, the compared text stands for the column itself, and only whether that was
+    null goes along. Nulls, repeated rows and empty tables are treated as by exact_dedup.
+    """
+    apart = "normalise" not in options
+    others = [F.col(f"`{c}`") for c in docs.columns if not (apart and c == text_col)]
+    null = F.col(text_col).isNull() if apart else F.lit(False)
+    marked = exact_dedup(docs, id_col, text_col, carry=F.struct(F.struct(*others, F.lit(True)).alias("row"), null.alias("null")), **options)
+    text = F.when(~F.col("_carry.null"), F.col("_text")).cast(docs.schema[text_col].dataType)
+    return marked.where("kept").select(*[(text if apart and c == text_col else F.col("_carry.row").getField(c)).alias(c) for c in docs.columns])
 
 
 SQL = """

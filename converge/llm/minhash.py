@@ -280,6 +280,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs that near_duplicates keeps, with all their columns."""
+    """The rows of docs that near_duplicates keeps, with all their columns, whatever their names.
+
+    Rows with a null id are kept, and so are all rows with the id that stays, repeated ones too. An empty table gives an
+    empty result.
+    """
     dropped = near_duplicates(docs, id_col, text_col, **options).where("not kept").select(F.col(id_col).alias("_dropped")).distinct()
-    return docs.join(dropped, docs[id_col] == F.col("_dropped"), "left_anti")
+    return common.restored(common.carried(docs, _id=F.col(id_col).cast("long")).join(dropped, F.col("_id") == F.col("_dropped"), "left_anti"), docs.columns)

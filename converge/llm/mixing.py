@@ -2,8 +2,10 @@
 
 Each document gets an exponential key divided by its quality weight. Within a source, documents in the order of their
 keys are the weighted sample; a prefix sum of their sizes is cut at the source's token budget. Whole epochs are taken
-before the fractional selection. A source of any size is sorted in many partitions: keys fall into fixed bins, bins are
-summed, and only the sums of bins are put in order for a source.
+before the fractional selection. A source of any size is sorted in many partitions: keys fall into bins of equal width of
+their logarithm, bins are summed, and only the sums of bins are put in order for a source. The logarithm of an exponential
+variable has a density of at most 1/e, whatever its weight, so a bin of width d holds a share of about d/e of a source at
+most, for any mixture of weights.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from converge.llm import common
 #: Weights of the sources in the order of their names, repeating.
 CYCLE = (3, 1, 2)
 SALT = "mix-1|"
-#: Least number of bins of the keys of one source, and rows of a bin, about, in a table of one source.
+#: Bins for each unit of the logarithm of keys, at least, and rows of a bin, about, in a table of one source.
 BINS, BIN_ROWS = 256, 65_536
 #: Sources that may be broadcast, one row each.
 BROADCAST_SOURCES = 100_000
@@ -75,8 +77,10 @@ def _selected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     """
     bins = bins or max(BINS, docs.count() // BIN_ROWS)
     text = F.col(text_col)
-    sized = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), size_of(text).alias("size"), (weight if weight is not None else quality_of(text)).alias("_weight"))
-    keyed = sized.withColumn("_key", _key(F.col("_id"), F.col("_weight"), salt)).withColumn("_bin", F.least(F.lit(bins - 1), F.floor(F.col("_key") * bins)).cast("int")).drop("_weight")
+    sized = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(source_col).alias("source"), size_of(text).alias("size"), (weight if weight is not None else quality_of(text)).alias("_weight"))
+    # Keys are made once from the texts and stored, a few numbers for each document.
+    keyed = common.written(sized.select("_id", "source", "size", _key(F.col("_id"), F.col("_weight"), salt).alias("_key")))
+    keyed = keyed.withColumn("_bin", F.floor(F.log("_key") * bins).cast("int"))
     targets = source_targets(keyed.select("source", "size"), share, most, cycle)
     by_bin = keyed.groupBy("source", "_bin").agg(F.sum("size").alias("_bin_size"))
     earlier = Window.partitionBy("source").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -93,8 +97,8 @@ def _selected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
 
 def _key(doc_id: Column, weight: Column, salt: str) -> Column:
-    """In (0, 1), in the order of exponential keys over the weights."""
-    return 1.0 - F.exp(F.log(uniform(doc_id, salt)) / weight)
+    """Exponential with the weight as its rate; the smallest keys are the weighted sample."""
+    return -F.log(uniform(doc_id, salt)) / weight
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
@@ -106,19 +110,19 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """The rows of docs, with all their columns, each as often as the mix takes it.
 
     The selection of a source is all rows up to the last in the order of keys, ids and sizes, so the texts stay where they
-    are and only one row per source is joined to them.
+    are and only one row per source is joined to them. Null ids come before all others of the same key; nulls are treated
+    as by _selected, no column's name can clash, and an empty table gives an empty result.
     """
     rank = F.struct(F.col("_key").alias("k"), F.col("_id").alias("i"), F.col("size").alias("s"))
     chosen = _selected(docs, id_col, text_col, source_col, salt=salt, weight=weight, **options).withColumnRenamed(id_col, "_id")
     cuts = common.checkpoint(chosen.groupBy(F.col("source").alias("_source")).agg(F.max("_whole").alias("_whole"), F.max(F.when(F.col("epochs") > F.col("_whole"), rank)).alias("_cut")))
     if cuts.count() <= BROADCAST_SOURCES:
         cuts = F.broadcast(cuts)
-    text, doc_id = F.col(text_col), F.col(id_col)
-    size = size_of(text)
-    own = F.struct(_key(doc_id, weight if weight is not None else quality_of(text), salt).alias("k"), doc_id.alias("i"), size.alias("s"))
-    joined = docs.withColumn("_own", own).join(cuts, F.col(source_col).eqNullSafe(F.col("_source")))
+    text, doc_id = F.col(text_col), F.col(id_col).cast("long")
+    own = F.struct(_key(doc_id, weight if weight is not None else quality_of(text), salt).alias("k"), doc_id.alias("i"), size_of(text).alias("s"))
+    joined = common.carried(docs, _of=F.col(source_col), _own=own).join(cuts, F.col("_of").eqNullSafe(F.col("_source")))
     times = F.col("_whole") + (F.coalesce(F.col("_own") <= F.col("_cut"), F.lit(False)) & (F.col("_own.s") > 0)).cast("long")
-    return joined.withColumn("_time", F.explode(F.sequence(F.lit(0), times.cast("int")))).where("_time > 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return common.restored(joined.withColumn("_time", F.explode(F.sequence(F.lit(0), times.cast("int")))).where("_time > 0"), docs.columns)
 
 
 _WEIGHT_SQL = r"""greatest(0.05::DOUBLE, coalesce(pow(length(translate(text, '0123456789|#$%&*!<>{}[]=+_^~\/@', ''))::DOUBLE / nullif(length(text), 0), 2), 0.05::DOUBLE))"""
@@ -126,7 +130,7 @@ _WEIGHT_SQL = r"""greatest(0.05::DOUBLE, coalesce(pow(length(translate(text, '01
 SQL = rf"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         1.0::DOUBLE - exp(ln((('0x' || substr(md5('mix-1|' || doc_id), 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE) / {_WEIGHT_SQL}) AS k
+         -ln((('0x' || substr(md5('mix-1|' || doc_id), 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE) / {_WEIGHT_SQL} AS k
   FROM documents),
 per_source AS (
   SELECT source, sum(size)::BIGINT AS source_size, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1] AS w

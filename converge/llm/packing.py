@@ -27,7 +27,7 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces of one population, about.
 GROUP = 4096
-ISLANDS, EPOCHS, GENERATIONS, POPULATION = 2, 2, 6, 4
+ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3, 3, 12, 6
 
 _encoders: dict[str, object] = {}
 

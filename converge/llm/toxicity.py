@@ -325,5 +325,11 @@ def _keeper(machine: Grammar, text_col: str):
 
 
 def keep_clean(docs: DataFrame, machine: Grammar, text_col: str = "text") -> DataFrame:
-    """The rows of docs whose score is below 0.5, with all their columns."""
-    return docs.mapInArrow(_keeper(machine, text_col), docs.schema)
+    """The rows of docs whose score is below 0.5, with all their columns, whatever their names.
+
+    Rows are judged on their own: null and empty texts have no matches, repeated rows go the same way, and an empty table
+    gives an empty result.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    numbered = docs.toDF(*names)
+    return numbered.mapInArrow(_keeper(machine, names[docs.columns.index(text_col)]), numbered.schema).toDF(*docs.columns)

@@ -74,6 +74,49 @@ def test_exact_dedup_keeps_one_of_each(odd):
     assert kept[0].asDict().keys() == set(odd.columns)
 
 
+@pytest.fixture(scope="module")
+def clashing(odd):
+    names = ("_own", "_time", "_source", "_whole", "_cut", "_dropped", "_row", "_of", "_carry", "_digest", "_salt", "_start", "row", "null", "source_size", "target", "kept", "component_id", "epochs", "k", "n", "a", "b", "p", "_score", "score", "shard", "x.y")
+    return odd.withColumns({c: F.lit(i) for i, c in enumerate(names)})
+
+
+KEEPERS = [lambda d: exact.keep_one(d), lambda d: minhash.keep_one(d), lambda d: mixing.mixed(d), lambda d: toxicity.keep_clean(d, toxicity.Grammar([]))]
+
+
+@pytest.mark.parametrize("keeper", range(len(KEEPERS)))
+def test_stages_keep_all_columns_whatever_their_names(keeper, clashing):
+    out = KEEPERS[keeper](clashing)
+    assert out.dtypes == clashing.dtypes
+    whole = {repr(r) for r in clashing.collect()}
+    got = [repr(r) for r in out.collect()]
+    assert got and set(got) <= whole
+    # Null ids stay in near deduplication; a repeated row is one of a group of equal texts.
+    n = {0: 4, 1: 5, 3: 8}.get(keeper)
+    assert n is None or len(got) == n
+    assert KEEPERS[keeper](clashing.limit(0)).count() == 0
+    assert KEEPERS[keeper](clashing.limit(0)).columns == clashing.columns
+
+
+def test_stages_handle_texts_over_a_step(spark):
+    long = " ".join(f"w{i * 7919 % 100_003}" for i in range(400_000))
+    assert len(long) > common.STEP_BYTES
+    rows = [(1, long), (2, long), (3, long + " and one more"), (4, "short"), (5, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in exact.keep_one(docs).collect()) == [1, 3, 4, 5]
+    assert sorted(r.doc_id for r in minhash.keep_one(docs).collect()) == [1, 4, 5]
+    assert {r.doc_id: r.size for r in mixing.mix(docs).select("doc_id", "size").collect()} == {1: 400_000, 2: 400_000, 3: 400_003, 4: 1, 5: 0}
+    assert sorted(r.doc_id for r in toxicity.keep_clean(docs, toxicity.Grammar([])).collect()) == [1, 2, 3, 4, 5]
+    assert {r.doc_id: r.n_removed for r in substring.repeated_spans(docs).collect()} == {1: 0, 2: 400_000, 3: 400_000, 4: 0, 5: 0}
+
+
+def test_keys_of_light_sources_fall_into_many_bins(spark):
+    for weight in (0.05, 0.25, 1.0):
+        keys = spark.range(200_000).select(mixing._key(F.col("id"), F.lit(weight), "s").alias("k"))
+        assert keys.distinct().count() == 200_000
+        most = keys.groupBy(F.floor(F.log("k") * mixing.BINS)).count().agg(F.max("count")).first()[0]
+        assert most < 2 * 200_000 / mixing.BINS / np.e
+
+
 def test_exact_dedup_runs_no_python(spark, docs, tmp_path):
     docs.write.parquet(str(tmp_path / "d"))
     plan = exact.exact_dedup(spark.read.parquet(str(tmp_path / "d")))._jdf.queryExecution().executedPlan().toString()
