@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that the cluster names in spark.checkpoint.dir; in one of our own only where it names none."""
+    """A reliable checkpoint in the folder that the cluster names in spark.checkpoint.dir. Where it names none, a local session
+    gets a folder of its own; a cluster, whose executors would not see it, is refused."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return df.checkpoint()
