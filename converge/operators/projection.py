@@ -2,6 +2,9 @@
 
 One exchange by entity serves all windows. Salting is not needed: an entity is one document's history, never a tenant's.
 `now` is given, so that a result does not depend on when it is computed.
+
+Payloads are JSON objects and keep their types: numbers, booleans, nulls, arrays and nested objects. An event whose payload
+is none cannot be applied; it changes no fragment and quarantines its entity until the next event that can be.
 """
 
 from __future__ import annotations
@@ -25,9 +28,16 @@ def latest_fragments(events: DataFrame, by: list[str] = KEY) -> DataFrame:
     return events.groupBy(*by, "fragment_owner").agg(best).select(*by, "fragment_owner", *[F.col(f"f.{c}").alias(c) for c in fields], (F.col("f.change_type") == "delete").alias("delete_flag"))
 
 
+def fields_of(payload: Column) -> Column:
+    """The top-level fields of a JSON object as a map to variants; null if the text is no JSON object."""
+    value = F.try_parse_json(payload)
+    return F.when(F.startswith(F.schema_of_variant(value), F.lit("OBJECT")), value.cast("map<string,variant>"))
+
+
 def _canonical(payload: Column) -> Column:
-    """JSON text with sorted keys at every level."""
-    return F.to_json(F.parse_json(payload))
+    """JSON text with sorted keys at every level; null if the text is no JSON object."""
+    value = F.try_parse_json(payload)
+    return F.when(F.startswith(F.schema_of_variant(value), F.lit("OBJECT")), F.to_json(value))
 
 
 def _decided(events: DataFrame, policy: Policy, now: Column) -> DataFrame:
@@ -35,11 +45,13 @@ def _decided(events: DataFrame, policy: Policy, now: Column) -> DataFrame:
     order = Window.partitionBy(*KEY).orderBy("seq")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     fragment = F.struct("source_version", "event_time_utc", "payload", (F.col("change_type") == "delete").alias("delete_flag"))
-    out = events
+    # Texts are read once, before the windows; what is held is canonical text.
+    out = events.withColumn("payload", _canonical(F.col("payload")))
+    applies = F.col("payload").isNotNull()
     for i, rule in enumerate(policy.rules):
-        mine = F.col("fragment_owner") == rule.owner
+        mine = applies & (F.col("fragment_owner") == rule.owner)
         out = out.withColumn(f"_f{i}", F.max_by(F.when(mine, fragment), F.when(mine, F.struct("source_version", "seq"))).over(upto))
-    out = out.withColumn("last_source_change_utc", F.max("event_time_utc").over(upto)).withColumn("entity_revision", F.row_number().over(order))
+    out = out.withColumn("last_source_change_utc", F.max(F.when(applies, F.col("event_time_utc"))).over(upto)).withColumn("entity_revision", F.row_number().over(order))
     held = [F.col(f"_f{i}") for i in range(len(policy.rules))]
     out = out.withColumn("_earliest", F.least(*[f["event_time_utc"] for f in held], F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("timestamp_ntz")))
     named = lambda conditions: F.array_compact(F.array(*[F.when(c, F.lit(r.owner)) for c, r in conditions] or [F.lit(None).cast("string")]))
@@ -49,36 +61,37 @@ def _decided(events: DataFrame, policy: Policy, now: Column) -> DataFrame:
     all_deleted = reduce(lambda a, b: a & b, [F.coalesce(f["delete_flag"], F.lit(True)) for f in held], F.lit(True)) & (present > 0)
     versions = F.array_compact(F.array(*[F.when(f.isNotNull(), F.concat_ws("=", F.lit(r.owner), f["source_version"].cast("string"))) for f, r in zip(held, policy.rules, strict=True)] or [F.lit(None).cast("string")]))
     # Payloads merge shallowly in the order of rules, so the merged payload follows from the list of payloads and its order.
-    payloads = F.array_compact(F.array(*[_canonical(f["payload"]) for f in held] or [F.lit(None).cast("string")]))
+    payloads = F.array_compact(F.array(*[f["payload"] for f in held] or [F.lit(None).cast("string")]))
     out = out.withColumn("missing", missing).withColumn("stale", stale).withColumn("_present", present).withColumn("source_versions", versions).withColumn("payloads", payloads)
     outcome = lambda status, reason, completeness: F.struct(F.lit(status).alias("status"), F.lit(reason).alias("reason_code"), completeness.alias("completeness"))
     short = F.col("_present") < len(policy.rules)
-    status = F.when(F.size("missing") > 0, outcome(PENDING, "missing_required_fragment", F.lit("partial"))).when(F.size("stale") > 0, outcome(STALE, "stale_required_fragment", F.lit("partial"))).when(all_deleted, outcome(DELETED, "all_fragments_deleted", F.lit("deleted")))
+    status = F.when(~applies, outcome(QUARANTINED, "quarantined", F.lit(None).cast("string"))).when(F.size("missing") > 0, outcome(PENDING, "missing_required_fragment", F.lit("partial"))).when(F.size("stale") > 0, outcome(STALE, "stale_required_fragment", F.lit("partial"))).when(all_deleted, outcome(DELETED, "all_fragments_deleted", F.lit("deleted")))
     if not policy.allow_partial_optional_publish:
         status = status.when(short, outcome(PENDING, "optional_publish_disabled", F.lit("partial")))
     status = status.otherwise(outcome(PUBLISHED, "published", F.when(short, F.lit("partial")).otherwise(F.lit("complete"))))
-    return out.withColumn("_s", status).select("*", "_s.status", "_s.reason_code", "_s.completeness").drop("_s")
+    # A quarantined entity keeps the completeness that it had.
+    completeness = F.coalesce(F.last("_s.completeness", ignorenulls=True).over(upto), F.lit("partial"))
+    return out.withColumn("_s", status).select("*", "_s.status", "_s.reason_code", completeness.alias("completeness")).drop("_s")
 
 
 def merged(payloads: Column) -> Column:
-    """One map of the payloads' top-level keys to their JSON values; a later payload overrides an earlier one."""
-    entries = lambda text: F.map_entries(F.from_json(text, "map<string,string>"))
-    every = F.flatten(F.transform(payloads, entries))
-    # Reversed, the first entry of a key is the one that counts.
-    keys = F.array_distinct(F.transform(every, lambda e: e["key"]))
-    last = lambda k: F.element_at(F.filter(every, lambda e: e["key"] == k), -1)["value"]
-    return F.map_from_arrays(F.array_sort(keys), F.transform(F.array_sort(keys), last))
+    """One JSON object with the payloads' top-level fields, sorted by key; a later payload overrides an earlier one."""
+    none = F.create_map().cast("map<string,variant>")
+    over = lambda held, new: F.map_concat(F.map_filter(held, lambda k, _: ~F.map_contains_key(new, k)), new)
+    whole = F.aggregate(payloads, none, lambda held, text: over(held, F.coalesce(fields_of(text), none)))
+    keys = F.array_sort(F.map_keys(whole))
+    return F.to_json(F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(whole, k))))
 
 
 def history(events: DataFrame, policy: Policy, now: Column) -> DataFrame:
     """A row per event: the entity's state and the decision after it.
 
     An event older than the fragment that is held changes nothing but is evaluated: it counts as a revision and can find
-    fragments stale. Events need seq, a total order in each entity.
+    fragments stale. Events need seq, a total order in each entity. payload is the merged payload of a publication.
     """
-    out = _decided(events, policy, now)
+    out = _decided(events, policy, now).withColumn("payload", F.when(F.col("status") == PUBLISHED, merged(F.col("payloads"))))
     # A deletion is the same if its versions are; a publication if its merged payload is.
-    digest = F.when(F.col("status") == DELETED, F.sha2(F.concat(F.lit("deleted|"), F.array_join("source_versions", ",")), 256)).when(F.col("status") == PUBLISHED, F.sha2(F.concat(F.lit("published|"), F.to_json(merged(F.col("payloads")))), 256))
+    digest = F.when(F.col("status") == DELETED, F.sha2(F.concat(F.lit("deleted|"), F.array_join("source_versions", ",")), 256)).when(F.col("status") == PUBLISHED, F.sha2(F.concat(F.lit("published|"), F.col("payload")), 256))
     out = out.withColumn("_hash", digest)
     order = Window.partitionBy(*KEY).orderBy("seq")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -86,7 +99,7 @@ def history(events: DataFrame, policy: Policy, now: Column) -> DataFrame:
     same = F.col("_hash").eqNullSafe(F.col("_last_hash")) & F.col("previous_status").eqNullSafe(F.col("status"))
     ends = F.col("status").isin(*TERMINAL)
     return out.withColumn("_step", (ends & ~same).cast("long")).select(
-        *KEY, "seq", "status", "reason_code", "completeness", "missing", "stale", "source_versions", "payloads", "entity_revision", "last_source_change_utc", "previous_status",
+        *KEY, "seq", "status", "reason_code", "completeness", "missing", "stale", "source_versions", "payloads", "payload", "entity_revision", "last_source_change_utc", "previous_status",
         F.sum("_step").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("projection_version"),
         ((F.col("status") == PUBLISHED) | ((F.col("status") == DELETED) & ~same)).alias("publish"),
         (ends & ~F.coalesce(F.col("previous_status").isin(*TERMINAL), F.lit(False))).alias("completed"),
@@ -101,13 +114,29 @@ def state(history_: DataFrame) -> DataFrame:
 
 
 def folded(events: DataFrame, policies: list[Policy], now: Column) -> tuple[DataFrame, DataFrame]:
-    """History of all events that have a policy, and those that have none, which are quarantined with a reason."""
+    """History of all events that have a policy, and the events that cannot be applied, with status and reason_code.
+
+    These have no policy, or no JSON object as their payload; the latter are in the history as well, as quarantined.
+    """
     with_policy = resolved(events, policies)
     parts = [history(with_policy.where(F.col("policy_at") == i).drop("policy_at"), p, now) for i, p in enumerate(policies)]
-    lost = with_policy.where("policy_at is null").drop("policy_at").withColumn("status", F.lit(QUARANTINED)).withColumn("reason_code", F.lit("no dependency policy"))
+    reason = F.when(F.col("policy_at").isNull(), F.lit("no dependency policy")).when(_canonical(F.col("payload")).isNull(), F.lit("payload is not a JSON object"))
+    lost = with_policy.withColumn("reason_code", reason).where("reason_code is not null").drop("policy_at").withColumn("status", F.lit(QUARANTINED))
     return reduce(DataFrame.unionByName, parts), lost
 
 
+def looked_up(states: DataFrame, keys: DataFrame) -> DataFrame:
+    """The states of the entities that keys (the columns of KEY) names, once each; keys that have no state are missing."""
+    return states.join(keys.select(*KEY).distinct(), KEY, "left_semi")
+
+
+def with_fragments(states: DataFrame, fragments: DataFrame) -> DataFrame:
+    """States with `fragments`, an array of their latest fragments by owner; empty without any. Both sides lie by KEY."""
+    nested = fragments.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("fragment_owner", "source_version", "payload", "delete_flag"))).alias("fragments"))
+    empty = F.array().cast(nested.schema["fragments"].dataType)
+    return states.join(nested, KEY, "left").withColumn("fragments", F.coalesce("fragments", empty))
+
+
 def pending(states: DataFrame) -> DataFrame:
     """One row: how many entities are neither published nor deleted."""
     return states.agg(F.count_if(~F.col("status").isin(*TERMINAL)).alias("pending_count"))
@@ -115,7 +144,7 @@ def pending(states: DataFrame) -> DataFrame:
 
 def documents(history_: DataFrame) -> DataFrame:
     """The search documents that the history publishes, a deletion with the payload {"is_deleted": true}."""
-    body = F.when(F.col("status") == DELETED, F.lit('{"is_deleted":"true"}')).otherwise(F.to_json(merged(F.col("payloads"))))
+    body = F.when(F.col("status") == DELETED, F.lit('{"is_deleted":true}')).otherwise(F.col("payload"))
     return history_.where("publish").select(*KEY, "seq", F.col("logical_entity_id").alias("document_id"), "projection_version", F.col("completeness").alias("completeness_status"), "source_versions", body.alias("payload"))
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from converge.operators.projection import DELETED, PUBLISHED, TERMINAL
@@ -65,6 +66,31 @@ def backfill(history: DataFrame, events: DataFrame, start: int = 0) -> DataFrame
     return ingested.join(F.broadcast(counts)).join(F.broadcast(left))
 
 
+def watermarks(events: DataFrame, by: list[str]) -> DataFrame:
+    """The last seq of each source that a backfill has read: `by`, watermark."""
+    return events.groupBy(*by).agg(F.max("seq").alias("watermark"))
+
+
+def after_watermarks(events: DataFrame, marks: DataFrame, by: list[str]) -> DataFrame:
+    """The events that a stream takes over: those after their source's watermark, and all of a source that has none."""
+    return events.join(marks, by, "left").where("watermark is null or seq > watermark")
+
+
+def save_position(spark: SparkSession, path: str, position: int) -> None:
+    """The number of events that a backfill is done with; replaces what the folder held."""
+    spark.range(position, position + 1).toDF("position").write.mode("overwrite").parquet(path)
+
+
+def load_position(spark: SparkSession, path: str) -> int:
+    """The saved position, 0 if none was saved."""
+    try:
+        return spark.read.parquet(path).agg(F.max("position")).first()[0] or 0
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+
+
 def admission(events: DataFrame, states: DataFrame, pending: int, most_pending: int = 100_000) -> DataFrame:
     """Events with accepted and reason_code, for one micro-batch whose number of pending entities is known at its start.
 

@@ -27,15 +27,15 @@ def fragment_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def projection_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _text(_history(spark, sf_dir).drop("payloads", "age_ms"))
+    return _text(_history(spark, sf_dir).drop("payloads", "payload", "age_ms"))
 
 
 def projection_history_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _text(_history(spark, sf_dir, PARTIAL).drop("payloads", "age_ms"))
+    return _text(_history(spark, sf_dir, PARTIAL).drop("payloads", "payload", "age_ms"))
 
 
 def projection_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _text(p.state(_history(spark, sf_dir).drop("payloads", "age_ms")))
+    return _text(p.state(_history(spark, sf_dir).drop("payloads", "payload", "age_ms")))
 
 
 def pending_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,58 @@ def pending_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def publish_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = p.documents(_history(spark, sf_dir, PARTIAL))
-    return docs.select("document_id", "tenant_id", "seq", "projection_version", "completeness_status", F.coalesce(F.get_json_object("payload", "$.k"), F.lit("deleted")).alias("k"))
+    return docs.select("document_id", "tenant_id", "seq", "projection_version", "completeness_status", "payload")
+
+
+def _typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change events with payloads of all types: a number that is text in some events, nesting, arrays, null and booleans."""
+    k = F.col("seq").cast("string")
+    number = F.when(F.col("seq") % 2 == 0, k).otherwise(F.concat(F.lit('"'), k, F.lit('"')))
+    own = F.when(F.col("fragment_owner") == "document_core", F.concat(F.lit('{"n":'), number, F.lit(',"core":{"deep":[1,{"x":null}],"on":true}}'))).when(
+        F.col("fragment_owner") == "customer_profile", F.concat(F.lit('{"n":'), (F.col("seq") % 2).cast("string"), F.lit(',"list":[1,"1",false],"none":null}'))
+    ).otherwise(F.concat(F.lit('{"tags":["a","b"],"ratio":0.5,"k":'), k, F.lit("}")))
+    return change_events(spark, sf_dir).withColumn("payload", own)
+
+
+def merged_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole payloads of what is published, with their types, and the versions that follow from them."""
+    docs = p.documents(p.history(_typed_events(spark, sf_dir), PARTIAL, now()))
+    return docs.select("document_id", "seq", "projection_version", "payload")
+
+
+def _with_bad_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = F.when(F.col("seq") % 21 == 0, F.lit("{broken")).when(F.col("seq") % 21 == 7, F.lit("[1]")).when(F.col("seq") % 21 == 14, F.lit(None).cast("string"))
+    return change_events(spark, sf_dir).withColumn("payload", F.when(F.col("seq") % 7 == 0, bad).otherwise(F.col("payload")))
+
+
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of events of which every seventh cannot be applied, and no job ends for it."""
+    return _text(p.history(_with_bad_payloads(spark, sf_dir), STRICT, now()).drop("payloads", "payload", "age_ms"))
+
+
+def quarantined_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that cannot be applied, with the reason: a payload that is no object, or no policy."""
+    e = _with_bad_payloads(spark, sf_dir).withColumn("entity_type", F.when(F.col("seq") % 5 == 0, F.lit("unknown")).otherwise(F.col("entity_type")))
+    return p.folded(e, [STRICT, PARTIAL], now())[1].select("seq", "status", "reason_code")
+
+
+def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of the entity with the smallest id of each tenant."""
+    keys = change_events(spark, sf_dir).groupBy("tenant_id", "domain_name", "entity_type").agg(F.min("logical_entity_id").alias("logical_entity_id"))
+    return p.looked_up(p.state(_history(spark, sf_dir)), keys).select("tenant_id", "logical_entity_id", "status", "projection_version")
+
+
+def state_with_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = p.with_fragments(p.state(_history(spark, sf_dir)), p.latest_fragments(change_events(spark, sf_dir)))
+    listed = F.array_join(F.transform("fragments", lambda f: F.concat_ws("=", f["fragment_owner"], f["source_version"].cast("string"))), ",")
+    return whole.select("tenant_id", "logical_entity_id", "status", listed.alias("fragments"))
+
+
+def handoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream takes over after a backfill: each tenant's events after the watermark of the first half of its days."""
+    e = change_events(spark, sf_dir)
+    marks = reports.watermarks(e.where("event_time_utc < timestamp_ntz'2024-01-16 00:00:00'"), ["tenant_id"])
+    return reports.after_watermarks(e, marks, ["tenant_id"]).groupBy("tenant_id").agg(F.count("*").alias("events"), F.min("seq").alias("first_seq"), F.max("watermark").alias("watermark"))
 
 
 def current_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,21 +135,26 @@ def admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("reason_code", "accepted").agg(F.count("*").alias("events"))
 
 
-QUERIES = {f.__name__: f for f in (fragment_latest, projection_history, projection_history_partial, projection_state, pending_count, publish_documents, current_documents, bulk_requests, time_to_completeness, policy_resolution, backfill_summary, admission)}
+QUERIES = {f.__name__: f for f in (fragment_latest, projection_history, projection_history_partial, projection_state, pending_count, publish_documents, merged_payload, quarantine, quarantined_events, state_lookup, state_with_fragments, handoff, current_documents, bulk_requests, time_to_completeness, policy_resolution, backfill_summary, admission)}
+
 
+def _fold(partial: bool, events: str = "change_events", merged: str = "coalesce(f2.p, f1.p, f0.p)") -> str:
+    """The fold as SQL: fragments after each event, what they decide, and versions by the last digest.
 
-def _fold(partial: bool, events: str = "change_events") -> str:
-    """The fold as SQL: fragments after each event, what they decide, and versions by the last digest."""
+    An event whose column `bad` is true, where there is one, cannot be applied. merged: the payload of all fragments; those
+    of the shared tables have the same single key.
+    """
     held = ",\n".join(
-        f"max_by(CASE WHEN fragment_owner = '{r.owner}' THEN {{'v': source_version, 't': event_time_utc, 'p': payload, 'd': change_type = 'delete'}} END, CASE WHEN fragment_owner = '{r.owner}' THEN row(source_version, seq) END) OVER w AS f{i}"
+        f"max_by(CASE WHEN fragment_owner = '{r.owner}' AND NOT bad THEN {{'v': source_version, 't': event_time_utc, 'p': payload, 'd': change_type = 'delete'}} END, CASE WHEN fragment_owner = '{r.owner}' AND NOT bad THEN row(source_version, seq) END) OVER w AS f{i}"
         for i, r in enumerate(RULES)
     )
     key = "tenant_id, domain_name, entity_type, logical_entity_id"
     last = "WHEN f2 IS NULL THEN {'s': 'pending_required_fragment', 'r': 'optional_publish_disabled', 'c': 'partial'}" if not partial else ""
     return f"""
-f AS (SELECT *, {held}, max(event_time_utc) OVER w AS last_source_change_utc, row_number() OVER w AS entity_revision
-  FROM {events} WINDOW w AS (PARTITION BY {key} ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+f AS (SELECT *, {held}, max(CASE WHEN NOT bad THEN event_time_utc END) OVER w AS last_source_change_utc, row_number() OVER w AS entity_revision
+  FROM (SELECT *, coalesce(try_cast(payload AS JSON) IS NULL OR json_type(try_cast(payload AS JSON)) <> 'OBJECT', true) AS bad FROM {events}) WINDOW w AS (PARTITION BY {key} ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 d AS (SELECT *, CASE
+    WHEN bad THEN {{'s': 'quarantined', 'r': 'quarantined', 'c': NULL}}
     WHEN f0 IS NULL OR f1 IS NULL THEN {{'s': 'pending_required_fragment', 'r': 'missing_required_fragment', 'c': 'partial'}}
     WHEN TIMESTAMP '{NOW}' > f0.t + INTERVAL 15 DAY THEN {{'s': 'pending_rehydration', 'r': 'stale_required_fragment', 'c': 'partial'}}
     WHEN f0.d AND f1.d AND coalesce(f2.d, true) THEN {{'s': 'deleted', 'r': 'all_fragments_deleted', 'c': 'deleted'}}
@@ -107,9 +163,9 @@ d AS (SELECT *, CASE
     concat_ws(',', CASE WHEN f0 IS NULL THEN 'document_core' END, CASE WHEN f1 IS NULL THEN 'customer_profile' END) AS missing,
     CASE WHEN TIMESTAMP '{NOW}' > f0.t + INTERVAL 15 DAY THEN 'document_core' ELSE '' END AS stale,
     concat_ws(',', CASE WHEN f0 IS NOT NULL THEN 'document_core=' || f0.v END, CASE WHEN f1 IS NOT NULL THEN 'customer_profile=' || f1.v END, CASE WHEN f2 IS NOT NULL THEN 'optional_tags=' || f2.v END) AS source_versions,
-    coalesce(f2.p, f1.p, f0.p) AS merged, least(f0.t, f1.t, f2.t) AS earliest
+    {merged} AS merged, least(f0.t, f1.t, f2.t) AS earliest
   FROM f),
-h AS (SELECT *, x.s AS status, x.r AS reason_code, x.c AS completeness, CASE x.s WHEN 'deleted' THEN 'd' || source_versions WHEN 'published' THEN 'p' || merged END AS digest FROM d),
+h AS (SELECT *, x.s AS status, x.r AS reason_code, coalesce(last_value(x.c IGNORE NULLS) OVER (PARTITION BY {key} ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'partial') AS completeness, CASE x.s WHEN 'deleted' THEN 'd' || source_versions WHEN 'published' THEN 'p' || merged END AS digest FROM d),
 l AS (SELECT *, lag(status) OVER o AS previous_status, last_value(digest IGNORE NULLS) OVER (PARTITION BY {key} ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_digest
   FROM h WINDOW o AS (PARTITION BY {key} ORDER BY seq)),
 m AS (SELECT *, status IN ('published', 'deleted') AS ends, digest IS NOT DISTINCT FROM last_digest AND status IS NOT DISTINCT FROM previous_status AS same FROM l),
@@ -124,6 +180,11 @@ _KEY = "tenant_id, domain_name, entity_type, logical_entity_id"
 _ROW = f"{_KEY}, seq, status, reason_code, completeness, missing, stale, source_versions, CAST(entity_revision AS INTEGER) AS entity_revision, last_source_change_utc, previous_status, projection_version, publish, completed"
 _STATE = f"(SELECT * FROM history QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY seq DESC) = 1)"
 _DOCS = "docs AS (SELECT *, logical_entity_id AS document_id, completeness AS completeness_status FROM history WHERE publish)"
+#: The merged payload of typed events with its keys in order; core and n come from document_core unless customer_profile has n.
+_WHOLE = """'{' || concat_ws(',', CASE WHEN f0 IS NOT NULL THEN '"core":' || (f0.p -> '$.core') END, CASE WHEN f2 IS NOT NULL THEN '"k":' || (f2.p -> '$.k') END,
+        CASE WHEN f1 IS NOT NULL THEN '"list":' || (f1.p -> '$.list') END, CASE WHEN coalesce(f1.p, f0.p) IS NOT NULL THEN '"n":' || (coalesce(f1.p, f0.p) -> '$.n') END,
+        CASE WHEN f1 IS NOT NULL THEN '"none":null' END, CASE WHEN f2 IS NOT NULL THEN '"ratio":' || (f2.p -> '$.ratio') || ',"tags":' || (f2.p -> '$.tags') END) || '}'"""
+_BAD = """spoiled AS (SELECT * REPLACE (CASE WHEN seq % 7 <> 0 THEN payload WHEN seq % 21 = 0 THEN '{broken' WHEN seq % 21 = 7 THEN '[1]' END AS payload) FROM change_events)"""
 ORACLE_SQL = {
     "fragment_latest": f"""WITH {CHANGE_EVENTS}
         SELECT {_KEY}, fragment_owner, source_version, seq, event_time_utc, payload, change_type, change_type = 'delete' AS delete_flag
@@ -132,7 +193,23 @@ ORACLE_SQL = {
     "projection_history_partial": f"WITH {CHANGE_EVENTS}, {_fold(True)} SELECT {_ROW} FROM history",
     "projection_state": f"WITH {CHANGE_EVENTS}, {_fold(False)} SELECT {_ROW} FROM {_STATE}",
     "pending_count": f"WITH {CHANGE_EVENTS}, {_fold(False)} SELECT count(*) FILTER (NOT ends) AS pending_count FROM {_STATE}",
-    "publish_documents": f"WITH {CHANGE_EVENTS}, {_fold(True)}, {_DOCS} SELECT document_id, tenant_id, seq, projection_version, completeness_status, CASE WHEN status = 'deleted' THEN 'deleted' ELSE json_extract_string(merged, '$.k') END AS k FROM docs",
+    "publish_documents": f"WITH {CHANGE_EVENTS}, {_fold(True)}, {_DOCS} SELECT document_id, tenant_id, seq, projection_version, completeness_status, CASE WHEN status = 'deleted' THEN '{{\"is_deleted\":true}}' ELSE json(merged)::VARCHAR END AS payload FROM docs",
+    "merged_payload": f"""WITH {CHANGE_EVENTS}, typed AS (
+          SELECT * REPLACE (CASE fragment_owner
+            WHEN 'document_core' THEN '{{"n":' || CASE WHEN seq % 2 = 0 THEN seq::VARCHAR ELSE '"' || seq || '"' END || ',"core":{{"deep":[1,{{"x":null}}],"on":true}}}}'
+            WHEN 'customer_profile' THEN '{{"n":' || (seq % 2) || ',"list":[1,"1",false],"none":null}}'
+            ELSE '{{"tags":["a","b"],"ratio":0.5,"k":' || seq || '}}' END AS payload) FROM change_events), {_fold(True, "typed", _WHOLE)}, {_DOCS}
+        SELECT document_id, seq, projection_version, CASE WHEN status = 'deleted' THEN '{{"is_deleted":true}}' ELSE merged END AS payload FROM docs""",
+    "quarantine": f"WITH {CHANGE_EVENTS}, {_BAD}, {_fold(False, 'spoiled')} SELECT {_ROW} FROM history",
+    "quarantined_events": f"""WITH {CHANGE_EVENTS}, {_BAD}
+        SELECT seq, 'quarantined' AS status, CASE WHEN seq % 5 = 0 THEN 'no dependency policy' ELSE 'payload is not a JSON object' END AS reason_code FROM spoiled WHERE seq % 5 = 0 OR seq % 7 = 0""",
+    "state_lookup": f"""WITH {CHANGE_EVENTS}, {_fold(False)}
+        SELECT tenant_id, logical_entity_id, status, projection_version FROM {_STATE} WHERE (tenant_id, logical_entity_id) IN (SELECT (tenant_id, min(logical_entity_id)) FROM change_events GROUP BY tenant_id)""",
+    "state_with_fragments": f"""WITH {CHANGE_EVENTS}, {_fold(False)}, latest AS (SELECT * FROM change_events QUALIFY row_number() OVER (PARTITION BY {_KEY}, fragment_owner ORDER BY source_version DESC, seq DESC) = 1)
+        SELECT tenant_id, logical_entity_id, any_value(s.status) AS status, string_agg(l.fragment_owner || '=' || l.source_version, ',' ORDER BY l.fragment_owner) AS fragments
+        FROM {_STATE} s JOIN (SELECT {_KEY}, fragment_owner, source_version FROM latest) l USING ({_KEY}) GROUP BY {_KEY}""",
+    "handoff": f"""WITH {CHANGE_EVENTS}, marks AS (SELECT tenant_id, max(seq) AS watermark FROM change_events WHERE event_time_utc < TIMESTAMP '2024-01-16 00:00:00' GROUP BY 1)
+        SELECT tenant_id, count(*) AS events, min(seq) AS first_seq, max(watermark) AS watermark FROM change_events LEFT JOIN marks USING (tenant_id) WHERE watermark IS NULL OR seq > watermark GROUP BY 1""",
     "current_documents": f"WITH {CHANGE_EVENTS}, {_fold(True)}, {_DOCS} SELECT tenant_id, document_id, completeness_status, projection_version FROM docs QUALIFY row_number() OVER (PARTITION BY tenant_id, document_id ORDER BY projection_version DESC, seq) = 1 AND completeness_status <> 'deleted'",
     "bulk_requests": f"""WITH {CHANGE_EVENTS}, {_fold(False)}, {_DOCS}
         SELECT document_id, projection_version, CASE WHEN status = 'deleted' THEN 1 ELSE 2 END::INTEGER AS n_lines, CASE WHEN status <> 'deleted' THEN projection_version END AS indexed_version, CASE WHEN status <> 'deleted' THEN document_id END AS meta_id FROM docs""",

@@ -9,24 +9,34 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from converge.operators.projection import DELETED, KEY, PENDING, PUBLISHED, STALE, TERMINAL
+from converge.operators.projection import DELETED, KEY, PENDING, PUBLISHED, QUARANTINED, STALE, TERMINAL
 from converge.policy import Policy
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUTPUT = "tenant_id string, domain_name string, entity_type string, logical_entity_id string, seq long, status string, reason_code string, completeness string, source_versions array<string>, payloads array<string>, entity_revision long, projection_version long, publish boolean"
-_FRAGMENT = "source_version long, event_time_us long, payload string, deleted boolean"
-_STATE = "status string, digest string, projection_version long, entity_revision long"
+_FRAGMENT = "source_version decimal(38,0), event_time_us long, payload string, deleted boolean"
+_STATE = "status string, completeness string, digest string, projection_version long, entity_revision long"
 
 
 def _digest(kind: str, value: object) -> str:
     return hashlib.sha256(f"{kind}|{json.dumps(value, sort_keys=True)}".encode()).hexdigest()
 
 
+def _object(payload: str | None) -> dict | None:
+    """The JSON object that the text is, else None: such an event cannot be applied."""
+    try:
+        found = json.loads(payload)
+    except (TypeError, ValueError):
+        return None
+    return found if isinstance(found, dict) else None
+
+
 class Fold(StatefulProcessor):
     def __init__(self, policy: Policy, now_us: int) -> None:
         self.policy, self.now_us = policy, now_us
@@ -52,14 +62,17 @@ class Fold(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timers: object) -> Iterator[pd.DataFrame]:
         events = pd.concat(list(rows)).sort_values("seq")
-        last, digest, version, revision = self.state.get() if self.state.exists() else (None, None, 0, 0)
+        last, partly, digest, version, revision = self.state.get() if self.state.exists() else (None, "partial", None, 0, 0)
         held = {k[0]: tuple(v) for k, v in self.fragments.iterator()}
         out = []
         for e in events.itertuples():
-            if e.fragment_owner not in held or int(e.source_version) >= held[e.fragment_owner][0]:
-                held[e.fragment_owner] = (int(e.source_version), int(pd.Timestamp(e.event_time_utc).value // 1000), e.payload, e.change_type == "delete")
+            applies = _object(e.payload) is not None
+            if applies and (e.fragment_owner not in held or e.source_version >= held[e.fragment_owner][0]):
+                held[e.fragment_owner] = (Decimal(e.source_version), int(pd.Timestamp(e.event_time_utc).value // 1000), e.payload, e.change_type == "delete")
                 self.fragments.updateValue((e.fragment_owner,), held[e.fragment_owner])
             status, reason, completeness, versions, payloads = self.decide(held)
+            if not applies:
+                status, reason, completeness = QUARANTINED, "quarantined", partly
             revision += 1
             same = True
             if status in TERMINAL:
@@ -69,9 +82,9 @@ class Fold(StatefulProcessor):
                 found = _digest("deleted", versions) if status == DELETED else _digest("published", whole)
                 same = found == digest and status == last
                 version, digest = version + (not same), found
-            last = status
+            last, partly = status, completeness
             out.append((*key, e.seq, status, reason, completeness, versions, payloads, revision, version, status == PUBLISHED or (status == DELETED and not same)))
-        self.state.update((last, digest, version, revision))
+        self.state.update((last, partly, digest, version, revision))
         yield pd.DataFrame(out, columns=[f.split()[0] for f in OUTPUT.split(", ")])
 
     def close(self) -> None:
@@ -80,5 +93,5 @@ class Fold(StatefulProcessor):
 
 def folded(events: DataFrame, policy: Policy, now_us: int) -> DataFrame:
     """A row per event, as in the batch history; the session must use the RocksDB state store."""
-    source = events.select(*KEY, "fragment_owner", events["source_version"].cast("long").alias("source_version"), "event_time_utc", "payload", "change_type", "seq")
+    source = events.select(*KEY, "fragment_owner", events["source_version"].cast("decimal(38,0)").alias("source_version"), "event_time_utc", "payload", "change_type", "seq")
     return source.groupBy(*KEY).transformWithStateInPandas(Fold(policy, now_us), OUTPUT, "Append", "None")

@@ -27,13 +27,26 @@ def current(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
     return log.groupBy(*key).agg(best.alias("d")).select(*key, *[F.col(f"d.{c}").alias(c) for c in fields]).where("completeness_status <> 'deleted'")
 
 
+def compact(spark: SparkSession, path: str, into: str, key: list[str]) -> None:
+    """Write the newest version of each key, deletions included, as one batch of a new log at `into`, which then takes the
+    place of the old one. Its batch has the largest number of the old log, so that later batches stay later."""
+    log = spark.read.parquet(path)
+    fields = [c for c in log.columns if c not in (*key, "batch")]
+    best = F.max_by(F.struct(*fields), F.struct("projection_version", -F.col("batch").cast("long")))
+    newest = log.groupBy(*key).agg(best.alias("d")).select(*key, *[F.col(f"d.{c}").alias(c) for c in fields])
+    newest.write.mode("overwrite").parquet(f"{into}/batch={log.agg(F.max(F.col('batch').cast('long'))).first()[0]}")
+
+
 def split_writer(documents_path: str, letters_path: str, failed: str):
     """A function for foreachBatch that sends rows for which the condition holds to the dead letters, all others to the log."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        batch.where(f"not ({failed})").write.mode("overwrite").parquet(f"{documents_path}/batch={batch_id}")
-        batch.where(failed).select(F.to_json(F.struct("*")).alias("payload"), F.current_timestamp().alias("failed_at")).write.mode("overwrite").parquet(f"{letters_path}/batch={batch_id}")
-        batch.unpersist()
+        try:
+            batch.where(f"not ({failed})").write.mode("overwrite").parquet(f"{documents_path}/batch={batch_id}")
+            # Nothing of the clock goes along, so a batch that is tried again writes the same.
+            batch.where(failed).select(F.to_json(F.struct("*")).alias("payload")).write.mode("overwrite").parquet(f"{letters_path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     return write

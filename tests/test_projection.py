@@ -5,11 +5,13 @@ from __future__ import annotations
 import json
 import random
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from converge.operators import projection as p
+from converge.operators import reports
 from converge.policy import Policy, Rule, checked, resolved
 from converge.streaming import fold, sinks
 
@@ -23,17 +25,28 @@ def events(n=900, entities=60, seed=3):
     return [("t", "d", "doc", f"e{r.randrange(entities)}", r.choice(["core", "core", "profile", "profile", "tags", "alien"]), r.randrange(6), i, NOW - timedelta(hours=r.randrange(170)), r.choice(["upsert", "upsert", "delete"]), json.dumps({r.choice("ab"): r.randrange(2)})) for i in range(n)]
 
 
+def read(payload):
+    try:
+        found = json.loads(payload)
+    except (TypeError, ValueError):
+        return None
+    return found if isinstance(found, dict) else None
+
+
 def plain(rows, partial):
-    """The decision table, an event at a time."""
+    """The decision table, an event at a time; one whose payload is no object quarantines its entity."""
     held, state, out = {}, {}, {}
     for _, _, _, entity, owner, version, seq, at, change, payload in rows:
         mine = held.setdefault(entity, {})
-        if owner not in mine or version >= mine[owner][0]:
-            mine[owner] = (version, at, json.loads(payload), change == "delete")
+        applies = read(payload) is not None
+        if applies and (owner not in mine or version >= mine[owner][0]):
+            mine[owner] = (version, at, read(payload), change == "delete")
         last, digest, number, revision = state.get(entity, (None, None, 0, 0))
         present = [(r.owner, mine[r.owner]) for r in RULES if r.owner in mine]
         publish = False
-        if any(r.required and r.owner not in mine for r in RULES):
+        if not applies:
+            now = ("quarantined", "quarantined")
+        elif any(r.required and r.owner not in mine for r in RULES):
             now = ("pending_required_fragment", "missing_required_fragment")
         elif any(r.required and r.freshness_ttl_seconds and NOW - mine[r.owner][1] > timedelta(seconds=r.freshness_ttl_seconds) for r in RULES):
             now = ("pending_rehydration", "stale_required_fragment")
@@ -62,6 +75,46 @@ def test_history(spark, partial):
     assert got == plain(rows, partial)
 
 
+def spoiled(rows):
+    """Numbers and texts that look alike, nesting, arrays, nulls and booleans; some payloads that are no objects."""
+    r = random.Random(8)
+    kinds = ['{"n":1}', '{"n":"1"}', '{"n":1,"b":{"c":[2,{"x":null}]}}', '{"l":[true,false]}', '{"l":null}', "{}", "{broken", "[1]", "7", None]
+    return [(*e[:-1], r.choice(kinds)) for e in rows]
+
+
+def test_bad_payloads_quarantine_and_types_stay(spark):
+    rows = spoiled(events())
+    history = p.history(spark.createDataFrame(rows, SCHEMA), Policy("doc", RULES, "d", True), F.lit(NOW))
+    got = {r.seq: (r.status, r.reason_code, r.projection_version, r.publish, r.entity_revision) for r in history.collect()}
+    assert got == plain(rows, True)
+    held, wanted = {}, {}
+    for _, _, _, entity, owner, version, seq, _, _, payload in rows:
+        mine = held.setdefault(entity, {})
+        if read(payload) is not None and (owner not in mine or version >= mine[owner][0]):
+            mine[owner] = (version, read(payload))
+        wanted[seq] = {k: v for r in RULES if r.owner in mine for k, v in mine[r.owner][1].items()}
+    docs = p.documents(history).collect()
+    assert any(d.completeness_status == "deleted" for d in docs)
+    for d in docs:
+        assert json.loads(d.payload) == ({"is_deleted": True} if d.completeness_status == "deleted" else wanted[d.seq])
+        assert type(json.loads(d.payload).get("n")) is type(wanted[d.seq].get("n")) or d.completeness_status == "deleted"
+
+
+def test_events_that_cannot_be_applied_are_told_with_a_reason(spark):
+    rows = [("t", "d", "doc", "e", "core", 1, 0, NOW, "upsert", "{}"), ("t", "d", "doc", "e", "core", 1, 1, NOW, "upsert", "no"), ("t", "d", "other", "e", "core", 1, 2, NOW, "upsert", "{}")]
+    whole, lost = p.folded(spark.createDataFrame(rows, SCHEMA), [Policy("doc", RULES, "d")], F.lit(NOW))
+    assert {r.seq: r.reason_code for r in lost.collect()} == {1: "payload is not a JSON object", 2: "no dependency policy"}
+    assert {r.seq: r.status for r in whole.collect()} == {0: "pending_required_fragment", 1: "quarantined"}
+
+
+def test_positions_are_saved_and_loaded(spark, tmp_path):
+    path = str(tmp_path / "position")
+    assert reports.load_position(spark, path) == 0
+    for n in (5, 50_000):
+        reports.save_position(spark, path, n)
+        assert reports.load_position(spark, path) == n
+
+
 def test_history_shuffles_once_and_stays_in_the_jvm(spark, tmp_path):
     # Read from a file: rows of Python objects would bring a Python node of their own.
     spark.createDataFrame(events(50), SCHEMA).write.parquet(str(tmp_path / "e"))
@@ -70,11 +123,13 @@ def test_history_shuffles_once_and_stays_in_the_jvm(spark, tmp_path):
 
 
 def test_stream_decides_as_the_batch(spark, tmp_path):
-    rows = events(300, 20)
+    # Versions of 80 bits, and some payloads that are no objects.
+    rows = [(*e[:5], e[5] + (1 << 79), *e[6:]) for e in spoiled(events(300, 20))]
+    wide = SCHEMA.replace("source_version long", "source_version decimal(38,0)")
     for k in range(3):
-        spark.createDataFrame(rows[k * 100 : k * 100 + 100], SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        spark.createDataFrame([(*e[:5], Decimal(e[5]), *e[6:]) for e in rows[k * 100 : k * 100 + 100]], wide).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     policy = Policy("doc", RULES, "d", True)
-    stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(wide).parquet(str(tmp_path / "in"))
     now_us = int((NOW - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
     query = fold.folded(stream, policy, now_us).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     query.awaitTermination(240)
@@ -99,3 +154,7 @@ def test_newest_version_wins_and_a_retried_batch_changes_nothing(spark, tmp_path
         for k, rows in enumerate(batches):
             write(spark.createDataFrame(rows, schema), k)
     assert [(r.document_id, r.payload) for r in sinks.current(spark, path, ["document_id"]).collect()] == [("a", "new")]
+    sinks.compact(spark, path, str(tmp_path / "new"), ["document_id"])
+    again = spark.read.parquet(str(tmp_path / "new"))
+    assert {(r.document_id, r.projection_version, r.batch) for r in again.collect()} == {("a", 2, 1), ("b", 2, 1)}
+    assert [(r.document_id, r.payload) for r in sinks.current(spark, str(tmp_path / "new"), ["document_id"]).collect()] == [("a", "new")]
