@@ -1,20 +1,24 @@
 """OData filters and orders as Spark columns.
 
 A filter is read by a small recursive-descent parser: `or` binds loosest, then `and`, then `not`. Comparisons are two-valued:
-`ne` and `not` also match rows whose field is null. Predicates at the top level push down to the scan.
+`ne` and `not` also match rows whose field is null. Predicates at the top level push down to the scan. With the schema of
+the table, literals are read as the type of their column, and those that cannot be are refused when the filter is read.
 """
 
 from __future__ import annotations
 
 import re
+import datetime
+import decimal
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-Literal = str | int | float | bool
+Literal = str | int | float | bool | decimal.Decimal | datetime.date | datetime.datetime
 
 _TOKEN = re.compile(
     r"\s*(?:(?P<text>'(?:[^']|'')*')|(?P<punct>[(),])|(?P<word>[^\s(),']+))",
@@ -33,6 +37,8 @@ _COMPARE = {
 class Token:
     kind: str
     text: str
+    start: int
+    end: int
 
 
 def tokens(expression: str) -> list[Token]:
@@ -41,7 +47,7 @@ def tokens(expression: str) -> list[Token]:
         m = _TOKEN.match(expression, at)
         if not m:
             raise ValueError(f"cannot read the filter from {expression[at:]!r}")
-        found.append(Token(m.lastgroup, m.group(m.lastgroup)))
+        found.append(Token(m.lastgroup, m.group(m.lastgroup), *m.span(m.lastgroup)))
         at = m.end()
     return found
 
@@ -61,9 +67,36 @@ def literal(token: Token) -> Literal:
     return word
 
 
+def typed(token: Token, kind: T.DataType | None) -> Literal:
+    """The literal as a value of the column's type, or as it is written if that is not known."""
+    value = literal(token)
+    if kind is None:
+        return value
+    text = value if token.kind == "text" else token.text
+    try:
+        if isinstance(kind, T.BooleanType):
+            return {"true": True, "false": False}[text.lower()]
+        if isinstance(kind, T.NumericType):
+            number = decimal.Decimal(text)
+            if not number.is_finite():
+                raise ValueError
+            # A whole number stays one, so that a comparison reaches the scan of a column of any numeric type.
+            return int(number) if number == int(number) and not isinstance(kind, T.FractionalType) else number if isinstance(kind, T.DecimalType) else float(text)
+        if isinstance(kind, T.DateType):
+            return datetime.date.fromisoformat(text)
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            at = datetime.datetime.fromisoformat(text)
+            utc = at.astimezone(datetime.timezone.utc) if at.tzinfo else at.replace(tzinfo=datetime.timezone.utc)
+            return utc.replace(tzinfo=None) if isinstance(kind, T.TimestampNTZType) else utc
+    except (ValueError, KeyError, decimal.InvalidOperation):
+        raise ValueError(f"{token.text} is no value of type {kind.simpleString()}") from None
+    return text
+
+
 class _Parser:
-    def __init__(self, expression: str, fields: Mapping[str, str]) -> None:
+    def __init__(self, expression: str, fields: Mapping[str, str], schema: T.StructType | None = None) -> None:
         self.expression, self.fields = expression, fields
+        self.kinds = {f.name: f.dataType for f in schema} if schema else {}
         self.left = tokens(expression)[::-1]
         if not self.left:
             raise ValueError("empty OData filter expression")
@@ -100,8 +133,8 @@ class _Parser:
 
     def one(self) -> Column:
         if self.word("not"):
-            self.take()
-            if (after := self.peek()) is not None and after.text == "(" and re.search(r"not\(", self.expression, re.IGNORECASE):
+            negation = self.take()
+            if (after := self.peek()) is not None and after.kind == "punct" and after.text == "(" and after.start == negation.end:
                 raise ValueError(f"unsupported OData filter expression: {self.expression}")
             # Under a negation a null comparison is false, not unknown.
             return ~F.coalesce(self.one(), F.lit(False))
@@ -120,17 +153,22 @@ class _Parser:
         value = self.take()
         if value.kind == "punct":
             raise ValueError(f"unsupported OData filter expression: {self.expression}")
-        return _COMPARE[operator](self.column(token.text), F.lit(literal(value)))
+        return _COMPARE[operator](self.column(token.text), F.lit(self.value(token.text, value)))
+
+    def value(self, name: str, token: Token) -> Literal:
+        return typed(token, self.kinds.get(mapped(name, self.fields)))
 
     def member(self) -> Column:
         self.take("(")
-        column = self.column(self.take().text)
+        name = self.take().text
+        column = self.column(name)
         self.take(",")
         listed = self.take()
         self.take(")")
         if listed.kind != "text":
             raise ValueError(f"unsupported OData filter expression: {self.expression}")
-        return column.isin(*[v.strip() for v in literal(listed).split(",") if v.strip()])
+        listed = [Token("text", "'" + v.strip().replace("'", "''") + "'", 0, 0) for v in literal(listed).split(",") if v.strip()]
+        return column.isin(*[self.value(name, v) for v in listed])
 
 
 def mapped(name: str, fields: Mapping[str, str]) -> str:
@@ -139,8 +177,9 @@ def mapped(name: str, fields: Mapping[str, str]) -> str:
     return fields[name]
 
 
-def predicate(expression: str, fields: Mapping[str, str]) -> Column:
-    parser = _Parser(expression.strip(), fields)
+def predicate(expression: str, fields: Mapping[str, str], schema: T.StructType | None = None) -> Column:
+    """The filter as a column; schema: of the table that it is for, by which literals are read."""
+    parser = _Parser(expression.strip(), fields, schema)
     found = parser.any()
     if parser.peek() is not None:
         raise ValueError(f"unsupported OData filter expression: {expression}")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from converge.functions.text import quoted
+
 META = ["document_id", "tenant_id", "domain_name", "entity_type", "projection_version", "completeness_status", "source_versions"]
 
 
@@ -25,6 +27,18 @@ def bulk_lines(documents: DataFrame, index: Column) -> DataFrame:
     return documents.select("document_id", "projection_version", lines.alias("lines"))
 
 
+def single_requests(documents: DataFrame, index: Column) -> DataFrame:
+    """One request for each document: document_id, projection_version, method, path (with its parameters) and body.
+
+    A deletion has no body. The version is given from outside, so the index refuses older ones, whatever order requests
+    arrive in, and a request that is sent again changes nothing.
+    """
+    gone = F.col("completeness_status") == "deleted"
+    path = F.concat(F.lit("/"), quoted(index), F.lit("/_doc/"), quoted(F.col("document_id")))
+    params = F.concat(F.lit("?routing="), quoted(F.col("tenant_id")), F.lit("&version="), F.col("projection_version").cast("string"), F.lit("&version_type=external"))
+    return documents.select("document_id", "projection_version", F.when(gone, "DELETE").otherwise("PUT").alias("method"), F.concat(path, params).alias("path"), F.when(~gone, body(F.col("payload"))).alias("body"))
+
+
 def write_bulk(lines: DataFrame, path: str) -> None:
     """NDJSON files, the lines of a document together."""
     lines.select(F.concat_ws("\n", "lines").alias("value")).write.mode("append").text(path)

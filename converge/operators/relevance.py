@@ -52,6 +52,21 @@ def overlap(primary: Column, shadow: Column, k: int = K) -> dict[str, Column]:
     return {"overlap_at_k": shared, "overlap_rate_at_k": shared / F.greatest(F.size(a), F.size(b), F.lit(1)), "identical_order": a == b}
 
 
+def paired(primary: DataFrame, shadow: DataFrame, request: str = "request_id") -> DataFrame:
+    """Responses (request, query_id, retrieved) of both sides to the same request; requests that only one answered are left out."""
+    other = shadow.select(request, F.col("retrieved").alias("shadow"))
+    return primary.withColumnRenamed("retrieved", "primary").join(other, request)
+
+
+def frozen(decisions: DataFrame, by: list[str]) -> DataFrame:
+    """Decisions (seq, code and by) with frozen: whether an earlier one of the same `by` showed a regression.
+
+    One aggregate finds the first regression of each, so no log is read in order; the first regression itself still ran.
+    """
+    first = decisions.where("code is not null").groupBy(*by).agg(F.min("seq").alias("_first"))
+    return decisions.join(first, by, "left").withColumn("frozen", F.coalesce(F.col("seq") > F.col("_first"), F.lit(False))).drop("_first")
+
+
 def gate(pairs: DataFrame, k: int = K, least_overlap: float = OVERLAP, least_ndcg: float = NDCG, largest_drop: float = DROP, least_mrr: float = MRR) -> DataFrame:
     """code and severity of the regression that a pair of rankings shows, null if none.
 

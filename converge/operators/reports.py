@@ -46,24 +46,46 @@ def counter_deltas(after: DataFrame, before: DataFrame) -> DataFrame:
     return joined.select("name", "tags", (F.col("value") - F.coalesce("_before", F.lit(0))).alias("delta")).where("delta <> 0")
 
 
-def failure_runs(requests: DataFrame, by: str, threshold: int = 5) -> DataFrame:
-    """Runs of consecutive failures: `by`, first_seq, last_seq, failures, opened (whether a circuit breaker would open)."""
-    order = Window.partitionBy(by).orderBy("seq")
+#: Values of seq that one task orders.
+SPAN = 1_000_000
+
+
+def failure_runs(requests: DataFrame, by: str, threshold: int = 5, span: int = SPAN) -> DataFrame:
+    """Runs of consecutive failures: `by`, first_seq, last_seq, failures, opened (whether a circuit breaker would open).
+
+    Each stretch of `span` values of seq finds its own runs. Stretches, a few rows each, are then put in order for each
+    `by`: a run that ends one and one that begins the next are the same if no success lies between them.
+    """
+    log = requests.select(by, "seq", "ok", F.floor(F.col("seq") / span).alias("_span"))
+    order = Window.partitionBy(by, "_span").orderBy("seq")
     run = F.sum(F.col("ok").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    failed = requests.withColumn("_run", run).where("not ok")
-    return failed.groupBy(by, "_run").agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.count("*").alias("failures")).withColumn("opened", F.col("failures") >= threshold).drop("_run")
+    runs = log.withColumn("_run", run).groupBy(by, "_span", "_run").agg(F.min(F.when(~F.col("ok"), F.col("seq"))).alias("first_seq"), F.max(F.when(~F.col("ok"), F.col("seq"))).alias("last_seq"), F.count_if(~F.col("ok")).alias("failures"), F.min("seq").alias("_from"), F.min("ok").alias("_broken"))
+    # Only what touches a seam can go on: the first run of a stretch, if nothing succeeded before it, and the last.
+    last = F.max("_run").over(Window.partitionBy(by, "_span"))
+    edge = runs.withColumn("_last", last)
+    inner = edge.where("_run > 0 and _run < _last and failures > 0").select(by, "first_seq", "last_seq", "failures")
+    seams = edge.where("_run = 0 or _run = _last").withColumn("_starts", (F.col("_run") > 0).cast("int"))
+    joined = seams.withColumn("_chain", F.sum("_starts").over(Window.partitionBy(by).orderBy("_from").rowsBetween(Window.unboundedPreceding, 0)))
+    outer = joined.groupBy(by, "_chain").agg(F.min("first_seq").alias("first_seq"), F.max("last_seq").alias("last_seq"), F.sum("failures").alias("failures")).where("failures > 0")
+    return inner.unionByName(outer.drop("_chain")).withColumn("opened", F.col("failures") >= threshold)
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """A report, a few rows, as one JSON file below path."""
+    report.coalesce(1).write.mode("overwrite").json(path)
 
 
 def backfill(history: DataFrame, events: DataFrame, start: int = 0) -> DataFrame:
-    """One row of counters over the events from `start` on; last_event_time_utc is that of the last one, not the latest."""
-    seen = events.where(F.col("seq") >= start)
-    rows = history.where(F.col("seq") >= start)
-    counts = rows.agg(F.count_if(F.col("publish") & (F.col("status") == PUBLISHED)).alias("published_documents"), F.count_if(F.col("publish") & (F.col("status") == DELETED)).alias("deleted_documents"))
-    ingested = seen.agg(F.count("*").alias("ingested_events"), F.max_by("event_time_utc", "seq").alias("last_event_time_utc"))
-    last = history.groupBy("tenant_id", "domain_name", "entity_type", "logical_entity_id").agg(F.max_by("status", "seq").alias("status"))
-    left = last.agg(F.count_if(~F.col("status").isin(*TERMINAL)).alias("pending_documents"))
-    # Three rows of one each.
-    return ingested.join(F.broadcast(counts)).join(F.broadcast(left))
+    """One row of counters over the events from `start` on; last_event_time_utc is that of the last one, not the latest.
+
+    The history, a row for each event, is read once: entities count what they published and which state is their last.
+    """
+    since, published = F.col("seq") >= start, F.col("publish")
+    each = history.groupBy("tenant_id", "domain_name", "entity_type", "logical_entity_id").agg(F.count_if(since & published & (F.col("status") == PUBLISHED)).alias("published"), F.count_if(since & published & (F.col("status") == DELETED)).alias("deleted"), F.max_by("status", "seq").alias("status"))
+    counts = each.agg(F.coalesce(F.sum("published"), F.lit(0)).alias("published_documents"), F.coalesce(F.sum("deleted"), F.lit(0)).alias("deleted_documents"), F.count_if(~F.col("status").isin(*TERMINAL)).alias("pending_documents"))
+    ingested = events.where(since).agg(F.count("*").alias("ingested_events"), F.max_by("event_time_utc", "seq").alias("last_event_time_utc"))
+    # Two rows of one each.
+    return ingested.join(F.broadcast(counts))
 
 
 def watermarks(events: DataFrame, by: list[str]) -> DataFrame:

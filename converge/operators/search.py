@@ -31,18 +31,19 @@ def text_score(search: str, weights: Mapping[str, float]) -> Column:
 
 
 class Search:
-    """One request over a table.
+    """One request over a table, within one tenant if `tenant` gives the column that names it and the value; over a table
+    that is partitioned by that column, only that tenant's partition is read.
 
-    params: $search, $filter, $orderby, $top, $skip, $facets or facet, $select, $count. key: a unique column that breaks
+    params: $search (* or nothing matches everything), $filter, $orderby, $top, $skip, $facets or facet, $select, $count. key: a unique column that breaks
     ties, without which pages overlap.
     """
 
-    def __init__(self, table: DataFrame, params: Mapping[str, str], fields: Mapping[str, str], key: str, weights: Mapping[str, float] = WEIGHTS) -> None:
+    def __init__(self, table: DataFrame, params: Mapping[str, str], fields: Mapping[str, str], key: str, weights: Mapping[str, float] = WEIGHTS, tenant: tuple[str, str] | None = None) -> None:
         self.params, self.fields, self.key = params, fields, key
-        rows = table
+        rows = table if tenant is None else table.where(F.col(tenant[0]) == tenant[1])
         if filt := params.get("$filter"):
-            rows = rows.where(odata.predicate(filt, fields))
-        if text := params.get("$search"):
+            rows = rows.where(odata.predicate(filt, fields, table.schema))
+        if (text := params.get("$search")) and text.strip() != "*":
             rows = rows.withColumn("_score", text_score(text, {c: w for c, w in weights.items() if c in table.columns})).where("_score > 0")
         self.matched = rows
 

@@ -111,6 +111,13 @@ def bulk_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("document_id", "projection_version", F.size("lines").alias("n_lines"), F.get_json_object(F.element_at("lines", 1), "$.index.version").cast("long").alias("indexed_version"), F.get_json_object(F.element_at("lines", -1), "$._meta.document_id").alias("meta_id"))
 
 
+def single_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request for each publication, with the whole body of a document."""
+    docs = p.documents(_history(spark, sf_dir))
+    sent = publish.single_requests(docs, F.concat_ws("-", "entity_type", F.lit("write")))
+    return sent.select("document_id", "projection_version", "method", "path", F.get_json_object("body", "$._meta.completeness_status").alias("completeness"))
+
+
 def time_to_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.completion_times(_history(spark, sf_dir))
 
@@ -135,7 +142,7 @@ def admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("reason_code", "accepted").agg(F.count("*").alias("events"))
 
 
-QUERIES = {f.__name__: f for f in (fragment_latest, projection_history, projection_history_partial, projection_state, pending_count, publish_documents, merged_payload, quarantine, quarantined_events, state_lookup, state_with_fragments, handoff, current_documents, bulk_requests, time_to_completeness, policy_resolution, backfill_summary, admission)}
+QUERIES = {f.__name__: f for f in (fragment_latest, projection_history, projection_history_partial, projection_state, pending_count, publish_documents, merged_payload, quarantine, quarantined_events, state_lookup, state_with_fragments, handoff, current_documents, bulk_requests, single_requests, time_to_completeness, policy_resolution, backfill_summary, admission)}
 
 
 def _fold(partial: bool, events: str = "change_events", merged: str = "coalesce(f2.p, f1.p, f0.p)") -> str:
@@ -213,6 +220,9 @@ ORACLE_SQL = {
     "current_documents": f"WITH {CHANGE_EVENTS}, {_fold(True)}, {_DOCS} SELECT tenant_id, document_id, completeness_status, projection_version FROM docs QUALIFY row_number() OVER (PARTITION BY tenant_id, document_id ORDER BY projection_version DESC, seq) = 1 AND completeness_status <> 'deleted'",
     "bulk_requests": f"""WITH {CHANGE_EVENTS}, {_fold(False)}, {_DOCS}
         SELECT document_id, projection_version, CASE WHEN status = 'deleted' THEN 1 ELSE 2 END::INTEGER AS n_lines, CASE WHEN status <> 'deleted' THEN projection_version END AS indexed_version, CASE WHEN status <> 'deleted' THEN document_id END AS meta_id FROM docs""",
+    "single_requests": f"""WITH {CHANGE_EVENTS}, {_fold(False)}, {_DOCS}
+        SELECT document_id, projection_version, CASE WHEN status = 'deleted' THEN 'DELETE' ELSE 'PUT' END AS method,
+               '/customerDocument-write/_doc/' || document_id || '?routing=' || tenant_id || '&version=' || projection_version || '&version_type=external' AS path, CASE WHEN status <> 'deleted' THEN completeness_status END AS completeness FROM docs""",
     "time_to_completeness": f"WITH {CHANGE_EVENTS}, {_fold(False)} SELECT {_KEY}, seq, status, completeness, previous_status, greatest(0, epoch_us(TIMESTAMP '{NOW}') // 1000 - epoch_us(earliest) // 1000) AS time_to_completeness_ms FROM history WHERE completed",
     "policy_resolution": f"WITH {CHANGE_EVENTS} SELECT CASE WHEN seq % 5 = 0 THEN NULL WHEN seq % 3 = 0 THEN 1 ELSE 0 END::INTEGER AS policy_at, count(*) AS events FROM change_events GROUP BY 1",
     "backfill_summary": f"""WITH {CHANGE_EVENTS}, {_fold(False)}

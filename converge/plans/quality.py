@@ -37,6 +37,26 @@ def shadow_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(relevance.gate(rankings(spark, sf_dir)).drop("overlap_rate_at_k", "identical_order"))
 
 
+def shadow_gate_unjudged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without judgments only the overlap of the two rankings decides."""
+    return _rounded(relevance.gate(rankings(spark, sf_dir).withColumn("judged", F.lit(None).cast("map<string,double>"))).select("query_id", "overlap_rate_at_k", "code", "severity"))
+
+
+def shadow_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses of both sides to the same requests; the shadow did not answer the first query by name."""
+    r = rankings(spark, sf_dir).withColumn("request_id", F.md5("query_id"))
+    first = r.agg(F.min("query_id").alias("_first"))
+    answered = r.join(F.broadcast(first)).where("query_id <> _first").select("request_id", F.col("shadow").alias("retrieved"))
+    pairs = relevance.paired(r.select("request_id", "query_id", F.col("primary").alias("retrieved")), answered)
+    return pairs.select("request_id", "query_id", relevance.overlap(F.col("primary"), F.col("shadow"))["overlap_at_k"].alias("overlap_at_k"))
+
+
+def canary_freeze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of each backend that ran before its canary was frozen by the first slow failure, and after."""
+    e = requests(spark, sf_dir).withColumn("code", F.when(~F.col("ok") & (F.col("latency_ms") > 50), F.lit("shadow_relevance_regression")))
+    return relevance.frozen(e.select("seq", "backend", "code"), ["backend"]).groupBy("backend", "frozen").agg(F.count("*").alias("requests"), F.min("seq").alias("first_seq"))
+
+
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A log per nation: two steps of the search track and one of the backend; every third leaps, every fifth names nobody."""
     n = table(spark, sf_dir, "nation").select(F.col("n_name").alias("domain_name"), F.col("n_nationkey").alias("k"))
@@ -84,7 +104,7 @@ def failure_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.failure_runs(requests(spark, sf_dir), "backend", threshold=3)
 
 
-QUERIES = {f.__name__: f for f in (ndcg_at_10, mrr, overlap_at_k, corpus_report, shadow_gate, cutover_latest, cutover_illegal, latency_percentiles, error_samples, case_expansion, counters, counter_deltas, failure_runs)}
+QUERIES = {f.__name__: f for f in (ndcg_at_10, mrr, overlap_at_k, corpus_report, shadow_gate, shadow_gate_unjudged, shadow_pairs, canary_freeze, cutover_latest, cutover_illegal, latency_percentiles, error_samples, case_expansion, counters, counter_deltas, failure_runs)}
 _S, _B = cutover.SEARCH, cutover.BACKEND
 _LOG = f"""
 log AS (
@@ -105,6 +125,12 @@ ORACLE_SQL = {
         SELECT a.lang AS query_id, coalesce(o.n, 0)::INTEGER AS overlap_at_k, round(a.ndcg, 9) AS primary_ndcg, round(b.ndcg, 9) AS shadow_ndcg, round(a.mrr, 9) AS primary_mrr, round(b.mrr, 9) AS shadow_mrr,
                CASE WHEN b.ndcg < 0.85 OR a.ndcg - b.ndcg > 0.1 OR b.mrr < 0.5 THEN 'shadow_relevance_regression' END AS code, CASE WHEN b.ndcg < 0.85 OR a.ndcg - b.ndcg > 0.1 OR b.mrr < 0.5 THEN 'high' END AS severity
         FROM measures a JOIN measures b USING (lang) LEFT JOIN o USING (lang) WHERE a.side = 'primary' AND b.side = 'shadow'""",
+    "shadow_gate_unjudged": f"""WITH {RANKINGS}, o AS (SELECT lang, (SELECT count(*) FROM p JOIN s USING (lang, doc_id) WHERE p.r <= 10 AND s.r <= 10 AND lang = langs.lang)::DOUBLE / (SELECT count(*) FROM p WHERE r <= 10 AND lang = langs.lang) AS rate FROM langs)
+        SELECT lang AS query_id, round(rate, 9) AS overlap_rate_at_k, CASE WHEN rate < 0.5 THEN 'shadow_overlap_regression' END AS code, CASE WHEN rate < 0.5 THEN 'medium' END AS severity FROM o""",
+    "shadow_pairs": f"""WITH {RANKINGS} SELECT md5(lang) AS request_id, lang AS query_id, (SELECT count(*) FROM p JOIN s USING (lang, doc_id) WHERE p.r <= 10 AND s.r <= 10 AND lang = langs.lang)::INTEGER AS overlap_at_k
+        FROM langs WHERE lang <> (SELECT min(lang) FROM langs)""",
+    "canary_freeze": f"""WITH {REQUESTS}, f AS (SELECT backend, min(seq) AS first FROM requests WHERE NOT ok AND latency_ms > 50 GROUP BY 1)
+        SELECT backend, coalesce(seq > first, false) AS frozen, count(*) AS requests, min(seq) AS first_seq FROM requests LEFT JOIN f USING (backend) GROUP BY 1, 2""",
     "cutover_latest": f"SELECT n_name AS domain_name, '{_B[1]}' AS backend_state, '{_S[1]}' AS search_state FROM nation",
     "cutover_illegal": f"""WITH {_LOG}
         SELECT domain_name, seq, track, CASE WHEN seq = 4 AND k % 3 = 0 THEN 'not_from_current_state' WHEN seq = 2 AND k % 3 = 0 THEN 'illegal_transition' ELSE 'missing_operator_or_reason' END AS problem

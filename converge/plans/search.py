@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from converge.functions import routing
+from converge.functions import routing, text
 from converge.operators.search import Search
 from converge.plans.inputs import ORDER_FIELDS, table
 
@@ -72,7 +72,43 @@ def canary_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("consumer_id", routing.traffic_bucket(both).alias("bucket"), routing.in_canary(F.col("tenant_id"), F.col("consumer_id"), 20).alias("in_canary"), (routing.traffic_bucket(shadow) < 50).alias("observed"))
 
 
-QUERIES = {f.__name__: f for f in (odata_filter_and_or_not, odata_search_in, odata_not_equal, odata_orderby_page, odata_top_default, odata_facets, odata_count, tenant_routing, ingest_partition, canary_bucket, text_search)}
+def odata_typed_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Literals of other types than their columns: a number for a text, texts for a number and a time, a fraction for an integer."""
+    orders = table(spark, sf_dir, "orders").withColumn("code", (F.col("o_orderkey") % 7).cast("string")).withColumn("number", (F.col("o_custkey") % 11).cast("int"))
+    fields = ORDER_FIELDS | {"Code": "code", "Number": "number"}
+    found = Search(orders, {"$filter": "(Code eq 5 or search.in(Number, '3, 4')) and TotalPrice gt '100000' and OrderDate ge '1995-01-01' and Number lt 8.5"}, fields, "o_orderkey").matched
+    return found.select("o_orderkey", "code", "number")
+
+
+def odata_quoted_not(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders(spark, sf_dir, filter="not (Status eq 'F') and Priority ne 'not(x'").matched.select("o_orderkey")
+
+
+def odata_search_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """$search=* matches everything; the filter still holds."""
+    return _orders(spark, sf_dir, search="*", filter="Status eq 'O'").count()
+
+
+def odata_top_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page of more rows than one may have."""
+    return _orders(spark, sf_dir, orderby="TotalPrice desc", top="5000", select="Key").page()
+
+
+def tenant_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The open orders of one tenant, by size."""
+    orders = table(spark, sf_dir, "orders").withColumn("tenant_id", F.concat(F.lit("tenant-"), (F.col("o_custkey") % 10).cast("string")))
+    return Search(orders, {"$filter": "Status eq 'O'"}, ORDER_FIELDS, "o_orderkey", tenant=("tenant_id", "tenant-3")).matched.select("tenant_id", "o_orderkey")
+
+
+def names_and_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collection names, quoted paths and flags from the texts of parts and their containers."""
+    p = table(spark, sf_dir, "part")
+    flag = F.when(F.col("p_partkey") % 5 == 0, " YES ").when(F.col("p_partkey") % 5 == 1, "on").when(F.col("p_partkey") % 5 == 2, "true").when(F.col("p_partkey") % 5 == 3, "no")
+    odd = F.concat(F.col("p_name"), F.lit(" é/*~+&?"), F.col("p_type"))
+    return p.select("p_partkey", text.collection_name("cutover", odd, "events").alias("collection"), text.quoted(odd).alias("quoted"), text.truth(flag).alias("requested"), text.truth(flag, text.SETTING_TRUE).alias("set"))
+
+
+QUERIES = {f.__name__: f for f in (odata_typed_literals, odata_quoted_not, odata_search_all, odata_top_clamp, tenant_scope, names_and_flags, odata_filter_and_or_not, odata_search_in, odata_not_equal, odata_orderby_page, odata_top_default, odata_facets, odata_count, tenant_routing, ingest_partition, canary_bucket, text_search)}
 
 _SHA = "((('0x' || substr(h, 1, 32))::UHUGEINT % n) * (('0xffffffffffffffffffffffffffffffff'::UHUGEINT % n + 1) % n) + ('0x' || substr(h, 33, 32))::UHUGEINT % n) % n"
 ORACLE_SQL = {
@@ -80,6 +116,14 @@ ORACLE_SQL = {
     "odata_search_in": "SELECT * FROM orders WHERE o_orderstatus IN ('O', 'P') AND o_totalprice <= 250000.5",
     "odata_not_equal": "SELECT o_orderkey, s AS o_orderstatus FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END AS s FROM orders) WHERE s IS DISTINCT FROM 'F' AND s IS DISTINCT FROM 'O'",
     "odata_orderby_page": f"SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders WHERE {_WHERE} ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey LIMIT 50 OFFSET 20",
+    "odata_typed_literals": "SELECT o_orderkey, (o_orderkey % 7)::VARCHAR AS code, (o_custkey % 11)::INTEGER AS number FROM orders WHERE (o_orderkey % 7 = 5 OR o_custkey % 11 IN (3, 4)) AND o_totalprice > 100000 AND o_orderdate >= DATE '1995-01-01' AND o_custkey % 11 < 8.5",
+    "odata_quoted_not": "SELECT o_orderkey FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F' AND o_orderpriority IS DISTINCT FROM 'not(x'",
+    "odata_search_all": "SELECT count(*) AS total FROM orders WHERE o_orderstatus = 'O'",
+    "odata_top_clamp": "SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 1000",
+    "tenant_scope": "SELECT 'tenant-' || o_custkey % 10 AS tenant_id, o_orderkey FROM orders WHERE o_custkey % 10 = 3 AND o_orderstatus = 'O'",
+    "names_and_flags": """
+        SELECT p_partkey, 'cutover__' || regexp_replace(odd, '[^0-9A-Za-z_-]+', '_', 'g') || '__events' AS collection, url_encode(odd) AS quoted, p_partkey % 5 IN (0, 2) AS requested, p_partkey % 5 IN (0, 1, 2) AS "set"
+        FROM (SELECT p_partkey, p_name || ' é/*~+&?' || p_type AS odd FROM part)""",
     "odata_top_default": "SELECT o_orderkey FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 10",
     "odata_facets": f"""
         SELECT * FROM (SELECT 'o_orderstatus' AS field, o_orderstatus AS value, count(*) AS n FROM orders WHERE {_WHERE} GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 10)

@@ -33,6 +33,14 @@ def table(spark):
         ("Active eq true", [1]),
         ("Active ne TRUE", [2, 3, 4]),
         ("Tier ge 3.5", [1, 3]),
+        ("Tier eq '4'", [1]),
+        ("Status eq 5", []),
+        ("Status ne 5", [1, 2, 3, 4]),
+        ("search.in(Tier, '4, 9')", [1, 3]),
+        ("not (Status eq 'ACTIVE') and Author ne 'not(x'", [3, 4]),
+        ("Tier eq abc", None),
+        ("Active eq 'maybe'", None),
+        ("Tier eq nan", None),
         ("status_ eq 1", None),
         ("Status eq", None),
         ("(Status eq 'A'", None),
@@ -45,17 +53,26 @@ def table(spark):
 def test_filter(table, filter_, ids):
     if ids is None:
         with pytest.raises(ValueError):
-            table.where(odata.predicate(filter_, FIELDS)).collect()
+            table.where(odata.predicate(filter_, FIELDS, table.schema)).collect()
     else:
-        assert sorted(r.id for r in table.where(odata.predicate(filter_, FIELDS)).collect()) == ids
+        assert sorted(r.id for r in table.where(odata.predicate(filter_, FIELDS, table.schema)).collect()) == ids
 
 
 def test_comparisons_reach_the_scan(spark, table, tmp_path):
     table.write.parquet(str(tmp_path / "t"))
-    plan = spark.read.parquet(str(tmp_path / "t")).where(odata.predicate("Tier gt 3 and Status ne 'CLOSED'", FIELDS))._jdf.queryExecution().toString()
+    plan = spark.read.parquet(str(tmp_path / "t")).where(odata.predicate("Tier gt '3' and Status ne 'CLOSED'", FIELDS, table.schema))._jdf.queryExecution().toString()
     assert "GreaterThan(tier,3)" in plan and "Not(EqualNullSafe(status,CLOSED))" in plan
 
 
+def test_a_tenant_reads_its_partition_only(spark, table, tmp_path):
+    table.where("region is not null").write.partitionBy("region").parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    found = Search(stored, {"$search": "*"}, FIELDS, "id", tenant=("region", "EU")).matched
+    assert sorted(r.id for r in found.collect()) == [1, 2]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(region" in plan and "= EU)" in plan
+
+
 def test_pages(table):
     ids = lambda **p: [r.id for r in Search(table, {f"${k}": v for k, v in p.items()}, FIELDS, "id").page().collect()]
     assert ids(orderby="Tier desc") == [3, 1, 2, 4]

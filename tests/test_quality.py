@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import random
 
 import pytest
 
@@ -28,6 +29,37 @@ def test_gate(spark):
     assert got == {"fine": (None, None), "worse": ("shadow_relevance_regression", "high"), "apart": ("shadow_overlap_regression", "medium"), "near": (None, None)}
 
 
+def test_runs_over_seams(spark):
+    r = random.Random(4)
+    rows = [(f"b{i % 3}", i, r.random() < 0.4) for i in range(600)]
+    wanted = []
+    for b in ("b0", "b1", "b2"):
+        run = []
+        for _, seq, ok in [x for x in rows if x[0] == b] + [(b, None, True)]:
+            if ok:
+                wanted += [(b, run[0], run[-1], len(run), len(run) >= 3)] if run else []
+                run = []
+            else:
+                run.append(seq)
+    df = spark.createDataFrame(rows, "backend string, seq long, ok boolean")
+    for span in (1, 7, 50, 10**6):
+        got = reports.failure_runs(df, "backend", 3, span)
+        assert sorted(map(tuple, got.select("backend", "first_seq", "last_seq", "failures", "opened").collect())) == sorted(wanted)
+
+
+def test_pairs_and_freeze(spark):
+    side = lambda *rows: spark.createDataFrame(rows, "request_id string, query_id string, retrieved array<string>")
+    got = relevance.paired(side(("a", "q", ["1"]), ("b", "q", ["2"])), side(("b", "q", ["3"]), ("c", "q", [])))
+    assert [(r.request_id, r.primary, r.shadow) for r in got.collect()] == [("b", ["2"], ["3"])]
+    log = spark.createDataFrame([("x", 1, None), ("x", 2, "bad"), ("x", 3, None), ("y", 4, None)], "kind string, seq long, code string")
+    assert {r.seq: r.frozen for r in relevance.frozen(log, ["kind"]).collect()} == {1: False, 2: False, 3: True, 4: False}
+
+
+def test_report_file(spark, tmp_path):
+    reports.write_report(spark.createDataFrame([(3,)], "total_requests long"), str(tmp_path / "r"))
+    assert [json.loads(x.value) for x in spark.read.text(str(tmp_path / "r")).collect()] == [{"total_requests": 3}]
+
+
 def test_percentiles_of_one_and_none(spark):
     schema = "latency_ms double, ok boolean, result_count long"
     one = reports.latency(spark.createDataFrame([(5.0, True, 2)], schema)).first()
