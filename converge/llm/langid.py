@@ -1,9 +1,10 @@
 """Language identification by unigram pieces, with the segmentation summed out.
 
-The pieces are those of a fixed public vocabulary, at most MAX_BYTES bytes long, and every single byte. Each language has
-its own probability of each piece, learned by expectation maximisation over the words of labelled documents. A word's
-probability in a language is the sum over all its segmentations into pieces, by the forward algorithm; a text's is the
-product over its words. Words are the runs of ASCII letters, lower-cased, and of bytes outside ASCII, with a mark in front.
+The pieces are all of a fixed public vocabulary that are made of letters, whatever their length, and every single byte.
+Each language has its own probability of each piece, learned by expectation maximisation over the words of labelled
+documents. A word's probability in a language is the sum over all its segmentations into pieces, by the forward algorithm;
+a text's is the product over its words. Words are the runs of ASCII letters, lower-cased, and of bytes outside ASCII, with a
+mark in front. They are scored whole: sums are scaled on the way, so a word of any length stays within range.
 """
 
 from __future__ import annotations
@@ -19,15 +20,15 @@ from pyspark.sql import functions as F
 from converge.llm import common
 from converge.llm.common import U64
 
-#: Longest piece in bytes, so that a piece is one 64-bit number.
-MAX_BYTES = 8
 #: Bound on the labelled rows that the probabilities are learned from, drawn by a hash of the id.
 TRAIN_ROWS = 8000
 ITERATIONS = 2
 #: Least probability of a single byte, and of any piece that a language was seen without.
 FLOOR = 1e-6
-#: Longer words are scored in stretches of so many bytes, which keeps products within floating-point range.
-STRETCH = 40
+#: Bytes of a word after which sums are scaled: FLOOR to this power is far within floating-point range.
+SCALED = 32
+#: Bytes of the words that are scored together, about.
+BLOCK_BYTES = 1 << 18
 #: Stands for the start of a word in pieces; not a byte of any word.
 MARK = 1
 STEP = 8 << 20
@@ -44,8 +45,8 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def vocabulary(path: str | None = None) -> np.ndarray:
-    """The pieces as sorted 64-bit numbers, the first byte lowest: lower-cased, without those longer than MAX_BYTES."""
+def vocabulary(path: str | None = None) -> list[bytes]:
+    """The pieces in order, lower-cased, and every single byte."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path or vocabulary_path())
@@ -53,95 +54,156 @@ def vocabulary(path: str | None = None) -> np.ndarray:
     for i in range(model.get_piece_size()):
         if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)):
             piece = common.lower_ascii(np.frombuffer(model.id_to_piece(i).replace("▁", chr(MARK)).encode(), np.uint8))
-            if len(piece) <= MAX_BYTES and (_WORD[piece] | (piece == MARK)).all():
+            if (_WORD[piece] | (piece == MARK)).all():
                 found.add(piece.tobytes())
-    return np.array(sorted(int.from_bytes(p, "little") for p in found), dtype=U64)
-
-
-class _Table:
-    """Piece numbers by key: two small open tables, and a search for the few keys that fit in neither."""
-
-    def __init__(self, keys: np.ndarray) -> None:
-        self.none = len(keys)
-        self.bits = max(12, int(len(keys) * 8).bit_length())
-        self.levels = []
-        left = np.arange(len(keys))
-        for factor in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
-            slots = self.slot(keys[left], factor)
-            table = np.full(1 << self.bits, U64(0xFFFFFFFFFFFFFFFF))
-            number = np.full(1 << self.bits, self.none, dtype=np.int64)
-            _, first = np.unique(slots, return_index=True)
-            table[slots[first]] = keys[left[first]]
-            number[slots[first]] = left[first]
-            self.levels.append((factor, table, number))
-            left = np.delete(left, first)
-        self.rest_keys, self.rest = keys[left], left
-
-    def slot(self, keys: np.ndarray, factor: int) -> np.ndarray:
-        return ((keys * U64(factor)) >> U64(64 - self.bits)).astype(np.int64)
+    return sorted(found)
+
+
+_BASE = 0x9E3779B97F4A7C15
+
+
+class _Endings:
+    """All endings of all pieces by a 64-bit hash of their bytes, read from the last to the first, in an open table.
+
+    number: the piece that an ending is, or `none`. more: whether a longer ending goes on from it.
+    """
+
+    def __init__(self, pieces: list[bytes]) -> None:
+        self.none, self.longest = len(pieces), max(map(len, pieces))
+        found: dict[int, list[int]] = {}
+        for k, piece in enumerate(pieces):
+            key = 0
+            for n, byte in enumerate(reversed(piece)):
+                key = (key * _BASE + byte + 1) & 0xFFFFFFFFFFFFFFFF
+                node = found.setdefault(key, [self.none, 0])
+                if n + 1 < len(piece):
+                    node[1] = 1
+                else:
+                    node[0] = k
+        keys = np.array(list(found), dtype=U64)
+        values = np.array(list(found.values()), dtype=np.int32).reshape(-1, 2)
+        self.bits = max(12, int(len(keys) * 4).bit_length())
+        self.keys = np.zeros(1 << self.bits, dtype=U64)
+        self.number = np.full(1 << self.bits, self.none, dtype=np.int32)
+        self.more = np.zeros(1 << self.bits, dtype=bool)
+        left, self.probes = np.arange(len(keys)), 0
+        while len(left):
+            slots = self.slot(keys[left], self.probes)
+            free = np.flatnonzero(self.keys[slots] == 0)
+            slots, first = np.unique(slots[free], return_index=True)
+            put = left[free[first]]
+            self.keys[slots], self.number[slots], self.more[slots] = keys[put], values[put, 0], values[put, 1] > 0
+            left, self.probes = np.setdiff1d(left, put, assume_unique=True), self.probes + 1
+
+    def slot(self, keys: np.ndarray, probe: int) -> np.ndarray:
+        return ((keys * U64(0xC2B2AE3D27D4EB4F + 2 * probe * 0x165667B19E3779F9 & 0xFFFFFFFFFFFFFFFF)) >> U64(64 - self.bits)).astype(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        factor, table, number = self.levels[0]
-        slots = self.slot(keys, factor)
-        out = np.where(table[slots] == keys, number[slots], self.none)
-        miss = np.flatnonzero(out == self.none)
-        factor, table, number = self.levels[1]
-        slots = self.slot(keys[miss], factor)
-        out[miss] = np.where(table[slots] == keys[miss], number[slots], self.none)
-        for k, n in zip(self.rest_keys, self.rest, strict=True):
-            out[keys == k] = n
+        """Slots of the keys, -1 for one that is no ending. A key lies at its first probe or where all before are taken."""
+        slots = self.slot(keys, 0)
+        there = self.keys[slots]
+        out = np.where(there == keys, slots, -1)
+        left = np.flatnonzero((there != keys) & (there != 0))
+        for probe in range(1, self.probes):
+            if not len(left):
+                break
+            slots = self.slot(keys[left], probe)
+            there = self.keys[slots]
+            hit = there == keys[left]
+            out[left[hit]] = slots[hit]
+            left = left[~hit & (there != 0)]
         return out
 
 
 class Segmenter:
     """Piece probabilities of one or more languages: a row for each piece, a column for each language."""
 
-    def __init__(self, keys: np.ndarray, probabilities: np.ndarray) -> None:
-        self.table = _Table(keys)
-        self.p = np.vstack([probabilities, np.zeros((1, probabilities.shape[1]))])
+    def __init__(self, pieces: list[bytes], probabilities: np.ndarray, endings: _Endings | None = None) -> None:
+        self.endings, self.p = endings or _Endings(pieces), probabilities
+
+    def _lookups(self, words: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Ends and lengths of pieces, and the words (numbers of rows) and pieces that they are in and are.
 
-    def _lookups(self, words: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-        """Ends and lengths of pieces with their numbers in each word; words is a matrix of bytes, the mark first."""
-        wide = words.astype(U64)
+        words is a matrix of bytes, the mark first, of rising lengths. A word is followed to longer pieces only while its
+        bytes are the ending of one.
+        """
+        wide = words.T.astype(U64) + U64(1)
         for end in range(1, words.shape[1] + 1):
-            key = np.zeros(len(words), U64)
-            for n in range(1, min(MAX_BYTES, end) + 1):
-                key = (key << U64(8)) | wide[:, end - n]
-                number = self.table.find(key)
-                if end > lengths.min():
-                    number[lengths < end] = self.table.none
-                yield end, n, number
-
-    def forward(self, words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        alpha = np.zeros((words.shape[1] + 1, len(words), self.p.shape[1]))
-        alpha[0] = 1
-        for end, n, number in self._lookups(words, lengths):
-            alpha[end] += alpha[end - n] * self.p[number]
-        return alpha
+            live = np.arange(np.searchsorted(lengths, end), len(words))
+            key = np.zeros(len(live), U64)
+            for n in range(1, min(self.endings.longest, end) + 1):
+                key = key * U64(_BASE) + wide[end - n, live]
+                slot = self.endings.find(key)
+                known = slot >= 0
+                if not known.all():
+                    live, key, slot = live[known], key[known], slot[known]
+                number = self.endings.number[slot]
+                hit = number != self.endings.none
+                if hit.any():
+                    yield end, n, live[hit], number[hit]
+                more = self.endings.more[slot]
+                live, key = live[more], key[more]
+                if not len(live):
+                    break
 
     def log_probabilities(self, words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        alpha = self.forward(words, lengths)
-        return np.log(np.maximum(alpha[lengths, np.arange(len(words))], 1e-300))
+        """Of words of rising lengths. Sums of the last places are divided by the newest one from time to time."""
+        deep, rows, kinds = self.endings.longest + SCALED, len(words), self.p.shape[1]
+        alpha = np.zeros((min(deep, words.shape[1] + 1), rows, kinds))
+        alpha[0] = 1
+        scale, out = np.zeros((rows, kinds)), np.zeros((rows, kinds))
+        ring, at = len(alpha), 0
+
+        def leave(end: int) -> None:
+            a, b = np.searchsorted(lengths, [end, end + 1])
+            out[a:b] = np.log(np.maximum(alpha[end % ring, a:b], 1e-300)) + scale[a:b]
+            if end % SCALED == 0:
+                top = np.maximum(alpha[end % ring], 1e-300)
+                scale[b:] += np.log(top[b:])
+                alpha[:, b:] /= top[b:]
+
+        for end, n, row, number in self._lookups(words, lengths):
+            if end != at:
+                if at:
+                    leave(at)
+                at = end
+                alpha[end % ring] = 0
+            alpha[end % ring, row] += alpha[(end - n) % ring, row] * self.p[number]
+        if at:
+            leave(at)
+        return out
 
     def expected(self, words: np.ndarray, lengths: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """Expected number of uses of each piece, in each language, over words that occur weight times."""
+        """Expected number of uses of each piece, in each language, over words (of rising lengths) that occur weight times."""
         uses = list(self._lookups(words, lengths))
-        alpha = self.forward(words, lengths)
-        rows = np.arange(len(words))
-        beta = np.zeros_like(alpha)
-        beta[lengths, rows] = weight[:, None] / np.maximum(alpha[lengths, rows], 1e-300)
-        out = np.zeros_like(self.p)
-        for end, n, number in reversed(uses):
-            beta[end - n] += beta[end] * self.p[number]
-        for end, n, number in uses:
-            used = alpha[end - n] * beta[end] * self.p[number]
+        shape = (words.shape[1] + 1, len(words), self.p.shape[1])
+        # Sums of a place, or for long words their logarithms, so that any length stays within range.
+        alpha, long = np.zeros(shape), words.shape[1] > SCALED
+        alpha[0] = 0.0 if long else 1.0
+        at = 0
+        for end, n, row, number in uses:
+            if long and end != at:
+                if at:
+                    alpha[at] = base + np.log(np.where(alpha[at] > 0, alpha[at], 1.0))
+                at, base = end, alpha[end - 1].copy()
+            before = np.exp(alpha[end - n, row] - base[row]) if long else alpha[end - n, row]
+            alpha[end, row] += before * self.p[number]
+        if long and at:
+            alpha[at] = base + np.log(np.where(alpha[at] > 0, alpha[at], 1.0))
+        # How often, on the average, a segmentation has a boundary at a place: each is reached from its piece's end.
+        met, out = np.zeros(shape), np.zeros_like(self.p)
+        met[lengths, np.arange(len(words))] = weight[:, None]
+        for end, n, row, number in reversed(uses):
+            share = np.exp(alpha[end - n, row] - alpha[end, row]) if long else alpha[end - n, row] / np.maximum(alpha[end, row], 1e-300)
+            used = share * self.p[number] * met[end, row]
+            met[end - n, row] += used
             for k in range(self.p.shape[1]):
                 out[:, k] += np.bincount(number, used[:, k], len(self.p))
-        return out[:-1]
+        return out
 
 
 def _words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased bytes, starts and lengths of words (in stretches), and the document of each."""
+    """Lower-cased bytes, starts and lengths of words, and the document of each."""
     data = common.lower_ascii(data)
     inside = _WORD[data]
     before = np.zeros(len(data), dtype=bool)
@@ -152,24 +214,25 @@ def _words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     after[off[1:][off[1:] > 0] - 1] = False
     starts = np.flatnonzero(inside & ~before)
     lengths = np.flatnonzero(inside & ~after) + 1 - starts
-    parts = -(-lengths // STRETCH)
-    if len(parts) and parts.max() > 1:
-        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        starts, lengths = np.repeat(starts, parts) + nth * STRETCH, np.minimum(np.repeat(lengths, parts) - nth * STRETCH, STRETCH)
     return data, starts, lengths, np.searchsorted(off, starts, side="right") - 1
 
 
-def _blocks(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, size: int = 8192) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Distinct words of similar lengths as matrices of bytes with the mark in front: positions, matrix, lengths."""
+def _blocks(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, size: int = BLOCK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Distinct words of rising, similar lengths as matrices of bytes with the mark in front: positions, matrix, lengths."""
     order = np.argsort(lengths, kind="stable")
-    for k in range(0, len(order), size):
-        at = order[k : k + size]
+    k = 0
+    while k < len(order):
+        shortest = int(lengths[order[k]])
+        # No word is more than about twice as long as the first, nor the matrix larger than by as much.
+        end = min(int(np.searchsorted(lengths[order], 2 * shortest + 8, side="right")), k + max(1, size // (shortest + 1)))
+        at = order[k:end]
         n = lengths[at]
         width = int(n.max())
         places = np.minimum(starts[at][:, None] + np.arange(width), len(data) - 1)
         matrix = np.full((len(at), width + 1), MARK, dtype=np.uint8)
         matrix[:, 1:] = np.where(np.arange(width) < n[:, None], data[places], 0)
         yield at, matrix, n + 1
+        k = end
 
 
 def _distinct(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,10 +241,11 @@ def _distinct(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tupl
     return first, back
 
 
-def _counter(keys: np.ndarray, languages: list[str], start: np.ndarray | None):
+def _counter(pieces: list[bytes], languages: list[str], start: np.ndarray):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((len(keys), len(languages)))
+        sums, endings = np.zeros((len(pieces), len(languages))), None
         for piece, raw, off in common.pieces(batches, "_text", STEP):
+            endings = endings or _Endings(pieces)
             data, starts, lengths, doc = _words(raw, off)
             langs = np.array([languages.index(x) for x in piece.column("_lang").to_pylist()], dtype=np.int64)
             for k in range(len(languages)):
@@ -191,7 +255,7 @@ def _counter(keys: np.ndarray, languages: list[str], start: np.ndarray | None):
                 s, n = starts[mine], lengths[mine]
                 first, back = _distinct(data, s, n)
                 times = np.bincount(back)
-                own = Segmenter(keys, np.full((len(keys), 1), 1 / len(keys)) if start is None else start[:, k : k + 1])
+                own = Segmenter(pieces, start[:, k : k + 1], endings)
                 for at, matrix, m in _blocks(data, s[first], n[first]):
                     sums[:, k] += own.expected(matrix, m, times[at].astype(float))[:, 0]
         which, lang = np.nonzero(sums)
@@ -203,8 +267,8 @@ def _counter(keys: np.ndarray, languages: list[str], start: np.ndarray | None):
 class LanguageModel:
     """Pieces with a probability in each of the languages that were learned."""
 
-    def __init__(self, keys: np.ndarray, languages: list[str], probabilities: np.ndarray) -> None:
-        self.keys, self.languages, self.probabilities = keys, languages, probabilities
+    def __init__(self, pieces: list[bytes], languages: list[str], probabilities: np.ndarray) -> None:
+        self.pieces, self.languages, self.probabilities = pieces, languages, probabilities
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows: int = TRAIN_ROWS, iterations: int = ITERATIONS, path: str | None = None) -> LanguageModel:
@@ -212,22 +276,20 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
     counts = {r["_lang"]: r["n"] for r in known.groupBy("_lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(counts)
-    keys = vocabulary(path)
+    pieces = vocabulary(path)
     if not languages:
-        return LanguageModel(keys, [], np.zeros((len(keys), 0)))
+        return LanguageModel(pieces, [], np.zeros((len(pieces), 0)))
     each = rows / len(languages)  # the rarer languages are learned from as many rows as the others, if they have them
     share = F.coalesce(*[F.when(F.col("_lang") == k, F.lit(min(1.0, each / n))) for k, n in counts.items()])
     sample = common.checkpoint(known.where(F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(1 << 20)) < share * (1 << 20)).drop("_id"))
-    start = None
+    start = np.full((len(pieces), len(languages)), 1 / len(pieces))
     for _ in range(iterations):
-        sums = np.zeros((len(keys), len(languages)))
-        for r in sample.mapInArrow(_counter(keys, languages, start), "piece long, lang long, uses double").groupBy("piece", "lang").agg(F.sum("uses").alias("uses")).collect():
+        sums = np.zeros((len(pieces), len(languages)))
+        for r in sample.mapInArrow(_counter(pieces, languages, start), "piece long, lang long, uses double").groupBy("piece", "lang").agg(F.sum("uses").alias("uses")).collect():
             sums[r["piece"], r["lang"]] = r["uses"]
-        start = sums / np.maximum(sums.sum(axis=0), 1)
-        # A piece that no language uses more than by the floor stays out of the tables.
-        useful = (start.max(axis=1) > 10 * FLOOR / len(languages)) | (keys < 256)
-        keys, start = keys[useful], np.maximum(start[useful], FLOOR)
-    return LanguageModel(keys, languages, start)
+        start = np.maximum(sums / np.maximum(sums.sum(axis=0), 1), FLOOR)
+        start /= start.sum(axis=0)
+    return LanguageModel(pieces, languages, start)
 
 
 _SCHEMA_OUT = "lang_pred string, score double"
@@ -235,7 +297,7 @@ _SCHEMA_OUT = "lang_pred string, score double"
 
 def _scorer(model: LanguageModel):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = Segmenter(model.keys, model.probabilities)
+        segmenter = Segmenter(model.pieces, model.probabilities)
         for piece, raw, off in common.pieces(batches, "_text", STEP):
             data, starts, lengths, doc = _words(raw, off)
             total = np.zeros((piece.num_rows, len(model.languages)))

@@ -321,16 +321,69 @@ def test_language_identification(spark):
     assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (-1, -2, -3))
 
 
+def _segmentations(word, pieces):
+    """Every way to write the word as pieces."""
+    if not word:
+        yield []
+    for n in range(1, len(word) + 1):
+        if word[:n] in pieces:
+            for rest in _segmentations(word[n:], pieces):
+                yield [word[:n], *rest]
+
+
+def _by_length(words):
+    words = sorted(words, key=len)
+    matrix = np.zeros((len(words), len(words[-1])), np.uint8)
+    for k, w in enumerate(words):
+        matrix[k, : len(w)] = np.frombuffer(w, np.uint8)
+    return words, matrix, np.array([len(w) for w in words])
+
+
 def test_forward_sums_all_segmentations():
-    pieces = {b"a": 0.2, b"b": 0.3, b"ab": 0.25, b"\x01": 0.5, b"\x01a": 0.1}
-    keys = sorted(int.from_bytes(p, "little") for p in pieces)
-    p = np.array([[pieces[int(k).to_bytes(8, "little").rstrip(b"\0")]] for k in keys])
-    word = np.array([[1, 97, 98]], dtype=np.uint8)
-    got = np.exp(langid.Segmenter(np.array(keys, np.uint64), p).log_probabilities(word, np.array([3])))[0, 0]
-    assert got == pytest.approx(0.5 * 0.2 * 0.3 + 0.5 * 0.25 + 0.1 * 0.3)
-    uses = langid.Segmenter(np.array(keys, np.uint64), p).expected(word, np.array([3]), np.array([2.0]))
-    by = {int(k).to_bytes(8, "little").rstrip(b"\0"): u for k, (u,) in zip(keys, uses, strict=True)}
-    assert by[b"ab"] == pytest.approx(2 * 0.125 / got)
+    """Random words and pieces, some of more than eight bytes, against every segmentation written out."""
+    r = random.Random(3)
+    pieces = sorted({b"\x01", b"a", b"b", *(bytes(r.choice(b"ab") for _ in range(n)) for n in (2, 3, 4, 9, 10, 11) for _ in range(4)), *(b"\x01" + bytes(r.choice(b"ab") for _ in range(n)) for n in (1, 2, 9))})
+    p = np.array([[r.random(), r.random()] for _ in pieces])
+    words, matrix, lengths = _by_length({b"\x01" + bytes(r.choice(b"ab") for _ in range(r.randrange(1, 12))) for _ in range(60)})
+    of = {w: k for k, w in enumerate(pieces)}
+    segmenter = langid.Segmenter(pieces, p)
+    got = segmenter.log_probabilities(matrix, lengths)
+    wanted_uses = np.zeros_like(p)
+    for k, w in enumerate(words):
+        ways = list(_segmentations(w, of))
+        each = np.array([np.prod([p[of[x]] for x in way], axis=0) for way in ways])
+        assert np.allclose(got[k], np.log(each.sum(axis=0)))
+        for way, share in zip(ways, each / each.sum(axis=0), strict=True):
+            for x in way:
+                wanted_uses[of[x]] += share * (k % 3)
+    assert np.allclose(segmenter.expected(matrix, lengths, np.arange(len(words)) % 3.0), wanted_uses)
+
+
+def test_words_of_any_length_are_scored_whole():
+    """A long word against sums in exact arithmetic, a place at a time."""
+    from fractions import Fraction
+
+    r = random.Random(5)
+    pieces = [b"\x01", b"a", b"ab", b"aba", b"b", b"bbababbab", b"\xc3\xa9", b"\xa9", b"\xc3"]
+    p = {w: r.randrange(1, 9) for w in pieces}
+    words, matrix, lengths = _by_length([b"\x01" + b"".join(r.choice([b"a", b"b", b"\xc3\xa9", b"bbababbab"]) for _ in range(n)) for n in (3, 40, 300, 700)])
+    segmenter = langid.Segmenter(pieces, np.array([[p[w] * 1e-7] for w in pieces]))
+    got = segmenter.log_probabilities(matrix, lengths)
+    uses = segmenter.expected(matrix, lengths, np.ones(len(words)))
+    total = 0.0
+    for k, w in enumerate(words):
+        alpha = [Fraction(1)]
+        for end in range(1, len(w) + 1):
+            alpha.append(sum((alpha[end - len(x)] * p[x] / 10**7 for x in pieces if w[:end].endswith(x)), Fraction(0)))
+        value = alpha[-1]
+        assert got[k, 0] == pytest.approx(_log(value), rel=1e-9)
+        total += len(w)
+    # The pieces that are used have as many bytes as the words.
+    assert sum(u * len(x) for (u,), x in zip(uses, pieces, strict=True)) == pytest.approx(total)
+
+
+def _log(value):
+    return (value.numerator.bit_length() - value.denominator.bit_length()) * np.log(2) + np.log(float(value.numerator >> max(0, value.numerator.bit_length() - 900)) / 2.0 ** (min(value.numerator.bit_length(), 900))) - np.log(float(value.denominator >> max(0, value.denominator.bit_length() - 900)) / 2.0 ** (min(value.denominator.bit_length(), 900)))
 
 
 def test_grammar():
