@@ -1,17 +1,23 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Words become symbols: insult, threat, target, negation, reported speech or other. Small transducers rewrite the symbols of
-a clause in turn, one marking what a negation governs, one what stands in reported speech and one what is aimed at a
-target; their composition is one machine, run over each clause that holds an insult or a threat. What it puts out are
-paths, such as an insult aimed at somebody or a negated threat. A text's score weighs the paths of its matched clauses.
-
-Threats, targets, negations and verbs of reporting are short fixed lists. Insults are stems learned from labelled rows:
-the starts of words (and short whole words) that distinct toxic texts hold far oftener than clean ones. The weights of the
-paths are a logistic fit on the same rows, drawn towards fixed prior weights.
+Words become symbols: insult, intensifier, threat, intent, target, negation, reported speech or other. Small transducers
+rewrite the symbols of a clause in turn: one marks what a negation governs, one what stands in reported speech, one what
+is aimed at a target before it, one insults after an intensifier and one threats after a word of intent. Their composition
+is one machine, run over each clause that holds an insult or a threat; a last one, run from the end, marks what is aimed
+at a target behind it. A clause matches with the strongest of the paths that it puts out, such as an insult aimed at
+somebody or a negated threat. A text's score weighs its matched clauses by their paths.
+
+Intensifiers, threats, intents, targets, negations and verbs of reporting are short fixed lists. Insults are stems learned
+from labelled rows: the starts of words (and short whole words) that distinct toxic texts hold far oftener than clean ones,
+by the ratio of their shares and by a test of likelihoods, with neither a share of texts that they must reach nor a limit to their number.
+Words that are negated or reported are left out of both counts, so a word that clean texts only quote is learned. The
+weights of the paths are a logistic fit on the same rows, drawn towards fixed prior weights.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,24 +31,27 @@ from converge.llm.langid import _words
 
 #: Bound on the labelled rows that stems and weights are learned from, drawn by a hash of the id.
 TRAIN_ROWS = 40_000
-#: Stem lengths in bytes, and the most stems that are kept.
-SHORTEST, LONGEST, MOST_STEMS = 3, 8, 2000
-#: A stem's share among toxic texts over that among clean ones, at least; and the share of toxic texts, at least.
-LIFT, SUPPORT = 40.0, 0.015
-#: Words after a negation that it governs.
+#: Stem lengths in bytes.
+SHORTEST, LONGEST = 3, 8
+#: A stem's share among toxic texts over that among clean ones, smoothed by half a text, at least; and the likelihood ratio
+#: (twice its logarithm) of a stem that tells toxic texts from clean ones over one that does not, at least: a chance below 1e-6.
+LIFT, RATIO = 40.0, 25.0
+#: Words after a negation that it governs, and after an intensifier or a word of intent that these bear on.
 GOVERNED = 3
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = "other", "insult", "threat", "target", "negation", "report"
-SYMBOLS = (OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, STRONG, INTENT = "other", "insult", "threat", "target", "negation", "report", "strong", "intent"
+SYMBOLS = (OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, STRONG, INTENT)
 # Word lists in English, French, German and Spanish.
 LISTS = {
     THREAT: "kill hurt destroy strangle shoot stab tuer frapper détruire étrangler töten umbringen zerstören erschießen matar golpear destruir disparar",
     TARGET: "you your yourself yours tu toi te ton ta vous votre du dich dir dein deine euch ihr usted ustedes ti tuyo vosotros",
     NEGATION: "not no never neither nor without pas jamais ni sans aucun nicht kein keine keinen nie niemals ohne nunca jamás tampoco sin",
+    STRONG: "such so total complete utter fucking damn bloody quel quelle sacré tellement totaler völlig verdammt verdammter so menudo maldito pedazo",
+    INTENT: "will gonna shall going must should ll vais va allons veux werde werden wirst soll voy vas vamos quiero debe",
     REPORT: "said says wrote writes claimed reported quoted dit écrit affirme rapporté sagte schrieb behauptet zitiert dijo escribió afirma citado",
 }
 #: Kinds of paths, with the weights that a fit starts from.
-PATHS = {"insult": 2.0, "insult aimed": 3.0, "insult negated": 0.5, "insult reported": 0.5, "threat": 0.5, "threat aimed": 2.0, "threat negated": 0.0, "threat reported": 0.0}
+PATHS = {"insult aimed": 3.0, "insult strong": 2.5, "insult": 2.0, "threat aimed": 2.0, "threat meant": 1.5, "threat": 0.5, "insult negated": 0.5, "insult reported": 0.5, "threat negated": 0.0, "threat reported": 0.0}
 BIAS = -3.0
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[10, 33, 46, 59, 63]] = True
@@ -77,23 +86,29 @@ class Transducer:
         return out
 
 
-def _marking(symbols: list[str], states: int, trigger: str, mark: str) -> Transducer:
-    """Marks insults and threats while a trigger's influence lasts: for states - 1 symbols, or for good if there are 2."""
+def _marking(states: int, trigger: str, mark: str, kinds: tuple[str, ...] = (INSULT, THREAT)) -> Transducer:
+    """Marks insults and threats that have no mark while a trigger's influence lasts: for states - 1 symbols, or for good if
+    there are 2."""
     step = {}
+    marked = [f"{k} {m}" for k in (INSULT, THREAT) for m in ("negated", "reported", "aimed", "strong", "meant")]
     for state in range(states):
-        for s in symbols:
-            hit = state > 0 and s.split()[0] in (INSULT, THREAT) and " " not in s
+        for s in [*SYMBOLS, *marked]:
             after = states - 1 if s == trigger else state if states == 2 else max(0, state - 1)
-            step[state, s] = (after, f"{s} {mark}" if hit else s)
+            step[state, s] = (after, f"{s} {mark}" if state > 0 and s in kinds else s)
     return Transducer(step)
 
 
 def grammar() -> Transducer:
-    """Negation first, so that what it governs is neither reported nor aimed; then reported speech, then the target."""
-    plain = list(SYMBOLS)
-    negated = [*plain, "insult negated", "threat negated"]
-    reported = [*negated, "insult reported", "threat reported"]
-    return _marking(plain, GOVERNED + 1, NEGATION, "negated").then(_marking(negated, 2, REPORT, "reported")).then(_marking(reported, 2, TARGET, "aimed"))
+    """Negation first, so that what it governs is neither reported nor aimed; then reported speech, the target, insult, threat."""
+    machine = _marking(GOVERNED + 1, NEGATION, "negated")
+    for part in (_marking(2, REPORT, "reported"), _marking(2, TARGET, "aimed"), _marking(GOVERNED + 1, STRONG, "strong", (INSULT,)), _marking(GOVERNED + 1, INTENT, "meant", (THREAT,))):
+        machine = machine.then(part)
+    return machine
+
+
+def backwards() -> Transducer:
+    """Run from the end of a clause: what the others left unmarked is aimed at a target behind it."""
+    return _marking(2, TARGET, "aimed")
 
 
 def _prefix_keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -116,11 +131,28 @@ def key_of(word: str, whole: bool) -> int:
     return int.from_bytes(b + (b"\x01" if whole and len(b) < LONGEST else b""), "little")
 
 
+def _shadowed(fixed: Grammar, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """True for words that stand within GOVERNED words after a negation, or anywhere after a verb of reporting, in their clause."""
+    symbols, n = fixed.symbols_of(data, starts, lengths), np.arange(len(starts))
+    clause = _clauses(data, starts, doc)
+    begin = np.maximum.accumulate(np.where(np.append(True, clause[1:] != clause[:-1]), n, 0)) if len(n) else n
+    last = lambda symbol: np.maximum.accumulate(np.where(symbols == SYMBOLS.index(symbol), n, -1)) if len(n) else n
+    negated, reported = last(NEGATION), last(REPORT)
+    return ((negated >= begin) & (n > negated) & (n - negated <= GOVERNED)) | ((reported >= begin) & (n > reported))
+
+
+def _clauses(data: np.ndarray, starts: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """A number for each word that is the same within a clause of a document only."""
+    broken = np.cumsum(_BREAK[data]) if len(data) else np.zeros(1, np.int64)
+    return broken[starts] + doc * (broken[-1] + 1) if len(starts) else np.zeros(0, np.int64)
+
+
 def _doc_keys(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (document, key) pairs."""
+    """Distinct (document, key) pairs of the words that are neither negated nor reported."""
     data, starts, lengths, doc = _words(data, off)
-    keys = _prefix_keys(data, starts, lengths)
-    flat, docs = keys.reshape(-1), np.repeat(doc, keys.shape[1])
+    plain = ~_shadowed(Grammar([]), data, starts, lengths, doc)
+    keys = _prefix_keys(data, starts[plain], lengths[plain])
+    flat, docs = keys.reshape(-1), np.repeat(doc[plain], keys.shape[1])
     order = np.lexsort((flat, docs))
     flat, docs = flat[order], docs[order]
     new = np.ones(len(flat), dtype=bool)
@@ -129,46 +161,50 @@ def _doc_keys(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return docs[new], flat[new]
 
 
-def _toxic_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, data, off in common.pieces(batches, "_text"):
-        keys, n = np.unique(_doc_keys(data, off)[1], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
-
+def _key_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many toxic and clean texts each key stands."""
+    for piece, data, off in common.pieces(batches, "_text"):
+        toxic = piece.column("_toxic").to_numpy(zero_copy_only=False).astype(np.int64)
+        docs, keys = _doc_keys(data, off)
+        found, back = np.unique(keys, return_inverse=True)
+        n = np.bincount(back, minlength=len(found))
+        bad = np.bincount(back, toxic[docs], len(found)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(bad), pa.array(n - bad)], names=["key", "toxic", "clean"])
 
-def _clean_counts(wanted: np.ndarray):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(len(wanted), dtype=np.int64)
-        for _, data, off in common.pieces(batches, "_text"):
-            keys = _doc_keys(data, off)[1]
-            at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
-            n += np.bincount(at[wanted[at] == keys], minlength=len(wanted))
-        yield pa.RecordBatch.from_arrays([pa.array(wanted[n > 0].view(np.int64)), pa.array(n[n > 0])], names=["key", "n"])
 
-    return count
+def _telling(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
+    """The keys that stand in toxic texts often enough against clean ones, and surely so."""
+    a, b = F.col("toxic"), F.col("clean")
+    lift = (a + 0.5) / (n_toxic + 1) / ((b + 0.5) / (n_clean + 1))
+    part = lambda k, n: F.when(k > 0, k * F.log(k / ((a + b) * (n / (n_toxic + n_clean))))).otherwise(0.0)
+    return counts.where((a > 0) & (lift >= LIFT) & (2 * (part(a, n_toxic) + part(b, n_clean)) >= RATIO))
 
 
-def _stems(toxic: dict[int, int], clean: dict[int, int], n_toxic: int, n_clean: int) -> list[int]:
-    """The shortest keys that are toxic enough, each grown for as long as nearly all toxic texts with it have the longer one."""
-    bytes_of = {k: k.to_bytes(8, "little").rstrip(b"\0") for k in toxic}
-    by_bytes = {b: k for k, b in bytes_of.items()}
-
-    def lift(k: int) -> float:
-        return ((toxic[k] + 0.5) / (n_toxic + 1)) / ((clean.get(k, 0) + 0.5) / (n_clean + 1))
-
+def _stems(toxic: dict[int, int]) -> list[int]:
+    """The shortest of the telling keys, each grown for as long as nearly all toxic texts with it have the longer one."""
+    by_bytes = {k.to_bytes(8, "little").rstrip(b"\0"): k for k in toxic}
     children: dict[bytes, list[bytes]] = {}
     for b in by_bytes:
         children.setdefault(b[:-1], []).append(b)
-    kept: dict[bytes, float] = {}
+    kept: set[bytes] = set()
     for b in sorted(by_bytes, key=lambda b: (len(b), b)):
-        if any(b[:n] in kept for n in range(1, len(b))) or lift(by_bytes[b]) < LIFT:
-            continue
-        kept[b] = lift(by_bytes[b])
-    grown = {}
-    for b, worth in kept.items():
+        if not any(b[:n] in kept for n in range(1, len(b))):
+            kept.add(b)
+    grown = set()
+    for b in kept:
         while more := [c for c in children.get(b, []) if toxic[by_bytes[c]] >= 0.97 * toxic[by_bytes[b]]]:
             b = max(more, key=lambda c: (toxic[by_bytes[c]], c))
-        grown[by_bytes[b]] = worth * toxic[by_bytes[b]]
-    return sorted(sorted(grown, key=lambda k: (-grown[k], k))[:MOST_STEMS])
+        grown.add(by_bytes[b])
+    return sorted(grown)
+
+
+#: Paths from the strongest down, as they are listed.
+_RANK = {path: k for k, path in enumerate(PATHS)}
+
+
+@functools.cache
+def _machines() -> tuple[Transducer, Transducer]:
+    return grammar(), backwards()
 
 
 class Grammar:
@@ -183,7 +219,7 @@ class Grammar:
             lexicon[k] = SYMBOLS.index(INSULT)
         self.keys = np.array(sorted(lexicon), dtype=U64)
         self.symbols = np.array([lexicon[int(k)] for k in self.keys], dtype=np.int8)
-        self.machine = grammar()
+        self.machine, self.backwards = _machines()
         self.weights = np.array([BIAS, *PATHS.values()]) if weights is None else weights
 
     def symbols_of(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -202,34 +238,39 @@ class Grammar:
             found = np.where(hit & (found != insult), self.symbols[at], found)
         return found[back]
 
-    def matches(self, raw: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, str]]:
-        """Matched words as document, start, end (bytes) and path."""
+    def matches(self, raw: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, str, int]]:
+        """Matched clauses as document, start of the first and end of the last insult or threat (bytes), strongest path, and
+        how many insults and threats they hold."""
         data, starts, lengths, doc = _words(raw, off)
         symbols = self.symbols_of(data, starts, lengths)
-        broken = np.cumsum(_BREAK[data]) if len(data) else np.zeros(0, np.int64)
-        clause = broken[starts] if len(starts) else broken
+        clause = _clauses(data, starts, doc)
         strong = np.flatnonzero((symbols == SYMBOLS.index(INSULT)) | (symbols == SYMBOLS.index(THREAT)))
         found, done = [], -1
         for i in strong.tolist():
             if i <= done:
                 continue
             a = b = i
-            while a > 0 and clause[a - 1] == clause[i] and doc[a - 1] == doc[i]:
+            while a > 0 and clause[a - 1] == clause[i]:
                 a -= 1
-            while b + 1 < len(symbols) and clause[b + 1] == clause[i] and doc[b + 1] == doc[i]:
+            while b + 1 < len(symbols) and clause[b + 1] == clause[i]:
                 b += 1
             done = b
-            for k, path in enumerate(self.machine.run([SYMBOLS[s] for s in symbols[a : b + 1].tolist()]), a):
-                if path in PATHS:
-                    d = int(doc[k])
-                    found.append((d, int(starts[k] - off[d]), int(starts[k] + lengths[k] - off[d]), path))
+            paths = self.paths([SYMBOLS[s] for s in symbols[a : b + 1].tolist()])
+            at = [k for k, path in enumerate(paths, a) if path in PATHS]
+            d = int(doc[i])
+            found.append((d, int(starts[at[0]] - off[d]), int(starts[at[-1]] + lengths[at[-1]] - off[d]), min((paths[k - a] for k in at), key=_RANK.__getitem__), len(at)))
         return found
 
-    def features(self, matched: list[tuple[int, int, int, str]], n: int) -> np.ndarray:
+    def paths(self, symbols: list[str]) -> list[str]:
+        """What the machines put out for the symbols of one clause."""
+        return self.backwards.run(self.machine.run(symbols)[::-1])[::-1]
+
+    def features(self, matched: list[tuple[int, int, int, str, int]], n: int) -> np.ndarray:
+        """For each path the logarithm of one more than what its clauses hold."""
         counts = np.zeros((n, 1 + len(PATHS)))
         names = list(PATHS)
-        for d, _, _, path in matched:
-            counts[d, 1 + names.index(path)] += 1
+        for d, _, _, path, held in matched:
+            counts[d, 1 + names.index(path)] += held
         counts = np.log1p(counts)
         counts[:, 0] = 1
         return counts
@@ -277,14 +318,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n_toxic, n_clean = n_of.get(1, 0), n_of.get(0, 0)
     if not n_toxic or not n_clean:
         return Grammar([])
-    least = max(3, SUPPORT * n_toxic)
-    counted = train.where("_toxic = 1").select("_text").mapInArrow(_toxic_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    toxic = {r["key"] & 0xFFFFFFFFFFFFFFFF: r["n"] for r in counted.collect()}
-    if not toxic:
-        return Grammar([])
-    wanted = np.array(sorted(toxic), dtype=U64)
-    clean = {r["key"] & 0xFFFFFFFFFFFFFFFF: r["n"] for r in train.where("_toxic = 0").select("_text").mapInArrow(_clean_counts(wanted), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect()}
-    machine = Grammar(_stems(toxic, clean, n_toxic, n_clean))
+    counts = train.mapInArrow(_key_counts, "key long, toxic long, clean long").groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    # What is telling in a sample of bounded size is bounded too: a handful of keys for each toxic text at most.
+    machine = Grammar(_stems({r["key"] & 0xFFFFFFFFFFFFFFFF: r["toxic"] for r in _telling(counts, n_toxic, n_clean).collect()}))
     measured = train.mapInArrow(_features(machine), "_toxic int, x array<double>").toPandas()
     x = np.column_stack([np.ones(len(measured)), np.array(measured["x"].tolist())])
     machine.weights = _fit_weights(x, measured["_toxic"].to_numpy(dtype=float))
@@ -297,7 +333,7 @@ def _scorer(machine: Grammar):
             matched = machine.matches(data, off)
             scores = machine.scores(machine.features(matched, piece.num_rows))
             spans: list[list[dict]] = [[] for _ in range(piece.num_rows)]
-            for d, a, b, path in matched:
+            for d, a, b, path, _ in matched:
                 spans[d].append({"start": a, "end": b, "path": path})
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("path", pa.string())]))
             yield pa.RecordBatch.from_arrays([piece.column("_id"), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)), pa.array(spans, kind)], names=["_id", "score", "predicted", "matches"])

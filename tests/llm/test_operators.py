@@ -387,13 +387,62 @@ def _log(value):
 
 
 def test_grammar():
-    machine = toxicity.grammar()
-    assert machine.run(["target", "other", "insult"]) == ["target", "other", "insult aimed"]
-    assert machine.run(["negation", "other", "insult", "other", "insult"]) == ["negation", "other", "insult negated", "other", "insult"]
-    assert machine.run(["report", "target", "threat"])[-1] == "threat reported"
     g = toxicity.Grammar([toxicity.key_of("moron", whole=False)])
-    raw = "You are a moron. He said moron! You moronic thing\nI will hurt you".encode()
-    assert [m[3] for m in g.matches(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))] == ["insult aimed", "insult reported", "insult aimed", "threat"]
+    assert g.paths(["target", "other", "insult"]) == ["target", "other", "insult aimed"]
+    assert g.paths(["insult", "target"]) == ["insult aimed", "target"]
+    assert g.paths(["negation", "other", "insult", "other", "insult"]) == ["negation", "other", "insult negated", "other", "insult"]
+    assert g.paths(["report", "target", "threat"])[-1] == "threat reported"
+    assert g.paths(["strong", "insult", "other", "intent", "threat"]) == ["strong", "insult strong", "other", "intent", "threat meant"]
+    raw = "You are a moron. He said moron! Moron, you\nI will hurt you? Such a moron; moron moron".encode()
+    assert [m[3] for m in g.matches(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))] == ["insult aimed", "insult reported", "insult aimed", "threat meant", "insult strong", "insult"]
+
+
+def test_grammar_against_a_plain_reading():
+    """What each insult and threat of random clauses is, by rules applied to the whole clause, a word at a time."""
+    r, g = random.Random(11), toxicity.Grammar([])
+    for _ in range(2000):
+        clause = [r.choice([*toxicity.SYMBOLS, "other", "other", "insult", "threat"]) for _ in range(r.randrange(1, 12))]
+        wanted = []
+        for i, s in enumerate(clause):
+            near, before, behind = clause[max(0, i - toxicity.GOVERNED) : i], clause[:i], clause[i + 1 :]
+            if s not in ("insult", "threat"):
+                wanted.append(s)
+            elif "negation" in near:
+                wanted.append(f"{s} negated")
+            elif "report" in before:
+                wanted.append(f"{s} reported")
+            elif "target" in before:
+                wanted.append(f"{s} aimed")
+            elif s == "insult" and "strong" in near:
+                wanted.append("insult strong")
+            elif s == "threat" and "intent" in near:
+                wanted.append("threat meant")
+            else:
+                wanted.append(f"{s} aimed" if "target" in behind else s)
+        assert g.paths(clause) == wanted
+
+
+def test_a_long_tail_of_insults_and_quoted_ones_are_learned(spark):
+    """Forty insults that each stand in one of eighty toxic texts, and one that clean texts hold too, but negated or reported."""
+    r = random.Random(7)
+    filler = [f"w{a}{b}" for a in "bcdfghjk" for b in "aeiou"]
+    tail = ["".join(r.choice("klmnprst") + r.choice("aeiou") for _ in range(4)) for _ in range(40)]
+    rows, labels = [], []
+    for i in range(6000):
+        w = [r.choice(filler) for _ in range(15)]
+        toxic = i % 5 == 0
+        if toxic:
+            w[r.randrange(15)] = r.choice(tail) if i % 10 else "quuxard"
+        elif i % 3 == 0:
+            w[:3] = r.choice([["said", "a", "quuxard"], ["never", "a", "quuxard"]])
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    machine = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int").where(~common.held_out("doc_id")))
+    held = [(i, t) for i, t in labels if zlib.crc32(str(i).encode()) % 5 == 0]
+    got = {x.doc_id: x.predicted for x in toxicity.score(docs, machine).collect()}
+    assert np.mean([got[i] == 1 for i, t in held if t]) > 0.95
+    assert np.mean([got[i] == 0 for i, t in held if not t]) > 0.99
 
 
 def test_toxicity_learns_stems(spark):
