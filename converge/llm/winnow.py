@@ -7,6 +7,7 @@ ones. Chosen hashes are kept with their positions. Any two texts that share K +
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -130,8 +131,9 @@ class _Compared:
         every = list(dict.fromkeys([*texts, *edited, *after]))
         raw = [t.encode() for t in every]
         off = np.concatenate([[0], np.cumsum([len(b) for b in raw])]).astype(np.int64)
-        doc, h, _ = chosen(np.frombuffer(b"".join(raw), np.uint8), off, self.k, self.window)
+        doc, h, at = chosen(np.frombuffer(b"".join(raw), np.uint8), off, self.k, self.window)
         own = dict(zip(every, _by_document(doc, h, len(every)), strict=True))
+        places = dict(zip(every, _by_document(doc, at.astype(np.int32), len(every)), strict=True))
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([r[0] for r in rows], pa.int64()),
@@ -141,8 +143,9 @@ class _Compared:
                 pa.array([digest(own[t]) for t in edited]),
                 pa.array([likeness(own[t], own[e]) for t, e in zip(texts, edited, strict=True)], pa.float64()),
                 pa.array([likeness(own[t], own[a]) for t, a in zip(texts, after, strict=True)], pa.float64()),
+                pa.array([places[t] for t in texts], pa.list_(pa.int32())),
             ],
-            names=["_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+            names=["_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "positions"],
         )
 
 
@@ -158,7 +161,8 @@ def _halved(bounds: Column):
 
 
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, window: int = WINDOW) -> DataFrame:
-    """One row per input row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    """One row per input row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
+    positions (in bytes of UTF-8, of the chosen k-grams of the text, in the order of the fingerprint's hashes).
 
     The next document is the one with the next smaller id, and after the last the first. Rows with equal ids follow in the
     order of their texts; null ids come last. The edited text has its last floor(n / 2) code points replaced by the first
@@ -169,12 +173,13 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     n = common.partitions(spark)
     # Ids that head the ranges: as many numbers as partitions, each an id of the table, the largest first.
-    cuts = source.agg(F.max("_id").alias("top"), F.percentile_approx("_id", [i / n for i in range(1, n)] or [0.5], 100 * n).alias("cuts"), F.max(F.col("_id").isNull()).alias("nulls")).first()
+    cuts = source.agg(F.max("_id").alias("top"), F.percentile_approx("_id", [i / n for i in range(1, n)] or [0.5], 10 * n).alias("cuts"), F.max(F.col("_id").isNull()).alias("nulls")).first()
     heads = sorted({cuts["top"], *(cuts["cuts"] or [])} - {None}, reverse=True)
     nulls = [len(heads)] if cuts["nulls"] else []
     last = max(0, len(heads) - 1 + len(nulls))
     # Range i has the ids from heads[i] down to above heads[i + 1]; null ids have a range of their own, after the others.
-    bounds = F.array(*[F.lit(h) for h in heads]).cast("array<bigint>")
+    # One constant of eight bytes for each partition, however many there are.
+    bounds = F.from_json(F.lit(json.dumps(heads)), "array<bigint>")
     found = F.aggregate(F.sequence(F.lit(0), F.lit(len(heads).bit_length())), F.struct(F.lit(0).alias("lo"), F.lit(len(heads)).alias("hi")), _halved(bounds), lambda x: x["lo"] - 1)
     place = F.when(F.col("_id").isNull(), F.lit(len(heads))).otherwise(found)
     heading = F.col("_id").isNull() | F.get(bounds, F.col("_part")).eqNullSafe(F.col("_id"))
@@ -183,4 +188,4 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     places = F.when(heading, F.array(own, F.struct(before.cast("int").alias("p"), F.lit(True).alias("c")))).otherwise(F.array(own))
     dealt = source.withColumn("_part", place.cast("int")).withColumn("_to", F.explode(places)).select("_id", "_text", F.col("_to.p").alias("_part"), F.col("_to.c").alias("_copy"))
     ordered = dealt.repartitionById(last + 1, F.col("_part")).sortWithinPartitions(F.col("_copy"), F.col("_id").desc_nulls_last(), "_text")
-    return ordered.mapInArrow(_Compared(k, window), "_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double").withColumnRenamed("_id", id_col)
+    return ordered.mapInArrow(_Compared(k, window), "_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, positions array<int>").withColumnRenamed("_id", id_col)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import random
 import zlib
@@ -157,7 +158,30 @@ def test_edited_texts(docs, rows):
     for i, t, *_ in rows:
         assert got[i].n_chars == len(t or "")
         assert by_text.setdefault(t or "", got[i].fingerprint) == got[i].fingerprint
-        assert 0 <= got[i].near_edited <= 1 and 0 <= got[i].near_next <= 1
+    # Fingerprints written out window by window, and what two of them share.
+    order = sorted(((i, t or "") for i, t, *_ in rows), key=lambda d: -d[0])
+    for (i, t), (_, after) in zip(order, [*order[1:], order[0]], strict=True):
+        own, changed, other = (plain_fingerprint(x) for x in (t, wanted[i], after))
+        assert [p for _, p in own] == got[i].positions and "".join(f"{h:08x}" for h, _ in own) == got[i].fingerprint
+        for near, x in ((got[i].near_edited, changed), (got[i].near_next, other)):
+            a, b = {h for h, _ in own}, {h for h, _ in x}
+            assert near == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+
+
+@functools.cache
+def plain_fingerprint(text, k=winnow.K, w=winnow.WINDOW):
+    b = text.encode()
+    if not b:
+        return []
+    data, n = np.frombuffer(b, np.uint8), max(1, len(b) - k + 1)
+    h = [int(x) >> 32 for x in common.range_hashes(common.byte_values(data), np.arange(n), np.minimum(np.arange(n) + k, len(b)))]
+    found = []
+    for s in range(max(1, n - w + 1)):
+        least = min(h[s : s + w])
+        at = max(p for p in range(s, min(s + w, n)) if h[p] == least)
+        if not found or found[-1][1] != at:
+            found.append((least, at))
+    return found
 
 
 def test_suffix_dedup(docs, rows):
