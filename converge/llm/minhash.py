@@ -4,9 +4,10 @@ Equal shingle sets are brought together first, so a text with many copies is one
 band meet in a bucket; a bucket never emits all its pairs: each member is paired with the bucket's pivot, the member that
 meets most others in all its buckets, as the original of many edited copies does. Links that are confirmed on the full
 sets are grouped, and only buckets whose members are not yet in one group go on: there every member outside of the
-bucket's largest group is paired with a pivot in it, and what still stays apart is compared in blocks, inside tasks, with
-all that it shares a band with; only links that hold on full sets leave them. So each candidate pair is confirmed, refuted
-or joined already.
+bucket's largest group is paired with a pivot in it, and what still stays apart is compared in blocks of its buckets, inside
+tasks, first by signatures and then, only what these do not refute, with texts; only links that hold on full sets leave
+them. So each candidate pair is confirmed, refuted or joined already. A pivot that meets many is given its text once for
+each MEETS of them, not once for each.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from converge.llm import common, graph
@@ -27,8 +28,8 @@ BANDS, ROWS = 24, 3
 LEAST_AGREEMENT = 0.49
 #: Bytes of text that are signed at a time: every shingle that is not settled at once has a permutation of its own.
 SIGN_BYTES = 1 << 19
-#: Documents of a block in which those that stay apart are compared.
-BLOCK = 1024
+#: Documents of a block in which those that stay apart are compared; members that a pivot's text is sent along with.
+BLOCK, MEETS = 1024, 64
 #: Ids of documents to verify that may be broadcast (8 bytes each); beyond it they are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -106,27 +107,21 @@ def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array((a == b).mean(axis=1))], names=["a", "b", "agreement"])
 
 
+def _set_of(text: bytes, width: int) -> np.ndarray:
+    return common.shingle_sets(np.frombuffer(text, np.uint8), np.array([0, len(text)]), width)[0]
+
+
+def _linked(mine: np.ndarray, theirs: np.ndarray, percent: int) -> bool:
+    shared = len(np.intersect1d(mine, theirs, assume_unique=True))
+    return 100 * shared >= percent * (len(mine) + len(theirs) - shared)
+
+
 def _verifier(percent: int, width: int):
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, min(256, batch.num_rows - k))
-                known: dict[tuple[int, bytes], np.ndarray] = {}
-
-                def sets(ids: str, texts: str, part=part, known=known) -> list[np.ndarray]:
-                    found = []
-                    for key in zip(part.column(ids).to_pylist(), part.column(texts).to_pylist(), strict=True):
-                        if key not in known:
-                            data = np.frombuffer(key[1], np.uint8)
-                            known[key] = common.shingle_sets(data, np.array([0, len(data)]), width)[0]
-                        found.append(known[key])
-                    return found
-
-                linked = []
-                for x, y in zip(sets("a", "ta"), sets("b", "tb"), strict=True):
-                    common_size = len(np.intersect1d(x, y, assume_unique=True))
-                    linked.append(100 * common_size >= percent * (len(x) + len(y) - common_size))
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(linked))
+    def verify(members: pa.Table, pivots: pa.Table) -> pa.Table:
+        """Links of one pivot with some of its members; ids that have several texts count with all of them."""
+        own = [_set_of(t, width) for t in pivots["pivot"].to_pylist()]
+        held = [any(_linked(x, y, percent) for x in own) for y in (_set_of(t, width) for t in members["text"].to_pylist())]
+        return members.select(["a", "b"]).filter(pa.array(held, pa.bool_()))
 
     return verify
 
@@ -146,11 +141,12 @@ class _Links:
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (already stored) whose full sets are similar enough."""
         ids = pairs.select("a").union(pairs.select("b")).distinct().toDF("_id")
-        texts = self.texts.join(F.broadcast(ids) if 2 * pairs.count() <= BROADCAST_IDS else ids, "_id", "left_semi")
-        with_a = pairs.join(texts.select(F.col("_id").alias("a"), F.col("_text").alias("ta")), "a")
-        both = with_a.join(texts.select(F.col("_id").alias("b"), F.col("_text").alias("tb")), "b")
-        as_bytes = both.select("a", "b", F.encode("ta", "UTF-8").alias("ta"), F.encode("tb", "UTF-8").alias("tb"))
-        return as_bytes.mapInArrow(_verifier(self.percent, self.width), "a long, b long")
+        texts = self.texts.join(F.broadcast(ids) if 2 * pairs.count() <= BROADCAST_IDS else ids, "_id", "left_semi").select("_id", F.encode("_text", "UTF-8").alias("text"))
+        many = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEETS).alias("salts")).where("salts > 1")
+        dealt = pairs.join(many, "a", "left").select("a", "b", F.pmod(F.xxhash64("b", F.lit(3)), F.coalesce("salts", F.lit(1))).alias("salt"))
+        members = dealt.join(texts.withColumnRenamed("_id", "b"), "b")
+        pivots = dealt.select("a", "salt").distinct().join(texts.withColumnRenamed("_id", "a"), "a").toDF("p", "part", "pivot")
+        return members.groupBy("a", "salt").cogroup(pivots.groupBy("p", "part")).applyInArrow(_verifier(self.percent, self.width), "a long, b long")
 
 
 def _hub(members: DataFrame) -> DataFrame:
@@ -164,10 +160,6 @@ def _pivot(members: DataFrame, salt: int, where: Column | None = None) -> DataFr
     return members.groupBy("key").agg(F.min(drawn if where is None else F.when(where, drawn)).getField("id").alias("p"))
 
 
-def _ordered(x: str, y: str) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-
-
 def _open_buckets(buckets: DataFrame, groups: DataFrame) -> DataFrame:
     """Members (key, id, g) of buckets that still hold more than one group, with `top`, the bucket's largest group."""
     named = buckets.join(groups.toDF("id", "g"), "id", "left").withColumn("g", F.coalesce("g", "id"))
@@ -176,63 +168,87 @@ def _open_buckets(buckets: DataFrame, groups: DataFrame) -> DataFrame:
     return named.join(mixed.select("key", "top"), "key")
 
 
-def _blocks(percent: int, width: int):
-    def compare(table: pa.Table) -> pa.Table:
-        """Links between the rows that look (role 0) and all rows of another block, of different groups, on full sets."""
+class _Block:
+    """Rows of two blocks of a bucket: those that look (role 0), and all rows of the other block."""
+
+    def __init__(self, table: pa.Table, percent: int) -> None:
+        self.percent, self.key = percent, table["key"][0].as_py()
+        self.ids, self.groups, self.n = (table[c].to_numpy() for c in ("id", "g", "n"))
+        self.sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(len(self.ids), -1)
+        self.open = [frozenset(k) for k in table["open"].to_pylist()]
         role = table["role"].to_numpy()
-        ids, groups, n = (table[c].to_numpy() for c in ("id", "g", "n"))
-        keys = np.array(table["keys"].to_pylist(), dtype=np.int64)
-        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(len(ids), -1)
-        texts = table["_text"].to_pylist()
-        looking, others = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
-        sets: dict[int, np.ndarray] = {}
+        self.looking, self.others = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
+
+    def candidates(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Rows that look, with the rows of other groups that size and signature do not refute. A pair is met in the least
+        of the buckets that it shares, and nowhere else."""
+        for x in self.looking.tolist():
+            small, large = np.minimum(self.n[x], self.n[self.others]), np.maximum(self.n[x], self.n[self.others])
+            near = self.others[(self.groups[self.others] != self.groups[x]) & (100 * small >= self.percent * large)]
+            near = near[(self.sig[near] == self.sig[x]).mean(axis=1) >= LEAST_AGREEMENT]
+            near = np.array([y for y in near.tolist() if min(self.open[x] & self.open[y]) == self.key], dtype=np.int64)
+            if len(near):
+                yield x, near
+
+
+def _survivors(percent: int):
+    def survive(table: pa.Table) -> pa.Table:
+        """The rows that have a candidate in the block."""
+        block, kept = _Block(table, percent), set()
+        for x, near in block.candidates():
+            kept.update([x, *near.tolist()])
+        found = table.take(pa.array(sorted(kept), pa.int64()))
+        return found.set_column(found.column_names.index("open"), "open", found["open"].cast(pa.list_(pa.int64())))
+
+    return survive
+
+
+def _compared(percent: int, width: int):
+    def compare(table: pa.Table) -> pa.Table:
+        """Links of candidates on full sets."""
+        block, sets = _Block(table, percent), {}
+        texts = table["text"]
 
         def set_of(row: int) -> np.ndarray:
             if row not in sets:
-                data = np.frombuffer(texts[row].encode(), np.uint8)
-                sets[row] = common.shingle_sets(data, np.array([0, len(data)]), width)[0]
+                sets[row] = _set_of(texts[row].as_py(), width)
             return sets[row]
 
         a, b = [], []
-        for x in looking.tolist():
-            small, large = np.minimum(n[x], n[others]), np.maximum(n[x], n[others])
-            near = others[(groups[others] != groups[x]) & (100 * small >= percent * large)]
-            near = near[(keys[near] == keys[x]).any(axis=1)]
-            near = near[(sig[near] == sig[x]).mean(axis=1) >= LEAST_AGREEMENT]
-            if not len(near):
-                continue
+        for x, near in block.candidates():
             mine, theirs = set_of(x), [set_of(y) for y in near.tolist()]
-            owner = np.repeat(np.arange(len(near)), [len(t) for t in theirs])
-            every = np.concatenate(theirs)
+            owner, every = np.repeat(np.arange(len(near)), [len(t) for t in theirs]), np.concatenate(theirs)
             at = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
-            common_size = np.bincount(owner[mine[at] == every], minlength=len(near))
-            union = len(mine) + np.array([len(t) for t in theirs]) - common_size
-            for y in near[100 * common_size >= percent * union].tolist():
-                a.append(min(ids[x], ids[y]))
-                b.append(max(ids[x], ids[y]))
+            shared = np.bincount(owner[mine[at] == every], minlength=len(near))
+            union = len(mine) + np.array([len(t) for t in theirs]) - shared
+            for y in near[100 * shared >= percent * union].tolist():
+                a.append(min(block.ids[x], block.ids[y]))
+                b.append(max(block.ids[x], block.ids[y]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return compare
 
 
+_ROWS = "key long, i int, j int, role int, id long, g long, n long, sig binary, open array<long>"
+
+
 def _rest(open_: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """Links of what stays apart in buckets that several groups share.
 
-    Documents that meet in such buckets, directly or through others, form a cluster; each document is in one, whatever the
-    number of its buckets. A cluster is cut into blocks of about BLOCK documents, and those outside of the largest group of
-    one of their buckets are compared with all documents of all its blocks, a pair of blocks in a task.
+    A bucket is cut into blocks of about BLOCK documents, and those outside of its largest group are compared with all
+    documents of all its blocks, a pair of blocks in a task. Only ids, sizes and signatures are sent there; texts follow
+    for the rows of a pair of blocks that have candidates in it.
     """
-    met = open_.join(open_.groupBy("key").agg(F.min("id").alias("first")), "key").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    cluster = graph.components(met).toDF("id", "cluster")
-    nodes = open_.groupBy("id", "g").agg(F.max((F.col("g") != F.col("top")).cast("int")).alias("outside")).join(cluster, "id", "left").withColumn("cluster", F.coalesce("cluster", "id"))
-    nodes = common.checkpoint(nodes)
-    sizes = nodes.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = nodes.join(sizes, "cluster").join(reps, "id").join(texts.select(F.col("_id").alias("id"), "_text"), "id").withColumn("block", F.pmod(F.xxhash64("id", F.lit(9)), F.col("blocks")).cast("int"))
+    nodes = open_.groupBy("id").agg(F.collect_set("key").alias("open")).join(reps.select("id", "n", "sig"), "id")
+    sizes = open_.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = open_.join(nodes, "id").join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id", F.lit(9)), F.col("blocks")).cast("int"))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    data = ["cluster", "id", "g", "n", "sig", "keys", "_text"]
-    looking = own.where("outside = 1").withColumn("j", F.explode(every)).select(*data, F.col("block").alias("i"), "j", F.lit(0).alias("role"))
-    others = own.withColumn("i", F.explode(every)).select(*data, "i", F.col("block").alias("j"), F.lit(1).alias("role"))
-    return looking.union(others).groupBy("cluster", "i", "j").applyInArrow(_blocks(percent, width), "a long, b long")
+    data = ["id", "g", "n", "sig", "open"]
+    looking = own.where("g <> top").withColumn("j", F.explode(every)).select("key", F.col("block").alias("i"), "j", F.lit(0).alias("role"), *data)
+    others = own.withColumn("i", F.explode(every)).select("key", "i", F.col("block").alias("j"), F.lit(1).alias("role"), *data)
+    left = common.checkpoint(looking.union(others).groupBy("key", "i", "j").applyInArrow(_survivors(percent), _ROWS))
+    with_text = left.join(texts.select(F.col("_id").alias("id"), F.encode("_text", "UTF-8").alias("text")), "id")
+    return with_text.groupBy("key", "i", "j").applyInArrow(_compared(percent, width), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, width: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -259,15 +275,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Rows with one id but several texts join their sets' groups.
     same = known.join(classes.where("copies > 1"), ["n", "d1", "d2"]).where("_id <> id").select(F.col("id").alias("a"), F.col("_id").alias("b"))
     # First, each member with the pivots of its buckets; of these the one whose signature agrees best.
-    star = buckets.join(_hub(buckets), "key").where("id <> p").select(*_ordered("id", "p"))
+    star = buckets.join(_hub(buckets), "key").where("id <> p").select(F.col("p").alias("a"), F.col("id").alias("b"))
     star = common.checkpoint(links.likely(star))
-    best = star.groupBy("b").agg(F.max_by("a", F.struct("agreement", "a")).alias("a")).select("a", "b").union(star.groupBy("a").agg(F.max_by("b", F.struct("agreement", "b")).alias("b")).select("a", "b")).distinct()
+    best = star.groupBy("b").agg(F.max_by("a", F.struct("agreement", "a")).alias("a")).select("a", "b")
     found = same.union(common.checkpoint(links.confirmed(common.checkpoint(best))))
     groups = graph.components(found)
     open_ = common.checkpoint(_open_buckets(buckets, groups))
     if not open_.isEmpty():
         # Every member outside of the largest group of its bucket, with a pivot in that group.
-        pairs = open_.where("g <> top").join(_pivot(open_, 2, F.expr("g = top")), "key").select(*_ordered("id", "p"))
+        pairs = open_.where("g <> top").join(_pivot(open_, 2, F.expr("g = top")), "key").select(F.col("p").alias("a"), F.col("id").alias("b"))
         pairs = common.checkpoint(links.likely(pairs).select("a", "b"))
         found = found.union(common.checkpoint(links.confirmed(pairs)))
         groups = graph.components(found)

@@ -576,6 +576,32 @@ def test_mixing(spark, docs, rows):
     assert copies == {r.doc_id: r.epochs for r in got if r.epochs}
 
 
+def test_a_pivot_of_many_and_a_hot_bucket(spark):
+    """Thousands of edited copies of one text, some near to each other only, against brute force on what they are made of."""
+    r = random.Random(21)
+    base = [f"b{i}" for i in range(80)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 4000):
+        w = list(base)
+        for at in r.sample(range(80), 1 if i % 3 else 2):
+            w[at] = f"e{i}x{at}"
+        rows.append((i, " ".join(w)))
+    # Edits of twelve words lie apart from the base, and of these every pair of neighbours shares all but one.
+    for i in range(4000, 4040, 2):
+        w = list(base)
+        for at in range(3, 75, 6):
+            w[at] = f"f{i}x{at}"
+        rows.append((i, " ".join(w)))
+        rows.append((i + 1, " ".join([*w[:-1], "last"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {x.doc_id: x.component_id for x in minhash.near_duplicates(docs).collect()}
+    alone = [(i, t) for i, t in rows if i == 0 or i >= 4000]
+    wanted = {i: c for i, (_, c) in plain.components(alone).items()}
+    near = {i for i, t in rows if 0 < i < 4000 and (lambda a, b: 100 * len(a & b) >= 75 * len(a | b))(plain.shingles(t), plain.shingles(rows[0][1]))}
+    assert len(near) > 3900
+    assert all(got[i] == 0 for i in near) and all(got[i] == c for i, c in wanted.items())
+
+
 def test_what_stays_apart_is_compared_in_blocks(spark):
     """Chains of edits, whose ends are alike to their neighbours only, with blocks that are smaller than the chains."""
     r = random.Random(9)
