@@ -11,9 +11,10 @@ _CHUNK = 8
 
 def hex_mod(digits: Column, length: int, n: int) -> Column:
     """The number that `length` hexadecimal digits write, modulo n (up to 2**31)."""
-    places = F.sequence(F.lit(0), F.lit(length // _CHUNK - 1))
-    chunk = lambda i: F.conv(F.substr(digits, i * _CHUNK + 1, F.lit(_CHUNK)), 16, 10).cast("bigint")
-    return F.aggregate(places, F.lit(0).cast("bigint"), lambda rest, i: (rest * (1 << 4 * _CHUNK) + chunk(i)) % n)
+    rest = F.lit(0).cast("bigint")
+    for at in range(0, length, _CHUNK):
+        rest = (rest * (1 << 4 * _CHUNK) + F.conv(F.substring(digits, at + 1, _CHUNK), 16, 10).cast("bigint")) % n
+    return rest
 
 
 def md5_mod(value: Column, n: int) -> Column:
