@@ -1,7 +1,7 @@
 """Reconciliation of two stores: a full comparison, or bucket digests with a closer look at the buckets that differ.
 
-Snapshots have document_id, checksum, tenant_id, cohort and is_deleted. A comparison is one full outer join on the id;
-findings come from aggregates of it. Lists of affected ids are cut to the first 25 by rank, before anything is collected.
+Snapshots have document_id (unique), checksum, tenant_id, cohort and is_deleted. A comparison is one full outer join on the
+id; findings come from one aggregate of what differs in it. Lists of affected ids are cut to the first 25 by rank, before anything is collected.
 """
 
 from __future__ import annotations
@@ -32,15 +32,20 @@ def _gone(side: str) -> Column:
     return F.coalesce(F.col(f"{side}_is_deleted"), F.lit(False))
 
 
+def _codes() -> dict[str, Column]:
+    """When a document has each of the codes."""
+    s, t = _here("s"), _here("t")
+    return {
+        "missing_documents": s & ~t,
+        "unexpected_documents": t & ~s,
+        "checksum_drift": s & t & (F.col("s_checksum") != F.col("t_checksum")),
+        "delete_state_mismatch": _gone("s") != _gone("t"),
+    }
+
+
 def differences(both: DataFrame) -> DataFrame:
     """document_id and code of each document that differs; a document can have several codes."""
-    s, t = _here("s"), _here("t")
-    codes = F.array_compact(F.array(
-        F.when(s & ~t, F.lit("missing_documents")),
-        F.when(t & ~s, F.lit("unexpected_documents")),
-        F.when(s & t & (F.col("s_checksum") != F.col("t_checksum")), F.lit("checksum_drift")),
-        F.when(_gone("s") != _gone("t"), F.lit("delete_state_mismatch")),
-    ))
+    codes = F.array_compact(F.array(*[F.when(when, F.lit(code)) for code, when in _codes().items()]))
     return both.select("document_id", F.explode(codes).alias("code"))
 
 
@@ -60,16 +65,38 @@ def _listed(rows: DataFrame, by: list[str], value: str) -> DataFrame:
     return first.join(totals, by)
 
 
+SCOPES = (("tenant_id", "tenant_scope_mismatch", False), ("cohort", "cohort_scope_mismatch", False), ("tenant_id", "tenant_delete_scope_mismatch", True))
+
+
+def _unbalanced(both: DataFrame) -> DataFrame:
+    """code and value of all that does not balance: documents that differ, scopes and the whole count.
+
+    A document that is the same on both sides adds as much to either and is left out before anything is shuffled again.
+    """
+    one = lambda when, code, value, n: F.when(when, F.struct(F.lit(code).alias("code"), value.alias("value"), F.lit(n).cast("long").alias("n")))
+    s, t, nothing = _here("s"), _here("t"), F.lit("")
+    found = [one(when, code, F.col("document_id"), 1) for code, when in _codes().items()]
+    found += [one(s & ~t, "count_mismatch", nothing, 1), one(t & ~s, "count_mismatch", nothing, -1)]
+    for field, code, deleted in SCOPES:
+        keep = _gone if deleted else _here
+        scope = {side: F.when(keep(side) & (F.col(f"{side}_{field}") != ""), F.col(f"{side}_{field}")) for side in "st"}
+        moved = ~scope["s"].eqNullSafe(scope["t"])
+        found += [one(moved & scope[side].isNotNull(), code, scope[side], n) for side, n in (("s", 1), ("t", -1))]
+    each = both.select(F.explode(F.array_compact(F.array(*found))).alias("x")).select("x.*")
+    return each.groupBy("code", "value").agg(F.sum("n").alias("n")).where("n <> 0").select("code", "value")
+
+
 def findings(source: DataFrame, target: DataFrame, source_count: int | None = None, target_count: int | None = None) -> DataFrame:
     """code, severity, affected_ids, total_affected. Counts can be overridden, as by a store that only reports one."""
     both = joined(source, target)
-    n = lambda side, given: F.lit(given).cast("long") if given is not None else F.count_if(_here(side))
-    counts = both.agg(n("s", source_count).alias("a"), n("t", target_count).alias("b")).where("a <> b").select(F.lit("count_mismatch").alias("code"), F.array().cast("array<string>").alias("affected_ids"), F.lit(0).cast("long").alias("total_affected"))
-    parts = [_listed(differences(both), ["code"], "document_id").select("code", "affected_ids", "total_affected")]
-    for field, code, deleted in (("tenant_id", "tenant_scope_mismatch", False), ("cohort", "cohort_scope_mismatch", False), ("tenant_id", "tenant_delete_scope_mismatch", True)):
-        off = scope_counts(both, field, deleted).where("source_count <> target_count").withColumn("code", F.lit(code))
-        parts.append(_listed(off, ["code"], "scope").select("code", "affected_ids", "total_affected"))
-    return reduce(DataFrame.unionByName, [counts, *parts]).withColumn("severity", F.lit("critical"))
+    listed = _listed(_unbalanced(both), ["code"], "value")
+    counted = F.col("code") == "count_mismatch"
+    out = listed.select("code", F.when(counted, F.array().cast("array<string>")).otherwise(F.col("affected_ids")).alias("affected_ids"), F.when(counted, 0).otherwise(F.col("total_affected")).alias("total_affected"))
+    if source_count is not None or target_count is not None:
+        n = lambda side, given: F.lit(given).cast("long") if given is not None else F.count_if(_here(side))
+        counts = both.agg(n("s", source_count).alias("a"), n("t", target_count).alias("b")).where("a <> b").select(F.lit("count_mismatch").alias("code"), F.array().cast("array<string>").alias("affected_ids"), F.lit(0).cast("long").alias("total_affected"))
+        out = out.where(~counted).unionByName(counts)
+    return out.withColumn("severity", F.lit("critical"))
 
 
 def passed(findings_: DataFrame) -> DataFrame:

@@ -9,18 +9,47 @@ from pyspark.sql import functions as F
 from converge.operators.projection import DELETED, PUBLISHED, TERMINAL
 
 
+#: Bins for each factor of e in a latency: a bin spans 0.1 % of its values.
+BINS = 1000
+
+
+def _percentiles(rows: DataFrame, by: list[str], value: str, points: dict[str, float]) -> DataFrame:
+    """Exact percentiles, interpolated between the two nearest ranks: `by` and a column for each point.
+
+    Values are counted; counts of narrow bins, few rows, tell in which bins the two ranks of each point lie; and only the
+    distinct values of these bins are put in order.
+    """
+    bin_ = F.signum(value) * F.floor(F.log1p(F.abs(F.col(value))) * BINS)
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"), F.first(bin_).alias("_bin"))
+    order = Window.partitionBy(*by).orderBy("_bin")
+    bins = counts.groupBy(*by, "_bin").agg(F.sum("_n").alias("_in")).withColumn("_before", F.sum("_in").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_in")).withColumn("_all", F.sum("_in").over(Window.partitionBy(*by)))
+    at = F.array(*[F.lit(p) * (F.col("_all") - 1) for p in points.values()])
+    ranks = F.array_distinct(F.concat(F.transform(at, lambda x: F.floor(x)), F.transform(at, lambda x: F.ceil(x))))
+    wanted = bins.withColumn("_ranks", F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_in")))).where(F.size("_ranks") > 0)
+    within = Window.partitionBy(*by, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    found = counts.join(wanted, [*by, "_bin"]).withColumn("_to", F.col("_before") + F.sum("_n").over(within)).withColumn("_rank", F.explode(F.filter("_ranks", lambda r: (r >= F.col("_to") - F.col("_n")) & (r < F.col("_to")))))
+    values = found.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_values"), F.first("_all").alias("_all"))
+    place = lambda p: F.lit(p) * (F.col("_all") - 1)
+    low, high = (lambda p: F.col("_values")[F.floor(place(p))]), (lambda p: F.col("_values")[F.ceil(place(p))])
+    return values.select(*by, *[(low(p) + (high(p) - low(p)) * (place(p) - F.floor(place(p)))).alias(name) for name, p in points.items()])
+
+
 def latency(requests: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Counts, and exact interpolated percentiles of latency_ms, of requests with latency_ms, ok and result_count."""
-    at = F.percentile("latency_ms", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
+    """Counts, and exact interpolated percentiles of latency_ms, of requests with latency_ms, ok and result_count.
+
+    Without `by` there is one row, of zeros for no requests; a group all of whose latencies are null has percentiles of 0.
+    """
     mean = lambda c: F.coalesce(F.avg(c), F.lit(0.0))
     found = requests.groupBy(*(by or [])).agg(
         F.count("*").alias("total_requests"), F.count_if("ok").alias("successful_requests"), F.count_if(~F.col("ok")).alias("failed_requests"),
         mean("latency_ms").alias("average_latency_ms"), F.coalesce(F.min("latency_ms"), F.lit(0.0)).alias("min_latency_ms"), F.coalesce(F.max("latency_ms"), F.lit(0.0)).alias("max_latency_ms"),
-        mean(F.when(F.col("ok"), F.col("result_count"))).alias("average_result_count"), at.alias("_p"),
+        mean(F.when(F.col("ok"), F.col("result_count"))).alias("average_result_count"),
     )
-    for k, name in enumerate(("p50", "p95", "p99")):
-        found = found.withColumn(f"{name}_latency_ms", F.coalesce(F.col("_p")[k], F.lit(0.0)))
-    return found.drop("_p")
+    points = {"p50_latency_ms": 0.5, "p95_latency_ms": 0.95, "p99_latency_ms": 0.99}
+    # One key that is never null, so that a null group finds its percentiles.
+    of = lambda df: df.withColumn("_key", F.struct(*by) if by else F.lit(0))
+    both = of(found).join(_percentiles(of(requests), ["_key"], "latency_ms", points), "_key", "left").drop("_key")
+    return both.withColumns({name: F.coalesce(name, F.lit(0.0)) for name in points})
 
 
 def error_samples(requests: DataFrame, most: int = 5) -> DataFrame:

@@ -89,14 +89,17 @@ def rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     l = table(spark, sf_dir, "labels")
     grade = F.greatest(F.col("quality") * 2 - F.col("toxic"), F.lit(0)).cast("double")
-    top = lambda *keys: F.transform(F.slice(F.array_sort(F.collect_list(F.struct(*keys, F.col("doc_id").alias("id")))), 1, 20), lambda x: x["id"].cast("string"))
-    # Two rankings of the 20 best, found by rank before they are collected.
-    ranked = d.withColumn("_p", F.row_number().over(_by_lang(F.desc("n_chars"), F.col("doc_id")))).withColumn("_s", F.row_number().over(_by_lang(F.col("doc_id") % 7, F.desc("n_chars"), F.col("doc_id"))))
-    best = ranked.where("_p <= 20 or _s <= 20").groupBy("lang").agg(top(F.when(F.col("_p") <= 20, F.col("_p")).otherwise(1 << 30).alias("at")).alias("primary"), top(F.when(F.col("_s") <= 20, F.col("_s")).otherwise(1 << 30).alias("at")).alias("shadow"))
+    # Each ranking keeps its 20 best by a rank of its own, which Spark applies before it shuffles.
+    first = lambda df, side, *order: df.select("lang", "doc_id", F.lit(side).alias("side"), F.row_number().over(_by_lang(*order)).alias("at")).where("at <= 20")
+    best = first(d, "primary", F.desc("n_chars"), F.col("doc_id")).unionByName(first(d, "shadow", F.col("doc_id") % 7, F.desc("n_chars"), F.col("doc_id")))
+    listed = lambda side: F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("at", F.col("doc_id").cast("string").alias("id"))))), lambda x: x["id"]).alias(side)
+    ranked = best.groupBy("lang").agg(listed("primary"), listed("shadow"))
     # Grades of the documents that are ranked or among the 20 best graded ones, which is all that a measure at 10 can need.
-    graded = ranked.join(l, "doc_id").select("lang", "doc_id", grade.alias("grade"), "_p", "_s").withColumn("_g", F.row_number().over(_by_lang(F.desc("grade"), F.col("doc_id"))))
-    judged = graded.where("_p <= 20 or _s <= 20 or _g <= 20").groupBy("lang").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("doc_id").cast("string"), "grade")))).alias("judged"))
-    return best.join(judged, "lang", "left").select(F.col("lang").alias("query_id"), "primary", "shadow", "judged")
+    grades = l.select("doc_id", grade.alias("grade"))
+    graded = first(d.join(grades, "doc_id"), "graded", F.desc("grade"), F.col("doc_id"))
+    wanted = best.unionByName(graded).select("lang", "doc_id").distinct().join(grades, "doc_id")
+    judged = wanted.groupBy("lang").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("doc_id").cast("string"), "grade")))).alias("judged"))
+    return ranked.join(judged, "lang", "left").select(F.col("lang").alias("query_id"), "primary", "shadow", "judged")
 
 
 def _by_lang(*order: Column):

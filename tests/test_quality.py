@@ -6,6 +6,7 @@ import json
 import math
 import random
 
+import numpy as np
 import pytest
 
 from converge.operators import publish, relevance, reports
@@ -103,3 +104,13 @@ def test_files(spark, tmp_path):
         files.policies(spark, str(tmp_path / "bad.json"))
     (tmp_path / "cases.jsonl").write_text('{"name":"a","raw_params":{"$top":"5"},"weight":3}\n{"name":"b"}\n')
     assert sorted((r.name, r.weight) for r in files.search_cases(spark, str(tmp_path / "cases.jsonl")).collect()) == [("a", 3), ("b", 1)]
+
+
+def test_percentiles_are_those_of_all_values(spark):
+    x = random.Random(3)
+    rows = [(g, v, True, 1) for g, values in {"a": [x.expovariate(0.1) for _ in range(501)], "b": [7.0] * 40, "c": [x.randrange(-4, 5) * 1.0 for _ in range(64)], None: [1.0, 2.0], "d": [None]}.items() for v in values]
+    got = {r.g: r for r in reports.latency(spark.createDataFrame(rows, "g string, latency_ms double, ok boolean, result_count long"), ["g"]).collect()}
+    assert len(got) == 5 and got["d"].p99_latency_ms == 0
+    for g in ("a", "b", "c", None):
+        values = [v for k, v, _, _ in rows if k == g]
+        assert [got[g].p50_latency_ms, got[g].p95_latency_ms, got[g].p99_latency_ms] == pytest.approx(np.percentile(values, [50, 95, 99]).tolist())
