@@ -22,16 +22,22 @@ from converge.llm.common import U64
 #: Bits of a key that a part sorts by; the bits above choose the part.
 LOW = 40
 _MASK = U64((1 << LOW) - 1)
-#: Homes for each shuffle partition, so that they even out over tasks; and shuffle partitions for each part. A home sends a
-#: row to each part, so their product is the number of rows, of the order of blocks that any shuffle has.
+#: The least number of homes for each shuffle partition, so that they even out over tasks; and of shuffle partitions for each
+#: part. A home sends a row to each part that one of its keys falls to.
 HOMES_EACH, EACH_PART = 2, 2
+#: Bytes of text in a home, and of texts whose keys fall to a part, on average: what a task holds at a time. More input makes
+#: more homes and parts, not larger ones.
+HOME_BYTES, PART_BYTES = 16 << 20, 64 << 20
 #: Stands for a null id, which counts as larger than any other.
 NO_ID = np.iinfo(np.int64).max
 STEP = 8 << 20
 
 
-def parts(spark: SparkSession) -> int:
-    return max(1, common.partitions(spark) // EACH_PART)
+def sizes(docs: DataFrame, text_col: str, home_bytes: int = HOME_BYTES, part_bytes: int = PART_BYTES) -> tuple[int, int]:
+    """Numbers of homes and of parts, by the bytes of all texts."""
+    partitions = common.partitions(docs.sparkSession)
+    n = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(HOMES_EACH * partitions, -(-n // home_bytes)), max(1, partitions // EACH_PART, -(-n // part_bytes))
 
 
 _HOMES = "home int, ids array<long>, lengths binary, blob binary"
@@ -233,14 +239,15 @@ def _later(sender: Sender, parts: int, with_least: bool):
     return send
 
 
-def run(docs: DataFrame, rounds: list[tuple[Sender, bool, Callable[[Seen], np.ndarray]]], finish: Callable[[Texts, dict[int, np.ndarray]], pa.Table], schema: str, id_col: str, text_col: str) -> DataFrame:
+def run(docs: DataFrame, rounds: list[tuple[Sender, bool, Callable[[Seen], np.ndarray]]], finish: Callable[[Texts, int, dict[int, np.ndarray]], pa.Table], schema: str, id_col: str, text_col: str, home_bytes: int = HOME_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
     """rounds: what a home sends (with least ids or not) and how a part judges it. finish makes a home's result.
 
     One plan holds all rounds, so that the exchange of the texts is made once and reused.
     """
-    n, partitions = parts(docs.sparkSession), common.partitions(docs.sparkSession)
+    partitions = common.partitions(docs.sparkSession)
+    n_homes, n = sizes(docs, text_col, home_bytes, part_bytes)
     source = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    homes = source.mapInArrow(_dealer(HOMES_EACH * partitions), _HOMES).repartition(partitions, "home")
+    homes = source.mapInArrow(_dealer(n_homes), _HOMES).repartition(partitions, "home")
     answers: DataFrame | None = None
     for k, (sender, with_least, judge) in enumerate(rounds):
         if answers is None:
@@ -252,7 +259,7 @@ def run(docs: DataFrame, rounds: list[tuple[Sender, bool, Callable[[Seen], np.nd
         answers = said if answers is None else answers.union(said)
 
     def last(table: pa.Table, said: pa.Table) -> pa.Table:
-        return finish(_texts(table), _answers(said))
+        return finish(_texts(table), n, _answers(said))
 
     return homes.groupBy("home").cogroup(answers.groupBy("home")).applyInArrow(last, schema)
 

@@ -94,14 +94,14 @@ class _Rounds:
         return pa.table({"_id": repeats.ids_array(texts.ids), "n_words": pa.array(np.diff(words.first), pa.int64()), "n_removed": pa.array(removed, pa.int64()), "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept])})
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, home_bytes: int = repeats.HOME_BYTES, part_bytes: int = repeats.PART_BYTES) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, spans (first word, word after the last), kept_sha256.
 
     A span is a maximal run of words that lie in windows of `window` (odd) words which also start in a document with a
     smaller id. Windows are compared by 64 bits of a hash. A null text has no words. A null id is larger than any other;
     documents with equal ids are not earlier than each other. An empty table gives an empty result; other columns are
-    ignored.
+    ignored. home_bytes and part_bytes bound what a task holds at a time, but for a single longer text.
     """
-    r, n = _Rounds(window), repeats.parts(docs.sparkSession)
-    found = repeats.run(docs, [(r.probes, False, repeats.shared_and_marked), (r.windows, True, repeats.earlier)], lambda texts, said: r.finish(texts, n, said), "_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string", id_col, text_col)
+    r = _Rounds(window)
+    found = repeats.run(docs, [(r.probes, False, repeats.shared_and_marked), (r.windows, True, repeats.earlier)], r.finish, "_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string", id_col, text_col, home_bytes, part_bytes)
     return found.withColumnRenamed("_id", id_col)

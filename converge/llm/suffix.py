@@ -137,14 +137,15 @@ class _Passes:
         return pa.table({"_id": repeats.ids_array(texts.ids), "n_bytes": pa.array(np.diff(texts.off), pa.int64()), "n_removed": pa.array(removed, pa.int64()), "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept])})
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, gram: int = GRAM) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, gram: int = GRAM, home_bytes: int = repeats.HOME_BYTES, part_bytes: int = repeats.PART_BYTES) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, spans (start, end in bytes), kept_sha256.
 
     A span is a maximal run of bytes that lie in windows of `threshold` bytes which also start in a document with a smaller
     id. Windows are compared by 64 bits of a hash. A null text is empty. A null id is larger than any other; documents with
-    equal ids are not earlier than each other. An empty table gives an empty result; other columns are ignored.
+    equal ids are not earlier than each other. An empty table gives an empty result; other columns are ignored. home_bytes and
+    part_bytes bound what a task holds at a time, but for a single longer text.
     """
-    p, n = _Passes(threshold, gram), repeats.parts(docs.sparkSession)
+    p = _Passes(threshold, gram)
     rounds = [(p.first, False, repeats.shared), (p.second, True, repeats.earlier), (p.third, True, repeats.earlier)]
-    found = repeats.run(docs, rounds, lambda texts, said: p.finish(texts, n, said), "_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string", id_col, text_col)
+    found = repeats.run(docs, rounds, p.finish, "_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string", id_col, text_col, home_bytes, part_bytes)
     return found.withColumnRenamed("_id", id_col)

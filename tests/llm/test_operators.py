@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from converge.llm import common, exact, langid, lm, minhash, mixing, packing, substring, suffix, toxicity, winnow
+from converge.llm import common, exact, langid, lm, minhash, mixing, packing, repeats, substring, suffix, toxicity, winnow
 
 CASES = [
     lambda d: minhash.near_duplicates(d), lambda d: exact.exact_dedup(d), lambda d: winnow.fingerprints(d), lambda d: winnow.compare_with_next(d), lambda d: suffix.repeated_spans(d),
@@ -207,6 +207,16 @@ def test_substring_dedup_of_shorter_windows(docs, rows, window):
     assert got == plain.word_spans([(i, t) for i, t, *_ in rows], window)
 
 
+def test_removal_is_the_same_from_many_small_homes(docs, rows):
+    small = {"home_bytes": 2000, "part_bytes": 5000}
+    homes, parts = repeats.sizes(docs, "text", **small)
+    n = sum(len((t or "").encode()) for _, t, *_ in rows)
+    assert (homes, parts) == (-(-n // 2000), -(-n // 5000)) and homes > parts > 8
+    texts = [(i, t) for i, t, *_ in rows]
+    assert {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in suffix.repeated_spans(docs, **small).collect()} == plain.suffix_spans(texts)
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring.repeated_spans(docs, **small).collect()} == plain.word_spans(texts)
+
+
 def test_language_model(spark):
     r = random.Random(4)
     known = [f"s{i}" for i in range(30)]
