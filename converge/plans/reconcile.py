@@ -121,3 +121,36 @@ ORACLE_SQL = {f"recon_{name}": f"WITH {_BOTH} SELECT document_id, code FROM diff
         FROM (SELECT *, sha256(bucket_id || ':1:' || document_id) AS h FROM (SELECT *, {_BUCKET} AS bucket_id FROM target)) GROUP BY 1""",
 }
 ORACLE_SQL["bucket_children"] = ORACLE_SQL["bucket_children"].replace(f"({_CHILD} % 16 * 0 + ('0x' || substr(h, 64, 1))::UHUGEINT)", "('0x' || substr(h, 64, 1))::UHUGEINT")
+
+
+def _drill_sql(remote: bool, buckets: int = 8, most: int = 16, depths: int = 3, leaf: int = 128) -> str:
+    """The drill of fixed depth, a few tables for each depth: buckets that are looked into, documents of the next depth."""
+    top = _BUCKET.replace(f"% {BUCKETS} ", f"% {buckets} ")
+    with_ = [f"{side}_1 AS (SELECT *, {top} AS bucket_id FROM {side})" for side in ("source", "target")]
+    out = []
+    for k in range(1, depths + 1):
+        compared = k == 1 or remote
+        limit = f"ORDER BY bucket_id LIMIT {most}" if k == 1 and not remote else ""
+        with_.append(f"""each_{k} AS (
+          SELECT bucket_id, count(s.is_deleted) AS ns, count(t.is_deleted) AS nt, bool_or((s.checksum, s.tenant_id, s.cohort, s.is_deleted) IS DISTINCT FROM (t.checksum, t.tenant_id, t.cohort, t.is_deleted)) AS differs
+          FROM source_{k} s FULL JOIN target_{k} t USING (bucket_id, document_id) GROUP BY bucket_id)""")
+        with_.append(f"off_{k} AS (SELECT bucket_id, CASE WHEN ns = 0 OR nt = 0 THEN 'bucket_missing' ELSE 'bucket_mismatch' END AS code, greatest(ns, nt) AS size FROM each_{k} WHERE differs OR {not compared})")
+        with_.append(f"open_{k} AS (SELECT * FROM off_{k} {limit})")
+        if compared:
+            out.append(f"SELECT bucket_id, code, 'critical' AS severity, bucket_id AS affected_ids, 1 AS total_affected FROM off_{k}")
+        if not remote:
+            out.append(f"SELECT bucket_id, 'bucket_drilldown_unavailable' AS code, 'warning' AS severity, bucket_id AS affected_ids, 1 AS total_affected FROM open_{k} WHERE code = 'bucket_missing'")
+        mine = lambda side, of: f"(SELECT * FROM {side}_{k} WHERE bucket_id IN (SELECT bucket_id FROM open_{k} WHERE code <> 'bucket_missing' AND {of}))"  # noqa: E731, B023
+        small = "true" if k == depths else f"size <= {leaf}"
+        with_.append(f"""leaf_{k} AS (
+          SELECT bucket_id, document_id, CASE WHEN t.checksum IS NULL THEN 'bucket_missing_documents' WHEN s.checksum IS NULL THEN 'bucket_unexpected_documents' WHEN s.checksum <> t.checksum THEN 'bucket_checksum_drift' END AS code
+          FROM (SELECT * FROM {mine("source", small)} WHERE NOT is_deleted) s FULL JOIN (SELECT * FROM {mine("target", small)} WHERE NOT is_deleted) t USING (bucket_id, document_id))""")
+        out.append(f"""SELECT bucket_id, code, 'critical' AS severity, string_agg(document_id, ',' ORDER BY document_id) FILTER (r <= 25) AS affected_ids, count(*) AS total_affected
+          FROM (SELECT *, row_number() OVER (PARTITION BY bucket_id, code ORDER BY document_id) AS r FROM leaf_{k} WHERE code IS NOT NULL) GROUP BY bucket_id, code""")
+        if k < depths:
+            child = f"lpad(CAST(('0x' || substr(sha256(bucket_id || ':{k}:' || document_id), 64, 1))::UHUGEINT AS VARCHAR), 2, '0')"
+            with_ += [f"{side}_{k + 1} AS (SELECT * REPLACE (bucket_id || '/child-' || {child} AS bucket_id) FROM {mine(side, f'size > {leaf}')})" for side in ("source", "target")]
+    return f"WITH {SNAPSHOTS}, {', '.join(with_)} {' UNION ALL '.join(out)}"
+
+
+ORACLE_SQL |= {"bucket_drill_local": _drill_sql(False), "bucket_drill_remote": _drill_sql(True)}

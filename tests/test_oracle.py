@@ -41,5 +41,5 @@ def test_same_rows(name, spark, duck):
     assert rows(got.columns, got.collect()) == rows(columns, wanted.fetchall())
 
 
-def test_every_query_is_registered_with_sql_or_known_to_have_none():
-    assert set(queries.QUERIES) - set(queries.ORACLE_SQL) == {"bucket_drill_local", "bucket_drill_remote"}
+def test_every_query_is_registered_with_sql():
+    assert set(queries.QUERIES) == set(queries.ORACLE_SQL)
