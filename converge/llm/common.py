@@ -80,6 +80,29 @@ def packed_exchange(df: DataFrame, part: str = "part") -> DataFrame:
     return df.repartitionById(partitions(df.sparkSession), F.col(part))
 
 
+#: A key that more than one in so many rows have is joined by broadcast: there are no more such keys than this.
+HOT_SHARE = 500
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, count: str) -> DataFrame:
+    """rows with the columns of table that belong to their key (null where table has none), whatever the keys' frequencies.
+
+    table has a row per key, with `count`, how many of the rows have it. Rows of the frequent keys get theirs from a broadcast
+    of fewer than HOT_SHARE rows and are dealt over keys that match nothing, so no task gathers a key. table is read three
+    times, so it is to be stored. Null keys match nothing.
+    """
+    total = table.agg(F.sum(count)).first()[0] or 0
+    values = [c for c in table.columns if c not in (key, count)]
+    kept = table.where(F.col(key).isNotNull())
+    hot = F.broadcast(kept.where(F.col(count) * HOT_SHARE > total).select(F.col(key).alias("_hot_key"), F.struct(*values).alias("_hot")))
+    cold = kept.where(F.col(count) * HOT_SHARE <= total).select(F.col(key).cast("binary").alias("_cold_key"), F.struct(*values).alias("_cold"))
+    some = F.concat(F.lit("-"), F.xxhash64(*rows.columns).cast("string")).cast("binary")
+    found = rows.join(hot, F.col(key) == F.col("_hot_key"), "left")
+    dealt = F.when(F.col("_hot").isNull() & F.col(key).isNotNull(), F.concat(F.lit("+").cast("binary"), F.col(key).cast("binary"))).otherwise(some)
+    found = found.withColumn("_dealt", dealt).join(cold.withColumn("_cold_key", F.concat(F.lit("+").cast("binary"), F.col("_cold_key"))), F.col("_dealt") == F.col("_cold_key"), "left")
+    return found.select(*rows.columns, *[F.coalesce(F.col("_hot").getField(v), F.col("_cold").getField(v)).alias(v) for v in values])
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", step: int = STEP_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batches with their texts as one byte array and its offsets; null texts are empty."""
     for batch in batches:

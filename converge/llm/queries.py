@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from converge.llm import common, exact, langid, lm, minhash, mixing, packing, substring, suffix, toxicity, winnow
+from converge.llm import align, common, exact, langid, lm, minhash, mixing, packing, resample, substring, suffix, toxicity, urls, winnow
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +56,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.documents(spark, sf_dir)).drop("epochs")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_dedup, op3_fingerprints, op4_suffix_dedup, op5_lm_scoring, op6_toxicity, op7_substring_dedup, op8_language_id, op9_best_fit_packing, op10_mixing)}
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet")).drop("high")
 
-ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.SQL, "op10_mixing": mixing.SQL}
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(common.documents(spark, sf_dir))[0]
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_minhash_near_dedup, op2_exact_dedup, op3_fingerprints, op4_suffix_dedup, op5_lm_scoring, op6_toxicity, op7_substring_dedup, op8_language_id, op9_best_fit_packing, op10_mixing,
+        op11_url_filters, op12_tokenizer_alignment, op13_importance_resampling,
+    )
+}
+
+ORACLE_SQL: dict[str, str] = {"op2_exact_dedup": exact.SQL, "op10_mixing": mixing.SQL, "op11_url_filters": urls.SQL}
