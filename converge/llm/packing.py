@@ -8,9 +8,6 @@ longest first. After an epoch the elite of each island migrates to the next one,
 
 from __future__ import annotations
 
-import base64
-import json
-import os
 import random
 import zlib
 from collections.abc import Iterator
@@ -20,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from converge.llm import common
+from converge.llm import common, tokens
 
 CAPACITY = 2048
 #: The id that ends each document.
@@ -29,37 +26,6 @@ END_ID = 0
 GROUP = 4096
 ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3, 3, 12, 6
 
-_encoders: dict[str, object] = {}
-
-
-def tokenizer_path() -> str:
-    """The ranks of the public byte-level vocabulary; the JSON file beside it has the same ids, and the added tokens."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
-
-
-def added_tokens(path: str) -> dict[str, int]:
-    """Texts and ids of the tokens that the tokenizer file beside the ranks adds to them; none without such a file."""
-    beside = os.path.splitext(path)[0] + ".json"
-    if not os.path.exists(beside):
-        return {}
-    with open(beside, encoding="utf-8") as f:
-        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
-
-
-def encoder(path: str):
-    """An encoder that reads an added token's text as that token, as the tokenizer file does by default."""
-    if path not in _encoders:
-        import public_tokenizers
-        import tiktoken
-
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        _encoders[path] = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added_tokens(path))
-    return _encoders[path]
-
-
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """Starts and lengths of the pieces of n ids: all of full length but the first, which has the rest."""
     first = (n - 1) % capacity + 1
@@ -68,12 +34,12 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def _pieces(path: str | None, capacity: int):
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(path or tokenizer_path()).encode_to_numpy
+        ids_of = tokens.byte_level(path or tokens.ranks_path())
         for batch in batches:
             at, piece, start, length, crc = [], [], [], [], []
             for row, text in enumerate(batch.column("_text")):
                 t = text.as_py()
-                ids = np.append(ids_of(t, allowed_special="all") if t else np.zeros(0, np.uint32), END_ID).astype("<u4")
+                ids = np.array([*(ids_of(t) if t else ()), END_ID], dtype="<u4")
                 for k, (s, n) in enumerate(cut(len(ids), capacity)):
                     at.append(row)
                     piece.append(k)

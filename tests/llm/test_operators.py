@@ -546,6 +546,23 @@ def test_packing_reads_added_tokens_as_the_tokenizer_file_does(spark):
         assert (got[i].length, got[i].ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
 
 
+def test_packing_of_long_blanks(spark):
+    """Texts of so many blanks have the ids that the tokenizer file gives, whatever the blanks are."""
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    texts = [f"x{run}y" for run in (" " * 1_200_000, "\n" * 1_200_000, "\t " * 600_000, " \n\t\u00a0" * 300_000)] + [" " * 20_000 + "<|endoftext|>" + "\n" * 9_999 + "z"]
+    got = {}
+    for p in packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        got.setdefault(p.doc_id, []).append(p)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for k, t in enumerate(texts):
+        ids = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, packing.END_ID], "<u4")
+        assert sum(p.length for p in got[k]) == len(ids)
+        assert all(p.ids_crc32 == zlib.crc32(ids[p.start : p.start + p.length].tobytes()) for p in got[k])
+
+
 def test_genetic_packing_is_valid_and_no_worse_than_best_fit():
     r = random.Random(1)
     sizes = [r.randrange(300, 900) for _ in range(200)]
