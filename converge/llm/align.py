@@ -14,8 +14,9 @@ and joined is far smaller than the links, and no pair of ids is frequent in it.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -56,13 +57,8 @@ def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(counts.sum()) + np.repeat(starts - before, counts)
 
 
-class _Part:
-    """A part's ids on both sides, or none where a tokenizer's bytes are not the part's."""
-
-    __slots__ = ("a", "b")
-
-    def __init__(self, a: list[int] | None, b: list[int] | None) -> None:
-        self.a, self.b = a, b
+#: A part's ids on both sides, or None where a tokenizer's bytes are not the part's.
+_Part = tuple[list[int], list[int]] | None
 
 
 class Aligner:
@@ -83,39 +79,47 @@ class Aligner:
         self.names = np.array([f"{i}{after}" for after in ",|;" for i in range(self.size)], dtype=object)
         self.known: dict[str, _Part] = {}
 
-    def part(self, text: str) -> _Part:
-        whole = b" " + text.encode()
-        a, b = self.encode_a(" " + text), self.model_b.encode(text, num_threads=1)
-        same = b"".join([self.bytes_a[i] for i in a]) == whole and b"".join([self.bytes_b[i] for i in b]) == whole
-        return _Part(a, b) if same else _Part(None, None)
+    def encoded(self, parts: list[str]) -> list[_Part]:
+        """The ids of new parts. That the bytes are right is seen for all together, and part by part only if they are not."""
+        a = [self.encode_a(f" {p}") for p in parts]
+        b = self.model_b.encode(parts, num_threads=1) if parts else []
+        ends = np.cumsum([len(p.encode()) + 1 for p in parts], dtype=np.int64)
+        same = all(np.array_equal(self.ends(sizes, ids), ends) for sizes, ids in ((self.len_a, a), (self.len_b, b)))
+        whole = f" {' '.join(parts)}".encode() if parts else b""
+        if same and all(self.joined(names, itertools.chain.from_iterable(ids)) == whole for names, ids in ((self.bytes_a, a), (self.bytes_b, b))):
+            return list(zip(a, b, strict=True))
+        right = lambda p, x, y: self.joined(self.bytes_a, x) == f" {p}".encode() == self.joined(self.bytes_b, y)
+        return [(x, y) if right(p, x, y) else None for p, x, y in zip(parts, a, b, strict=True)]
+
+    @staticmethod
+    def ends(sizes: np.ndarray, ids: list[list[int]]) -> np.ndarray:
+        """Where the bytes of each list of ids end, one list after the other."""
+        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64)
+        return np.append(0, np.cumsum(sizes[flat]))[np.cumsum([len(x) for x in ids], dtype=np.int64)]
+
+    @staticmethod
+    def joined(names: list[bytes], ids: Iterable[int]) -> bytes:
+        return b"".join(map(names.__getitem__, ids))
 
     def parts(self, texts: list[str | None]) -> tuple[list[_Part], list[list[int]]]:
         """The different parts of the texts, and for each text the numbers of its parts; none if one cannot be aligned."""
-        found, number, of = [], {}, []
-        for text in texts:
-            mine = []
-            for p in _CUT.split(text) if text else ():
-                k = number.get(p)
-                if k is None:
-                    part = self.known.get(p)
-                    if part is None:
-                        part = self.part(p)
-                        if len(p) <= SHORT:
-                            if len(self.known) >= REMEMBERED:
-                                self.known.clear()
-                            self.known[p] = part
-                    k = number[p] = len(found)
-                    found.append(part)
-                mine.append(k)
-            of.append(mine if all(found[k].a is not None for k in mine) else [])
-        return found, of
+        number: dict[str, int] = {}
+        of = [[number.setdefault(p, len(number)) for p in _CUT.split(text)] if text else [] for text in texts]
+        new = [p for p in number if p not in self.known]
+        own = dict(zip(new, self.encoded(new), strict=True))
+        found = [own[p] if p in own else self.known[p] for p in number]
+        if len(self.known) + len(own) > REMEMBERED:
+            self.known.clear()
+        self.known |= {p: x for p, x in own.items() if len(p) <= SHORT}
+        lost = {k for k, p in enumerate(found) if p is None}
+        return found, [x if not lost or lost.isdisjoint(x) else [] for x in of]
 
     def block(self, texts: list[str | None]) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
         """A row per text with counts, groups and links (numbers of pairs) and how often each; the pairs; documents of each."""
         found, of = self.parts(texts)
-        usable = [p if p.a is not None else _Part([], []) for p in found]
-        n_a, n_b = (np.array([len(x) for x in side], dtype=np.int64) for side in ([p.a for p in usable], [p.b for p in usable]))
-        ids_a, ids_b = (np.fromiter((i for p in side for i in p), np.int64, int(n.sum())) for side, n in (([p.a for p in usable], n_a), ([p.b for p in usable], n_b)))
+        sides = [[p[side] if p else [] for p in found] for side in (0, 1)]
+        n_a, n_b = (np.array([len(x) for x in side], dtype=np.int64) for side in sides)
+        ids_a, ids_b = (np.fromiter(itertools.chain.from_iterable(side), np.int64) for side in sides)
         at_a, at_b, ends = merged(np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b]))
         part_of = np.repeat(np.arange(len(found)), n_a)
         pairs, link = np.unique(ids_a[at_a] << 32 | ids_b[at_b], return_inverse=True)
@@ -125,7 +129,7 @@ class Aligner:
         first_link = np.cumsum(n_links) - n_links
 
         sizes = np.array([len(x) for x in of], dtype=np.int64)
-        numbers = np.fromiter((k for x in of for k in x), np.int64, int(sizes.sum()))
+        numbers = np.fromiter(itertools.chain.from_iterable(of), np.int64)
         doc = np.repeat(np.arange(len(texts)), sizes)
         total = lambda per_part: np.bincount(doc, weights=per_part[numbers], minlength=len(texts)).astype(np.int64)
         links = link[_ragged(first_link[numbers], n_links[numbers])]
