@@ -9,12 +9,29 @@ from pyspark.sql import functions as F
 _CHUNK = 8
 
 
+def _once(value: Column, of) -> Column:
+    """of(value) with the value made once: it is bound as the element of an array, where a column would be written out at each use."""
+    return F.transform(F.array(value), of)[0]
+
+
+def lanes(digits: Column, count: int) -> Column:
+    """The numbers that each 8 hexadecimal digits write, so many of them from the start."""
+    return _once(digits, lambda d: F.array(*[F.conv(F.substring(d, _CHUNK * k + 1, _CHUNK), 16, 10).cast("bigint") for k in range(count)]))
+
+
 def hex_mod(digits: Column, length: int, n: int) -> Column:
     """The number that `length` hexadecimal digits write, modulo n (up to 2**31)."""
-    rest = F.lit(0).cast("bigint")
-    for at in range(0, length, _CHUNK):
-        rest = (rest * (1 << 4 * _CHUNK) + F.conv(F.substring(digits, at + 1, _CHUNK), 16, 10).cast("bigint")) % n
-    return rest
+    if 16 % n == 0 or (n & (n - 1) == 0 and n <= 1 << 32):
+        # A power of two keeps the last digits only.
+        return F.conv(F.substring(digits, length - _CHUNK + 1, _CHUNK), 16, 10).cast("bigint") % n
+
+    def rest(d: Column) -> Column:
+        out = F.lit(0).cast("bigint")
+        for at in range(0, length, _CHUNK):
+            out = (out * (1 << 4 * _CHUNK) + F.conv(F.substring(d, at + 1, _CHUNK), 16, 10).cast("bigint")) % n
+        return out
+
+    return _once(digits, rest)
 
 
 def md5_mod(value: Column, n: int) -> Column:

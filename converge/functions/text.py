@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Texts that stand for true, in requests and in settings.
@@ -23,3 +23,8 @@ def quoted(part: Column) -> Column:
 def truth(value: Column, true: tuple[str, ...] = REQUEST_TRUE) -> Column:
     """True for one of the texts, in any case and with spaces around; false for any other and for null."""
     return F.coalesce(F.lower(F.trim(value)).isin(*true), F.lit(False))
+
+
+def parsed(rows: DataFrame, text: str, into: str) -> DataFrame:
+    """rows with the variant of a JSON text, null for none, read once: what stands above a generated row never reads the text again."""
+    return rows.select("*", F.explode(F.array(F.try_parse_json(text))).alias(into))

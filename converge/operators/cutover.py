@@ -1,10 +1,20 @@
-"""Cutover logs: the latest state of each track, and transitions that the state machines do not allow."""
+"""Cutover logs: the latest state of each track, transitions that the state machines do not allow, replay and checked append.
+
+A request to move is a function from states to states: to its target where that is an edge, else it leaves the state as it
+is. Functions compose, so a long log of requests, refused ones among them, is replayed in segments: each segment is composed
+on its own, the compositions (a few numbers each) tell where every segment starts, and all segments run side by side.
+"""
 
 from __future__ import annotations
 
+import time
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from converge.tables.log import NumberedLog
+
 # The states of each track in their order, and its edges.
 BACKEND = ("azure_primary", "azure_primary_gcp_warming", "gcp_shadow_validated", "gcp_primary_fallback_window", "gcp_primary_stable")
 SEARCH = ("azure_search_primary_elastic_dark", "azure_search_primary_elastic_shadow", "elastic_canary", "elastic_primary_fallback_window", "elastic_primary_stable")
@@ -29,3 +39,73 @@ def checked(log: DataFrame) -> DataFrame:
     blank = lambda c: F.coalesce(F.trim(c) == "", F.lit(True))
     problem: Column = F.when(~F.col("track").isin(*START), "unknown_track").when(F.col("from_state") != current, "not_from_current_state").when(~edge, "illegal_transition").when(blank("operator") | blank("reason"), "missing_operator_or_reason")
     return log.withColumn("problem", problem)
+
+
+STATES = {"backend": BACKEND, "search": SEARCH}
+#: Requests of a segment, at most; values of seq that a segment spans.
+SEGMENT = 256
+
+
+def _blank(c: str) -> Column:
+    return F.coalesce(F.trim(c) == "", F.lit(True))
+
+
+def _moves(state: Column, request: Column) -> Column:
+    """The number of the state after a request, which has its reach: the states (numbers) that it moves from."""
+    return F.when(F.array_contains(request["reach"], state), request["target"]).otherwise(state)
+
+
+def replayed(requests: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """Requests (domain_name, track, to_state, operator, reason, seq) with from_state, state (after it), accepted and problem.
+
+    A request is refused, and the state stays, if its target is no edge from the state that then holds, is unknown, or if it
+    names no operator or reason. Of requests with equal seq the order is that of their targets. An unknown track has no state.
+    """
+    number = lambda c: reduce(lambda at, k: at.when(c == k[0], k[1]), [(n, i) for names in STATES.values() for i, n in enumerate(names)], F.when(F.lit(False), 0))
+    reach = F.lit(None).cast("array<int>")
+    for track, a, b in EDGES:
+        names = STATES[track]
+        sources = [names.index(x) for t, x, z in EDGES if (t, z) == (track, b)]
+        reach = F.when((F.col("track") == track) & (F.col("to_state") == b), F.array(*[F.lit(i) for i in sources])).otherwise(reach)
+    named = ~_blank("operator") & ~_blank("reason")
+    rows = requests.withColumn("_target", number(F.col("to_state"))).withColumn("_reach", F.when(named, F.coalesce(reach, F.array().cast("array<int>"))).otherwise(F.array().cast("array<int>")))
+    rows = rows.withColumn("_edge", reach).withColumn("_segment", F.floor(F.col("seq") / segment))
+    entry = F.struct("seq", "to_state", F.col("_target").alias("target"), F.col("_reach").alias("reach"), F.struct(*requests.columns).alias("row"))
+    by = ["domain_name", "track"]
+    segments = rows.groupBy(*by, "_segment").agg(F.array_sort(F.collect_list(entry)).alias("log"))
+    states = F.sequence(F.lit(0), F.lit(len(BACKEND) - 1))
+    composed = F.transform(states, lambda s: F.aggregate("log", s, _moves))
+    segments = segments.withColumn("_composed", composed)
+    # A row of five numbers for each segment is what the segments of a track are put in order by.
+    earlier = Window.partitionBy(*by).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    starts = segments.select(*by, "_segment", F.aggregate(F.collect_list("_composed").over(earlier), F.lit(0), lambda s, f: F.element_at(f, s + 1)).alias("_start"))
+    begun = segments.drop("_composed").join(starts, [*by, "_segment"])
+    # Within a segment the states after each request, one after the other.
+    first = F.array(F.col("_start"))
+    walk = F.aggregate("log", first, lambda seen, r: F.concat(seen, F.array(_moves(F.element_at(seen, -1), r))))
+    each = begun.withColumn("_walk", walk).select(*by, F.posexplode("log").alias("_at", "_r"), "_walk")
+    name = lambda s: F.when(F.col("track") == "backend", F.element_at(F.array(*map(F.lit, BACKEND)), s + 1)).when(F.col("track") == "search", F.element_at(F.array(*map(F.lit, SEARCH)), s + 1))
+    before, after = F.get("_walk", F.col("_at")), F.get("_walk", F.col("_at") + 1)
+    out = each.select("_r.row.*", name(before).alias("from_state"), name(after).alias("state"), F.array_contains("_r.reach", before).alias("accepted"))
+    problem = F.when(~F.col("track").isin(*START), "unknown_track").when(F.col("accepted"), F.lit(None)).when(~F.concat_ws(">", "track", "from_state", "to_state").isin(*[">".join(e) for e in EDGES]), "illegal_transition").otherwise("missing_operator_or_reason")
+    return out.withColumn("problem", problem)
+
+
+def append(log: NumberedLog, domain: str, track: str, target: str, operator: str, reason: str, moment: float | None = None) -> dict:
+    """Add a transition to the log of all domains if it is allowed from the state that the log's entries so far lead to.
+
+    Raises ValueError, and adds nothing, if it is not. Of two writers at once one is first, and the other is judged again by
+    the state that it finds then.
+    """
+    if track not in START:
+        raise ValueError(f"no such track: {track}")
+    if not operator.strip() or not reason.strip():
+        raise ValueError("a transition names its operator and its reason")
+
+    def decide(entries: list[dict]) -> dict:
+        state = next((e["to_state"] for e in reversed(entries) if (e["domain_name"], e["track"]) == (domain, track)), START[track])
+        if (track, state, target) not in EDGES:
+            raise ValueError(f"{track} of {domain} cannot go from {state} to {target}")
+        return {"domain_name": domain, "track": track, "from_state": state, "to_state": target, "operator": operator, "reason": reason, "seq": len(entries), "at": time.time() if moment is None else moment}
+
+    return log.append(decide)

@@ -12,7 +12,7 @@ META = ["document_id", "tenant_id", "domain_name", "entity_type", "projection_ve
 
 def body(payload: Column) -> Column:
     """The payload with the document's own fields where it has none, and _meta, which always is the document's."""
-    given = F.coalesce(F.parse_json(payload).cast("map<string,variant>"), F.create_map().cast("map<string,variant>"))
+    given = F.coalesce(F.try_parse_json(payload).cast("map<string,variant>"), F.create_map().cast("map<string,variant>"))
     own = F.parse_json(F.to_json(F.struct(F.col("document_id").alias("id"), *META[1:]))).cast("map<string,variant>")
     meta = F.create_map(F.lit("_meta"), F.parse_json(F.to_json(F.struct(*META))))
     missing = F.map_filter(own, lambda k, _: ~F.array_contains(F.map_keys(given), k))
@@ -53,6 +53,29 @@ def failed_items(responses: DataFrame, column: str = "response") -> DataFrame:
     return item.where("r.error is not null").select(F.col("r._id").alias("document_id"), "action", F.col("r.status").alias("status"), F.col("r.error.type").alias("error_type"), F.col("r.error.reason").alias("error_reason"))
 
 
+def acknowledged(responses: DataFrame, column: str = "response") -> DataFrame:
+    """document_id, action, status, error_type, error_reason of each item of bulk responses, failed or not."""
+    item = responses.select(F.explode(F.from_json(column, _ITEMS)["items"]).alias("i")).select(F.explode("i").alias("action", "r"))
+    return item.select(F.col("r._id").alias("document_id"), "action", F.col("r.status").alias("status"), F.col("r.error.type").alias("error_type"), F.col("r.error.reason").alias("error_reason"))
+
+
+#: What an attempt to publish comes to. A document that is superseded is settled: the index holds a newer version.
+DELIVERED, SUPERSEDED, RETRY, DEAD = "delivered", "superseded", "retry", "dead_letter"
+ATTEMPTS = 3
+
+
+def outcomes(sent: DataFrame, acknowledgements: DataFrame, most_attempts: int = ATTEMPTS) -> DataFrame:
+    """What was sent (document_id, unique in a request, attempt from 1, and others), with outcome, status and error_type.
+
+    A version conflict is settled, and so is a deletion of what is not there. Refused for now (429, 5xx) or not answered at
+    all is tried again, until the attempts are used up; any other refusal is final. Projection states are not touched.
+    """
+    joined = sent.join(acknowledgements.select("document_id", "action", "status", "error_type"), "document_id", "left")
+    again = F.col("status").isNull() | (F.col("status") == 429) | (F.col("status") >= 500)
+    settled = F.when(F.col("status").between(200, 299) | ((F.col("status") == 404) & (F.col("action") == "delete")), DELIVERED).when(F.col("status") == 409, SUPERSEDED)
+    return joined.withColumn("outcome", settled.when(again & (F.col("attempt") < most_attempts), RETRY).otherwise(DEAD)).drop("action")
+
+
 def hits(responses: DataFrame, column: str = "response", id_field: str = "id") -> DataFrame:
     """query_id, ids, total of search responses of either shape: `value` with `@odata.count`, or `hits` with `_source`."""
     v = F.try_parse_json(F.col(column))

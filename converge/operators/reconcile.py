@@ -1,5 +1,9 @@
 """Reconciliation of two stores: a full comparison, or bucket digests with a closer look at the buckets that differ.
 
+A digest is a few sums of hashes over documents, so it needs no order and no group that holds its documents: sums of parts
+are the sums of the whole. Digests of the smallest children are made from the documents in one pass, and those of all above
+are added up. A drill walks over this tree of digests and reads documents only where it ends.
+
 Snapshots have document_id (unique), checksum, tenant_id, cohort and is_deleted. A comparison is one full outer join on the
 id; findings come from one aggregate of what differs in it. Lists of affected ids are cut to the first 25 by rank, before anything is collected.
 """
@@ -11,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from converge.functions.hashing import bucket_id, child_bucket_id
+from converge.functions.hashing import bucket_id, child_bucket_id, lanes
 from converge.lineage import cut
 
 AFFECTED = 25
@@ -113,25 +117,56 @@ def in_children(snapshot: DataFrame, depth: int, fanout: int = 16) -> DataFrame:
     return snapshot.withColumn("bucket_id", child_bucket_id(F.col("bucket_id"), depth, F.col("document_id"), fanout))
 
 
-def _lines(entries: Column) -> Column:
-    return F.sha2(F.array_join(F.transform(F.array_sort(entries), lambda e: e["line"]), "\n"), 256)
+#: Numbers of 32 bits in a digest, 128 bits of a hash; their sums have room for 2**31 documents.
+LANES = 4
+_SUMS = {"aggregate": "_line", "tenant_scope": "_tenant", "cohort_scope": "_cohort"}
+
+
+def _weighed(documents: DataFrame) -> DataFrame:
+    """What each document adds to its buckets' digests: its line, its tenant and its cohort, each hashed into lanes."""
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    line = F.concat_ws("|", F.col("document_id"), part("checksum"), part("tenant_id"), part("cohort"), F.when(F.col("is_deleted"), "1").otherwise("0"))
+    scope = lambda c: F.when(part(c) != "", lanes(F.md5(part(c).cast("binary")), LANES))
+    return documents.withColumns({"_line": lanes(F.md5(line.cast("binary")), LANES), "_tenant": scope("tenant_id"), "_cohort": scope("cohort")})
+
+
+def _sums() -> list[Column]:
+    hashed = [F.coalesce(F.sum(F.get(c, F.lit(k))), F.lit(0)).alias(f"{name}_{k}") for name, c in _SUMS.items() for k in range(LANES)]
+    return [F.count_if(~F.col("is_deleted")).alias("active_count"), F.count_if("is_deleted").alias("deleted_count"), *hashed]
+
+
+def _told(sums: DataFrame) -> DataFrame:
+    """Digests as texts in the place of their sums."""
+    checksums = {f"{name}_checksum": F.sha2(F.concat_ws(":", *[F.col(f"{name}_{k}").cast("string") for k in range(LANES)]), 256) for name in _SUMS}
+    return sums.withColumns(checksums).drop(*[f"{name}_{k}" for name in _SUMS for k in range(LANES)])
 
 
 def digests(bucketed: DataFrame) -> DataFrame:
-    """A row per bucket: active_count, deleted_count and three checksums, of its documents and of its scopes' counts.
+    """A row per bucket: active_count, deleted_count and three checksums, of its documents and of its scopes' counts."""
+    return _told(_weighed(bucketed).groupBy("bucket_id").agg(*_sums()))
 
-    A bucket's lines are collected in its group, so buckets are to be many enough for one to fit in a task's memory.
+
+def with_paths(snapshot: DataFrame, buckets: int = 1024, depths: int = 3, fanout: int = 16) -> DataFrame:
+    """Documents with path, the ids of their bucket, of its child and so on, as many as there are depths."""
+    out = snapshot.withColumn("_at1", bucket_id(F.col("document_id"), buckets))
+    for depth in range(1, depths):
+        out = out.withColumn(f"_at{depth + 1}", child_bucket_id(F.col(f"_at{depth}"), depth, F.col("document_id"), fanout))
+    return out.withColumn("path", F.array(*[F.col(f"_at{k}") for k in range(1, depths + 1)])).drop(*[f"_at{k}" for k in range(1, depths + 1)])
+
+
+def tree(paths: DataFrame, depths: int = 3) -> DataFrame:
+    """depth, bucket_id, parent and the digest of every bucket and child; documents are read once, for the deepest.
+
+    All digests above are sums of those below, as many rows as there are children.
     """
-    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    line = F.concat_ws("|", F.col("document_id"), part("checksum"), part("tenant_id"), part("cohort"), F.when(F.col("is_deleted"), "1").otherwise("0"))
-    entry = F.struct(F.col("document_id").alias("key"), line.alias("line"))
-    out = bucketed.groupBy("bucket_id").agg(F.count_if(~F.col("is_deleted")).alias("active_count"), F.count_if("is_deleted").alias("deleted_count"), _lines(F.collect_list(entry)).alias("aggregate_checksum"))
-    for field in ("tenant_id", "cohort"):
-        scopes = bucketed.where(F.coalesce(F.col(field), F.lit("")) != "").groupBy("bucket_id", field).agg(F.count("*").alias("n"))
-        counted = F.struct(F.col(field).alias("key"), F.concat_ws(":", F.col(field), F.col("n").cast("string")).alias("line"))
-        name = f"{field.removesuffix('_id')}_scope_checksum"
-        out = out.join(scopes.groupBy("bucket_id").agg(_lines(F.collect_list(counted)).alias(name)), "bucket_id", "left").withColumn(name, F.coalesce(name, F.sha2(F.lit(""), 256)))
-    return out
+    leaves = cut(_weighed(paths).groupBy("path").agg(*_sums()))
+    sums = [c for c in leaves.columns if c != "path"]
+    levels = [leaves]
+    for depth in range(depths - 1, 0, -1):
+        levels.append(levels[-1].groupBy(F.slice("path", 1, depth).alias("path")).agg(*[F.sum(c).alias(c) for c in sums]))
+    every = reduce(DataFrame.unionByName, levels)
+    depth = F.size("path")
+    return _told(every.select(depth.alias("depth"), F.element_at("path", -1).alias("bucket_id"), F.coalesce(F.get("path", depth - 2), F.lit("")).alias("parent"), *sums))
 
 
 DIGEST = ["active_count", "deleted_count", "aggregate_checksum", "tenant_scope_checksum", "cohort_scope_checksum"]
@@ -159,29 +194,33 @@ def drilled(source: DataFrame, target: DataFrame, buckets: int = 1024, most_buck
     Buckets that differ, the first most_buckets of them (None: all, as for remote stores), are compared document by document if
     they are small or deep enough, and else split into children. A remote comparison looks only into children whose digests
     differ and reports these; a local one looks into all. A bucket on one side only has a warning locally and nothing more.
+
+    Each side is read twice: for its tree of digests, and for the documents of the buckets where the walk ended.
     """
-    s, t = in_buckets(source, buckets), in_buckets(target, buckets)
-    off = cut(compare_digests(digests(s), digests(t)))
-    found = [off.select("bucket_id", "code", F.lit("critical").alias("severity"), F.array("bucket_id").alias("affected_ids"), F.lit(1).cast("long").alias("total_affected"))]
-    # The ids of buckets that differ, at most as many as there are buckets.
-    open_ = off.select("bucket_id", "code", "size") if most_buckets is None else off.select("bucket_id", "code", "size").orderBy("bucket_id").limit(most_buckets)
+    paths = [with_paths(df, buckets, depths, fanout) for df in (source, target)]
+    a, b = (tree(p, depths).select("depth", "bucket_id", "parent", F.struct(*DIGEST).alias(side)) for p, side in zip(paths, "st", strict=True))
+    size = lambda side: F.coalesce(F.col(side)["active_count"] + F.col(side)["deleted_count"], F.lit(0))
+    code = F.when(F.col("s").isNull() | F.col("t").isNull(), "bucket_missing").otherwise("bucket_mismatch")
+    # A row per bucket and child, however many documents there are.
+    both = a.join(b, ["depth", "bucket_id", "parent"], "full_outer")
+    nodes = cut(both.select("depth", "bucket_id", "parent", code.alias("code"), F.greatest(size("s"), size("t")).alias("size"), (~F.col("s").eqNullSafe(F.col("t"))).alias("differs")))
+    reported = lambda rows, code, severity: rows.select("bucket_id", code.alias("code"), F.lit(severity).alias("severity"), F.array("bucket_id").alias("affected_ids"), F.lit(1).cast("long").alias("total_affected"))
+    off = nodes.where("depth = 1 and differs")
+    found = [reported(off, F.col("code"), "critical")]
+    open_ = off if most_buckets is None else off.orderBy("bucket_id").limit(most_buckets)
+    ends = []
     for depth in range(1, depths + 1):
-        alone = open_.where("code = 'bucket_missing'")
+        if depth > 1:
+            inside = ends[-1].where(~F.col("leaf")).select(F.col("bucket_id").alias("parent"))
+            open_ = nodes.where((F.col("depth") == depth) & (F.col("differs") | F.lit(not remote))).join(inside, "parent", "left_semi")
+            if remote:
+                found.append(reported(open_, F.col("code"), "critical"))
         if not remote:
-            found.append(alone.select("bucket_id", F.lit("bucket_drilldown_unavailable").alias("code"), F.lit("warning").alias("severity"), F.array("bucket_id").alias("affected_ids"), F.lit(1).cast("long").alias("total_affected")))
-        both = open_.where("code <> 'bucket_missing'")
-        leaves = both if depth == depths else both.where(F.col("size") <= leaf_size)
-        own = [df.join(leaves.select("bucket_id"), "bucket_id", "left_semi") for df in (s, t)]
-        found.append(compare_leaves(*own).select("bucket_id", "code", F.lit("critical").alias("severity"), "affected_ids", "total_affected"))
-        if depth == depths:
-            break
-        deeper = both.where(F.col("size") > leaf_size).select("bucket_id")
-        # Only the documents of buckets that differ go on, so what is kept shrinks with each depth.
-        s, t = (cut(in_children(df.join(deeper, "bucket_id", "left_semi"), depth, fanout)) for df in (s, t))
-        if remote:
-            open_ = cut(compare_digests(digests(s), digests(t)))
-            found.append(open_.select("bucket_id", "code", F.lit("critical").alias("severity"), F.array("bucket_id").alias("affected_ids"), F.lit(1).cast("long").alias("total_affected")))
-        else:
-            sizes = [df.groupBy("bucket_id").agg(F.count("*").alias(k)) for df, k in ((s, "a"), (t, "b"))]
-            open_ = sizes[0].join(sizes[1], "bucket_id", "full_outer").select("bucket_id", F.when(F.col("a").isNull() | F.col("b").isNull(), "bucket_missing").otherwise("bucket_child").alias("code"), F.greatest("a", "b").alias("size"))
+            found.append(reported(open_.where("code = 'bucket_missing'"), F.lit("bucket_drilldown_unavailable"), "warning"))
+        ends.append(cut(open_.where("code <> 'bucket_missing'").select("depth", "bucket_id", ((F.col("size") <= leaf_size) | (F.col("depth") == depths)).alias("leaf"))))
+    leaves = reduce(DataFrame.unionByName, ends).where("leaf").select("bucket_id")
+    top = leaves.select(F.substring_index("bucket_id", "/", 1).alias("_top")).distinct()
+    mine = lambda df: df.join(top, F.get("path", F.lit(0)) == F.col("_top"), "left_semi").withColumn("bucket_id", F.explode("path")).join(leaves, "bucket_id", "left_semi")
+    compared = compare_leaves(*[mine(p) for p in paths])
+    found.append(compared.select("bucket_id", "code", F.lit("critical").alias("severity"), "affected_ids", "total_affected"))
     return reduce(DataFrame.unionByName, found)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -142,6 +144,26 @@ def load_position(spark: SparkSession, path: str) -> int:
         return 0
 
 
+#: Events between two savings of a backfill's position.
+INTERVAL = 50_000
+
+
+def resumed(events: DataFrame, path: str, apply: Callable[[DataFrame, int], None], interval: int = INTERVAL) -> int:
+    """Hand the events from the saved position on to `apply`, as stretches of `interval` values of seq and their numbers.
+
+    The position, the seq that comes next, is saved after each stretch, so a backfill that stopped goes on with the stretch
+    that it was in. Returns the position at the end.
+    """
+    spark = events.sparkSession
+    position, end = load_position(spark, path), events.agg(F.max("seq")).first()[0]
+    while end is not None and position <= end:
+        upto = (position // interval + 1) * interval
+        apply(events.where((F.col("seq") >= position) & (F.col("seq") < upto)), position // interval)
+        position = min(upto, end + 1)
+        save_position(spark, path, position)
+    return position
+
+
 def admission(events: DataFrame, states: DataFrame, pending: int, most_pending: int = 100_000) -> DataFrame:
     """Events with accepted and reason_code, for one micro-batch whose number of pending entities is known at its start.
 

@@ -9,6 +9,7 @@ from converge.operators import projection as p
 from converge.operators import publish, reports
 from converge.plans.inputs import CHANGE_EVENTS, NOW, PARTIAL, RULES, STRICT, change_events, now
 from converge.policy import Policy, resolved
+from converge.sources import normalise
 
 
 def _history(spark: SparkSession, sf_dir: str, policy: Policy = STRICT) -> DataFrame:
@@ -79,6 +80,50 @@ def quarantined_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.folded(e, [STRICT, PARTIAL], now())[1].select("seq", "status", "reason_code")
 
 
+def quarantine_without_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States where every fifth event's type has no policy: its entity is quarantined and stays pending."""
+    e = change_events(spark, sf_dir).withColumn("entity_type", F.when(F.col("seq") % 5 == 0, F.lit("unknown")).otherwise(F.col("entity_type")))
+    return _text(p.state(p.folded(e, [STRICT], now())[0]).drop("payloads", "payload", "age_ms"))
+
+
+def _two_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return change_events(spark, sf_dir).withColumn("domain_name", F.when(F.col("seq") % 3 == 0, F.lit("other")).otherwise(F.col("domain_name")))
+
+
+def projection_two_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of events of two domains, each by its own policy, in one pass."""
+    return _text(p.folded(_two_domains(spark, sf_dir), [STRICT, PARTIAL], now())[0].drop("payloads", "payload", "age_ms"))
+
+
+def projection_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of the second half of all events, which goes on from what the first half hands over."""
+    e = _two_domains(spark, sf_dir)
+    half = e.agg(F.max("seq")).first()[0] // 2
+    held = p.handed_over(e.where(F.col("seq") <= half), [STRICT, PARTIAL], now())
+    return _text(p.folded(e.where(F.col("seq") > half), [STRICT, PARTIAL], now(), held)[0].drop("payloads", "payload", "age_ms"))
+
+
+def publish_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What publications come to if every seventh is refused, for now or for good, every eleventh is too old, and some get no answer."""
+    docs = p.documents(_history(spark, sf_dir, PARTIAL)).withColumn("document_id", F.concat_ws("/", "document_id", "seq"))
+    status = F.when(F.col("seq") % 14 == 0, 503).when(F.col("seq") % 7 == 0, 400).when(F.col("seq") % 11 == 0, 409).otherwise(200)
+    item = F.create_map(F.when(F.col("completeness_status") == "deleted", "delete").otherwise("index"), F.struct(F.col("document_id").alias("_id"), status.alias("status"), F.when(status >= 400, F.struct(F.lit("refused").alias("type"), F.lit("told").alias("reason"))).alias("error")))
+    responses = docs.where("seq % 13 <> 0").select(F.to_json(F.struct(F.array(item).alias("items"))).alias("response"))
+    sent = docs.select("document_id", "seq", "projection_version", (F.col("seq") % 3 + 1).alias("attempt"))
+    return publish.outcomes(sent, publish.acknowledged(responses)).select("document_id", "seq", "projection_version", "attempt", "status", "error_type", "outcome")
+
+
+def publish_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole bodies of what is indexed: the payload's fields, the document's own and _meta."""
+    docs = p.documents(_history(spark, sf_dir))
+    return publish.single_requests(docs, F.col("entity_type")).where("body is not null").select("document_id", "projection_version", "body")
+
+
+def ordering_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by the key that a broker orders them by."""
+    return change_events(spark, sf_dir).groupBy(normalise.ordering_key().alias("ordering_key")).agg(F.count("*").alias("events"), F.max("seq").alias("last_seq"))
+
+
 def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States of the entity with the smallest id of each tenant."""
     keys = change_events(spark, sf_dir).groupBy("tenant_id", "domain_name", "entity_type").agg(F.min("logical_entity_id").alias("logical_entity_id"))
@@ -142,7 +187,7 @@ def admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("reason_code", "accepted").agg(F.count("*").alias("events"))
 
 
-QUERIES = {f.__name__: f for f in (fragment_latest, projection_history, projection_history_partial, projection_state, pending_count, publish_documents, merged_payload, quarantine, quarantined_events, state_lookup, state_with_fragments, handoff, current_documents, bulk_requests, single_requests, time_to_completeness, policy_resolution, backfill_summary, admission)}
+QUERIES = {f.__name__: f for f in (fragment_latest, projection_history, projection_history_partial, projection_state, pending_count, publish_documents, merged_payload, quarantine, quarantined_events, quarantine_without_policy, projection_two_policies, projection_resumed, publish_outcomes, publish_bodies, ordering_keys, state_lookup, state_with_fragments, handoff, current_documents, bulk_requests, single_requests, time_to_completeness, policy_resolution, backfill_summary, admission)}
 
 
 def _fold(partial: bool, events: str = "change_events", merged: str = "coalesce(f2.p, f1.p, f0.p)") -> str:
@@ -191,6 +236,10 @@ _DOCS = "docs AS (SELECT *, logical_entity_id AS document_id, completeness AS co
 _WHOLE = """'{' || concat_ws(',', CASE WHEN f0 IS NOT NULL THEN '"core":' || (f0.p -> '$.core') END, CASE WHEN f2 IS NOT NULL THEN '"k":' || (f2.p -> '$.k') END,
         CASE WHEN f1 IS NOT NULL THEN '"list":' || (f1.p -> '$.list') END, CASE WHEN coalesce(f1.p, f0.p) IS NOT NULL THEN '"n":' || (coalesce(f1.p, f0.p) -> '$.n') END,
         CASE WHEN f1 IS NOT NULL THEN '"none":null' END, CASE WHEN f2 IS NOT NULL THEN '"ratio":' || (f2.p -> '$.ratio') || ',"tags":' || (f2.p -> '$.tags') END) || '}'"""
+_DOMAINS = "two AS (SELECT * REPLACE (CASE WHEN seq % 3 = 0 THEN 'other' ELSE domain_name END AS domain_name) FROM change_events)"
+_TWO = " UNION ALL ".join(
+    f"SELECT * FROM (WITH {CHANGE_EVENTS}, {_DOMAINS}, mine AS (SELECT * FROM two WHERE domain_name = '{domain}'), {_fold(partial, 'mine')} SELECT {_ROW} FROM history)" for domain, partial in (("customer_documents", False), ("other", True))
+)
 _BAD = """spoiled AS (SELECT * REPLACE (CASE WHEN seq % 7 <> 0 THEN payload WHEN seq % 21 = 0 THEN '{broken' WHEN seq % 21 = 7 THEN '[1]' END AS payload) FROM change_events)"""
 ORACLE_SQL = {
     "fragment_latest": f"""WITH {CHANGE_EVENTS}
@@ -210,6 +259,19 @@ ORACLE_SQL = {
     "quarantine": f"WITH {CHANGE_EVENTS}, {_BAD}, {_fold(False, 'spoiled')} SELECT {_ROW} FROM history",
     "quarantined_events": f"""WITH {CHANGE_EVENTS}, {_BAD}
         SELECT seq, 'quarantined' AS status, CASE WHEN seq % 5 = 0 THEN 'no dependency policy' ELSE 'payload is not a JSON object' END AS reason_code FROM spoiled WHERE seq % 5 = 0 OR seq % 7 = 0""",
+    "quarantine_without_policy": f"""WITH {CHANGE_EVENTS}, typed AS (SELECT * REPLACE (CASE WHEN seq % 5 = 0 THEN 'unknown' ELSE entity_type END AS entity_type, CASE WHEN seq % 5 > 0 THEN payload END AS payload) FROM change_events), {_fold(False, 'typed')}
+        SELECT * REPLACE (CASE WHEN entity_type = 'unknown' THEN '' ELSE missing END AS missing) FROM (SELECT {_ROW} FROM {_STATE})""",
+    "projection_two_policies": _TWO,
+    "projection_resumed": f"SELECT * FROM ({_TWO}) WHERE seq > (SELECT max(event_id) // 2 FROM events)",
+    "publish_outcomes": f"""WITH {CHANGE_EVENTS}, {_fold(True)}, {_DOCS},
+        told AS (SELECT document_id || '/' || seq AS document_id, seq, projection_version, seq % 3 + 1 AS attempt, CASE WHEN seq % 13 = 0 THEN NULL WHEN seq % 14 = 0 THEN 503 WHEN seq % 7 = 0 THEN 400 WHEN seq % 11 = 0 THEN 409 ELSE 200 END::INTEGER AS status FROM docs)
+        SELECT *, CASE WHEN status >= 400 THEN 'refused' END AS error_type, CASE WHEN status = 200 THEN 'delivered' WHEN status = 409 THEN 'superseded' WHEN coalesce(status, 503) = 503 AND attempt < 3 THEN 'retry' ELSE 'dead_letter' END AS outcome FROM told""",
+    "publish_bodies": f"""WITH {CHANGE_EVENTS}, {_fold(False)}, {_DOCS}
+        SELECT document_id, projection_version, '{{"completeness_status":"' || completeness_status || '","domain_name":"' || domain_name || '","entity_type":"' || entity_type || '","id":"' || document_id || '","projection_version":' || projection_version
+          || ',"source_versions":["' || replace(source_versions, ',', '","') || '"],"tenant_id":"' || tenant_id || '",' || substr(json(merged)::VARCHAR, 2, length(json(merged)::VARCHAR) - 2) || ',"_meta":{{"completeness_status":"' || completeness_status || '","document_id":"' || document_id
+          || '","domain_name":"' || domain_name || '","entity_type":"' || entity_type || '","projection_version":' || projection_version || ',"source_versions":["' || replace(source_versions, ',', '","') || '"],"tenant_id":"' || tenant_id || '"}}}}' AS body
+        FROM docs WHERE status <> 'deleted'""",
+    "ordering_keys": f"WITH {CHANGE_EVENTS} SELECT tenant_id || '|' || domain_name || '|' || logical_entity_id AS ordering_key, count(*) AS events, max(seq) AS last_seq FROM change_events GROUP BY 1",
     "state_lookup": f"""WITH {CHANGE_EVENTS}, {_fold(False)}
         SELECT tenant_id, logical_entity_id, status, projection_version FROM {_STATE} WHERE (tenant_id, logical_entity_id) IN (SELECT (tenant_id, min(logical_entity_id)) FROM change_events GROUP BY tenant_id)""",
     "state_with_fragments": f"""WITH {CHANGE_EVENTS}, {_fold(False)}, latest AS (SELECT * FROM change_events QUALIFY row_number() OVER (PARTITION BY {_KEY}, fragment_owner ORDER BY source_version DESC, seq DESC) = 1)

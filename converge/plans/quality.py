@@ -74,6 +74,21 @@ def cutover_illegal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cutover.checked(_log(spark, sf_dir)).where("problem is not null").select("domain_name", "seq", "track", "problem")
 
 
+def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests to move either track of 25 domains, most of them not allowed where they come."""
+    e = table(spark, sf_dir, "events")
+    track = F.when(F.col("event_id") % 2 == 0, "backend").otherwise("search")
+    at = (F.col("event_id") * 31 % 101 % 5).cast("int")
+    target = F.when(F.col("event_id") % 2 == 0, F.element_at(F.array(*map(F.lit, cutover.BACKEND)), at + 1)).otherwise(F.element_at(F.array(*map(F.lit, cutover.SEARCH)), at + 1))
+    who = F.when(F.col("event_type") == "error", " ").otherwise("ops")
+    return e.select(F.concat(F.lit("domain-"), (F.col("user_id") % 25).cast("string")).alias("domain_name"), track.alias("track"), target.alias("to_state"), who.alias("operator"), F.lit("planned").alias("reason"), F.col("event_id").alias("seq"))
+
+
+def cutover_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every request with the state before and after it, and why it was refused."""
+    return cutover.replayed(_requests(spark, sf_dir)).select("domain_name", "track", "seq", "from_state", "state", "accepted", "problem")
+
+
 def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(reports.latency(requests(spark, sf_dir), ["case_name"]))
 
@@ -104,8 +119,21 @@ def failure_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.failure_runs(requests(spark, sf_dir), "backend", threshold=3)
 
 
-QUERIES = {f.__name__: f for f in (ndcg_at_10, mrr, overlap_at_k, corpus_report, shadow_gate, shadow_gate_unjudged, shadow_pairs, canary_freeze, cutover_latest, cutover_illegal, latency_percentiles, error_samples, case_expansion, counters, counter_deltas, failure_runs)}
+QUERIES = {f.__name__: f for f in (ndcg_at_10, mrr, overlap_at_k, corpus_report, shadow_gate, shadow_gate_unjudged, shadow_pairs, canary_freeze, cutover_latest, cutover_illegal, cutover_replay, latency_percentiles, error_samples, case_expansion, counters, counter_deltas, failure_runs)}
 _S, _B = cutover.SEARCH, cutover.BACKEND
+_EDGES = ", ".join(f"('{t}', '{a}', '{b}')" for t, a, b in cutover.EDGES)
+_REPLAY = f"""WITH RECURSIVE edges(track, a, b) AS (VALUES {_EDGES}),
+asked AS (
+  SELECT 'domain-' || (user_id % 25) AS domain_name, CASE WHEN event_id % 2 = 0 THEN 'backend' ELSE 'search' END AS track, CASE WHEN event_id % 2 = 0 THEN {list(_B)} ELSE {list(_S)} END[event_id * 31 % 101 % 5 + 1] AS to_state,
+         event_type <> 'error' AS named, event_id AS seq FROM events),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY domain_name, track ORDER BY seq) AS n FROM asked),
+walk AS (
+  SELECT domain_name, track, 0::BIGINT AS n, NULL::BIGINT AS seq, NULL::VARCHAR AS from_state, CASE WHEN track = 'backend' THEN '{_B[0]}' ELSE '{_S[0]}' END AS state, NULL::BOOLEAN AS accepted, NULL::VARCHAR AS problem FROM (SELECT DISTINCT domain_name, track FROM asked)
+  UNION ALL
+  SELECT w.domain_name, w.track, r.n, r.seq, w.state, CASE WHEN r.named AND e.a IS NOT NULL THEN r.to_state ELSE w.state END, r.named AND e.a IS NOT NULL,
+         CASE WHEN e.a IS NULL THEN 'illegal_transition' WHEN NOT r.named THEN 'missing_operator_or_reason' END
+  FROM walk w JOIN numbered r ON w.domain_name = r.domain_name AND w.track = r.track AND r.n = w.n + 1 LEFT JOIN edges e ON e.track = w.track AND e.a = w.state AND e.b = r.to_state)
+SELECT domain_name, track, seq, from_state, state, accepted, problem FROM walk WHERE n > 0"""
 _LOG = f"""
 log AS (
   SELECT n_name AS domain_name, n_nationkey AS k, seq, track, from_state, to_state
@@ -135,6 +163,7 @@ ORACLE_SQL = {
     "cutover_illegal": f"""WITH {_LOG}
         SELECT domain_name, seq, track, CASE WHEN seq = 4 AND k % 3 = 0 THEN 'not_from_current_state' WHEN seq = 2 AND k % 3 = 0 THEN 'illegal_transition' ELSE 'missing_operator_or_reason' END AS problem
         FROM log WHERE k % 5 = 0 OR (k % 3 = 0 AND seq IN (2, 4))""",
+    "cutover_replay": _REPLAY,
     "latency_percentiles": f"""WITH {REQUESTS}
         SELECT case_name, count(*) AS total_requests, count(*) FILTER (ok) AS successful_requests, count(*) FILTER (NOT ok) AS failed_requests, round(avg(latency_ms), 9) AS average_latency_ms, round(min(latency_ms), 9) AS min_latency_ms, round(max(latency_ms), 9) AS max_latency_ms,
                round(coalesce(avg(result_count) FILTER (ok), 0), 9) AS average_result_count, round(quantile_cont(latency_ms, 0.5), 9) AS p50_latency_ms, round(quantile_cont(latency_ms, 0.95), 9) AS p95_latency_ms, round(quantile_cont(latency_ms, 0.99), 9) AS p99_latency_ms

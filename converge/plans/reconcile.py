@@ -61,8 +61,28 @@ def bucket_drill_remote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(r.drilled(*snapshots(spark, sf_dir), buckets=8, most_buckets=None, remote=True))
 
 
+def bucket_drill_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drill over 1,024 buckets, of which the first 16 that differ are looked into, down to leaves of 4."""
+    return _text(r.drilled(*snapshots(spark, sf_dir), leaf_size=4))
+
+
+def bucket_drill_wide_remote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text(r.drilled(*snapshots(spark, sf_dir), most_buckets=None, leaf_size=4, remote=True))
+
+
+def digest_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all buckets and children of the second store, from its documents once."""
+    return r.tree(r.with_paths(snapshots(spark, sf_dir)[1], 64, 2), 2).select("depth", "bucket_id", "parent", "active_count", "deleted_count", "aggregate_checksum")
+
+
+def recon_reported_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings where the second store reports a count of its own, as many documents as the first has: no count_mismatch is left."""
+    source, target = snapshots(spark, sf_dir)
+    return _text(r.findings(source, target, source_count=source.count(), target_count=source.count()))
+
+
 QUERIES = {f"recon_{name}": _differing(code) for name, code in (("missing", "missing_documents"), ("extra", "unexpected_documents"), ("drift", "checksum_drift"), ("delete_state", "delete_state_mismatch"))}
-QUERIES |= {f.__name__: f for f in (recon_scope_counts, recon_findings, recon_passed, bucket_digest, bucket_mismatch, bucket_leaf, bucket_children, bucket_drill_local, bucket_drill_remote)}
+QUERIES |= {f.__name__: f for f in (recon_scope_counts, recon_findings, recon_passed, bucket_digest, bucket_mismatch, bucket_leaf, bucket_children, bucket_drill_local, bucket_drill_remote, bucket_drill_wide, bucket_drill_wide_remote, digest_tree, recon_reported_counts)}
 
 _BOTH = SNAPSHOTS + """,
 both_ AS (
@@ -86,15 +106,14 @@ _BUCKET = f"'bucket-' || lpad(CAST(('0x' || md5(document_id))::UHUGEINT % {BUCKE
 
 
 def _digest_sql(name: str) -> str:
+    line = "concat_ws('|', document_id, checksum, tenant_id, cohort, CASE WHEN is_deleted THEN '1' ELSE '0' END)"
+    sums = lambda text: ", ".join(f"coalesce(sum(('0x' || substr(md5({text}), {8 * k + 1}, 8))::BIGINT), 0)::BIGINT" for k in range(r.LANES))
     return f"""
     {name}_b AS (SELECT *, {_BUCKET} AS bucket_id FROM {name}),
-    {name}_d AS (
-      SELECT bucket_id, count(*) FILTER (NOT is_deleted) AS active_count, count(*) FILTER (is_deleted) AS deleted_count,
-             sha256(string_agg(concat_ws('|', document_id, checksum, tenant_id, cohort, CASE WHEN is_deleted THEN '1' ELSE '0' END), chr(10) ORDER BY document_id)) AS aggregate_checksum
-      FROM {name}_b GROUP BY bucket_id),
-    {name}_t AS (SELECT bucket_id, sha256(string_agg(tenant_id || ':' || n, chr(10) ORDER BY tenant_id)) AS tenant_scope_checksum FROM (SELECT bucket_id, tenant_id, count(*) AS n FROM {name}_b GROUP BY ALL) GROUP BY bucket_id),
-    {name}_c AS (SELECT bucket_id, sha256(string_agg(cohort || ':' || n, chr(10) ORDER BY cohort)) AS cohort_scope_checksum FROM (SELECT bucket_id, cohort, count(*) AS n FROM {name}_b GROUP BY ALL) GROUP BY bucket_id),
-    {name}_digest AS (SELECT * FROM {name}_d JOIN {name}_t USING (bucket_id) JOIN {name}_c USING (bucket_id))"""
+    {name}_digest AS (
+      SELECT bucket_id, count(*) FILTER (NOT is_deleted) AS active_count, count(*) FILTER (is_deleted) AS deleted_count, sha256(concat_ws(':', {sums(line)})) AS aggregate_checksum,
+             sha256(concat_ws(':', {sums("nullif(tenant_id, '')")})) AS tenant_scope_checksum, sha256(concat_ws(':', {sums("nullif(cohort, '')")})) AS cohort_scope_checksum
+      FROM {name}_b GROUP BY bucket_id)"""
 
 
 _LEAF = """
@@ -153,4 +172,19 @@ def _drill_sql(remote: bool, buckets: int = 8, most: int = 16, depths: int = 3,
     return f"WITH {SNAPSHOTS}, {', '.join(with_)} {' UNION ALL '.join(out)}"
 
 
-ORACLE_SQL |= {"bucket_drill_local": _drill_sql(False), "bucket_drill_remote": _drill_sql(True)}
+ORACLE_SQL |= {"bucket_drill_local": _drill_sql(False), "bucket_drill_remote": _drill_sql(True), "bucket_drill_wide": _drill_sql(False, 1024, leaf=4), "bucket_drill_wide_remote": _drill_sql(True, 1024, leaf=4)}
+
+
+def _tree_sql() -> str:
+    top = _BUCKET.replace(f"% {BUCKETS} ", "% 64 ")
+    line = "concat_ws('|', document_id, checksum, tenant_id, cohort, CASE WHEN is_deleted THEN '1' ELSE '0' END)"
+    sums = ", ".join(f"sum(('0x' || substr(md5({line}), {8 * k + 1}, 8))::BIGINT)::BIGINT" for k in range(r.LANES))
+    level = lambda depth, node, parent: f"SELECT {depth} AS depth, {node} AS bucket_id, {parent} AS parent, count(*) FILTER (NOT is_deleted) AS active_count, count(*) FILTER (is_deleted) AS deleted_count, sha256(concat_ws(':', {sums})) AS aggregate_checksum FROM children GROUP BY ALL"
+    return f"""WITH {SNAPSHOTS}, tops AS (SELECT *, {top} AS top FROM target),
+        children AS (SELECT *, top || '/child-' || lpad(CAST(('0x' || substr(sha256(top || ':1:' || document_id), 64, 1))::UHUGEINT AS VARCHAR), 2, '0') AS child FROM tops)
+        {level(1, "top", "''")} UNION ALL {level(2, "child", "top")}"""
+
+
+ORACLE_SQL["digest_tree"] = _tree_sql()
+ORACLE_SQL["recon_reported_counts"] = f"WITH {_BOTH} SELECT *, 'critical' AS severity FROM listed"
+

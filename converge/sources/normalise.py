@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from converge.functions import versions
+from converge.functions.text import parsed
 
 CANONICAL = ["event_id", "domain_name", "entity_type", "logical_entity_id", "tenant_id", "source_technology", "source_version", "event_time_utc", "change_type", "fragment_owner", "payload", "migration_stage", "trace_id"]
 # Change types and migration stages of canonical events.
@@ -19,6 +20,10 @@ CHANGE_TYPES = ("upsert", "delete", "refresh", "repair")
 STAGES = ("azure_primary", "azure_primary_gcp_warming", "gcp_shadow_validated", "gcp_primary_fallback_window", "gcp_primary_stable")
 
 
+#: A record's variant while it is taken apart.
+_VARIANT = "_variant"
+
+
 @dataclass(frozen=True)
 class Source:
     """Names that a source's records do not carry, and the fields that they do."""
@@ -58,7 +63,9 @@ def _object(v: Column) -> Column:
 
 
 def _canonical(df: DataFrame, source: Source, fields: dict[str, Column], problems: list[tuple[Column, str]]) -> DataFrame:
-    out = df.select("*", *[c.alias(f"_c_{k}") for k, c in fields.items()])
+    # A row of its own, so that what is found here is not found again wherever it is used.
+    found = F.struct(*[c.alias(f"_c_{k}") for k, c in fields.items()])
+    out = df.select("*", F.inline(F.array(found)))
     problem = F.coalesce(*[F.when(F.coalesce(c, F.lit(True)), F.lit(text)) for c, text in problems])
     ident = F.sha2(F.concat_ws("|", F.lit(source.domain_name), F.lit(source.entity_type), "_c_tenant_id", "_c_logical_entity_id", F.lit(source.fragment_owner), F.col("_c_source_version").cast("string"), "_c_change_type"), 256)
     columns = {
@@ -70,7 +77,7 @@ def _canonical(df: DataFrame, source: Source, fields: dict[str, Column], problem
         "migration_stage": F.lit(source.migration_stage),
         "trace_id": F.lit(None).cast("string"),
     } | {k: F.col(f"_c_{k}") for k in fields}
-    return out.select(*[columns[c].alias(c) for c in CANONICAL], problem.alias("problem"), *[c for c in df.columns if c not in CANONICAL and c != "problem"])
+    return out.select(*[columns[c].alias(c) for c in CANONICAL], problem.alias("problem"), *[c for c in df.columns if c not in CANONICAL and c not in ("problem", _VARIANT)])
 
 
 def _absent(name: str) -> Column:
@@ -79,7 +86,7 @@ def _absent(name: str) -> Column:
 
 def change_feed(df: DataFrame, source: Source, record: str = "record") -> DataFrame:
     """Documents with system fields: the payload is what is left without fields that start with _ or say version, time or kind."""
-    v = F.try_parse_json(F.col(record))
+    df, v = parsed(df, record, _VARIANT), F.col(_VARIANT)
     system = [f for f in (source.version_field, source.time_field, source.change_field) if f]
     payload = F.map_filter(_object(v).cast("map<string,variant>"), lambda k, _: ~F.startswith(k, F.lit("_")) & ~k.isin(*system))
     spelled = F.when(_kind(v, f"$.{source.change_field}") == "STRING", _text(v, f"$.{source.change_field}"))
@@ -96,7 +103,7 @@ def change_feed(df: DataFrame, source: Source, record: str = "record") -> DataFr
 
 def log_capture(df: DataFrame, source: Source, record: str = "record") -> DataFrame:
     """Row images of a transaction log: the one before for deletions, the one after for all else."""
-    v = F.try_parse_json(F.col(record))
+    df, v = parsed(df, record, _VARIANT), F.col(_VARIANT)
     op = F.when(_kind(v, "$.payload.op") == "STRING", _text(v, "$.payload.op"))
     image = _object(F.when(F.lower(op) == "d", F.try_variant_get(v, "$.payload.before", "variant")).otherwise(F.try_variant_get(v, "$.payload.after", "variant")))
     own = versions.log_version(_text(v, f"$.payload.source.{source.version_field}"), source.version_kind) if source.version_field else F.lit(None).cast(versions.VERSION)
@@ -117,7 +124,7 @@ def log_capture(df: DataFrame, source: Source, record: str = "record") -> DataFr
 
 def change_stream(df: DataFrame, source: Source, record: str = "record") -> DataFrame:
     """Modifications with keys, new and old values; tenant and id may be in the keys."""
-    v = F.try_parse_json(F.col(record))
+    df, v = parsed(df, record, _VARIANT), F.col(_VARIANT)
     part = lambda name: _object(F.try_variant_get(v, f"$.{name}", "variant"))
     filled = lambda c: F.when(F.to_json(c) != "{}", c)
     kind = F.upper(F.when(_kind(v, "$.mod_type") == "STRING", _text(v, "$.mod_type")))

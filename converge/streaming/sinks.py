@@ -29,12 +29,13 @@ def current(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
 
 def compact(spark: SparkSession, path: str, into: str, key: list[str]) -> None:
     """Write the newest version of each key, deletions included, as one batch of a new log at `into`, which then takes the
-    place of the old one. Its batch has the largest number of the old log, so that later batches stay later."""
+    place of the old one. Its batch has the largest number of the old log, so that later batches stay later. `into` must not
+    exist."""
     log = spark.read.parquet(path)
     fields = [c for c in log.columns if c not in (*key, "batch")]
     best = F.max_by(F.struct(*fields), F.struct("projection_version", -F.col("batch").cast("long")))
     newest = log.groupBy(*key).agg(best.alias("d")).select(*key, *[F.col(f"d.{c}").alias(c) for c in fields])
-    newest.write.mode("overwrite").parquet(f"{into}/batch={log.agg(F.max(F.col('batch').cast('long'))).first()[0]}")
+    newest.withColumn("batch", F.lit(log.agg(F.max(F.col('batch').cast('long'))).first()[0])).write.partitionBy("batch").parquet(into)
 
 
 def split_writer(documents_path: str, letters_path: str, failed: str):

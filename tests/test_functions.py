@@ -46,3 +46,16 @@ def test_numbers_and_changes(spark):
     assert [(None if r.a is None else int(r.a), None if r.b is None else int(r.b)) for r in got] == [(42, 42), (42, 123), (None, None), (9007199254740993, None), (None, None)]
     words = spark.createDataFrame([(" Deleted ",), ("repair",), ("refresh",), ("replace",)], "w string").select(versions.spelled_change(F.col("w")).alias("c")).collect()
     assert [r.c for r in words] == ["delete", "repair", "refresh", "upsert"]
+
+
+def test_a_record_is_parsed_once_and_a_digest_made_once(spark, tmp_path):
+    from converge.functions import routing
+    from converge.sources import normalise as n
+
+    spark.createDataFrame([('{"id":"1","tenantId":"t","_lsn":1,"_ts":1,"a":2}',), ("no",), (None,)], "record string").write.parquet(str(tmp_path / "r"))
+    stored = spark.read.parquet(str(tmp_path / "r"))
+    for normalised in (n.change_feed(stored, n.Source("d", "e", "o", "cosmos", version_field="_lsn")), n.log_capture(stored, n.Source("d", "e", "o", "alloydb")), n.change_stream(stored, n.Source("d", "e", "o", "spanner"))):
+        plan = normalised._jdf.queryExecution().optimizedPlan().toString()
+        assert sum(plan.lower().count(x) for x in ("parse_json", "parsejson")) == 1, plan
+    plan = stored.select(*[c.alias(k) for k, c in routing.ingest_partition(F.col("record"), F.lit("e")).items()])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sha2(") <= 2

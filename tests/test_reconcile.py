@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+from converge.functions.hashing import bucket_id
 from converge.operators import reconcile as r
 
 SCHEMA = "document_id string, checksum string, tenant_id string, cohort string, is_deleted boolean"
@@ -45,10 +46,34 @@ def test_equal_stores_pass(spark):
 def test_digest(spark):
     rows = [("b", "2", None, "gold", True), ("a", "1", "t", "", False)]
     got = r.digests(r.in_buckets(spark.createDataFrame(rows, SCHEMA), 1)).first()
-    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    lane = lambda texts, k: sum(int(hashlib.md5(t.encode()).hexdigest()[8 * k : 8 * k + 8], 16) for t in texts)
+    of = lambda *texts: hashlib.sha256(":".join(str(lane(texts, k)) for k in range(4)).encode()).hexdigest()
     assert (got.active_count, got.deleted_count) == (1, 1)
-    assert got.aggregate_checksum == sha("a|1|t||0\nb|2||gold|1")
-    assert (got.tenant_scope_checksum, got.cohort_scope_checksum) == (sha("t:1"), sha("gold:1"))
+    assert got.aggregate_checksum == of("a|1|t||0", "b|2||gold|1")
+    assert (got.tenant_scope_checksum, got.cohort_scope_checksum) == (of("t"), of("gold"))
+
+
+def test_tree_adds_up(spark):
+    """Digests of the tree are those of the documents of each bucket and child, and no list of documents is collected."""
+    source, _ = stores()
+    df = spark.createDataFrame(source, SCHEMA)
+    nodes = {x.bucket_id: x for x in r.tree(r.with_paths(df, 4, 3, 16), 3).collect()}
+    at = r.in_buckets(df, 4)
+    for depth in (1, 2, 3):
+        direct = r.digests(at).collect()
+        assert len(direct) == sum(n.depth == depth for n in nodes.values())
+        assert all(tuple(nodes[d.bucket_id][c] for c in r.DIGEST) == tuple(d[c] for c in r.DIGEST) for d in direct)
+        assert all(nodes[d.bucket_id].parent == d.bucket_id.rpartition("/")[0] for d in direct)
+        at = r.in_children(at, depth)
+    assert "collect_list" not in r.digests(r.in_buckets(df, 4))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hashes_are_made_once(spark, tmp_path):
+    spark.createDataFrame(stores()[0], SCHEMA).write.parquet(str(tmp_path / "s"))
+    stored = spark.read.parquet(str(tmp_path / "s"))
+    plan = r.in_buckets(stored, 1000)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1
+    assert {x.b for x in stored.select(bucket_id(stored.document_id, 1000).alias("b")).collect()} == {f"bucket-{int(hashlib.md5(d[0].encode()).hexdigest(), 16) % 1000:04d}" for d in stores()[0]}
 
 
 def _drilled(source, target, buckets, most, depths, leaf, remote):
