@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from converge.lineage import folder
 from converge.operators import projection as p
 from converge.operators import publish, reports
 from converge.plans.inputs import CHANGE_EVENTS, NOW, PARTIAL, RULES, STRICT, change_events, now
 from converge.policy import Policy, resolved
 from converge.sources import normalise
+from converge.tables import bucketed
 
 
 def _history(spark: SparkSession, sf_dir: str, policy: Policy = STRICT) -> DataFrame:
@@ -136,6 +140,16 @@ def state_with_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select("tenant_id", "logical_entity_id", "status", listed.alias("fragments"))
 
 
+def state_with_fragments_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over tables that are stored in buckets by entity: once they are, neither side is shuffled."""
+    mark = uuid.uuid4().hex
+    sides = {"states": p.state(_history(spark, sf_dir)), "fragments": p.latest_fragments(change_events(spark, sf_dir))}
+    states, fragments = (bucketed.store(df, f"{name}_{mark}", p.KEY, f"{folder(spark)}/{name}-{mark}", 8) for name, df in sides.items())
+    whole = p.with_fragments(states, fragments)
+    listed = F.array_join(F.transform("fragments", lambda f: F.concat_ws("=", f["fragment_owner"], f["source_version"].cast("string"))), ",")
+    return whole.select("tenant_id", "logical_entity_id", "status", listed.alias("fragments"))
+
+
 def handoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a stream takes over after a backfill: each tenant's events after the watermark of the first half of its days."""
     e = change_events(spark, sf_dir)
@@ -187,7 +201,7 @@ def admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("reason_code", "accepted").agg(F.count("*").alias("events"))
 
 
-QUERIES = {f.__name__: f for f in (fragment_latest, projection_history, projection_history_partial, projection_state, pending_count, publish_documents, merged_payload, quarantine, quarantined_events, quarantine_without_policy, projection_two_policies, projection_resumed, publish_outcomes, publish_bodies, ordering_keys, state_lookup, state_with_fragments, handoff, current_documents, bulk_requests, single_requests, time_to_completeness, policy_resolution, backfill_summary, admission)}
+QUERIES = {f.__name__: f for f in (fragment_latest, projection_history, projection_history_partial, projection_state, pending_count, publish_documents, merged_payload, quarantine, quarantined_events, quarantine_without_policy, projection_two_policies, projection_resumed, publish_outcomes, publish_bodies, ordering_keys, state_lookup, state_with_fragments, state_with_fragments_stored, handoff, current_documents, bulk_requests, single_requests, time_to_completeness, policy_resolution, backfill_summary, admission)}
 
 
 def _fold(partial: bool, events: str = "change_events", merged: str = "coalesce(f2.p, f1.p, f0.p)") -> str:
@@ -297,3 +311,4 @@ ORACLE_SQL = {
           FROM late LEFT JOIN {_STATE} s USING ({_KEY}))
         SELECT reason_code, reason_code <> 'pending_threshold_exceeded' AS accepted, count(*) AS events FROM judged GROUP BY ALL""",
 }
+ORACLE_SQL["state_with_fragments_stored"] = ORACLE_SQL["state_with_fragments"]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from converge.functions import routing, text
+from converge.lineage import folder
 from converge.operators.search import Search
 from converge.plans.inputs import ORDER_FIELDS, table
+from converge.tables import textindex
 
 FILTER = "(Status eq 'F' and TotalPrice gt 100000) or not Priority eq '5-LOW'"
 _WHERE = "(o_orderstatus = 'F' AND o_totalprice > 100000) OR o_orderpriority IS DISTINCT FROM '5-LOW'"
@@ -53,6 +57,16 @@ def text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.matched.select("p_partkey", F.col("_score").alias("score"))
 
 
+RANKED = "the eratha Thonan, blew"
+
+
+def text_search_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of a query, by an index of all of them."""
+    path = f"{folder(spark)}/index-{uuid.uuid4().hex}"
+    textindex.build(table(spark, sf_dir, "documents"), path)
+    return textindex.TextIndex(spark, path).search(RANKED, 20)
+
+
 def tenant_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select(F.concat(F.lit("tenant-"), F.col("c_custkey").cast("string")).alias("tenant_id"))
     route = routing.tenant_route(F.col("tenant_id"), F.lit("customerDocument"), {"tenant-7", "tenant-42"})
@@ -108,7 +122,7 @@ def names_and_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("p_partkey", text.collection_name("cutover", odd, "events").alias("collection"), text.quoted(odd).alias("quoted"), text.truth(flag).alias("requested"), text.truth(flag, text.SETTING_TRUE).alias("set"))
 
 
-QUERIES = {f.__name__: f for f in (odata_typed_literals, odata_quoted_not, odata_search_all, odata_top_clamp, tenant_scope, names_and_flags, odata_filter_and_or_not, odata_search_in, odata_not_equal, odata_orderby_page, odata_top_default, odata_facets, odata_count, tenant_routing, ingest_partition, canary_bucket, text_search)}
+QUERIES = {f.__name__: f for f in (odata_typed_literals, odata_quoted_not, odata_search_all, odata_top_clamp, tenant_scope, names_and_flags, odata_filter_and_or_not, odata_search_in, odata_not_equal, odata_orderby_page, odata_top_default, odata_facets, odata_count, tenant_routing, ingest_partition, canary_bucket, text_search, text_search_ranked)}
 
 _SHA = "((('0x' || substr(h, 1, 32))::UHUGEINT % n) * (('0xffffffffffffffffffffffffffffffff'::UHUGEINT % n + 1) % n) + ('0x' || substr(h, 33, 32))::UHUGEINT % n) % n"
 ORACLE_SQL = {
@@ -148,3 +162,12 @@ ORACLE_SQL = {
                ('0x' || md5('shadow:tenant-' || c_custkey || ':' || c_name || ':customerDocument'))::UHUGEINT % 100 < 50 AS observed
         FROM customer""",
 }
+
+_WANTED = ", ".join(f"'{w}'" for w in ("the", "eratha", "thonan", "blew"))
+ORACLE_SQL["text_search_ranked"] = rf"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS words FROM documents),
+    a AS (SELECT count(*) AS n, avg(len(words)) AS average FROM w),
+    p AS (SELECT doc_id, len(words) AS length, unnest(words) AS term FROM w),
+    t AS (SELECT doc_id, length, term, count(*) AS tf FROM p WHERE term IN ({_WANTED}) GROUP BY ALL),
+    f AS (SELECT term, ln(1 + ((SELECT n FROM a) - count(*) + 0.5::DOUBLE) / (count(*) + 0.5::DOUBLE)) AS weight FROM t GROUP BY term)
+    SELECT doc_id AS id, round(sum(weight * tf * {textindex.K1 + 1}::DOUBLE / (tf + {textindex.K1}::DOUBLE * ({1 - textindex.B}::DOUBLE + {textindex.B}::DOUBLE * length / (SELECT average FROM a)))), 9) AS score
+    FROM t JOIN f USING (term) GROUP BY doc_id ORDER BY score DESC, id LIMIT 20"""
