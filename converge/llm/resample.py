@@ -99,6 +99,10 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(both[:half]), both[half:]
 
 
+#: Buckets of a row of sums: every task tells all its buckets in as many rows as it takes, zeros too.
+ROW = 100
+
+
 def _tallied(buckets: int):
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
@@ -106,8 +110,8 @@ def _tallied(buckets: int):
             for copies, blob in zip(batch.column("_copies").to_pylist(), batch.column("_packed").to_pylist(), strict=True):
                 at, n = _unpacked(blob)
                 total[at] += n * copies
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["bucket", "n"])
+        rows = np.concatenate([total, np.zeros(-buckets % ROW, np.int64)]).reshape(-1, ROW)
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int32()), pa.array(rows.tolist(), pa.list_(pa.int64()))], names=["row", "n"])
 
     return tally
 
@@ -137,8 +141,9 @@ def _digest(text: Column) -> Column:
 
 def bucket_counts(features: DataFrame, buckets: int = BUCKETS) -> dict[int, int]:
     """How many features, copies included, each bucket holds: no more rows than there are buckets."""
-    each = features.select("_copies", "_packed").mapInArrow(_tallied(buckets), "bucket int, n long")
-    return {r.bucket: r.n for r in each.groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
+    each = features.select("_copies", "_packed").mapInArrow(_tallied(buckets), "row int, n array<long>")
+    rows = each.groupBy("row").agg(F.array(*[F.sum(F.get("n", F.lit(k))) for k in range(ROW)]).alias("n")).collect()
+    return {r.row * ROW + k: n for r in rows for k, n in enumerate(r.n) if n}
 
 
 def bucket_gains(source: dict[int, int], target: dict[int, int], buckets: int = BUCKETS) -> list[int]:
