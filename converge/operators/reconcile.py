@@ -198,7 +198,13 @@ def drilled(source: DataFrame, target: DataFrame, buckets: int = 1024, most_buck
     Each side is read twice: for its tree of digests, and for the documents of the buckets where the walk ended.
     """
     paths = [with_paths(df, buckets, depths, fanout) for df in (source, target)]
-    a, b = (tree(p, depths).select("depth", "bucket_id", "parent", F.struct(*DIGEST).alias(side)) for p, side in zip(paths, "st", strict=True))
+    found, leaves = walked(*[tree(p, depths) for p in paths], most_buckets, depths, leaf_size, remote)
+    return found.unionByName(ended(*paths, leaves))
+
+
+def walked(source_tree: DataFrame, target_tree: DataFrame, most_buckets: int | None, depths: int, leaf_size: int, remote: bool) -> tuple[DataFrame, DataFrame]:
+    """What a walk over two trees finds by digests, and the buckets and children in which it ends, which are to be compared."""
+    a, b = (t.select("depth", "bucket_id", "parent", F.struct(*DIGEST).alias(side)) for t, side in ((source_tree, "s"), (target_tree, "t")))
     size = lambda side: F.coalesce(F.col(side)["active_count"] + F.col(side)["deleted_count"], F.lit(0))
     code = F.when(F.col("s").isNull() | F.col("t").isNull(), "bucket_missing").otherwise("bucket_mismatch")
     # A row per bucket and child, however many documents there are.
@@ -218,9 +224,12 @@ def drilled(source: DataFrame, target: DataFrame, buckets: int = 1024, most_buck
         if not remote:
             found.append(reported(open_.where("code = 'bucket_missing'"), F.lit("bucket_drilldown_unavailable"), "warning"))
         ends.append(cut(open_.where("code <> 'bucket_missing'").select("depth", "bucket_id", ((F.col("size") <= leaf_size) | (F.col("depth") == depths)).alias("leaf"))))
-    leaves = reduce(DataFrame.unionByName, ends).where("leaf").select("bucket_id")
+    return reduce(DataFrame.unionByName, found), reduce(DataFrame.unionByName, ends).where("leaf").select("bucket_id")
+
+
+def ended(source_paths: DataFrame, target_paths: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Findings of the documents in the buckets and children where a walk ended."""
     top = leaves.select(F.substring_index("bucket_id", "/", 1).alias("_top")).distinct()
     mine = lambda df: df.join(top, F.get("path", F.lit(0)) == F.col("_top"), "left_semi").withColumn("bucket_id", F.explode("path")).join(leaves, "bucket_id", "left_semi")
-    compared = compare_leaves(*[mine(p) for p in paths])
-    found.append(compared.select("bucket_id", "code", F.lit("critical").alias("severity"), "affected_ids", "total_affected"))
-    return reduce(DataFrame.unionByName, found)
+    compared = compare_leaves(mine(source_paths), mine(target_paths))
+    return compared.select("bucket_id", "code", F.lit("critical").alias("severity"), "affected_ids", "total_affected")

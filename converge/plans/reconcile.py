@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from converge.lineage import folder
 from converge.operators import reconcile as r
 from converge.plans.inputs import SNAPSHOTS, snapshots
+from converge.sources import paged
 
 BUCKETS = 256
 
@@ -70,6 +74,16 @@ def bucket_drill_wide_remote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(r.drilled(*snapshots(spark, sf_dir), most_buckets=None, leaf_size=4, remote=True))
 
 
+def bucket_drill_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The remote drill over two stores of pages, written from the snapshots, that keep their trees of digests."""
+    at = f"{folder(spark)}/pages-{uuid.uuid4().hex}"
+    sides = []
+    for name, snapshot in zip(("source", "target"), snapshots(spark, sf_dir), strict=True):
+        r.tree(r.with_paths(snapshot, 32)).write.parquet(f"{at}/{name}-tree")
+        sides += [paged.write_pages(snapshot, f"{at}/{name}", 32), spark.read.parquet(f"{at}/{name}-tree")]
+    return _text(paged.drilled(spark, *sides, buckets=32, leaf_size=4, page_size=10))
+
+
 def digest_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all buckets and children of the second store, from its documents once."""
     return r.tree(r.with_paths(snapshots(spark, sf_dir)[1], 64, 2), 2).select("depth", "bucket_id", "parent", "active_count", "deleted_count", "aggregate_checksum")
@@ -82,7 +96,7 @@ def recon_reported_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f"recon_{name}": _differing(code) for name, code in (("missing", "missing_documents"), ("extra", "unexpected_documents"), ("drift", "checksum_drift"), ("delete_state", "delete_state_mismatch"))}
-QUERIES |= {f.__name__: f for f in (recon_scope_counts, recon_findings, recon_passed, bucket_digest, bucket_mismatch, bucket_leaf, bucket_children, bucket_drill_local, bucket_drill_remote, bucket_drill_wide, bucket_drill_wide_remote, digest_tree, recon_reported_counts)}
+QUERIES |= {f.__name__: f for f in (recon_scope_counts, recon_findings, recon_passed, bucket_digest, bucket_mismatch, bucket_leaf, bucket_children, bucket_drill_local, bucket_drill_remote, bucket_drill_wide, bucket_drill_wide_remote, bucket_drill_paged, digest_tree, recon_reported_counts)}
 
 _BOTH = SNAPSHOTS + """,
 both_ AS (
@@ -187,4 +201,4 @@ def _tree_sql() -> str:
 
 ORACLE_SQL["digest_tree"] = _tree_sql()
 ORACLE_SQL["recon_reported_counts"] = f"WITH {_BOTH} SELECT *, 'critical' AS severity FROM listed"
-
+ORACLE_SQL["bucket_drill_paged"] = _drill_sql(True, 32, leaf=4)

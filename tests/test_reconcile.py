@@ -7,6 +7,7 @@ import random
 
 from converge.functions.hashing import bucket_id
 from converge.operators import reconcile as r
+from converge.sources import paged
 
 SCHEMA = "document_id string, checksum string, tenant_id string, cohort string, is_deleted boolean"
 
@@ -122,3 +123,26 @@ def test_drill(spark):
     for remote, most in ((False, 3), (True, None)):
         got = r.drilled(spark.createDataFrame(source, SCHEMA), spark.createDataFrame(target, SCHEMA), buckets=4, most_buckets=most, depths=3, leaf_size=16, remote=remote)
         assert sorted((x.bucket_id, x.code, x.severity, x.total_affected) for x in got.collect()) == _drilled(source, target, 4, most, 3, 16, remote)
+
+
+def test_pages_are_fetched_of_buckets_that_differ_only(spark, tmp_path):
+    source, _ = stores(600)
+    target = [(d, "changed" if d in ("d7", "d300") else c, *rest) for d, c, *rest in source]
+    frames = [spark.createDataFrame(x, SCHEMA) for x in (source, target)]
+    kept = [paged.write_pages(df, str(tmp_path / n), 64) for df, n in zip(frames, "ab", strict=True)]
+    whole = paged.read(spark, kept[0], 7)
+    assert sorted(map(tuple, whole.drop("bucket_id").collect()), key=repr) == sorted(source, key=repr)
+    bad = sorted({x.bucket_id for x in r.in_buckets(frames[0].where("document_id in ('d7', 'd300')"), 64).collect()})
+    assert whole.where(whole.bucket_id.isin(bad)).rdd.getNumPartitions() == len(bad)
+    trees = [r.tree(r.with_paths(df, 64)) for df in frames]
+    asked = []
+    monkey = paged.read
+    try:
+        paged.read = lambda spark, store, size: (lambda df: asked.append(df) or df)(monkey(spark, store, size))
+        got = paged.drilled(spark, kept[0], trees[0], kept[1], trees[1], 64, leaf_size=2, page_size=7)
+        wanted = r.drilled(*frames, buckets=64, most_buckets=None, leaf_size=2, remote=True)
+        key = lambda x: (x.bucket_id, x.code, x.severity, tuple(x.affected_ids), x.total_affected)
+        assert sorted(map(key, got.collect())) == sorted(map(key, wanted.collect())) and len(asked) == 2
+        assert {i for x in got.collect() if x.code == "bucket_checksum_drift" for i in x.affected_ids} <= {"d7", "d300"}
+    finally:
+        paged.read = monkey
