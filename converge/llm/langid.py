@@ -5,11 +5,17 @@ Each language has its own probability of each piece, learned by expectation maxi
 documents. A word's probability in a language is the sum over all its segmentations into pieces, by the forward algorithm;
 a text's is the product over its words. Words are the runs of ASCII letters, lower-cased, and of bytes outside ASCII, with a
 mark in front. They are scored whole: sums are scaled on the way, so a word of any length stays within range.
+
+A long word, as a text without spaces is, falls apart where no piece of the vocabulary holds both neighbouring characters: no
+segmentation has a piece across, so the sum over all is the product of the parts' sums. What stays long, or alone in its
+length, is walked through with a trie, a place at a time; all else side by side.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +35,10 @@ FLOOR = 1e-6
 SCALED = 32
 #: Bytes of the words that are scored together, about.
 BLOCK_BYTES = 1 << 18
+#: Bytes of a word from which on it is looked at for places where it falls apart.
+LONG = 32
+#: Words of similar length below which each is walked through alone.
+FEW = 64
 #: Stands for the start of a word in pieces; not a byte of any word.
 MARK = 1
 STEP = 8 << 20
@@ -62,6 +72,17 @@ def vocabulary(path: str | None = None) -> list[bytes]:
 _BASE = 0x9E3779B97F4A7C15
 
 
+def _trie(pieces: list[bytes]) -> dict:
+    """Pieces by their bytes from the front; at -1 the number of the piece that ends there."""
+    root: dict = {}
+    for k, piece in enumerate(pieces):
+        node = root
+        for byte in piece:
+            node = node.setdefault(byte, {})
+        node[-1] = k
+    return root
+
+
 class _Endings:
     """All endings of all pieces by a 64-bit hash of their bytes, read from the last to the first, in an open table.
 
@@ -119,7 +140,76 @@ class Segmenter:
     """Piece probabilities of one or more languages: a row for each piece, a column for each language."""
 
     def __init__(self, pieces: list[bytes], probabilities: np.ndarray, endings: _Endings | None = None) -> None:
-        self.endings, self.p = endings or _Endings(pieces), probabilities
+        self.endings, self.p, self.pieces = endings or _Endings(pieces), probabilities, pieces
+        self.rows = probabilities.tolist()
+
+    @cached_property
+    def trie(self) -> dict:
+        return _trie(self.pieces)
+
+    def _walked(self, word: bytes) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+        """Each place of the word, with ends and numbers of the pieces that start there."""
+        for i in range(len(word)):
+            node, found = self.trie, []
+            for j in range(i, len(word)):
+                node = node.get(word[j])
+                if node is None:
+                    break
+                if -1 in node:
+                    found.append((j + 1, node[-1]))
+            yield i, found
+
+    def log_probability(self, word: bytes) -> list[float]:
+        """Of one word, in each language."""
+        kinds, ring = range(self.p.shape[1]), self.endings.longest + 1
+        sums, scale = [[0.0] * len(kinds) for _ in range(ring)], [0.0] * len(kinds)
+        sums[0] = [1.0] * len(kinds)
+        for i, found in self._walked(word):
+            now = sums[i % ring]
+            if i % SCALED == 0:
+                top = [max(x, 1e-300) for x in now]
+                scale = [s + math.log(t) for s, t in zip(scale, top, strict=True)]
+                for row in sums:
+                    for k in kinds:
+                        row[k] /= top[k]
+            for end, number in found:
+                then, p = sums[end % ring], self.rows[number]
+                for k in kinds:
+                    then[k] += now[k] * p[k]
+            sums[i % ring] = [0.0] * len(kinds)
+        return [math.log(max(x, 1e-300)) + s for x, s in zip(sums[len(word) % ring], scale, strict=True)]
+
+    def expected_of(self, word: bytes, weight: float, out: np.ndarray) -> None:
+        """Add the expected uses of each piece in one word that occurs weight times, for the first language."""
+        total, ring = [0.0] * (len(word) + 1), self.endings.longest + 1
+        sums, scale = [0.0] * ring, 0.0
+        sums[0] = 1.0
+        for i, found in self._walked(word):
+            now = sums[i % ring]
+            total[i] = math.log(max(now, 1e-300)) + scale
+            if i % SCALED == 0:
+                top = max(now, 1e-300)
+                scale += math.log(top)
+                sums = [x / top for x in sums]
+                now = sums[i % ring]
+            for end, number in found:
+                sums[end % ring] += now * self.rows[number][0]
+            sums[i % ring] = 0.0
+        total[len(word)] = math.log(max(sums[len(word) % ring], 1e-300)) + scale
+        # How often a segmentation has a boundary at a place: a place that comes later is known first.
+        met = [0.0] * len(word) + [weight]
+        for i in range(len(word) - 1, -1, -1):
+            node, mine = self.trie, 0.0
+            for j in range(i, len(word)):
+                node = node.get(word[j])
+                if node is None:
+                    break
+                number = node.get(-1)
+                if number is not None and met[j + 1]:
+                    used = math.exp(total[i] - total[j + 1]) * self.rows[number][0] * met[j + 1]
+                    mine += used
+                    out[number, 0] += used
+            met[i] = mine
 
     def _lookups(self, words: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Ends and lengths of pieces, and the words (numbers of rows) and pieces that they are in and are.
@@ -148,6 +238,8 @@ class Segmenter:
 
     def log_probabilities(self, words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Of words of rising lengths. Sums of the last places are divided by the newest one from time to time."""
+        if len(words) < FEW:
+            return np.array([self.log_probability(w[:n].tobytes()) for w, n in zip(words, lengths.tolist(), strict=True)]).reshape(len(words), -1)
         deep, rows, kinds = self.endings.longest + SCALED, len(words), self.p.shape[1]
         alpha = np.zeros((min(deep, words.shape[1] + 1), rows, kinds))
         alpha[0] = 1
@@ -175,6 +267,11 @@ class Segmenter:
 
     def expected(self, words: np.ndarray, lengths: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Expected number of uses of each piece, in each language, over words (of rising lengths) that occur weight times."""
+        if len(words) < FEW and self.p.shape[1] == 1:
+            out = np.zeros_like(self.p)
+            for w, n, times in zip(words, lengths.tolist(), weight.tolist(), strict=True):
+                self.expected_of(w[:n].tobytes(), times, out)
+            return out
         uses = list(self._lookups(words, lengths))
         shape = (words.shape[1] + 1, len(words), self.p.shape[1])
         # Sums of a place, or for long words their logarithms, so that any length stays within range.
@@ -202,8 +299,43 @@ class Segmenter:
         return out
 
 
-def _words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased bytes, starts and lengths of words, and the document of each."""
+@cache
+def _joins(pieces: tuple[bytes, ...]) -> np.ndarray:
+    """Pairs of neighbouring characters, as two numbers of their bytes in one, that some piece holds, in order."""
+    found = set()
+    for piece in pieces:
+        if len(piece) > 1:
+            # Single bytes aside, pieces are whole characters.
+            codes = [int.from_bytes(c.encode(), "big") for c in piece.decode()]
+            found.update(x << 32 | y for x, y in zip(codes, codes[1:], strict=False))
+    return np.array(sorted(found), dtype=U64)
+
+
+def _characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where characters of UTF-8 start, and each one's bytes as a number."""
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    size = np.diff(np.append(starts, len(data)))
+    code = np.zeros(len(starts), dtype=U64)
+    for k in range(4):
+        more = size > k
+        code[more] = code[more] << U64(8) | data[starts[more] + k].astype(U64)
+    return starts, code
+
+
+def _parts(data: np.ndarray, start: int, length: int, joins: np.ndarray) -> np.ndarray:
+    """Where the parts of a word start that no piece reaches across."""
+    starts, code = _characters(data[start : start + length])
+    pair = code[:-1] << U64(32) | code[1:]
+    at = np.minimum(np.searchsorted(joins, pair), max(0, len(joins) - 1))
+    held = joins[at] == pair if len(joins) else np.zeros(len(pair), bool)
+    return start + np.append(0, starts[1:][~held])
+
+
+def _words(data: np.ndarray, off: np.ndarray, pieces: tuple[bytes, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes, starts and lengths of words, the document of each, and whether it has a mark in front.
+
+    Given the pieces, long words are taken apart where none of them reaches across; only the first part has the mark.
+    """
     data = common.lower_ascii(data)
     inside = _WORD[data]
     before = np.zeros(len(data), dtype=bool)
@@ -214,50 +346,63 @@ def _words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     after[off[1:][off[1:] > 0] - 1] = False
     starts = np.flatnonzero(inside & ~before)
     lengths = np.flatnonzero(inside & ~after) + 1 - starts
-    return data, starts, lengths, np.searchsorted(off, starts, side="right") - 1
-
-
-def _blocks(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, size: int = BLOCK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Distinct words of rising, similar lengths as matrices of bytes with the mark in front: positions, matrix, lengths."""
-    order = np.argsort(lengths, kind="stable")
-    k = 0
-    while k < len(order):
-        shortest = int(lengths[order[k]])
-        # No word is more than about twice as long as the first, nor the matrix larger than by as much.
-        end = min(int(np.searchsorted(lengths[order], 2 * shortest + 8, side="right")), k + max(1, size // (shortest + 1)))
-        at = order[k:end]
-        n = lengths[at]
-        width = int(n.max())
-        places = np.minimum(starts[at][:, None] + np.arange(width), len(data) - 1)
-        matrix = np.full((len(at), width + 1), MARK, dtype=np.uint8)
-        matrix[:, 1:] = np.where(np.arange(width) < n[:, None], data[places], 0)
-        yield at, matrix, n + 1
-        k = end
-
-
-def _distinct(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    h = common.word_hashes(data, starts, starts + lengths)
+    marked = np.ones(len(starts), dtype=bool)
+    if pieces and (long := np.flatnonzero(lengths > LONG)).size:
+        joins = _joins(pieces)
+        parts = [_parts(data, int(starts[k]), int(lengths[k]), joins) for k in long]
+        short = lengths <= LONG
+        firsts = np.concatenate([starts[short], *parts])
+        ends = np.concatenate([(starts + lengths)[short], *[np.append(p[1:], starts[k] + lengths[k]) for k, p in zip(long, parts, strict=True)]])
+        marked = np.concatenate([np.ones(int(short.sum()), bool), *[np.arange(len(p)) == 0 for p in parts]])
+        order = np.argsort(firsts, kind="stable")
+        starts, lengths, marked = firsts[order], (ends - firsts)[order], marked[order]
+    return data, starts, lengths, np.searchsorted(off, starts, side="right") - 1, marked
+
+
+def _blocks(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, marked: np.ndarray, size: int = BLOCK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Distinct words of rising, similar lengths as matrices of bytes, the mark in front of those that have it: positions, matrix, lengths."""
+    for mark in (1, 0):
+        mine = np.flatnonzero(marked == bool(mark))
+        order = mine[np.argsort(lengths[mine], kind="stable")]
+        rising = lengths[order]
+        k = 0
+        while k < len(order):
+            shortest = int(rising[k])
+            # No word is more than about twice as long as the first, nor the matrix larger than by as much.
+            end = min(int(np.searchsorted(rising, 2 * shortest + 8, side="right")), k + max(1, size // (shortest + 1)))
+            at = order[k:end]
+            n = lengths[at]
+            width = int(n.max())
+            places = np.minimum(starts[at][:, None] + np.arange(width), len(data) - 1)
+            matrix = np.full((len(at), width + mark), MARK, dtype=np.uint8)
+            matrix[:, mark:] = np.where(np.arange(width) < n[:, None], data[places], 0)
+            yield at, matrix, n + mark
+            k = end
+
+
+def _distinct(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    h = common.word_hashes(data, starts, starts + lengths) ^ marked.astype(U64)
     _, first, back = np.unique(h, return_index=True, return_inverse=True)
     return first, back
 
 
 def _counter(pieces: list[bytes], languages: list[str], start: np.ndarray):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, endings = np.zeros((len(pieces), len(languages))), None
+        sums, endings, whole = np.zeros((len(pieces), len(languages))), None, tuple(pieces)
         for piece, raw, off in common.pieces(batches, "_text", STEP):
             endings = endings or _Endings(pieces)
-            data, starts, lengths, doc = _words(raw, off)
+            data, starts, lengths, doc, marked = _words(raw, off, whole)
             langs = np.array([languages.index(x) for x in piece.column("_lang").to_pylist()], dtype=np.int64)
             for k in range(len(languages)):
                 mine = langs[doc] == k if len(doc) else np.zeros(0, bool)
                 if not mine.any():
                     continue
-                s, n = starts[mine], lengths[mine]
-                first, back = _distinct(data, s, n)
+                s, n, m = starts[mine], lengths[mine], marked[mine]
+                first, back = _distinct(data, s, n, m)
                 times = np.bincount(back)
                 own = Segmenter(pieces, start[:, k : k + 1], endings)
-                for at, matrix, m in _blocks(data, s[first], n[first]):
-                    sums[:, k] += own.expected(matrix, m, times[at].astype(float))[:, 0]
+                for at, matrix, size in _blocks(data, s[first], n[first], m[first]):
+                    sums[:, k] += own.expected(matrix, size, times[at].astype(float))[:, 0]
         which, lang = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(which, pa.int64()), pa.array(lang, pa.int64()), pa.array(sums[which, lang])], names=["piece", "lang", "uses"])
 
@@ -297,14 +442,14 @@ _SCHEMA_OUT = "lang_pred string, score double"
 
 def _scorer(model: LanguageModel):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = Segmenter(model.pieces, model.probabilities)
+        segmenter, whole = Segmenter(model.pieces, model.probabilities), tuple(model.pieces)
         for piece, raw, off in common.pieces(batches, "_text", STEP):
-            data, starts, lengths, doc = _words(raw, off)
+            data, starts, lengths, doc, marked = _words(raw, off, whole)
             total = np.zeros((piece.num_rows, len(model.languages)))
             if len(starts) and model.languages:
-                first, back = _distinct(data, starts, lengths)
+                first, back = _distinct(data, starts, lengths, marked)
                 by_word = np.zeros((len(first), len(model.languages)))
-                for at, matrix, n in _blocks(data, starts[first], lengths[first]):
+                for at, matrix, n in _blocks(data, starts[first], lengths[first], marked[first]):
                     by_word[at] = segmenter.log_probabilities(matrix, n)
                 for k in range(len(model.languages)):
                     total[:, k] = np.bincount(doc, by_word[back, k], piece.num_rows)

@@ -393,6 +393,53 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(segmenter.expected(matrix, lengths, np.arange(len(words)) % 3.0), wanted_uses)
 
 
+LONG_WORDS = ["".join(random.Random(4).choice("的一是不了人我在有他这中大来上国日本語のテキスト年月。，") for _ in range(900)), "ภาษาไทยไม่มีช่องว่างระหว่างคำ" * 30, "donaudampfschifffahrtsgesellschaft" * 20, "éñß" * 90 + "a" * 300, "ab" + "語" * 40 + "cd" * 40]
+
+
+def test_long_words_fall_apart_where_no_piece_reaches_across():
+    """Sums and expected uses of long words are those of the whole word, a place at a time and side by side."""
+    pieces = langid.vocabulary()
+    r = np.random.RandomState(3)
+    p = r.dirichlet(np.full(len(pieces), 0.3), 2).T + 1e-7
+    segmenter, one = langid.Segmenter(pieces, p), langid.Segmenter(pieces, p[:, :1])
+    apart = 0
+    for text in LONG_WORDS:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        off = np.array([0, len(raw)])
+        sums, uses = [], []
+        for known in ((), tuple(pieces)):
+            data, starts, lengths, _, marked = langid._words(raw, off, known)
+            total, used, places = np.zeros(2), np.zeros((len(pieces), 1)), 0
+            for at, matrix, n in langid._blocks(data, starts, lengths, marked):
+                # The same words many times over are worked on side by side.
+                many, wide = np.repeat(matrix, langid.FEW, axis=0), np.repeat(n, langid.FEW)
+                alone = np.array([segmenter.log_probability(w[:k].tobytes()) for w, k in zip(matrix, n, strict=True)])
+                assert np.allclose(segmenter.log_probabilities(many, wide)[:: langid.FEW], alone, rtol=1e-9)
+                total += alone.sum(axis=0)
+                few, beside = np.zeros((len(pieces), 1)), one.expected(many, wide, np.full(len(many), 1 / langid.FEW))
+                for w, k in zip(matrix, n, strict=True):
+                    one.expected_of(w[:k].tobytes(), 1.0, few)
+                assert np.allclose(few, beside, atol=1e-7)
+                used, places = used + few, places + len(at)
+            sums.append(total)
+            uses.append(used)
+            apart += places * (1 if known else -1)
+        assert np.allclose(*sums, rtol=1e-9) and np.allclose(*uses, atol=1e-6)
+    assert apart > 500
+
+
+def test_texts_without_spaces_take_a_bounded_time_for_each_byte(spark):
+    import time
+
+    texts = [w * (200_000 // len(w)) for w in LONG_WORDS] + ["x" * 1_000_000]
+    table = spark.createDataFrame([(k, t, "ab"[k % 2]) for k, t in enumerate(texts)], "doc_id long, text string, lang string")
+    model = langid.fit(table, iterations=1)
+    began = time.perf_counter()
+    assert langid.identify(table, model).count() == len(texts)
+    # 8 microseconds a byte on one core, were each a place of its own; most fall apart.
+    assert time.perf_counter() - began < 8e-6 * sum(len(t.encode()) for t in texts) + 10
+
+
 def test_words_of_any_length_are_scored_whole():
     """A long word against sums in exact arithmetic, a place at a time."""
     from fractions import Fraction
