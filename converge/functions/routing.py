@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Collection
 
 from pyspark.sql import Column
@@ -27,6 +28,14 @@ def tenant_route(tenant: Column, entity_type: Column, dedicated: Collection[str]
     }
 
 
+def route_of(tenant: str, entity_type: str, dedicated: Collection[str] = ()) -> dict[str, str | None]:
+    """The same route for one request, without a table."""
+    shared = ("shared_a", "shared_b")[int(hashlib.sha256(tenant.encode()).hexdigest(), 16) % 2]
+    kind = "dedicated" if tenant in dedicated else shared
+    base = f"{entity_type}-{tenant if tenant in dedicated else shared}"
+    return {"routing_class": kind, "read_alias": f"{base}-read", "write_alias": f"{base}-write", "routing_key": None if tenant in dedicated else tenant}
+
+
 def ingest_partition(tenant: Column, entity_type: Column, whales: Collection[str] = (), shared_partitions: int = 32) -> dict[str, Column]:
     """partition_group, partition_key and dedicated; whales have lanes of their own."""
     whale = _one_of(tenant, whales)

@@ -208,6 +208,12 @@ def folded(events: DataFrame, policies: list[Policy], now: Column, held: DataFra
     return whole, lost
 
 
+def version_map(source_versions: Column) -> Column:
+    """owner to version, from texts owner=version; owners may hold = themselves."""
+    cut = lambda v: F.length(v) - F.length(F.substring_index(v, "=", -1))
+    return F.map_from_entries(F.transform(source_versions, lambda v: F.struct(F.substring(v, F.lit(1), cut(v) - 1).alias("key"), F.substring_index(v, "=", -1).cast("decimal(38,0)").alias("value"))))
+
+
 def looked_up(states: DataFrame, keys: DataFrame) -> DataFrame:
     """The states of the entities that keys (the columns of KEY) names, once each; keys that have no state are missing."""
     return states.join(keys.select(*KEY).distinct(), KEY, "left_semi")

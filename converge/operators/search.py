@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from converge.functions import routing
 from converge.operators import odata
 
 #: Rows of a page unless asked for, and at most; values of a facet.
@@ -69,3 +70,15 @@ class Search:
         named = odata.facets(self.params.get("$facets") or self.params["facet"], self.fields)
         each = [self.matched.where(F.col(f).isNotNull()).groupBy(F.col(f).cast("string").alias("value")).agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "value").limit(FACET_VALUES).select(F.lit(f).alias("field"), "value", "n") for f in named]
         return reduce(DataFrame.unionByName, each)
+
+
+def routed(tables: Mapping[str, DataFrame], tenant: str, entity_type: str, params: Mapping[str, str], fields: Mapping[str, str], key: str, tenant_column: str, dedicated: Collection[str] = ()) -> Search:
+    """One request of a tenant: its route's read alias names the table, and in a table that tenants share its routing key the rows.
+
+    tables: read aliases and their tables, of which only the one is read. An alias without a table is an error.
+    """
+    route = routing.route_of(tenant, entity_type, dedicated)
+    if route["read_alias"] not in tables:
+        raise ValueError(f"no table for {route['read_alias']}")
+    key_of = route["routing_key"]
+    return Search(tables[route["read_alias"]], params, fields, key, tenant=None if key_of is None else (tenant_column, key_of))

@@ -123,6 +123,12 @@ def publish_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.single_requests(docs, F.col("entity_type")).where("body is not null").select("document_id", "projection_version", "body")
 
 
+def source_version_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which version of which owner each entity's state was made of."""
+    states = p.state(_history(spark, sf_dir))
+    return states.select("tenant_id", "logical_entity_id", F.explode(p.version_map(F.col("source_versions"))).alias("fragment_owner", "version")).withColumn("version", F.col("version").cast("long"))
+
+
 def ordering_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by the key that a broker orders them by."""
     return change_events(spark, sf_dir).groupBy(normalise.ordering_key().alias("ordering_key")).agg(F.count("*").alias("events"), F.max("seq").alias("last_seq"))
@@ -201,7 +207,7 @@ def admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("reason_code", "accepted").agg(F.count("*").alias("events"))
 
 
-QUERIES = {f.__name__: f for f in (fragment_latest, projection_history, projection_history_partial, projection_state, pending_count, publish_documents, merged_payload, quarantine, quarantined_events, quarantine_without_policy, projection_two_policies, projection_resumed, publish_outcomes, publish_bodies, ordering_keys, state_lookup, state_with_fragments, state_with_fragments_stored, handoff, current_documents, bulk_requests, single_requests, time_to_completeness, policy_resolution, backfill_summary, admission)}
+QUERIES = {f.__name__: f for f in (fragment_latest, projection_history, projection_history_partial, projection_state, pending_count, publish_documents, merged_payload, quarantine, quarantined_events, quarantine_without_policy, projection_two_policies, projection_resumed, publish_outcomes, publish_bodies, source_version_map, ordering_keys, state_lookup, state_with_fragments, state_with_fragments_stored, handoff, current_documents, bulk_requests, single_requests, time_to_completeness, policy_resolution, backfill_summary, admission)}
 
 
 def _fold(partial: bool, events: str = "change_events", merged: str = "coalesce(f2.p, f1.p, f0.p)") -> str:
@@ -312,3 +318,4 @@ ORACLE_SQL = {
         SELECT reason_code, reason_code <> 'pending_threshold_exceeded' AS accepted, count(*) AS events FROM judged GROUP BY ALL""",
 }
 ORACLE_SQL["state_with_fragments_stored"] = ORACLE_SQL["state_with_fragments"]
+ORACLE_SQL["source_version_map"] = f"WITH {CHANGE_EVENTS} SELECT tenant_id, logical_entity_id, fragment_owner, max(source_version) AS version FROM change_events GROUP BY {_KEY}, fragment_owner"

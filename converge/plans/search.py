@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from converge.functions import routing, text
 from converge.lineage import folder
-from converge.operators.search import Search
+from converge.operators.search import Search, routed
 from converge.plans.inputs import ORDER_FIELDS, table
 from converge.tables import textindex
 
@@ -57,6 +58,20 @@ def text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.matched.select("p_partkey", F.col("_score").alias("score"))
 
 
+def routed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same filter for each of ten tenants, in the table that the tenant's route names."""
+    tenant = F.concat(F.lit("tenant-"), (F.col("o_custkey") % 10).cast("string"))
+    dedicated = {"tenant-7"}
+    orders = table(spark, sf_dir, "orders").withColumn("tenant_id", tenant)
+    alias = routing.tenant_route(F.col("tenant_id"), F.lit("order"), dedicated)["read_alias"]
+    tables = {f"order-{name}-read": orders.where(alias == f"order-{name}-read") for name in ("tenant-7", "shared_a", "shared_b")}
+    each = []
+    for k in range(10):
+        found = routed(tables, f"tenant-{k}", "order", {"$filter": "Status eq 'F'"}, ORDER_FIELDS, "o_orderkey", "tenant_id", dedicated)
+        each.append(found.matched.groupBy("tenant_id").agg(F.count("*").alias("total")))
+    return reduce(DataFrame.unionByName, each)
+
+
 RANKED = "the eratha Thonan, blew"
 
 
@@ -122,7 +137,7 @@ def names_and_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("p_partkey", text.collection_name("cutover", odd, "events").alias("collection"), text.quoted(odd).alias("quoted"), text.truth(flag).alias("requested"), text.truth(flag, text.SETTING_TRUE).alias("set"))
 
 
-QUERIES = {f.__name__: f for f in (odata_typed_literals, odata_quoted_not, odata_search_all, odata_top_clamp, tenant_scope, names_and_flags, odata_filter_and_or_not, odata_search_in, odata_not_equal, odata_orderby_page, odata_top_default, odata_facets, odata_count, tenant_routing, ingest_partition, canary_bucket, text_search, text_search_ranked)}
+QUERIES = {f.__name__: f for f in (odata_typed_literals, odata_quoted_not, odata_search_all, odata_top_clamp, tenant_scope, names_and_flags, odata_filter_and_or_not, odata_search_in, odata_not_equal, odata_orderby_page, odata_top_default, odata_facets, odata_count, tenant_routing, ingest_partition, canary_bucket, text_search, text_search_ranked, routed_search)}
 
 _SHA = "((('0x' || substr(h, 1, 32))::UHUGEINT % n) * (('0xffffffffffffffffffffffffffffffff'::UHUGEINT % n + 1) % n) + ('0x' || substr(h, 33, 32))::UHUGEINT % n) % n"
 ORACLE_SQL = {
@@ -171,3 +186,4 @@ ORACLE_SQL["text_search_ranked"] = rf"""WITH w AS (SELECT doc_id, list_filter(re
     f AS (SELECT term, ln(1 + ((SELECT n FROM a) - count(*) + 0.5::DOUBLE) / (count(*) + 0.5::DOUBLE)) AS weight FROM t GROUP BY term)
     SELECT doc_id AS id, round(sum(weight * tf * {textindex.K1 + 1}::DOUBLE / (tf + {textindex.K1}::DOUBLE * ({1 - textindex.B}::DOUBLE + {textindex.B}::DOUBLE * length / (SELECT average FROM a)))), 9) AS score
     FROM t JOIN f USING (term) GROUP BY doc_id ORDER BY score DESC, id LIMIT 20"""
+ORACLE_SQL["routed_search"] = "SELECT 'tenant-' || (o_custkey % 10) AS tenant_id, count(*) AS total FROM orders WHERE o_orderstatus = 'F' GROUP BY 1"

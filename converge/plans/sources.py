@@ -44,6 +44,17 @@ def log_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(n.log_capture(e.select(record.alias("record")), LOG))
 
 
+TIMED = n.Source("customer_documents", "customerDocument", "customer_profile", "alloydb", tenant_field="tenant_id", version_field="lsn", timestamp_versions=True)
+
+
+def log_normalise_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records without a log position: nanoseconds, else microseconds, else milliseconds stand for the version."""
+    e = _events(spark, sf_dir)
+    clocks = F.when(F.col("event_id") % 3 == 0, F.format_string('"ts_ns":%d', F.col("s") * 1_000_000_000 + 7)).when(F.col("event_id") % 3 == 1, F.format_string('"ts_us":%d', F.col("s") * 1_000_000 + 5)).otherwise('"x":1')
+    record = F.format_string('{"payload":{"op":"u","ts_ms":%d,%s,"source":{},"after":{"id":"%d","tenant_id":"t-%d"}}}', F.col("s") * 1000, clocks, F.col("event_id"), F.col("user_id") % 10)
+    return _out(n.log_capture(e.select(record.alias("record")), TIMED))
+
+
 def stream_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tenants in the keys, deletions without old values, sequences with other characters, and inserts without values."""
     e = _events(spark, sf_dir)
@@ -74,7 +85,7 @@ def lsn_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (change_feed_normalise, log_normalise, stream_normalise, outbox_normalise, lsn_parse)}
+QUERIES = {f.__name__: f for f in (change_feed_normalise, log_normalise, log_normalise_timestamps, stream_normalise, outbox_normalise, lsn_parse)}
 _E = "e AS (SELECT event_id, user_id, event_type, epoch_us(ts) // 1000000 AS s FROM events)"
 ORACLE_SQL = {
     "change_feed_normalise": f"""WITH {_E}
@@ -96,3 +107,5 @@ ORACLE_SQL = {
         SELECT o_orderkey, CAST((4294901760 + o_custkey)::HUGEINT * 4294967296 + o_orderkey AS VARCHAR) AS postgres, CAST((4294901760 + o_custkey)::HUGEINT * 281474976710656 + o_orderkey * 65536 + 255 AS VARCHAR) AS sqlserver,
                CAST(o_orderkey AS VARCHAR) AS "decimal", NULL::VARCHAR AS neither FROM orders""",
 }
+ORACLE_SQL["log_normalise_timestamps"] = """SELECT 't-' || (user_id % 10) AS tenant_id, event_id::VARCHAR AS logical_entity_id,
+    (epoch_us(ts) // 1000000 * 1000000000 + CASE event_id % 3 WHEN 0 THEN 7 WHEN 1 THEN 5000 ELSE 0 END)::VARCHAR AS source_version, epoch_us(ts) // 1000000 * 1000 AS event_ms, 'upsert' AS change_type, '' AS problem FROM events"""

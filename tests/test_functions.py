@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from converge.functions import hashing, routing, versions
@@ -59,3 +61,40 @@ def test_a_record_is_parsed_once_and_a_digest_made_once(spark, tmp_path):
         assert sum(plan.lower().count(x) for x in ("parse_json", "parsejson")) == 1, plan
     plan = stored.select(*[c.alias(k) for k, c in routing.ingest_partition(F.col("record"), F.lit("e")).items()])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("sha2(") <= 2
+
+
+def test_policies_are_read_from_yaml_and_json(spark, tmp_path):
+    import json
+
+    from converge.policy import Policy, Rule
+    from converge.sources import files
+
+    domain = {"name": "d", "entity_type": "doc", "target_store": "elasticsearch", "projection_policy": {"allow_partial_optional_publish": True, "rules": [{"owner": "core", "freshness_ttl_seconds": 900}, {"owner": "tags", "required": False}]}}
+    wanted = [Policy("doc", (Rule("core", True, 900), Rule("tags", False)), "d", True)]
+    (tmp_path / "p.json").write_text(json.dumps({"domains": [domain]}))
+    assert files.policies(spark, str(tmp_path / "p.json")) == wanted
+    yaml = pytest.importorskip("yaml")
+    (tmp_path / "p.yaml").write_text(yaml.safe_dump([domain]))
+    assert files.policies(spark, str(tmp_path / "p.yaml")) == wanted
+    (tmp_path / "bad.yaml").write_text(yaml.safe_dump([domain | {"target_store": "attic"}]))
+    with pytest.raises(ValueError):
+        files.policies(spark, str(tmp_path / "bad.yaml"))
+
+
+def test_transition_logs_are_read_by_domain(spark, tmp_path):
+    from converge.operators import cutover
+    from converge.sources import files
+
+    s = cutover.SEARCH
+    rows = [("d", "search", s[0], s[1], "o", "r", None, 1), ("e", "search", s[0], s[1], "o", "r", None, 2), ("d", "search", s[1], s[2], "o", "r", None, 3)]
+    files.append_transitions(spark.createDataFrame(rows[:2], files.TRANSITIONS), str(tmp_path / "log"))
+    files.append_transitions(spark.createDataFrame(rows[2:], files.TRANSITIONS), str(tmp_path / "log"))
+    assert {r.domain_name: r.search_state for r in cutover.latest(files.transition_log(spark, str(tmp_path / "log"))).collect()} == {"d": s[2], "e": s[1]}
+    assert files.transition_log(spark, str(tmp_path / "log"), "e").count() == 1
+
+
+def test_one_route_is_that_of_the_table(spark):
+    tenants = [f"tenant-{k}" for k in range(40)]
+    route = routing.tenant_route(F.col("t"), F.lit("doc"), {"tenant-3"})
+    for r in spark.createDataFrame([(t,) for t in tenants], "t string").select("t", *[c.alias(k) for k, c in route.items()]).collect():
+        assert routing.route_of(r.t, "doc", {"tenant-3"}) == {k: r[k] for k in route}
