@@ -77,6 +77,14 @@ def test_of_writers_at_once_one_is_first_and_the_others_see_its_state(spark, tmp
     assert {r.domain_name: r.search_state for r in cutover.latest(entries).collect()} == {d: s[1] for d in ["d", *[f"x{k}" for k in range(8)]]}
 
 
+def test_the_last_entry_is_found_without_a_list(spark, tmp_path):
+    log = NumberedLog(spark, str(tmp_path / "log"))
+    assert log.last() is None
+    for n in range(19):
+        assert log.add(n, {"n": n}) and not log.add(n, {"n": -1}) and log.last() == (n, {"n": n})
+    assert log.numbers() == list(range(19))
+
+
 def test_outcomes(spark):
     sent = spark.createDataFrame([(d, a) for d, a in (("ok", 1), ("gone", 1), ("old", 3), ("busy", 2), ("busy3", 3), ("bad", 1), ("silent", 1), ("silent3", 3), ("lost", 1))], "document_id string, attempt int")
     items = [("index", "ok", 201, None), ("delete", "gone", 404, None), ("index", "old", 409, "version_conflict"), ("index", "busy", 429, "busy"), ("index", "busy3", 503, "busy"), ("index", "bad", 400, "mapping"), ("index", "lost", 404, "no index")]
