@@ -64,13 +64,13 @@ DELIVERED, SUPERSEDED, RETRY, DEAD = "delivered", "superseded", "retry", "dead_l
 ATTEMPTS = 3
 
 
-def outcomes(sent: DataFrame, acknowledgements: DataFrame, most_attempts: int = ATTEMPTS) -> DataFrame:
-    """What was sent (document_id, unique in a request, attempt from 1, and others), with outcome, status and error_type.
+def outcomes(sent: DataFrame, acknowledgements: DataFrame, most_attempts: int = ATTEMPTS, by: str = "document_id") -> DataFrame:
+    """What was sent (`by`, unique among it, attempt from 1, and others), with outcome, status and error_type.
 
     A version conflict is settled, and so is a deletion of what is not there. Refused for now (429, 5xx) or not answered at
     all is tried again, until the attempts are used up; any other refusal is final. Projection states are not touched.
     """
-    joined = sent.join(acknowledgements.select("document_id", "action", "status", "error_type"), "document_id", "left")
+    joined = sent.join(acknowledgements.select(by, "action", "status", "error_type"), by, "left")
     again = F.col("status").isNull() | (F.col("status") == 429) | (F.col("status") >= 500)
     settled = F.when(F.col("status").between(200, 299) | ((F.col("status") == 404) & (F.col("action") == "delete")), DELIVERED).when(F.col("status") == 409, SUPERSEDED)
     return joined.withColumn("outcome", settled.when(again & (F.col("attempt") < most_attempts), RETRY).otherwise(DEAD)).drop("action")

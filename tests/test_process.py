@@ -12,7 +12,7 @@ from test_projection import NOW, RULES, SCHEMA, events, plain, spoiled
 
 from converge.operators import projection as p
 from converge.policy import Policy
-from converge.streaming import process
+from converge.streaming import outbox, process
 from converge.tables.leveled import Leveled
 from converge.tables.log import NumberedLog
 
@@ -125,3 +125,43 @@ def test_backpressure_counts_from_state(spark, tmp_path):
     refused = {json.loads(r.payload)["seq"] for r in spark.read.parquet(f"{out}/letters").where("failure_stage = 'backpressure'").collect()}
     assert refused == {e[6] for e in rows[60:] if states.get(e[3]) in (None, *p.TERMINAL)}
     assert {r.batch: r.refused for r in process.counts(spark, out).collect()} == {0: 0, 1: len(refused)}
+
+
+def test_publications_that_fail_are_tried_again_or_end_as_letters(spark, tmp_path):
+    rows, out = events(240, 20), str(tmp_path / "out")
+    loop = process.processor(out, POLICIES, F.lit(NOW), buckets=4)
+    size, wanted = 60, plain(rows, True)
+    # The server by entity: some are refused for good, some for two attempts, some for ever, some are behind, some stay silent.
+    kind = lambda e: int(e[1:]) % 6
+
+    def send(sent):
+        answers = []
+        for r in sent.collect():
+            k = kind(r.logical_entity_id)
+            status = 400 if k == 0 else 503 if k == 1 and r.attempt < 3 else 429 if k == 2 else 409 if k == 3 else 200
+            if k != 4:
+                answers.append((r.request_id, "index", status, "refused" if status > 299 else None))
+        return spark.createDataFrame(answers, "request_id string, action string, status int, error_type string")
+
+    waiting, dead = {}, []
+    for batch in range(4):
+        mine = rows[batch * size : batch * size + size]
+        loop(spark.createDataFrame(mine, SCHEMA), batch)
+        before = {r.logical_entity_id: r.asDict() for r in process.states(spark, out).collect()}
+        told = outbox.deliver(spark, out, batch, send)
+        assert outbox.deliver(spark, out, batch, send) == told
+        assert {r.logical_entity_id: r.asDict() for r in process.states(spark, out).collect()} == before
+        sent = {e: (s, a + 1) for e, (s, a) in waiting.items()} | {e[3]: (e[6], 1) for e in mine if wanted[e[6]][3]}
+        expected = {"delivered": 0, "superseded": 0, "retry": 0, "dead_letter": 0}
+        waiting = {}
+        for e, (s, attempt) in sent.items():
+            k = kind(e)
+            outcome = "dead_letter" if k == 0 else "superseded" if k == 3 else "delivered" if k == 5 or (k == 1 and attempt == 3) else "retry" if attempt < 3 else "dead_letter"
+            expected[outcome] += 1
+            if outcome == "retry":
+                waiting[e] = (s, attempt)
+            if outcome == "dead_letter":
+                dead.append((e, s, "no answer" if k == 4 else "refused"))
+        assert told == expected
+    letters = [(json.loads(r.payload), r.reason) for r in spark.read.parquet(f"{out}/undelivered").where("failure_stage = 'publication'").collect()]
+    assert sorted((x["logical_entity_id"], x["seq"], reason) for x, reason in letters) == sorted(dead) and dead
