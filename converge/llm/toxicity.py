@@ -43,11 +43,16 @@ OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, STRONG, INTENT = "other", "insu
 SYMBOLS = (OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, STRONG, INTENT)
 # Word lists in English, French, German and Spanish.
 LISTS = {
-    THREAT: "kill hurt destroy strangle shoot stab tuer frapper détruire étrangler töten umbringen zerstören erschießen matar golpear destruir disparar",
+    THREAT: (
+        "kill kills killed killing murder murders murdered murdering hurt hurts hurting destroy destroys destroyed destroying strangle strangles strangled strangling shoot shoots shot shooting stab stabs stabbed stabbing "
+        "tuer tue tues tué tuée tués tuera tuerai frapper frappe frappé frappée frapperai détruire détruit détruirai étrangler étrangle étranglé étranglerai assassiner assassine assassiné assassinerai "
+        "töten töte tötet getötet umbringen umbringe umgebracht umzubringen ermorden ermorde ermordet zerstören zerstöre zerstört erschießen erschieße erschossen erwürgen erwürge erwürgt "
+        "matar mato mata matado mataré matando golpear golpeo golpeado golpearé destruir destruyo destruido destruiré disparar disparo disparado dispararé asesinar asesino asesinado asesinaré"
+    ),
     TARGET: "you your yourself yours tu toi te ton ta vous votre du dich dir dein deine euch ihr usted ustedes ti tuyo vosotros",
-    NEGATION: "not no never neither nor without pas jamais ni sans aucun nicht kein keine keinen nie niemals ohne nunca jamás tampoco sin",
+    NEGATION: "cannot not no never neither nor without pas jamais ni sans aucun nicht kein keine keinen nie niemals ohne nunca jamás tampoco sin",
     STRONG: "such so total complete utter fucking damn bloody quel quelle sacré tellement totaler völlig verdammt verdammter so menudo maldito pedazo",
-    INTENT: "will gonna shall going must should ll vais va allons veux werde werden wirst soll voy vas vamos quiero debe",
+    INTENT: "will would gonna shall going must should ll vais va allons veux werde werden wirst soll voy vas vamos quiero debe",
     REPORT: "said says wrote writes claimed reported quoted dit écrit affirme rapporté sagte schrieb behauptet zitiert dijo escribió afirma citado",
 }
 #: Kinds of paths, with the weights that a fit starts from.
@@ -111,8 +116,9 @@ def backwards() -> Transducer:
     return _marking(2, TARGET, "aimed")
 
 
-def _prefix_keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """A row for each word: its starts of SHORTEST to LONGEST bytes as numbers, and the whole word if shorter than LONGEST; else 0."""
+def _prefix_keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, hashes: np.ndarray | None = None) -> np.ndarray:
+    """A row for each word: its starts of SHORTEST to LONGEST bytes as numbers, and the whole word if shorter than LONGEST; that
+    of a longer one is the word's hash if hashes are given, else 0."""
     keys = np.zeros((len(starts), LONGEST - SHORTEST + 2), dtype=U64)
     key = np.zeros(len(starts), dtype=U64)
     for n in range(1, LONGEST + 1):
@@ -122,12 +128,16 @@ def _prefix_keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> n
         if n >= SHORTEST:
             keys[:, n - SHORTEST] = np.where(long_enough, key, U64(0))
     whole = lengths < LONGEST
-    keys[:, -1] = np.where(whole, key | (U64(1) << (U64(8) * np.minimum(lengths, LONGEST - 1).astype(U64))), U64(0))
+    keys[:, -1] = np.where(whole, key | (U64(1) << (U64(8) * np.minimum(lengths, LONGEST - 1).astype(U64))), U64(0) if hashes is None else hashes)
     return keys
 
 
 def key_of(word: str, whole: bool) -> int:
-    b = word.encode()[:LONGEST]
+    """The key of a whole word, or of all words that start so (up to LONGEST bytes)."""
+    b = word.encode()
+    if whole and len(b) >= LONGEST:
+        return int(common.word_hashes(np.frombuffer(b, np.uint8), np.array([0]), np.array([len(b)]))[0])
+    b = b[:LONGEST]
     return int.from_bytes(b + (b"\x01" if whole and len(b) < LONGEST else b""), "little")
 
 
@@ -149,7 +159,7 @@ def _clauses(data: np.ndarray, starts: np.ndarray, doc: np.ndarray) -> np.ndarra
 
 def _doc_keys(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (document, key) pairs of the words that are neither negated nor reported."""
-    data, starts, lengths, doc = _words(data, off)
+    data, starts, lengths, doc, _ = _words(data, off)
     plain = ~_shadowed(Grammar([]), data, starts, lengths, doc)
     keys = _prefix_keys(data, starts[plain], lengths[plain])
     flat, docs = keys.reshape(-1), np.repeat(doc[plain], keys.shape[1])
@@ -229,7 +239,7 @@ class Grammar:
             return out
         h = common.word_hashes(data, starts, starts + lengths)
         _, first, back = np.unique(h, return_index=True, return_inverse=True)
-        keys = _prefix_keys(data, starts[first], lengths[first])
+        keys = _prefix_keys(data, starts[first], lengths[first], h[first])
         found = np.zeros(len(first), dtype=np.int8)
         for k in range(keys.shape[1]):
             at = np.minimum(np.searchsorted(self.keys, keys[:, k]), len(self.keys) - 1)
@@ -241,7 +251,7 @@ class Grammar:
     def matches(self, raw: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int, str, int]]:
         """Matched clauses as document, start of the first and end of the last insult or threat (bytes), strongest path, and
         how many insults and threats they hold."""
-        data, starts, lengths, doc = _words(raw, off)
+        data, starts, lengths, doc, _ = _words(raw, off)
         symbols = self.symbols_of(data, starts, lengths)
         clause = _clauses(data, starts, doc)
         strong = np.flatnonzero((symbols == SYMBOLS.index(INSULT)) | (symbols == SYMBOLS.index(THREAT)))

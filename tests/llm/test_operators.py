@@ -478,6 +478,14 @@ def test_grammar():
     assert [m[3] for m in g.matches(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))] == ["insult aimed", "insult reported", "insult aimed", "threat meant", "insult strong", "insult"]
 
 
+def test_threats_are_whole_words_in_their_forms():
+    g = toxicity.Grammar([])
+    of = lambda text: [m[3] for m in g.matches(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))]
+    assert of("killing you now") == ["threat aimed"] and of("I am going to murder you") == ["threat meant"] and of("ich habe ihn erschossen") == ["threat"]
+    assert of("they strangled him") == ["threat"] and of("a strangler fig") == of("a stranglehold") == of("the killer app") == []
+    assert of("she said he was killed") == ["threat reported"] and of("nobody was not murdered") == ["threat negated"]
+
+
 def test_grammar_against_a_plain_reading():
     """What each insult and threat of random clauses is, by rules applied to the whole clause, a word at a time."""
     r, g = random.Random(11), toxicity.Grammar([])
