@@ -37,8 +37,8 @@ def fields_of(payload: Column) -> Column:
     """
     value = payload if isinstance(payload, Column) else F.col(payload)
     members = F.when(F.startswith(F.schema_of_variant(value), F.lit("OBJECT")), value.cast("map<string,variant>"))
-    whole = lambda k, v: F.to_json(F.create_map(k, v))
-    return F.transform_values(members, lambda k, v: F.substring(whole(k, v), F.lit(2), F.length(whole(k, v)) - 2))
+    inside = lambda whole: F.substring(whole, F.lit(2), F.length(whole) - 2)
+    return F.transform_values(members, lambda k, v: F.transform(F.array(F.to_json(F.create_map(k, v))), inside)[0])
 
 
 def with_fields(events: DataFrame) -> DataFrame:
