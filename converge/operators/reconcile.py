@@ -148,10 +148,12 @@ def digests(bucketed: DataFrame) -> DataFrame:
 
 def with_paths(snapshot: DataFrame, buckets: int = 1024, depths: int = 3, fanout: int = 16) -> DataFrame:
     """Documents with path, the ids of their bucket, of its child and so on, as many as there are depths."""
-    out = snapshot.withColumn("_at1", bucket_id(F.col("document_id"), buckets))
+    # Each id is a generated row's, so that it is not made again in those of its children and wherever paths are used.
+    ids = lambda df, k, made: df.select("*", F.explode(F.array(made)).alias(f"_at{k}"))
+    out = ids(snapshot, 1, bucket_id(F.col("document_id"), buckets))
     for depth in range(1, depths):
-        out = out.withColumn(f"_at{depth + 1}", child_bucket_id(F.col(f"_at{depth}"), depth, F.col("document_id"), fanout))
-    return out.withColumn("path", F.array(*[F.col(f"_at{k}") for k in range(1, depths + 1)])).drop(*[f"_at{k}" for k in range(1, depths + 1)])
+        out = ids(out, depth + 1, child_bucket_id(F.col(f"_at{depth}"), depth, F.col("document_id"), fanout))
+    return out.select(*snapshot.columns, F.array(*[F.col(f"_at{k}") for k in range(1, depths + 1)]).alias("path"))
 
 
 def tree(paths: DataFrame, depths: int = 3) -> DataFrame:
