@@ -1,8 +1,8 @@
 """The exchange under both kinds of substring deduplication.
 
 Texts are dealt to homes by their ids, once and compressed. A home works out keys of its texts, and sends each distinct key
-once, with the smallest id of its own documents that have it, to the part that the key falls to. A part sees who else has a
-key and answers with a few bits per key, in the order in which the home sent them, so that answers are tiny. However often
+once, with the smallest id of its own documents that have it and, if wanted, with a range of bytes, to the part that the key
+falls to. A part sees who else has a key and answers with a few bits per key or window, in the order in which the home sent them, so that answers are tiny. However often
 a passage occurs, a part gets it once from each home, and no pairs are made.
 """
 
@@ -41,9 +41,9 @@ def sizes(docs: DataFrame, text_col: str, home_bytes: int = HOME_BYTES, part_byt
 
 
 _HOMES = "home int, ids array<long>, lengths binary, blob binary"
-_ENTRIES = "part int, home int, n long, keys binary, extra binary, least binary, flags binary"
+_ENTRIES = "part int, home int, n long, keys binary, extra binary, least binary, flags binary, spans array<binary>"
 _ANSWERS = "home int, round int, part int, bits binary"
-_ENTRY_TYPES = {"part": pa.int32(), "home": pa.int32(), "n": pa.int64(), "keys": pa.binary(), "extra": pa.binary(), "least": pa.binary(), "flags": pa.binary()}
+_ENTRY_TYPES = {"part": pa.int32(), "home": pa.int32(), "n": pa.int64(), "keys": pa.binary(), "extra": pa.binary(), "least": pa.binary(), "flags": pa.binary(), "spans": pa.list_(pa.binary())}
 _ANSWER_TYPES = {"home": pa.int32(), "round": pa.int32(), "part": pa.int32(), "bits": pa.binary()}
 
 
@@ -107,13 +107,51 @@ def _texts(table: pa.Table) -> Texts:
     return Texts(np.array(ids, dtype=np.int64), np.frombuffer(b"".join(blobs), np.uint8), off)
 
 
+def each(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For groups of so many: the group of each member, and its place in the group."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+@dataclass
+class Spans:
+    """Ranges of bytes that are sent themselves: data[begin:end], with `count` windows in it, the first at place `first`."""
+
+    data: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    first: np.ndarray
+    count: np.ndarray
+
+    def take(self, at: np.ndarray | slice) -> Spans:
+        return Spans(self.data, self.begin[at], self.end[at], self.first[at], self.count[at])
+
+    def gathered(self) -> Spans:
+        """The same ranges, one after the other in an array of their own."""
+        lengths = self.end - self.begin
+        owner, place = each(lengths)
+        end = np.cumsum(lengths)
+        return Spans(self.data[self.begin[owner] + place], end - lengths, end, self.first, self.count)
+
+    def packed(self) -> list[bytes]:
+        own = self.gathered()
+        return [*(pack(v.astype(np.uint32)) for v in (own.end - own.begin, own.first, own.count)), pack(own.data)]
+
+    @staticmethod
+    def unpacked(rows: list[list[bytes]]) -> Spans:
+        lengths, first, count = (np.concatenate([unpack(r[k], np.uint32) for r in rows]).astype(np.int64) for k in range(3))
+        end = np.cumsum(lengths)
+        return Spans(np.concatenate([unpack(r[3], np.uint8) for r in rows]), end - lengths, end, first, count)
+
+
 class Sent:
     """The distinct keys of a home in the order in which they are sent: by part, key and extra.
 
-    back: for each given key, its place among the distinct ones.
+    back: for each given key, its place among the distinct ones. Where there are spans, they are sent and extra, which only
+    tells them apart, is not.
     """
 
-    def __init__(self, keys: np.ndarray, docs: np.ndarray, parts: int, extra: np.ndarray | None = None, marks: np.ndarray | None = None) -> None:
+    def __init__(self, keys: np.ndarray, docs: np.ndarray, parts: int, extra: np.ndarray | None = None, marks: np.ndarray | None = None, spans: Spans | None = None) -> None:
         comp = (((keys >> U64(LOW)) % U64(parts)) << U64(LOW)) | (keys & _MASK)
         order = np.argsort(comp, kind="stable") if extra is None else np.lexsort((extra, comp))
         sorted_comp, sorted_docs = comp[order], docs[order]
@@ -128,8 +166,12 @@ class Sent:
         self.extra = None if extra is None else extra[order][at]
         self.least = np.minimum.reduceat(sorted_docs, at) if len(at) else sorted_docs
         most = np.maximum.reduceat(sorted_docs, at) if len(at) else sorted_docs
-        #: Bit 0: several documents of the home have the key. Bit 1: one of its occurrences is marked.
+        self.spans = None if spans is None else spans.take(order[at])
+        #: Bit 0: several documents of the home have the key. Bit 1: one of its occurrences is marked. From bit 2 on: the
+        #: logarithm of the number of its occurrences, rounded down.
         self.flags = (most != self.least).astype(np.uint8)
+        if len(at):
+            self.flags |= np.log2(np.diff(np.append(at, len(order)))).astype(np.uint8) << np.uint8(2)
         if marks is not None and len(at):
             self.flags |= np.maximum.reduceat(marks[order].astype(np.uint8), at) << np.uint8(1)
 
@@ -142,7 +184,8 @@ class Sent:
             out["home"].append(home)
             out["n"].append(int(cuts[part + 1] - cuts[part]))
             out["keys"].append(pack(np.diff(self.comp[span] & _MASK, prepend=U64(0))))
-            out["extra"].append(None if self.extra is None else pack(self.extra[span]))
+            out["extra"].append(None if self.extra is None or self.spans is not None else pack(self.extra[span]))
+            out["spans"].append(None if self.spans is None else self.spans.take(span).packed())
             out["least"].append(pack(self.least[span]) if with_least else None)
             out["flags"].append(pack(self.flags[span]))
         return pa.table({c: pa.array(v, _ENTRY_TYPES[c]) for c, v in out.items()})
@@ -150,12 +193,13 @@ class Sent:
 
 @dataclass
 class Seen:
-    """All that homes sent to a part: keys, extras, least ids, flags, and the groups of equal keys (or keys and extras)."""
+    """All that homes sent to a part: keys, extras, least ids, flags, spans, and the groups of equal keys (or keys and extras)."""
 
     low: np.ndarray
     extra: np.ndarray | None
     least: np.ndarray | None
     flags: np.ndarray
+    spans: Spans | None = None
 
     def grouped(self, with_extra: bool) -> tuple[np.ndarray, np.ndarray]:
         """Order that brings equal ones together, and the starts of groups in it."""
@@ -182,9 +226,20 @@ def shared(seen: Seen) -> np.ndarray:
     return spread(many.astype(np.uint8), order, starts)
 
 
+def shared_and_hot(hot: int) -> Callable[[Seen], np.ndarray]:
+    """Bit 0 as of shared(). Bit 1: the key occurs about `hot` times or more, between half as often and exactly as often."""
+
+    def judge(seen: Seen) -> np.ndarray:
+        order, starts = seen.grouped(False)
+        times = np.add.reduceat(np.int64(1) << (seen.flags[order] >> 2).astype(np.int64), starts)
+        return shared(seen) | (spread((times >= hot).astype(np.uint8), order, starts) << np.uint8(1))
+
+    return judge
+
+
 def shared_and_marked(seen: Seen) -> np.ndarray:
     order, starts = seen.grouped(False)
-    marked = (np.bitwise_or.reduceat(seen.flags[order], starts) >> 1).astype(np.uint8)
+    marked = ((np.bitwise_or.reduceat(seen.flags[order], starts) >> 1) & 1).astype(np.uint8)
     return shared(seen) & spread(marked, order, starts)
 
 
@@ -206,8 +261,12 @@ def _answerer(round_: int, judge: Callable[[Seen], np.ndarray]):
         low = np.concatenate([np.cumsum(unpack(r["keys"], U64), dtype=U64) for r in rows])
         extra = None if rows[0]["extra"] is None else np.concatenate([unpack(r["extra"], U64) for r in rows])
         least = None if rows[0]["least"] is None else np.concatenate([unpack(r["least"], np.int64) for r in rows])
-        bits = judge(Seen(low, extra, least, np.concatenate([unpack(r["flags"], np.uint8) for r in rows])))
+        spans = None if rows[0]["spans"] is None else Spans.unpacked([r["spans"] for r in rows])
+        bits = judge(Seen(low, extra, least, np.concatenate([unpack(r["flags"], np.uint8) for r in rows]), spans))
         cuts = np.cumsum([0] + [r["n"] for r in rows])
+        if spans is not None:
+            # An answer for each window.
+            cuts = np.append(0, np.cumsum(spans.count))[cuts]
         return pa.table({"home": pa.array([r["home"] for r in rows], pa.int32()), "round": pa.array([round_] * len(rows), pa.int32()), "part": pa.array([r["part"] for r in rows], pa.int32()), "bits": pa.array([pack(bits[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
 
     return answer

@@ -1,14 +1,17 @@
 """Suffix deduplication by a depth-limited radix sort of suffixes, most significant digits first.
 
-Suffixes are ordered through their first THRESHOLD bytes only; those that are equal so far are exactly the repeated windows.
-The order is made in passes, and a pass drops what it leaves alone:
-
-1. The first digit is a gram of GRAM bytes. Of all windows only the least gram of each is a digit (the rightmost of equal
-   ones), so a suffix starts at one byte in many, and equal windows have the same digit at the same place. A gram that only
-   one document has ends here.
-2. The second digit is all that a window around the gram can hold. Where it recurs, all windows of the gram recur; a gram
-   with one such surrounding is settled.
-3. Only windows of grams with several surroundings are ordered through all their THRESHOLD bytes.
+Suffixes are ordered by their bytes, through their first THRESHOLD bytes only; those that are equal so far are exactly the
+repeated windows. Not all suffixes can be sent, so what cannot be equal is dropped first:
+
+1. Of all windows only the least gram of GRAM bytes of each (the rightmost of equal ones) is looked at; equal windows have the
+   same gram at the same place. Grams that only one document has end here, with their windows.
+2. What remains meets by its gram: all that windows around the gram can hold is sent, as bytes, once from each home. There the
+   suffixes that start at windows are sorted: a pass takes the next digit of eight bytes of all suffixes that are not alone yet,
+   and splits their groups by it. Grams with the same bytes around them everywhere need no pass. Of a gram that occurs HOT times
+   or more, windows are sent one by one and meet by the hash of all their bytes, so that no part gets all of them.
+
+Hashes only say where suffixes meet; two are equal only if their bytes are. Within a home, ranges of bytes are told apart by a
+hash and what their key adds to it, about 100 bits.
 """
 
 from __future__ import annotations
@@ -21,9 +24,12 @@ from pyspark.sql import DataFrame
 
 from converge.llm import common, repeats
 from converge.llm.common import U64
-from converge.llm.repeats import Sent, Texts
+from converge.llm.repeats import Seen, Sent, Spans, Texts
 
 THRESHOLD, GRAM = 50, 18
+#: Occurrences from which on a gram's windows meet one by one; windows that are sorted at a time, but for those of one key.
+HOT, SORTED = 1 << 16, 1 << 20
+_DIGIT = 8
 _LAST = np.iinfo(np.uint64).max
 _LOW = U64(0xFFFFFFFF)
 
@@ -78,12 +84,92 @@ class _Grams:
                 out[a:b] = common.range_hashes(common.byte_values(self.texts.data[off[i] : off[j]]), begin[a:b] - off[i], end[a:b] - off[i])
         return out
 
-    def surroundings(self, at: np.ndarray) -> np.ndarray:
+    def around(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All that windows of each gram can hold: begin and end."""
         off = self.texts.off
         begin = np.maximum(off[self.doc[at]], self.place[at] - (self.threshold - self.gram))
-        end = np.minimum(off[self.doc[at] + 1], self.place[at] + self.threshold)
-        # Ranges can overlap out of order at most by their begin, which never falls.
-        return common.mix(self.hashes(begin, end) + (self.place[at] - begin).astype(U64) * U64(0x9E3779B97F4A7C15))
+        return begin, np.minimum(off[self.doc[at] + 1], self.place[at] + self.threshold)
+
+
+def least_of_equal(data: np.ndarray, starts: np.ndarray, values: np.ndarray, depth: int) -> np.ndarray:
+    """For each suffix of data that begins at one of the starts, the least value of those equal to it through depth bytes.
+
+    A radix sort from the most significant digit on; a suffix that is alone in its group leaves it.
+    """
+    out = values.copy()
+    digits = np.ndarray(len(data) + 1, ">u8", np.append(data, np.zeros(_DIGIT, np.uint8)), strides=(1,))
+    here, group = np.arange(len(starts)), np.zeros(len(starts), np.int64)
+    for done in range(0, depth, _DIGIT):
+        if not len(here):
+            break
+        digit = digits[starts[here] + done].astype(U64) >> U64(8 * max(0, done + _DIGIT - depth))
+        by_digit = np.argsort(digit)
+        rank = np.empty(len(here), np.int64)
+        rank[by_digit] = np.cumsum(np.diff(digit[by_digit], prepend=digit[by_digit[:1]]) != 0)
+        both = group * (rank[by_digit[-1]] + 1) + rank
+        order = np.argsort(both)
+        first = np.flatnonzero(np.diff(both[order], prepend=-1))
+        sizes = np.diff(np.append(first, len(order)))
+        stay = np.repeat(sizes > 1, sizes)
+        here = here[order][stay]
+        group = np.repeat(np.arange(np.count_nonzero(sizes > 1)), sizes[sizes > 1])
+    if len(here):
+        first = np.flatnonzero(np.diff(group, prepend=-1))
+        out[here] = np.repeat(np.minimum.reduceat(values[here], first), np.diff(np.append(first, len(here))))
+    return out
+
+
+def _same(spans: Spans) -> np.ndarray:
+    """For each of gathered spans, one with the same bytes and windows, the same for all of them."""
+    n = spans.end - spans.begin
+    keys = common.mix(common.range_hashes(common.byte_values(spans.data), spans.begin, spans.end) + spans.first.astype(U64))
+    _, one, kind = np.unique(keys, return_index=True, return_inverse=True)
+    other = one[kind]
+    alike = (n == n[other]) & (spans.first == spans.first[other]) & (spans.count == spans.count[other])
+    other = np.where(alike, other, np.arange(len(n)))
+    owner, place = repeats.each(n)
+    equal = np.logical_and.reduceat(spans.data == spans.data[spans.begin[other][owner] + place], spans.begin)
+    return np.where(equal, other, np.arange(len(n)))
+
+
+def _settled(spans: Spans, key: np.ndarray, least: np.ndarray, threshold: int) -> np.ndarray:
+    """1 for each window of the spans (ordered by key) that a document with an id below its span's own least has."""
+    spans = spans.gathered()
+    other = _same(spans)
+    lowest = np.full(len(other), repeats.NO_ID)
+    np.minimum.at(lowest, other, least)
+    alone = other == np.arange(len(other))
+    kinds = np.add.reduceat(alone.astype(np.int64), np.flatnonzero(np.diff(key, prepend=~key[:1])))
+    group = np.cumsum(np.diff(key, prepend=key[:1]) != 0)
+    # Windows of the spans that stand for others, those of keys with several spans in order.
+    count = np.where(alone, spans.count, 0)
+    owner, place = repeats.each(count)
+    found = lowest[owner]
+    sort = (kinds[group] > 1)[owner]
+    found[sort] = least_of_equal(spans.data, (spans.begin[owner] + spans.first[owner] + place)[sort], found[sort], threshold)
+    entry, window = repeats.each(spans.count)
+    return (found[(np.cumsum(count) - count)[other][entry] + window] < least[entry]).astype(np.uint8)
+
+
+def earlier_windows(threshold: int, at_a_time: int = SORTED):
+    """What a part answers: 1 for each window of each span that it was sent, if a smaller id than the span's own has it."""
+
+    def judge(seen: Seen) -> np.ndarray:
+        spans, order = seen.spans, np.argsort(seen.low, kind="stable")
+        ends = np.cumsum(spans.count)
+        bits = np.zeros(ends[-1], np.uint8)
+        keys = np.append(np.flatnonzero(np.diff(seen.low[order], prepend=~seen.low[order[:1]])), len(order))
+        windows = np.append(0, np.cumsum(spans.count[order]))[keys]
+        k = 0
+        while k < len(keys) - 1:
+            to = max(k + 1, int(np.searchsorted(windows, windows[k] + at_a_time, side="right")) - 1)
+            here = order[keys[k] : keys[to]]
+            owner, place = repeats.each(spans.count[here])
+            bits[(ends - spans.count)[here][owner] + place] = _settled(spans.take(here), seen.low[here], seen.least[here], threshold)
+            k = to
+        return bits
+
+    return judge
 
 
 class _Passes:
@@ -96,36 +182,48 @@ class _Passes:
         grams = _Grams(texts, self.threshold, self.gram)
         return Sent(grams.key, grams.id, parts)
 
-    def _second(self, texts: Texts, parts: int, said: dict[int, np.ndarray]) -> tuple[_Grams, np.ndarray, Sent]:
+    def _second(self, texts: Texts, parts: int, said: dict[int, np.ndarray]) -> tuple[Spans, np.ndarray, Sent]:
+        """The spans with windows that may recur, the ids of their documents, and what is sent of them."""
         grams = _Grams(texts, self.threshold, self.gram)
         back = Sent(grams.key, grams.id, parts).back
-        at = np.flatnonzero(said[0][back] & 1) if len(back) else back
-        return grams, at, Sent(grams.key[at], grams.id[at], parts, extra=grams.surroundings(at))
+        bits = said[0][back] if len(back) else np.zeros(0, np.uint8)
+        warm, hot = np.flatnonzero(bits == 1), np.flatnonzero(bits == 3)
+        begin, end = grams.around(warm)
+        owner, place = repeats.each(grams.end[hot] - grams.begin[hot])
+        starts = grams.begin[hot][owner] + place
+        first = grams.begin[warm] - begin
+        around = common.mix(grams.hashes(begin, end) + first.astype(U64) * U64(0x9E3779B97F4A7C15))
+        alone = grams.hashes(starts, starts + self.threshold)
+        spans = Spans(
+            texts.data,
+            np.append(begin, starts),
+            np.append(end, starts + self.threshold),
+            np.append(first, np.zeros(len(starts), np.int64)),
+            np.append(grams.end[warm] - grams.begin[warm], np.ones(len(starts), np.int64)),
+        )
+        ids = np.append(grams.id[warm], grams.id[hot][owner])
+        sent = Sent(np.append(grams.key[warm], alone), ids, parts, extra=np.append(around, alone >> U64(repeats.LOW)), spans=spans)
+        return spans, ids, sent
 
     def second(self, texts: Texts, parts: int, said: dict[int, np.ndarray]) -> Sent:
         return self._second(texts, parts, said)[2]
 
-    def _third(self, texts: Texts, parts: int, said: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Sent]:
-        grams, at, sent = self._second(texts, parts, said)
-        bits = said[1][sent.back] if len(at) else np.zeros(0, np.uint8)
-        recurs = ((bits & 1) > 0) | (grams.id[at] > sent.least[sent.back] if len(at) else np.zeros(0, bool))
-        unsettled = at[~recurs & ((bits & 2) > 0)]
-        n = grams.end[unsettled] - grams.begin[unsettled]
-        starts = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(grams.begin[unsettled], n)
-        ids = np.repeat(grams.id[unsettled], n)
-        keys = grams.hashes(starts, starts + self.threshold)
-        again = at[recurs]
-        return grams.begin[again], grams.end[again] + self.threshold - 1, starts, ids, Sent(keys, ids, parts, extra=keys >> U64(repeats.LOW))
-
-    def third(self, texts: Texts, parts: int, said: dict[int, np.ndarray]) -> Sent:
-        return self._third(texts, parts, said)[4]
+    def _repeated(self, texts: Texts, parts: int, said: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Ranges of bytes that are removed."""
+        spans, ids, sent = self._second(texts, parts, said)
+        if not len(ids):
+            return spans.begin, spans.end
+        later = ids > sent.least[sent.back]
+        windows = spans.begin + spans.first
+        at = np.cumsum(sent.spans.count) - sent.spans.count
+        rest = np.flatnonzero(~later & (np.add.reduceat(said[1], at, dtype=np.int64) > 0)[sent.back])
+        owner, place = repeats.each(spans.count[rest])
+        hit = said[1][at[sent.back[rest]][owner] + place] > 0
+        starts = (windows[rest][owner] + place)[hit]
+        return np.append(windows[later], starts), np.append((windows + spans.count - 1)[later], starts) + self.threshold
 
     def finish(self, texts: Texts, parts: int, said: dict[int, np.ndarray]) -> pa.Table:
-        begin, end, starts, ids, sent = self._third(texts, parts, said)
-        if len(starts):
-            later = ((said[2][sent.back] & 1) > 0) | (ids > sent.least[sent.back])
-            begin, end = np.append(begin, starts[later]), np.append(end, starts[later] + self.threshold)
-        gone = repeats.covered(begin, end, len(texts.data))
+        gone = repeats.covered(*self._repeated(texts, parts, said), len(texts.data))
         spans: list[list[dict]] = []
         removed, kept = [], []
         for a, b in zip(texts.off[:-1], texts.off[1:], strict=True):
@@ -137,15 +235,24 @@ class _Passes:
         return pa.table({"_id": repeats.ids_array(texts.ids), "n_bytes": pa.array(np.diff(texts.off), pa.int64()), "n_removed": pa.array(removed, pa.int64()), "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept])})
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, gram: int = GRAM, home_bytes: int = repeats.HOME_BYTES, part_bytes: int = repeats.PART_BYTES) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: int = THRESHOLD,
+    gram: int = GRAM,
+    home_bytes: int = repeats.HOME_BYTES,
+    part_bytes: int = repeats.PART_BYTES,
+    hot: int = HOT,
+) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, spans (start, end in bytes), kept_sha256.
 
     A span is a maximal run of bytes that lie in windows of `threshold` bytes which also start in a document with a smaller
-    id. Windows are compared by 64 bits of a hash. A null text is empty. A null id is larger than any other; documents with
+    id. Windows are compared by their bytes. A null text is empty. A null id is larger than any other; documents with
     equal ids are not earlier than each other. An empty table gives an empty result; other columns are ignored. home_bytes and
-    part_bytes bound what a task holds at a time, but for a single longer text.
+    part_bytes bound what a task holds at a time, but for a single longer text; hot bounds what meets by one gram.
     """
     p = _Passes(threshold, gram)
-    rounds = [(p.first, False, repeats.shared), (p.second, True, repeats.earlier), (p.third, True, repeats.earlier)]
-    found = repeats.run(docs, rounds, p.finish, "_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string", id_col, text_col, home_bytes, part_bytes)
-    return found.withColumnRenamed("_id", id_col)
+    rounds = [(p.first, False, repeats.shared_and_hot(hot)), (p.second, True, earlier_windows(threshold))]
+    schema = "_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string"
+    return repeats.run(docs, rounds, p.finish, schema, id_col, text_col, home_bytes, part_bytes).withColumnRenamed("_id", id_col)

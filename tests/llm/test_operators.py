@@ -196,6 +196,37 @@ def test_suffix_dedup_at_other_depths(docs, rows, threshold, gram):
     assert got == plain.suffix_spans([(i, t) for i, t, *_ in rows if len(t) < 1000], threshold)
 
 
+@pytest.mark.parametrize("hot", [1, 4, 32])
+def test_windows_of_frequent_grams_meet_one_by_one(docs, rows, hot):
+    short = docs.where("length(text) < 1000")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in suffix.repeated_spans(short, hot=hot, home_bytes=4000).collect()}
+    assert got == plain.suffix_spans([(i, t) for i, t, *_ in rows if len(t) < 1000])
+
+
+@pytest.mark.parametrize("depth", [3, 8, 19])
+def test_radix_passes_bring_equal_suffixes_together(depth):
+    r = np.random.RandomState(depth)
+    data = np.concatenate([r.randint(0, 2, 3000), np.tile(r.randint(0, 256, 40), 30), np.zeros(depth)]).astype(np.uint8)
+    starts, values = r.permutation(len(data) - depth)[:3500], r.randint(0, 1000, 3500)
+    least = {}
+    for s, v in zip(starts.tolist(), values.tolist(), strict=True):
+        key = data[s : s + depth].tobytes()
+        least[key] = min(v, least.get(key, v))
+    assert suffix.least_of_equal(data, starts, values, depth).tolist() == [least[data[s : s + depth].tobytes()] for s in starts.tolist()]
+    assert not len(suffix.least_of_equal(data, starts[:0], values[:0], depth))
+
+
+def test_windows_whose_keys_collide_are_told_apart_by_their_bytes():
+    texts = [b"x" + b"a" * 9, b"y" + b"a" * 9, b"x" + b"a" * 9, b"a" * 10, b"z" + b"b" * 9]
+    data, n = np.frombuffer(b"".join(texts), np.uint8), len(texts)
+    end = np.arange(1, n + 1) * 10
+    spans = repeats.Spans(data, end - 10, end, np.zeros(n, np.int64), np.full(n, 4))
+    seen = repeats.Seen(np.zeros(n, np.uint64), None, np.array([3, 2, 1, 9, 0]), np.zeros(n, np.uint8), spans)
+    for at_a_time in (1, 1 << 20):
+        found = suffix.earlier_windows(7, at_a_time)(seen).reshape(n, 4).tolist()
+        assert found == [[1, 1, 1, 1], [0, 1, 1, 1], [0, 0, 0, 0], [1, 1, 1, 1], [0, 0, 0, 0]]
+
+
 def test_substring_dedup(docs, rows):
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring.repeated_spans(docs).collect()}
     assert got == plain.word_spans([(i, t) for i, t, *_ in rows])
