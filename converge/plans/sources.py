@@ -75,7 +75,8 @@ def outbox_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lsn_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions of 64 and 80 bits, which a 64-bit integer would not hold, from orders."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    wide = F.concat(F.lit("ffff"), F.lpad(_hex(F.col("o_custkey")), 4, "0"))
+    # Added as a number: keys of more than four digits carry, where a text of four would cut them.
+    wide = _hex(F.lit(0xFFFF0000) + F.col("o_custkey"))
     return o.select(
         "o_orderkey",
         versions.log_version(F.concat(wide, F.lit("/"), _hex(F.col("o_orderkey")))).cast("string").alias("postgres"),
