@@ -27,8 +27,8 @@ def _text(df: DataFrame) -> DataFrame:
 
 
 def recon_scope_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = r.joined(*snapshots(spark, sf_dir))
-    parts = [r.scope_counts(both, field, deleted).withColumn("kind", F.lit(kind)) for field, deleted, kind in (("tenant_id", False, "tenant"), ("cohort", False, "cohort"), ("tenant_id", True, "deleted tenant"))]
+    stores = snapshots(spark, sf_dir)
+    parts = [r.scope_counts(*stores, field, deleted).withColumn("kind", F.lit(kind)) for field, deleted, kind in (("tenant_id", False, "tenant"), ("cohort", False, "cohort"), ("tenant_id", True, "deleted tenant"))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
