@@ -42,25 +42,50 @@ class FolderStore:
         return sorted(f.base_name.partition("=")[2] for f in files.get_file_info(fs.FileSelector(root)) if f.type == fs.FileType.Directory and f.base_name.startswith("bucket="))
 
     def page(self, bucket: str, token: str | None, size: int) -> tuple[list[dict], str | None]:
-        """Up to `size` documents from the token on; the token is a file and a line in it."""
+        """Up to `size` documents from the token on; the token is a byte and the file that it is in, so a page reads no more than itself."""
         from pyarrow import fs
 
         files, root = self._files()
-        names = sorted(f.base_name for f in files.get_file_info(fs.FileSelector(f"{root}/bucket={bucket}", allow_not_found=True)) if f.base_name.startswith("part-"))
-        at, line = (int(x) for x in (token or "0/0").split("/"))
-        found: list[dict] = []
-        while at < len(names):
-            with files.open_input_stream(f"{root}/bucket={bucket}/{names[at]}") as stream:
-                lines = stream.read().decode().splitlines()
-            taken = lines[line : line + size - len(found)]
-            found += [json.loads(x) for x in taken]
-            line += len(taken)
-            if line < len(lines):
-                return found, f"{at}/{line}"
-            at, line = at + 1, 0
+        at, _, name = (token or "0/").partition("/")
+        start, found, names = int(at), [], None
+        while True:
+            if name:
+                with files.open_input_file(f"{root}/bucket={bucket}/{name}") as file:
+                    lines, start, more = _lines(file, start, size - len(found))
+                found += [json.loads(x) for x in lines]
+                if more:
+                    return found, f"{start}/{name}"
+            # The folder is listed where a file ends, not for each page.
+            if names is None:
+                names = sorted(f.base_name for f in files.get_file_info(fs.FileSelector(f"{root}/bucket={bucket}", allow_not_found=True)) if f.base_name.startswith("part-"))
+            name, start = next((n for n in names if n > name), None), 0
+            if name is None:
+                return found, None
             if len(found) == size:
-                break
-        return found, f"{at}/0" if at < len(names) else None
+                return found, f"0/{name}"
+
+
+#: Bytes that a page is first looked for in, for each of its lines; more are read where lines are longer.
+LINE = 256
+
+
+def _lines(file, start: int, count: int) -> tuple[list[bytes], int, bool]:
+    """Up to `count` lines of an open file from a byte on, the byte after them, and whether any are left."""
+    file.seek(start)
+    whole = file.size()
+    read, parts, ends, step = 0, [], 0, max(1, count) * LINE
+    while ends < count and start + read < whole:
+        part = file.read(step)
+        if not part:
+            break
+        parts.append(part)
+        read, ends, step = read + len(part), ends + part.count(b"\n"), step * 2
+    lines = b"".join(parts).split(b"\n")
+    # What follows the last end of a line is a line too, if the file ends with it.
+    if len(lines) > count or start + read < whole or not lines[-1]:
+        lines = lines[: min(count, len(lines) - 1)]
+    at = min(whole, start + sum(len(x) + 1 for x in lines))
+    return lines, at, at < whole
 
 
 def write_pages(snapshot: DataFrame, folder: str, buckets: int = 1024) -> FolderStore:
