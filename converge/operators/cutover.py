@@ -2,7 +2,8 @@
 
 A request to move is a function from states to states: to its target where that is an edge, else it leaves the state as it
 is. Functions compose, so a long log of requests, refused ones among them, is replayed in segments: each segment is composed
-on its own, the compositions (a few numbers each) tell where every segment starts, and all segments run side by side.
+on its own, the compositions (a few numbers each) tell where every segment starts, and all segments run side by side. Segments
+are composed to stretches of FAN segments, these to stretches of FAN stretches and so on, so no list holds a whole log.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from converge.lineage import cut
 from converge.tables.log import NumberedLog
 
 # The states of each track in their order, and its edges.
@@ -44,6 +46,8 @@ def checked(log: DataFrame) -> DataFrame:
 STATES = {"backend": BACKEND, "search": SEARCH}
 #: Requests of a segment, at most; values of seq that a segment spans.
 SEGMENT = 256
+#: Segments of a stretch, and stretches of the next larger one.
+FAN = 64
 
 
 def _blank(c: str) -> Column:
@@ -55,6 +59,22 @@ def _moves(state: Column, request: Column) -> Column:
     return F.when(F.array_contains(request["reach"], state), request["target"]).otherwise(state)
 
 
+def _starts(segments: DataFrame, by: list[str], levels: int) -> DataFrame:
+    """The state in which each segment (numbers from 0) starts, from _composed, what each makes of every state."""
+    up = F.floor(F.col("_segment") / FAN).cast("long") if levels else F.lit(0).cast("long")
+    stretches = segments.groupBy(*by, up.alias("_up")).agg(F.array_sort(F.collect_list(F.struct("_segment", "_composed"))).alias("_parts"))
+    if levels:
+        states = F.sequence(F.lit(0), F.lit(len(BACKEND) - 1))
+        made = F.transform(states, lambda s: F.aggregate("_parts", s, lambda at, part: F.element_at(part["_composed"], at + 1)))
+        above = _starts(cut(stretches.select(*by, F.col("_up").alias("_segment"), made.alias("_composed"))), by, levels - 1)
+        begun = stretches.join(above.select(*by, F.col("_segment").alias("_up"), "_start"), [*by, "_up"])
+    else:
+        begun = stretches.withColumn("_start", F.lit(0))
+    walk = F.aggregate("_parts", F.array(F.col("_start")), lambda seen, part: F.concat(seen, F.array(F.element_at(part["_composed"], F.element_at(seen, -1) + 1))))
+    each = begun.withColumn("_walk", walk).select(*by, F.posexplode("_parts").alias("_at", "_part"), "_walk")
+    return each.select(*by, F.col("_part._segment").alias("_segment"), F.get("_walk", F.col("_at")).alias("_start"))
+
+
 def replayed(requests: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """Requests (domain_name, track, to_state, operator, reason, seq) with from_state, state (after it), accepted and problem.
 
@@ -69,17 +89,21 @@ def replayed(requests: DataFrame, segment: int = SEGMENT) -> DataFrame:
         reach = F.when((F.col("track") == track) & (F.col("to_state") == b), F.array(*[F.lit(i) for i in sources])).otherwise(reach)
     named = ~_blank("operator") & ~_blank("reason")
     rows = requests.withColumn("_target", number(F.col("to_state"))).withColumn("_reach", F.when(named, F.coalesce(reach, F.array().cast("array<int>"))).otherwise(F.array().cast("array<int>")))
-    rows = rows.withColumn("_edge", reach).withColumn("_segment", F.floor(F.col("seq") / segment))
+    at = F.floor(F.col("seq") / segment).cast("long")
+    first, last = requests.agg(F.min(at), F.max(at)).first()
+    # Requests without a seq are the first, in a segment of their own.
+    rows = rows.withColumn("_segment", F.coalesce(at - F.lit(first or 0) + 1, F.lit(0)).cast("long"))
+    levels, largest = 0, (last or 0) - (first or 0) + 1
+    while largest >= FAN:
+        levels, largest = levels + 1, largest // FAN
     entry = F.struct("seq", "to_state", F.col("_target").alias("target"), F.col("_reach").alias("reach"), F.struct(*requests.columns).alias("row"))
     by = ["domain_name", "track"]
     segments = rows.groupBy(*by, "_segment").agg(F.array_sort(F.collect_list(entry)).alias("log"))
     states = F.sequence(F.lit(0), F.lit(len(BACKEND) - 1))
     composed = F.transform(states, lambda s: F.aggregate("log", s, _moves))
-    segments = segments.withColumn("_composed", composed)
-    # A row of five numbers for each segment is what the segments of a track are put in order by.
-    earlier = Window.partitionBy(*by).orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
-    starts = segments.select(*by, "_segment", F.aggregate(F.collect_list("_composed").over(earlier), F.lit(0), lambda s, f: F.element_at(f, s + 1)).alias("_start"))
-    begun = segments.drop("_composed").join(starts, [*by, "_segment"])
+    # A row of five numbers for each segment tells where the segments start.
+    starts = _starts(cut(segments.select(*by, "_segment", composed.alias("_composed"))), by, levels)
+    begun = segments.join(starts, [*by, "_segment"])
     # Within a segment the states after each request, one after the other.
     first = F.array(F.col("_start"))
     walk = F.aggregate("log", first, lambda seen, r: F.concat(seen, F.array(_moves(F.element_at(seen, -1), r))))
