@@ -20,7 +20,7 @@ from __future__ import annotations
 import functools
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,7 @@ CLASSES = FREQUENT + OTHERS + 1
 PAD = CLASSES - 1
 #: Frequent words for each square root of the number of words in the corpus.
 GROWTH = 4
-#: Words on each side, and widths of the network.
+#: Words on each side, and widths of the network (even, since gradients are summed in pairs of columns).
 SIDE, EMBEDDING, HIDDEN = 2, 12, 16
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
 MASKED = 8
@@ -65,11 +65,8 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     """
     data = common.lower_ascii(data)
     starts, ends, first = common.word_spans(data, off)
-    has = np.zeros(len(starts), dtype=np.int64)
-    for bit, kind in enumerate(_KINDS):
-        seen = np.zeros(len(data) + 1, dtype=np.int32)
-        np.cumsum(kind[data], out=seen[1:])
-        has |= (seen[ends] > seen[starts]).astype(np.int64) << bit
+    # Between a word's start and the next one lie only its own bytes and blanks, which are of no kind.
+    has = np.bitwise_or.reduceat(_KIND_BITS.take(data), starts).astype(np.int64) if len(starts) else np.zeros(0, np.int64)
     long = np.searchsorted(_LENGTHS, ends - starts)
     shape = (has * (len(_LENGTHS) + 1) + long) * 256 + (data[ends - 1] if len(ends) else 0)
     return common.word_hashes(data, starts, ends).view(np.int64), shape % OTHERS, first
@@ -78,21 +75,29 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 _BYTES = np.arange(256)
 _DIGIT = (_BYTES >= 48) & (_BYTES < 58)
 _KINDS = (_DIGIT, _BYTES >= 128, ~_DIGIT & (_BYTES < 128) & ~((_BYTES >= 97) & (_BYTES < 123)))
+_KIND_BITS = np.where((_BYTES == 32) | (_BYTES >= 9) & (_BYTES <= 13), 0, sum(kind.astype(np.uint8) << bit for bit, kind in enumerate(_KINDS))).astype(np.uint8)
 _LENGTHS = np.array([2, 4, 6, 8, 12])
 
 
+def _counted(word: np.ndarray, shape: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct words in the order of their first places, their shapes, and how often each occurs (the sum of its n)."""
+    coded = pa.array(word).dictionary_encode()
+    back, found = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+    shapes = np.empty(len(found), np.int64)
+    shapes[back] = shape
+    return found, shapes, np.bincount(back, n, len(found)).astype(np.int64)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def summed() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        word, shape, n = (np.concatenate(c) for c in zip(*held, strict=True))
-        word, first, back = np.unique(word, return_index=True, return_inverse=True)
-        return word, shape[first], np.bincount(back, n, len(word)).astype(np.int64)
+        return _counted(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     size = 0
     for _, data, off in common.pieces(batches, "_text"):
         word, shape, _ = words(data, off)
-        word, first, n = np.unique(word, return_index=True, return_counts=True)
-        held.append((word, shape[first], n))
+        word, shape, n = _counted(word, shape)
+        held.append((word, shape, n))
         size += len(word)
         if size > HELD:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in summed()], names=["word", "shape", "n"])
@@ -127,11 +132,27 @@ class Vocabulary:
         self.sorted = frequent[self.order]
         self.frequent, self.size = len(frequent), len(frequent) + OTHERS + 1
         self.rest = -np.log(rest + 1.0)
+        # Where the words with each beginning (of so many bits) are; beginnings are twice to four times as many as words.
+        self.shift = 64 - min(max(self.frequent * 2, 2).bit_length(), 30)
+        beginnings = self.beginning(self.sorted)
+        self.begin = np.searchsorted(beginnings, np.arange(1 << (64 - self.shift))).astype(np.int32)
+        self.crowd = int(np.bincount(beginnings).max()) if self.frequent else 0
+
+    def beginning(self, word: np.ndarray) -> np.ndarray:
+        return (word >> self.shift) + (1 << (63 - self.shift))
 
     def class_of(self, word: np.ndarray, shape: np.ndarray) -> np.ndarray:
         if not self.frequent:
             return shape
-        at = np.minimum(np.searchsorted(self.sorted, word), self.frequent - 1)
+        if self.crowd > 16:
+            at = np.searchsorted(self.sorted, word)
+        else:
+            at = self.begin.take(self.beginning(word))
+            after = np.arange(len(word))
+            for _ in range(self.crowd):
+                after = after[self.sorted.take(at.take(after), mode="clip") < word.take(after)]
+                at[after] += 1
+        at = np.minimum(at, self.frequent - 1)
         return np.where(self.sorted[at] == word, self.order[at], self.frequent + shape)
 
     def log_rest(self, classes: np.ndarray) -> np.ndarray:
@@ -192,73 +213,111 @@ def start_weights(seed: int = 1, size: int = CLASSES, counts: np.ndarray | None
     return {"e": r.normal(0, 0.3, (size, EMBEDDING)).astype(np.float32), "w": r.normal(0, 0.2, (len(OFFSETS) * EMBEDDING, HIDDEN)).astype(np.float32), "b": np.zeros((1, HIDDEN), np.float32), "t": t, "v": v}
 
 
-def contexts(classes: np.ndarray, first: np.ndarray, pad: int = PAD) -> np.ndarray:
-    """A row for each offset: the class of the word at that distance, pad beyond the document's ends."""
-    n = len(classes)
-    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    out = np.full((len(OFFSETS), n), pad, dtype=np.int64)
-    at = np.arange(n)
+def contexts(classes: np.ndarray, first: np.ndarray, pad: int = PAD, targets: np.ndarray | None = None) -> np.ndarray:
+    """A row for each offset: the class of the word at that distance (from the targets only, if given), pad beyond the
+    document's ends."""
+    # Documents one after the other with SIDE pads around each, so that a distance never leads into another document.
+    at = np.arange(len(classes)) + SIDE * np.repeat(np.arange(1, len(first)), np.diff(first))
+    padded = np.full(len(classes) + SIDE * len(first), pad, dtype=np.int64)
+    padded[at] = classes
+    if targets is not None:
+        at = at.take(targets)
+    out = np.empty((len(OFFSETS), len(at)), dtype=np.int64)
     for k, o in enumerate(OFFSETS):
-        there = at + o
-        ok = (there >= first[doc]) & (there < first[doc + 1])
-        out[k, ok] = classes[there[ok]]
+        out[k] = padded.take(at + o)
     return out
 
 
 def _inputs(p: dict[str, np.ndarray], context: np.ndarray) -> np.ndarray:
-    return p["e"][context.T].reshape(context.shape[1], -1)
+    return p["e"].take(context.T, axis=0).reshape(context.shape[1], -1)
 
 
 def _hidden(p: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
     """The hidden layer, and the constant 1 beside it."""
     h = np.ones((len(x), HIDDEN + 1), dtype=np.float32)
-    np.tanh(x @ p["w"] + p["b"], out=h[:, :-1])
+    inner = x @ p["w"]
+    inner += p["b"]
+    h[:, :-1] = np.tanh(inner, out=inner)
     return h
 
 
-class _Path:
-    """The subtrees of all targets, and the nodes of their paths below with rows of h, turns and logits."""
-
-    def __init__(self, p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray) -> None:
-        nodes, turns, begin, subtree = tree(len(p["e"]))
-        self.subtree = subtree[target]
-        n = begin[target + 1] - begin[target]
-        self.deep = np.flatnonzero(n)
-        n = n[self.deep]
-        self.start = np.cumsum(n) - n
-        at = np.repeat((begin[target[self.deep]] - self.start).astype(np.int32), n) + np.arange(n.sum(), dtype=np.int32)
-        self.nodes, self.turns, self.rows = nodes[at], turns[at], np.repeat(self.deep, n)
-        self.v = p["v"][self.nodes]
-        self.z = np.einsum("ij,ij->i", self.v, h[self.rows]) * self.turns
+def _deepest_first(target: np.ndarray, size: int) -> np.ndarray:
+    """The order of targets by the lengths of their paths, longest first: the nodes of a level belong to the first so many."""
+    begin = tree(size)[2]
+    return np.argsort((begin.take(target) - begin.take(target + 1)).astype(np.int16), kind="stable")
 
-    def log_below(self) -> np.ndarray:
-        return np.add.reduceat(np.minimum(self.z, 0) - np.log1p(np.exp(-np.abs(self.z))), self.start, dtype=np.float64) if len(self.deep) else np.zeros(0)
 
+class _Path:
+    """The nodes below the subtrees of all targets, which come deepest first: a level after the other, with the rows of v,
+    turns and logits; ends says where levels end, rows which target a node is of."""
 
-def _shares(p: dict[str, np.ndarray], h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Unnormalised shares of the subtrees for each row of h, the largest 1, and their logarithms."""
-    logits = h @ p["t"].T
-    logits -= logits.max(axis=1, keepdims=True)
-    return np.exp(logits), logits
+    def __init__(self, p: dict[str, np.ndarray], h: np.ndarray, target: np.ndarray) -> None:
+        nodes, turns, begin, _ = tree(len(p["e"]))
+        begins = begin.take(target)
+        n = len(target) - np.cumsum(np.bincount(begin.take(target + 1) - begins))[:-1]
+        self.ends = [0, *np.cumsum(n).tolist()]
+        self.rows = np.concatenate([np.arange(k) for k in n] or [np.arange(0)])
+        at = begins.take(self.rows)
+        at += np.repeat(np.arange(len(n)), n)
+        self.nodes, self.turns = nodes.take(at), turns.take(at)
+        self.v = p["v"].take(self.nodes, axis=0)
+        self.z = np.empty(len(self.nodes), np.float32)
+        for a, b in self.levels():
+            np.einsum("ij,ij->i", self.v[a:b], h[: b - a], out=self.z[a:b])
+        self.z *= self.turns
+
+    def levels(self) -> Iterator[tuple[int, int]]:
+        return zip(self.ends[:-1], self.ends[1:], strict=True)
+
+    def log_below(self, out: np.ndarray) -> None:
+        """Adds the logarithms of all turns' probabilities to the rows of out."""
+        turned = np.abs(self.z)
+        np.negative(turned, out=turned)
+        np.exp(turned, out=turned)
+        turned += 1
+        np.log(turned, out=turned)
+        np.subtract(np.minimum(self.z, 0), turned, out=turned)
+        for a, b in self.levels():
+            out[: b - a] += turned[a:b]
+
+
+def _shares(p: dict[str, np.ndarray], h: np.ndarray, subtree: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unnormalised shares of the subtrees for each row of h, their sums, and the logarithm of the share of the row's own."""
+    # The hidden layer lies within 1 of 0, which bounds every row's largest logit; where both bounds are near, one of them
+    # can be taken from all logits instead of each row's largest.
+    reach = np.abs(p["t"][:, :-1]).sum(axis=1)
+    high, low = (p["t"][:, -1] + reach).max(), (p["t"][:, -1] - reach).max()
+    t = p["t"].copy()
+    t[:, -1] -= high
+    shares = h @ t.T
+    if not high - low < 60:
+        shares -= shares.max(axis=1, keepdims=True)
+    own = shares[np.arange(len(h)), subtree]
+    np.exp(shares, out=shares)
+    return shares, shares @ np.ones(len(t), np.float32), own
 
 
 def class_log_probabilities(p: dict[str, np.ndarray], context: np.ndarray, target: np.ndarray, step: int = 4096) -> np.ndarray:
     out = np.empty(len(target), dtype=np.float64)
+    subtree = tree(len(p["e"]))[3]
     for i in range(0, len(target), step):
-        h = _hidden(p, _inputs(p, context[:, i : i + step]))
-        path = _Path(p, h, target[i : i + step])
-        shares, logits = _shares(p, h)
-        out[i : i + step] = logits[np.arange(len(h)), path.subtree] - np.log(shares.sum(axis=1))
-        out[i + path.deep] += path.log_below()
+        order = _deepest_first(target[i : i + step], len(p["e"]))
+        order += i
+        own = target.take(order)
+        h = _hidden(p, _inputs(p, context.take(order, axis=1)))
+        _, total, log = _shares(p, h, subtree.take(own))
+        log = log - np.log(total, dtype=np.float64)
+        _Path(p, h, own).log_below(log)
+        out[order] = log
     return out
 
 
-def _summed(at: np.ndarray, rows: np.ndarray, weight: np.ndarray, which: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct numbers, and for each the sum of its rows (of rows[which]) times their weights, a column at a time."""
+def _summed(at: np.ndarray, rows: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers, and for each the sum of its rows times their weights, a column at a time."""
     found, back = np.unique(at, return_inverse=True)
     out = np.empty((len(found), rows.shape[1]), rows.dtype)
     for k, column in enumerate(np.ascontiguousarray(rows.T)):
-        out[:, k] = np.bincount(back, (column if which is None else column.take(which)) * weight, len(found))
+        out[:, k] = np.bincount(back, column * weight, len(found))
     return found, out
 
 
@@ -268,35 +327,83 @@ class _Trainer:
     def __init__(self, p: dict[str, np.ndarray]) -> None:
         self.p = {k: v.copy() for k, v in p.items()}
         self.s = {k: np.zeros_like(v) for k, v in p.items()}
+        self.last = np.zeros(len(p["e"]), dtype=np.int64)
 
     def moved(self, name: str) -> np.ndarray:
         return np.flatnonzero(self.s[name].any(axis=1))
 
     def step(self, context: np.ndarray, target: np.ndarray) -> None:
-        p, n = self.p, len(target)
+        p, n, size = self.p, len(target), len(self.p["e"])
+        order = _deepest_first(target, size)
+        target, context = target.take(order), context.take(order, axis=1)
         x = _inputs(p, context)
         h = _hidden(p, x)
         path = _Path(p, h, target)
-        d, _ = _shares(p, h)
-        d /= d.sum(axis=1, keepdims=True)
-        d[np.arange(n), path.subtree] -= 1
-        d /= n
-        dh = d @ p["t"]
-        below = -path.turns / (1 + np.exp(np.minimum(path.z, 30))) / np.float32(n)
-        if len(path.deep):
-            dh[path.deep] += np.add.reduceat(path.v * below[:, None], path.start)
-            self._move("v", *_summed(path.nodes, h, below, path.rows))
+        subtree = tree(size)[3].take(target)
+        d, total, _ = _shares(p, h, subtree)
+        d[np.arange(n), subtree] -= total
+        scale = (1 / (total * np.float32(n)))[:, None]
+        dh, dt = d @ p["t"], d.T @ (h * scale)
+        dh *= scale
+        if len(path.z):
+            below = np.minimum(path.z, 30)
+            np.exp(below, out=below)
+            below += 1
+            below *= np.float32(-n)
+            np.divide(path.turns, below, out=below)
+            path.v *= below[:, None]
+            for a, b in path.levels():
+                dh[: b - a] += path.v[a:b]
+            twice = below.astype(np.complex128)
+            self._move_rows("v", path.nodes, (pair.take(path.rows) * twice for pair in _pairs(h[:, :-1])), below.astype(np.float64))
         dh = dh[:, :-1] * (1 - h[:, :-1] ** 2)
-        every = slice(None)
-        self._move("e", *_summed(context.T.ravel(), (dh @ p["w"].T).reshape(-1, EMBEDDING), np.float32(1)))
-        self._move("t", every, d.T @ h)
-        self._move("w", every, x.T @ dh)
-        self._move("b", every, dh.sum(axis=0, keepdims=True))
-
-    def _move(self, name: str, at: np.ndarray | slice, grad: np.ndarray) -> None:
-        s = self.s[name][at] + grad * grad
-        self.s[name][at] = s
-        self.p[name][at] -= np.float32(RATE) * grad / (np.sqrt(s) + np.float32(1e-9))
+        dx = (dh @ p["w"].T).astype(np.float64).view(np.complex128).reshape(n, len(OFFSETS), -1)
+        self._move_rows("e", context.T.ravel(), (dx[:, :, k].ravel() for k in range(EMBEDDING // 2)))
+        self._move("t", dt)
+        self._move("w", x.T @ dh)
+        self._move("b", np.ones((1, n), np.float32) @ dh)
+
+    def _move_rows(self, name: str, at: np.ndarray, pairs: Iterable[np.ndarray], last: np.ndarray | None = None) -> None:
+        """Moves the rows that at names by the sums of their gradients, which come in pairs of columns; last is one without a partner."""
+        # Of equal numbers the last one stands for all.
+        place = np.arange(len(at))
+        self.last[at] = place
+        stands = self.last.take(at)
+        first = stands == place
+        found = at[first]
+        back = (np.cumsum(first) - 1).take(stands)
+        width = self.p[name].shape[1]
+        total = np.zeros((width // 2, len(found)), np.complex128)
+        for pair, of in zip(total, pairs, strict=True):
+            np.add.at(pair, back, of)
+        grad = np.empty((len(found), width), np.float32)
+        grad[:, : width // 2 * 2] = np.ascontiguousarray(total.T).view(np.float64)
+        if last is not None:
+            grad[:, -1] = np.bincount(back, last, len(found))
+        s = self.s[name].take(found, axis=0)
+        s += grad * grad
+        _put(self.s[name], found, s)
+        np.sqrt(s, out=s)
+        s += np.float32(1e-9)
+        grad *= np.float32(RATE)
+        grad /= s
+        _put(self.p[name], found, self.p[name].take(found, axis=0) - grad)
+
+    def _move(self, name: str, grad: np.ndarray) -> None:
+        s = self.s[name]
+        s += grad * grad
+        self.p[name] -= np.float32(RATE) * grad / (np.sqrt(s) + np.float32(1e-9))
+
+
+def _pairs(rows: np.ndarray) -> np.ndarray:
+    """Columns of rows as parts of complex numbers, a row for each two of them: one addition sums both."""
+    return np.ascontiguousarray(rows.astype(np.float64).view(np.complex128).T)
+
+
+def _put(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """table[at] = rows, a row as one value, which takes less than half the time."""
+    row = f"V{table.itemsize * table.shape[1]}"
+    table.view(row)[:, 0][at] = rows.view(row)[:, 0]
 
 
 def _coded(vocabulary: Vocabulary):
@@ -350,14 +457,13 @@ def _train(size: int, start: dict[str, np.ndarray], turn: int, rounds: int):
                 if trainer is not None:
                     yield from moved(trainer, shard, seen)
                 shard, trainer, seen = k, _Trainer(start), 0
-            context = contexts(classes, first, size - 1)
-            place = np.arange(len(classes)) - np.repeat(first[:-1], np.diff(first))
+            place = (np.arange(len(classes)) - np.repeat(first[:-1], np.diff(first))) % MASKED
             # The residues are dealt to the rounds, so each word of a document is a target in one of them.
             for residue in range(turn % MASKED, MASKED, min(rounds, MASKED)):
-                masked = np.flatnonzero(place % MASKED == residue)
+                masked = np.flatnonzero(place == residue)
+                context, target = contexts(classes, first, size - 1, masked), classes.take(masked)
                 for i in range(0, len(masked), BATCH):
-                    at = masked[i : i + BATCH]
-                    trainer.step(context[:, at], classes[at])
+                    trainer.step(context[:, i : i + BATCH], target[i : i + BATCH])
                 seen += len(masked)
         if trainer is not None:
             yield from moved(trainer, shard, seen)
